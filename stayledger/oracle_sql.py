@@ -55,7 +55,93 @@ def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
 
-BASE = (FLAT_SQL, LOOKUPS_SQL)
-BOOKINGS_CTE = f"\nbookings AS ({transform_sql()})"
-DAMAGED_BOOKINGS_CTE = f"\ndamaged_bookings AS ({transform_sql('damaged')})"
-CURRENCY_RE = CURRENCY_PATTERN
+CTES = (
+    FLAT_SQL, LOOKUPS_SQL, f"\nbookings AS ({transform_sql()})", DAMAGED_SQL,
+    f"\ndamaged_bookings AS ({transform_sql('damaged')})",
+)
+
+
+def q(body: str) -> str:
+    """A statement over the fixture CTEs (flat_bookings, bookings, damaged_bookings...)."""
+    return with_ctes(*CTES, body=body)
+
+
+def cols(*names: str, source: str = "bookings") -> str:
+    return f"SELECT {', '.join(names)} FROM {source}"
+
+
+MAP_STATUS = """SELECT f.reservation AS transaction_id, f.status AS raw_status,
+  coalesce(s.mapped_status, f.status) AS status
+FROM flat_bookings f LEFT JOIN status_map s ON f.status = s.raw_status"""
+
+MAP_REGION = """SELECT f.reservation AS transaction_id, upper(f.country) AS country_code, r.region AS region
+FROM flat_bookings f LEFT JOIN region_map r ON upper(f.country) = r.country_code"""
+
+_REQUIRED = [
+    ("id", "string"), ("accommodations", "struct"), ("accommodation_details", "struct"),
+    ("booker", "struct"), ("commission", "struct"), ("currencies", "struct"),
+    ("start", "string"), ("end", "string"), ("label", "string"), ("price", "struct"),
+    ("status", "string"),
+]
+_schema_rows = [f"(2, 'column_present', '{c}', 'present', 'present', true)" for c, _ in _REQUIRED]
+_schema_rows += [f"(3, 'column_type', '{c}', '{t}', '{t}', true)" for c, t in _REQUIRED]
+_schema_rows += ["(4, 'revenue_type', 'commission.estimate_commission_amount.booker_currency', "
+                 "'double', 'double', true)"]
+SCHEMA_REPORT = q(f"""SELECT 1 AS check_order, 'not_empty' AS check_name, NULL::varchar AS column_name,
+  'rows' AS expected, CASE WHEN count(*) > 0 THEN 'rows' ELSE 'empty' END AS actual,
+  count(*) > 0 AS passed FROM flat_bookings
+UNION ALL
+SELECT * FROM (VALUES {", ".join(_schema_rows)})
+  AS t(check_order, check_name, column_name, expected, actual, passed)""")
+
+_NEG = "(revenue < 0 OR revenue_usd < 0)"
+_CUR = f"NOT regexp_matches(currency, '{CURRENCY_PATTERN}')"
+_MISS = "(revenue IS NULL OR isnan(revenue))"
+
+DQ_DUPLICATES = q("""SELECT transaction_id, count(*) AS n FROM damaged_bookings
+GROUP BY transaction_id HAVING count(*) > 1""")
+DQ_NEGATIVE = q(f"SELECT transaction_id, revenue, revenue_usd FROM damaged_bookings WHERE {_NEG}")
+DQ_CURRENCY = q(f"SELECT transaction_id, currency FROM damaged_bookings WHERE {_CUR}")
+DQ_MISSING = q(f"""SELECT transaction_id, coalesce(isnan(revenue), false) AS revenue_is_nan
+FROM damaged_bookings WHERE {_MISS}""")
+DQ_REPORT = q(f"""SELECT * FROM (VALUES
+  (1, 'duplicate_keys', (SELECT count(*) FROM (SELECT transaction_id FROM damaged_bookings
+                         GROUP BY transaction_id HAVING count(*) > 1))),
+  (2, 'negative_revenue', (SELECT count(*) FROM damaged_bookings WHERE {_NEG})),
+  (3, 'invalid_currency', (SELECT count(*) FROM damaged_bookings WHERE {_CUR})),
+  (4, 'missing_revenue', (SELECT count(*) FROM damaged_bookings WHERE {_MISS}))
+) AS t(check_order, check_name, bad_count)""")
+
+BATCH_SLICE = q("""SELECT cast(transaction_id % 5 AS integer) AS batch, count(*) AS row_count,
+  cast(sum(transaction_id) AS bigint) AS key_sum FROM bookings GROUP BY 1""")
+
+UPSERT = q("""SELECT * FROM bookings WHERE transaction_id % 5 NOT IN (3, 4)
+UNION ALL
+SELECT * REPLACE (revenue + 1 AS revenue) FROM bookings WHERE transaction_id % 5 IN (3, 4)""")
+
+UPSERT_CHANGES = q("""SELECT *, 'UPDATE_BEFORE' AS _change_type, 0 AS _change_ordinal,
+  2::bigint AS _commit_snapshot_id FROM bookings WHERE transaction_id % 5 = 3
+UNION ALL
+SELECT * REPLACE (revenue + 1 AS revenue),
+  CASE WHEN transaction_id % 5 = 3 THEN 'UPDATE_AFTER' ELSE 'INSERT' END AS _change_type,
+  0 AS _change_ordinal, 2::bigint AS _commit_snapshot_id
+FROM bookings WHERE transaction_id % 5 IN (3, 4)""")
+
+COMMIT_LOG = q("""SELECT cast(b + 1 AS bigint) AS commit_id,
+  CASE WHEN b = 0 THEN 'create' ELSE 'upsert' END AS operation,
+  n AS source_rows, n AS inserted, 0::bigint AS updated,
+  cast(sum(n) OVER (ORDER BY b) AS bigint) AS row_count
+FROM (SELECT transaction_id % 5 AS b, count(*) AS n FROM bookings GROUP BY 1)""")
+
+FIRST_LAST = q("""SELECT min(b) + 1 AS first_commit, max(b) + 1 AS last_commit
+FROM (SELECT DISTINCT cast(transaction_id % 5 AS bigint) AS b FROM bookings)""")
+
+CHANGELOG_RANGE = q("""SELECT *, 'INSERT' AS _change_type,
+  cast(transaction_id % 5 - 1 AS integer) AS _change_ordinal,
+  cast(transaction_id % 5 + 1 AS bigint) AS _commit_snapshot_id
+FROM bookings WHERE transaction_id % 5 <> 0""")
+
+SYNC_AUDIT = q("""SELECT 1::bigint AS snapshot_id, 'first' AS batch_label, count(*) AS record_count,
+  'done' AS status FROM bookings WHERE transaction_id % 5 = 0
+UNION ALL
+SELECT 5::bigint, 'last', count(*), 'done' FROM bookings WHERE transaction_id % 5 <> 0""")

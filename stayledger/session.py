@@ -32,7 +32,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_session(cores: int = 8, app: str = "stayledger") -> SparkSession:
     """Session for tests and the bench: local mode, no UI, AQE on."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -42,3 +42,5 @@ def local_session(cores: int = 8, app: str = "stayledger") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
