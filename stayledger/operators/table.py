@@ -6,15 +6,16 @@ Layout of a table at ``path``::
     state/v=<n>/_slot=<slot>/<partition>=<value>/*.parquet rows written by commit n
     _staging/commit_id=<n>/*.parquet                      upsert source, written once
 
-A commit rewrites only the partitions it touches (copy-on-write per
-partition). Every row it writes carries a slot: ``kept`` (unchanged row of a
-touched partition), ``insert``, ``update`` (after image) or ``before`` (before
-image of an updated row). So the state of partition P is
-``state/v=<last commit touching P>`` minus ``before``, and the changelog of
-commit n is ``state/v=n`` minus ``kept``: both are partition-pruned reads of
-the same files and no row is written twice.
-
-The commit row lists, for every partition, the version that holds it. It is
+A commit rewrites only the partitions that hold a matched key (copy-on-write
+per partition); a partition that only receives new rows gets one more
+segment with just those rows. Every row a commit writes carries a slot:
+``kept`` (unchanged row of a rewritten partition), ``insert``, ``update``
+(after image) or ``before`` (before image of an updated row). The state of
+partition P is the union of its segments minus ``before`` rows, and the
+changelog of commit n is ``state/v=n`` minus ``kept``: both are
+partition-pruned reads of the same files and no row is written twice.
+
+The commit row lists the (partition, version) segments of the state. It is
 appended last, so readers never see a half-written version; a failed commit
 leaves an unreferenced directory that the next attempt overwrites.
 One writer at a time is assumed.
@@ -62,6 +63,12 @@ COMMITS_SCHEMA = T.StructType([
 
 _TRANSFORMS = {"identity", "month", "year"}
 
+# Version and staging folders are published only by the commit row appended
+# after the write, so tasks may move their files into place themselves
+# (no serial rename of every file at job commit); a failed write leaves an
+# unreferenced folder that the retry overwrites.
+DIRECT_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -144,6 +151,20 @@ def _commit_row(spark: SparkSession, spec: TableSpec, commit_id: int | None = No
     return rows[0] if rows else None
 
 
+def _latest(spark: SparkSession, spec: TableSpec) -> Row | None:
+    """Latest commit row, or None when the table does not exist."""
+    try:
+        return _commit_row(spark, spec)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc.getCondition() or exc):
+            return None
+        raise
+
+
+def _part_order(p: str | None) -> tuple[bool, str]:
+    return (p is None, p or "")
+
+
 def first_last_commit(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """(first_commit, last_commit): oldest and newest commit by commit time,
     ties broken by commit id."""
@@ -170,12 +191,19 @@ def _stored_schema(spec: TableSpec, data_schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _part_filter(spec: TableSpec, parts: list[str | None]) -> Column:
+    """Partition filter (pruned at planning time), built as one expression."""
     values = [p for p in parts if p is not None]
-    cond = F.col(spec.field).cast("string").isin(values) if values else F.lit(False)
-    if any(p is None for p in parts):
-        cond = cond | F.col(spec.field).isNull()
-    return cond
+    terms = []
+    if values:
+        terms.append(f"CAST(`{spec.field}` AS STRING) IN ({', '.join(map(_sql_string, values))})")
+    if len(values) < len(parts):
+        terms.append(f"`{spec.field}` IS NULL")
+    return F.expr(" OR ".join(terms) if terms else "false")
 
 
 def _read_version(spark: SparkSession, spec: TableSpec, data_schema: T.StructType, n: int) -> DataFrame:
@@ -227,7 +255,7 @@ def changes(spark: SparkSession, spec: TableSpec, start_exclusive: int | None =
     if end_inclusive is not None:
         log = log.where(F.col("commit_id") <= end_inclusive)
     rows = sorted(log.collect(), key=lambda r: r.commit_id)
-    latest = _commit_row(spark, spec, end_inclusive)
+    latest = _commit_row(spark, spec, end_inclusive) if end_inclusive is not None else _latest(spark, spec)
     if latest is None:
         raise TableWriteError(f"table {spec.path} has no commit {end_inclusive}")
     data_schema = T.StructType.fromJson(json.loads(latest.schema_json))
@@ -276,6 +304,7 @@ def _write_version(spec: TableSpec, df: DataFrame, n: int) -> None:
     one busy day does not become one straggler task."""
     (df.hint("rebalance", spec.field)
        .write.mode("overwrite")
+       .options(**DIRECT_COMMIT)
        .partitionBy(SLOT, spec.field)
        .parquet(spec.version_path(n)))
 
@@ -302,9 +331,10 @@ def _part_metrics(spec: TableSpec) -> list[Column]:
     ]
 
 
-def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame) -> CommitResult:
+def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
+                 _checked: bool = False) -> CommitResult:
     """Create the table from ``df`` as commit 1 (every row an INSERT)."""
-    if table_exists(spark, spec):
+    if not _checked and _latest(spark, spec) is not None:
         raise TableWriteError(f"table {spec.path} already exists")
     _check_columns(spec, df)
     data_schema = df.schema
@@ -333,15 +363,20 @@ def _same_types(a: T.StructType, b: T.StructType) -> list[str]:
 
 
 def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
-           stage_source: bool = True) -> CommitResult:
+           stage_source: bool = True, _prev: Row | None = None) -> CommitResult:
     """MERGE ``source`` into the table on ``spec.key`` as a new commit.
 
-    With ``stage_source`` the source is evaluated once and written to the
-    table's staging folder, so every later step reads the same rows (this
-    also cuts the source's lineage). Pass ``False`` for a source that is
-    already a cheap, deterministic Parquet read.
+    Only partitions holding a matched key are rewritten (their old rows are
+    kept or become before images); a partition that only receives new rows
+    gets one more segment holding just those rows, so an insert-only commit
+    writes O(source), not O(state).
+
+    With ``stage_source`` the source is evaluated once into the table's
+    staging folder, so every later step reads the same rows (this also cuts
+    the source's lineage). Pass ``False`` for a source that is already a
+    cheap, deterministic Parquet read.
     """
-    prev = _commit_row(spark, spec)
+    prev = _prev or _latest(spark, spec)
     if prev is None:
         raise TableWriteError(f"table {spec.path} does not exist")
     n = prev.commit_id + 1
@@ -351,37 +386,40 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         raise TableWriteError(f"source does not match table {spec.path}: {problems}")
     key, field = spec.key, spec.field
     src = _with_field(spec, source.select(*data_schema.fieldNames()))
-
     if stage_source:
-        obs = Observation(f"stage{n}")
-        src.observe(obs, *_part_metrics(spec)).write.mode("overwrite").parquet(spec.staging_path(n))
-        src_m = obs.get
+        (src.write.mode("overwrite").options(**DIRECT_COMMIT).parquet(spec.staging_path(n)))
         src = spark.read.schema(src.schema).parquet(spec.staging_path(n))
-    else:
-        src_m = src.agg(*_part_metrics(spec)).collect()[0].asDict()
-    source_rows = int(src_m["rows"])
 
-    target = _state(spark, spec, prev, keep_field=True)
+    # One job: partitions of the source, partitions holding matched keys
+    # (from the target's key and partition columns only), match cardinality.
     src_keys = (src.where(F.col(key).isNotNull()).groupBy(key)
                 .agg(F.count(F.lit(1)).alias("_n_src")))
-
-    # One job over the target's key and partition columns: which old
-    # partitions hold matched keys, and is the match unique per target row.
-    meta = (target.select(key, field).join(src_keys, key)
-            .agg(F.max("_n_src").alias("max_src"),
-                 F.collect_set(F.col(field).cast("string")).alias("parts"),
-                 F.count_if(F.col(field).isNull()).alias("null_parts"),
-                 F.count(F.lit(1)).alias("matched_rows"),
-                 F.count_distinct(key).alias("matched_keys"))
-            .collect()[0].asDict())
+    part = F.col(field).cast("string").alias("_p")
+    matched = (_state(spark, spec, prev, keep_field=True).select(key, field)
+               .join(src_keys, key)
+               .select(F.lit(True).alias("_t"), part, F.col(field).isNull().alias("_pn"),
+                       "_n_src", F.col(key).alias("_k")))
+    incoming = src.select(F.lit(False).alias("_t"), part, F.col(field).isNull().alias("_pn"),
+                          F.lit(None).cast("bigint").alias("_n_src"),
+                          F.lit(None).cast(data_schema[key].dataType).alias("_k"))
+    t = F.col("_t")
+    meta = (matched.unionByName(incoming).agg(
+        F.max("_n_src").alias("max_src"),
+        F.collect_set(F.when(t, F.col("_p"))).alias("parts"),
+        F.count_if(t & F.col("_pn")).alias("null_parts"),
+        F.collect_set(F.when(~t, F.col("_p"))).alias("src_parts"),
+        F.count_if(~t & F.col("_pn")).alias("src_null_parts"),
+        F.count_if(t).alias("matched_rows"),
+        F.count_distinct(F.when(t, F.col("_k"))).alias("matched_keys"),
+        F.count_if(~t).alias("source_rows"),
+    ).collect()[0].asDict())
     if (meta["max_src"] or 0) > 1:
         raise MergeCardinalityError(
             f"MERGE into {spec.path}: a target row is matched by more than one source row")
-    matched_rows = int(meta["matched_rows"])
-    dup_targets = matched_rows > int(meta["matched_keys"])
-
-    touched = sorted(set(_parts_of(src_m)) | set(_parts_of(meta)), key=lambda p: (p is None, p))
-    if not touched:  # empty source: nothing changes, still a commit
+    source_rows, matched_rows = int(meta["source_rows"]), int(meta["matched_rows"])
+    rewrite = set(_parts_of(meta))
+    added = set(_parts_of({"parts": meta["src_parts"], "null_parts": meta["src_null_parts"]}))
+    if source_rows == 0:  # nothing changes, still a commit
         _append_commit(spark, spec, {
             "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": 0,
             "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": False,
@@ -389,22 +427,23 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         })
         return CommitResult(n, "upsert", 0, 0, 0, prev.row_count)
 
-    tgt = _state(spark, spec, prev, parts=touched, keep_field=True)
-    hit = src_keys.select(key, F.lit(True).alias("_hit"))
-    old_rows = (tgt.join(hit, key, "left")
-                .withColumn(SLOT, F.when(F.col("_hit"), "before").otherwise("kept"))
-                .drop("_hit"))
-    tgt_keys = (tgt.where(F.col(key).isNotNull()).groupBy(key)
-                .agg(F.count(F.lit(1)).alias("_n_tgt")))
-    new_rows = (src.join(tgt_keys, key, "left")
-                .withColumn(SLOT, F.when(F.col("_n_tgt").isNull(), "insert").otherwise("update")))
-    if dup_targets:  # each matched target row becomes one copy of its source row
-        new_rows = new_rows.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_n_tgt"), F.lit(1)).cast("int")))
-        ).drop("_copy")
-    new_rows = new_rows.drop("_n_tgt")
     cols = data_schema.fieldNames() + ([field] if field not in data_schema.fieldNames() else []) + [SLOT]
-    rows = old_rows.select(*cols).unionByName(new_rows.select(*cols))
+    if matched_rows == 0:
+        rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
+    else:
+        tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
+        hit = src_keys.select(key, F.lit(True).alias("_hit"))
+        old_rows = (tgt.join(hit, key, "left")
+                    .withColumn(SLOT, F.when(F.col("_hit"), "before").otherwise("kept")))
+        tgt_keys = (tgt.where(F.col(key).isNotNull()).groupBy(key)
+                    .agg(F.count(F.lit(1)).alias("_n_tgt")))
+        new_rows = (src.join(tgt_keys, key, "left")
+                    .withColumn(SLOT, F.when(F.col("_n_tgt").isNull(), "insert").otherwise("update")))
+        if matched_rows > int(meta["matched_keys"]):
+            # a key held by several target rows: each becomes a copy of its source row
+            new_rows = new_rows.withColumn(
+                "_copy", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_n_tgt"), F.lit(1)).cast("int"))))
+        rows = old_rows.select(*cols).unionByName(new_rows.select(*cols))
 
     obs = Observation(f"upsert{n}")
     counted = rows.observe(obs, F.count_if(F.col(SLOT) == "insert").alias("inserted"),
@@ -412,9 +451,8 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     _write_version(spec, counted, n)
     m = obs.get
     inserted, updated = int(m["inserted"]), int(m["updated"])
-    touched_set = set(touched)
-    keep = [e for e in (prev.layout or []) if e.part not in touched_set]
-    layout = keep + [Row(part=p, version=n) for p in touched]
+    layout = [e for e in (prev.layout or []) if e.part not in rewrite]
+    layout += [Row(part=p, version=n) for p in sorted(rewrite | added, key=_part_order)]
     row_count = prev.row_count + inserted
     _append_commit(spark, spec, {
         "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": source_rows,
@@ -426,14 +464,15 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
 
 def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: bool = True) -> CommitResult:
     """Create the table on first use, upsert on every later call."""
-    if table_exists(spark, spec):
-        return upsert(spark, spec, df, stage_source=stage_source)
-    return create_table(spark, spec, df)
+    prev = _latest(spark, spec)
+    if prev is not None:
+        return upsert(spark, spec, df, stage_source=stage_source, _prev=prev)
+    return create_table(spark, spec, df, _checked=True)
 
 
 def stage(spark: SparkSession, spec: TableSpec, df: DataFrame, name: str) -> DataFrame:
     """Evaluate ``df`` once into the table's staging folder and read it back:
     later steps see identical rows and a short, columnar lineage."""
     path = f"{spec.path}/_staging/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**DIRECT_COMMIT).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,0 +1,74 @@
+"""Scalar rules (semantics notes: dates, labels, concat, rounding, predicates)."""
+
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from stayledger.functions import columns as C
+
+
+def _one(spark, expr, value, type_="string"):
+    df = spark.createDataFrame([(value,)], f"v {type_}")
+    return df.select(expr(F.col("v")).alias("r")).collect()[0].r
+
+
+def test_stay_date_is_lenient_and_null_safe(spark):
+    cases = {
+        "2024": dt.date(2024, 1, 1),
+        "2024-3": dt.date(2024, 3, 1),
+        " 2024-03-05 ": dt.date(2024, 3, 5),
+        "2024-03-05T23:30:00-08:00": dt.date(2024, 3, 5),
+        "05/03/2024": None,
+        "2024-02-30": None,
+        "unknown": None,
+        None: None,
+    }
+    for text, want in cases.items():
+        assert _one(spark, C.stay_date, text) == want, text
+
+
+def test_label_regexes_are_unanchored_first_match(spark):
+    label = "link-abc_k-site_ad-t_d-m_xp-BC-9_p-BC-77"
+    assert _one(spark, C.site_key, label) == "ABC"
+    assert _one(spark, C.device_code, label) == "t"
+    assert _one(spark, C.device, label) == "tablet"
+    assert _one(spark, C.referral_property_id, label) == "BC-9"
+    assert _one(spark, C.site_key, "") == ""
+    assert _one(spark, C.device, "") == ""
+    assert _one(spark, C.device, None) is None
+    assert _one(spark, C.device, "k-a_d-M") == "M"  # upper case is not mapped
+    assert _one(spark, C.device, "d-x") == "x"
+
+
+def test_property_id_is_null_strict(spark):
+    assert _one(spark, C.property_id, 12, "bigint") == "BC-12"
+    assert _one(spark, C.property_id, None, "bigint") is None
+    assert _one(spark, C.property_id, 12.0, "double") == "BC-12.0"
+
+
+def test_usd_rounding_half_up(spark):
+    assert _one(spark, lambda c: C.usd_amount(c, 1.0), 1.005, "double") == 1.01
+    assert _one(spark, lambda c: C.usd_amount(c, 2.0), None, "double") is None
+    assert math.isnan(_one(spark, lambda c: C.usd_amount(c, 2.0), float("nan"), "double"))
+
+
+def test_currency_predicate(spark):
+    inv = lambda v: _one(spark, C.is_invalid_currency, v)
+    assert inv("EUR") is False
+    assert inv("eur") is True
+    assert inv("EURO") is True
+    assert inv("") is True
+    assert inv(None) is None          # null passes a filter on NOT rlike
+    assert inv("EUR\n") is False      # Java '$' matches before a final newline
+
+
+def test_revenue_predicates(spark):
+    df = spark.createDataFrame(
+        [(float("nan"),), (None,), (-0.01,), (float("-inf"),), (float("inf"),), (1.0,)], "r double")
+    got = df.select(
+        C.is_negative_revenue(F.col("r"), F.col("r")).alias("neg"),
+        C.is_missing_revenue(F.col("r")).alias("miss"),
+    ).collect()
+    assert [(g.neg, g.miss) for g in got] == [
+        (False, True), (None, True), (True, False), (True, False), (False, False), (False, False)]

@@ -1,0 +1,79 @@
+"""Transform chain: lookups, fallbacks, name clashes, output contract."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from stayledger.operators import transform as X
+from stayledger.sources import fixtures as FX
+from stayledger.sources import lookups as LK
+
+RAW = (
+    "id string, accommodations struct<reservation:bigint>, "
+    "accommodation_details struct<accommodation:bigint>, "
+    "booker struct<address:struct<country:string>, travel_purpose:string>, "
+    "commission struct<estimate_commission_amount:struct<booker_currency:double>>, "
+    "currencies struct<booker:string>, start string, end string, label string, "
+    "price struct<total:double>, status string"
+)
+
+
+def raw_row(key, status="stayed", country="de", label="k-a_d-m_p-BC-1", amount=10.0):
+    return (str(key), (key,), (key * 10,), ((country,), "leisure"), ((amount,),), ("EUR",),
+            "2024-03-05T14:00:00", "2024-03-08", label, (amount * 10,), status)
+
+
+def run(spark, rows, schema=RAW):
+    raw = spark.createDataFrame(rows, schema)
+    return X.transform(raw, 2.0, LK.status_lookup(spark),
+                       LK.region_lookup(spark, FX.FIXTURE_REGIONS))
+
+
+def test_output_contract(spark):
+    out = run(spark, [raw_row(1)])
+    assert out.columns == X.BOOKING_COLUMNS
+    r = out.collect()[0]
+    assert r.transaction_id == 1 and r.property_id == "BC-10" and r.status == "approved"
+    assert r.country_code == "DE" and r.region == "Europe" and r.currency == "EUR"
+    assert r.check_in_date == dt.date(2024, 3, 5) and r.check_out_date == dt.date(2024, 3, 8)
+    assert (r.site_key, r.device, r.referral_property_id) == ("A", "mobile", "BC-1")
+    assert r.revenue == 10.0 and r.revenue_usd == 20.0
+
+
+def test_status_fallback_and_region_null(spark):
+    out = run(spark, [raw_row(1, status="Stayed", country="zz"), raw_row(2, status="modified"),
+                      raw_row(3, status="C", country="uk")])
+    got = {r.transaction_id: (r.status, r.region, r.country_code) for r in out.collect()}
+    assert got == {1: ("Stayed", None, "ZZ"), 2: ("modified", "Europe", "DE"),
+                   3: ("cancelled", "Europe", "UK")}
+
+
+def test_raw_region_column_does_not_clash(spark):
+    schema = RAW + ", region string"
+    out = run(spark, [raw_row(1) + ("raw-region",)], schema)
+    assert out.collect()[0].region == "Europe"
+
+
+def test_plan_has_no_shuffle_and_broadcasts_lookups(spark):
+    out = run(spark, [raw_row(1)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_lookup_file_is_read_by_spark(spark, scratch, tmp_path):
+    path = tmp_path / "regions.json"
+    path.write_text('{"DE": "Europe", "US": "Northern America"}')
+    lk = LK.region_lookup_from_file(spark, str(path))
+    assert sorted(map(tuple, lk.collect())) == [("DE", "Europe"), ("US", "Northern America")]
+
+
+def test_fixture_matches_contract_after_json_round_trip(spark, scratch):
+    from stayledger.operators import quality as Q
+    from stayledger.sources.bookings import read_bookings, write_bookings
+    path = scratch("json")
+    write_bookings(FX.raw_bookings(spark, "/root/testdata/sf0.001"), path)
+    raw = read_bookings(spark, path)
+    Q.validate_schema(raw)
+    assert raw.count() == FX.raw_bookings(spark, "/root/testdata/sf0.001").count()
+    assert raw.agg(F.sum("accommodations.reservation")).collect()[0][0] > 0
