@@ -27,7 +27,8 @@ from .registry import register
 from .session import scratch_path
 from .sources import fixtures as FX
 from .sources import lookups as LK
-from .sources.bookings import read_bookings, write_bookings
+from .sources.bookings import BOOKING_SCHEMA, read_bookings, write_bookings
+from .streaming.ingest import run_ingest_once
 
 # Partitioning of the tables written by queries: by month of check-in, so
 # a few years of dates give tens of directories, not thousands.
@@ -328,3 +329,13 @@ def batch_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _migrated(spark, sf_dir)
     return CP.read_audit(spark, m["audit"]).select("snapshot_id", "batch_label", "record_count", "status")
+
+
+# --- the scheduled normal run as a stream (X2 over Structured Streaming) ----------
+
+@register("scheduled_ingest", O.q(O.cols("*")))
+def scheduled_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _table_spec(spark, "stream")
+    run_ingest_once(spark, raw_json_path(spark, sf_dir), BOOKING_SCHEMA, spec, run_config(spark),
+                    scratch_path(spark, "stream-checkpoint"), max_files_per_trigger=4)
+    return TB.read_table(spark, spec)

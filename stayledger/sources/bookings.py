@@ -27,3 +27,17 @@ def read_bookings(spark: SparkSession, path: str, schema: T.StructType | str | N
 def write_bookings(df: DataFrame, path: str) -> None:
     """Write nested bookings as JSON lines (used to build scan fixtures)."""
     df.write.mode("errorifexists").json(path)
+
+
+# Declared form of the raw contract, for scans that skip inference (streams,
+# or very large inputs). Scalar leaves take the types inference gives the
+# booking files.
+BOOKING_SCHEMA = (
+    "id STRING, "
+    "accommodations STRUCT<reservation: BIGINT>, "
+    "accommodation_details STRUCT<accommodation: BIGINT>, "
+    "booker STRUCT<address: STRUCT<country: STRING>, travel_purpose: STRING>, "
+    "commission STRUCT<estimate_commission_amount: STRUCT<booker_currency: DOUBLE>>, "
+    "currencies STRUCT<booker: STRING>, "
+    "`end` STRING, label STRING, price STRUCT<total: DOUBLE>, start STRING, status STRING"
+)

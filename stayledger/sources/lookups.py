@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 # Largest lookup we agree to broadcast. A lookup keyed by a status or country
 # code is far below this; anything larger is not a code table.
-MAX_LOOKUP_ROWS = 100_000
+MAX_LOOKUP_ROWS = 10_000
 
 # Raw booking status code -> reported status, as the original
 # job maps them. Matching is exact (case-sensitive, no trimming).
@@ -42,9 +42,15 @@ REGION_SCHEMA = T.StructType(
 
 
 def _from_mapping(spark: SparkSession, mapping: Mapping[str, str], schema: T.StructType) -> DataFrame:
+    """A JVM-side table of literals (no Python rows, no Python workers)."""
     if len(mapping) > MAX_LOOKUP_ROWS:
         raise ValueError(f"lookup has {len(mapping)} entries, more than {MAX_LOOKUP_ROWS}")
-    return spark.createDataFrame(list(mapping.items()), schema)
+    key, value = schema.fieldNames()
+    if not mapping:
+        return spark.createDataFrame([], schema)
+    entries = [F.struct(F.lit(k).cast("string").alias(key), F.lit(v).cast("string").alias(value))
+               for k, v in mapping.items()]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def status_lookup(spark: SparkSession, mapping: Mapping[str, str] | None = None) -> DataFrame:
