@@ -309,6 +309,20 @@ def _write_version(spec: TableSpec, df: DataFrame, n: int) -> None:
        .parquet(spec.version_path(n)))
 
 
+SALT = "_salt"
+NULL_KEY_SPREAD = 64
+
+
+def _salted(df: DataFrame, key: str) -> DataFrame:
+    """Add a join salt: 0 for every keyed row, a hash of the row for null keys.
+
+    Null keys never match, but hash partitioning would send all of them to one
+    task; the salt spreads them. It is a pure function of the row, so a
+    recomputed task sends each row to the same place."""
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_SPREAD))
+    return df.withColumn(SALT, F.when(F.col(key).isNull(), spread.cast("int")).otherwise(F.lit(0)))
+
+
 def _check_columns(spec: TableSpec, df: DataFrame) -> None:
     names = df.columns
     for needed in (spec.key, spec.partition_column):
@@ -432,12 +446,12 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
     else:
         tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
-        hit = src_keys.select(key, F.lit(True).alias("_hit"))
-        old_rows = (tgt.join(hit, key, "left")
+        hit = src_keys.select(key, F.lit(0).alias(SALT), F.lit(True).alias("_hit"))
+        old_rows = (_salted(tgt, key).join(hit, [key, SALT], "left")
                     .withColumn(SLOT, F.when(F.col("_hit"), "before").otherwise("kept")))
         tgt_keys = (tgt.where(F.col(key).isNotNull()).groupBy(key)
-                    .agg(F.count(F.lit(1)).alias("_n_tgt")))
-        new_rows = (src.join(tgt_keys, key, "left")
+                    .agg(F.count(F.lit(1)).alias("_n_tgt")).withColumn(SALT, F.lit(0)))
+        new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left")
                     .withColumn(SLOT, F.when(F.col("_n_tgt").isNull(), "insert").otherwise("update")))
         if matched_rows > int(meta["matched_keys"]):
             # a key held by several target rows: each becomes a copy of its source row
