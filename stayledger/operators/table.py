@@ -176,9 +176,17 @@ def first_last_commit(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 def _append_commit(spark: SparkSession, spec: TableSpec, row: dict) -> None:
-    df = spark.createDataFrame([tuple(row[f] for f in COMMITS_SCHEMA.fieldNames())], COMMITS_SCHEMA)
-    df = df.withColumn("committed_at", F.current_timestamp())
-    df.coalesce(1).write.mode("append").parquet(spec.commits_path)
+    """Append the commit row (built from literals, stamped with the current time)."""
+    layout = [F.struct(F.lit(e.part).cast("string").alias("part"),
+                       F.lit(e.version).cast("bigint").alias("version")) for e in row["layout"]]
+    values = {
+        "commit_id": F.lit(row["commit_id"]).cast("bigint"),
+        "committed_at": F.current_timestamp(),
+        "layout": F.array(*layout) if layout else F.array().cast(COMMITS_SCHEMA["layout"].dataType),
+    }
+    cols = [values.get(f.name, F.lit(row[f.name])).cast(f.dataType).alias(f.name)
+            for f in COMMITS_SCHEMA.fields]
+    spark.range(1).select(*cols).write.mode("append").parquet(spec.commits_path)
 
 
 # --- reads ------------------------------------------------------------------------

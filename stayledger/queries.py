@@ -24,7 +24,7 @@ from .plans import migration as MG
 from .plans import verify as VF
 from .plans.normal_run import RunConfig, normal_run
 from .registry import register
-from .session import scratch_path
+from .session import app_id, scratch_path
 from .sources import fixtures as FX
 from .sources import lookups as LK
 from .sources.bookings import BOOKING_SCHEMA, read_bookings, write_bookings
@@ -39,7 +39,7 @@ _memo_lock = threading.RLock()
 
 
 def _once(spark: SparkSession, sf_dir: str, what: str, build):
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    key = (app_id(spark), sf_dir.rstrip("/"), what)
     with _memo_lock:
         if key not in _memo:
             _memo[key] = build()

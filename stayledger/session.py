@@ -15,16 +15,30 @@ def shared_root(spark: SparkSession) -> str:
     with ``setCheckpointDir``). Only when neither is set (a local test
     session) a local folder is created and registered as checkpoint dir.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stayledger-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared root."""
     return f"{shared_root(spark)}/stayledger/{name}-{uuid.uuid4().hex[:12]}"

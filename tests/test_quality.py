@@ -103,3 +103,27 @@ def test_report_equals_separate_counts(spark):
     assert rep["invalid_currency"] == Q.invalid_currency_rows(b).count()
     assert rep["missing_revenue"] == Q.missing_revenue_rows(b).count()
     assert all(v > 0 for v in rep.values())
+
+
+def test_top_level_array_line_gives_several_rows(spark, tmp_path):
+    df = scan(spark, tmp_path, [GOOD, "[" + GOOD.replace('"1"', '"2"') + ", " + GOOD.replace('"1"', '"3"') + "]"])
+    assert sorted(r.id for r in df.select("id").collect()) == ["1", "2", "3"]
+
+
+def test_empty_file_has_an_empty_schema(spark, tmp_path):
+    p = tmp_path / "empty.jsonl"
+    p.write_text("")
+    df = read_bookings(spark, str(p))
+    assert df.columns == []
+    with pytest.raises(SchemaValidationError, match="empty"):
+        Q.validate_schema(df)
+
+
+def test_extra_raw_region_column_is_allowed(spark, tmp_path):
+    df = scan(spark, tmp_path, [GOOD[:-1] + ', "region": "x"}'])
+    Q.validate_schema(df)
+    from stayledger.queries import run_config
+    from stayledger.operators.transform import transform
+    cfg = run_config(spark)
+    out = transform(df, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup).collect()[0]
+    assert out.region == "Europe" and out.status == "approved"

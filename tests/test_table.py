@@ -130,3 +130,12 @@ def test_table_exists(spark, spec):
     assert not TB.table_exists(spark, spec)
     TB.write(spark, spec, df(spark, [(1, D1, 1.0)]))
     assert TB.table_exists(spark, spec)
+
+
+def test_describe_and_sample(spark, spec):
+    from stayledger.plans import verify as VF
+    TB.write(spark, spec, df(spark, [(i, D1, float(i)) for i in range(30, 0, -1)]))
+    assert [tuple(r) for r in VF.describe(spark, spec).collect()] == [
+        ("transaction_id", "bigint"), ("check_in_date", "date"), ("revenue", "double")]
+    got = VF.sample(spark, spec, 5, ["transaction_id"]).collect()
+    assert [r.transaction_id for r in got] == [1, 2, 3, 4, 5]
