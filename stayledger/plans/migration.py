@@ -2,7 +2,9 @@
 to a relational target, then append every later insert from the changelog.
 
 The transformed input is evaluated once into Parquet partitioned by batch id;
-each batch is a partition-pruned read of it (no shuffle per batch). Copies are
+each batch is a partition-pruned read of it (no shuffle per batch). When the
+run creates the table, later batches are appended without a key join: batch
+ids are a function of the key, so their key sets are disjoint. Copies are
 parallel executor writes; counts come from observed metrics of the writes,
 not from extra passes. Like the original, value checks are not run here
 unless ``check_duplicates`` asks for the key check.
@@ -52,12 +54,18 @@ def batch_load(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
     rows = transform(raw, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup)
     staged = stage_batches(rows, spec.key, n_batches,
                            f"{spec.path}/_staging/batches-{uuid.uuid4().hex[:12]}", batch_method)
-    first = None
+    first, created = None, False
     for i in range(n_batches):
         batch = staged.where(F.col(BATCH) == i).drop(BATCH)
         if check_duplicates:
             Q.raise_if_bad(Q.quality_report(batch, spec.key).where(F.col("check_order") == 1))
-        result = TB.write(spark, spec, batch, stage_source=False)
+        if created:
+            # Batch ids are a function of the key, and this run created the
+            # table: no key of this batch can be in it, so no key join is needed.
+            result = TB.append_new_keys(spark, spec, batch)
+        else:
+            result = TB.write(spark, spec, batch, stage_source=False)
+            created = result.operation == "create"
         if i == 0:
             first = _oldest_newest(spark, spec)[0] if since_table_birth else result.commit_id
             obs = Observation("first_copy")

@@ -139,3 +139,16 @@ def test_describe_and_sample(spark, spec):
         ("transaction_id", "bigint"), ("check_in_date", "date"), ("revenue", "double")]
     got = VF.sample(spark, spec, 5, ["transaction_id"]).collect()
     assert [r.transaction_id for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_append_new_keys_equals_upsert_of_new_keys(spark, scratch):
+    a, b = TB.TableSpec(scratch("a")), TB.TableSpec(scratch("b"))
+    base = df(spark, [(1, D1, 1.0), (2, D2, 2.0)])
+    new = df(spark, [(3, D1, 3.0), (4, None, 4.0), (None, D2, 5.0)])
+    for spec in (a, b):
+        TB.write(spark, spec, base)
+    ra = TB.append_new_keys(spark, a, new)
+    rb = TB.upsert(spark, b, new)
+    assert (ra.inserted, ra.updated, ra.row_count) == (rb.inserted, rb.updated, rb.row_count)
+    assert rows(TB.read_table(spark, a)) == rows(TB.read_table(spark, b))
+    assert rows(TB.changes(spark, a, 1, 2)) == rows(TB.changes(spark, b, 1, 2))
