@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists as fs_exists
+
 
 @dataclass(frozen=True)
 class JdbcTarget:
@@ -62,6 +64,9 @@ AUDIT_SCHEMA = T.StructType([
 
 
 def path_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    known = fs_exists(spark, path)
+    if known is not None:
+        return known
     try:
         spark.read.schema(schema).parquet(path)
     except AnalysisException as exc:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import MergeCardinalityError, TableWriteError
+from ..session import path_exists
 
 SLOT = "_slot"
 STATE_SLOTS = ("kept", "insert", "update")
@@ -133,6 +134,8 @@ def commits(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 def table_exists(spark: SparkSession, spec: TableSpec) -> bool:
     """True when the table has at least one commit."""
+    if path_exists(spark, spec.commits_path) is False:
+        return False
     try:
         log = commits(spark, spec)
     except AnalysisException as exc:
@@ -153,6 +156,8 @@ def _commit_row(spark: SparkSession, spec: TableSpec, commit_id: int | None = No
 
 def _latest(spark: SparkSession, spec: TableSpec) -> Row | None:
     """Latest commit row, or None when the table does not exist."""
+    if path_exists(spark, spec.commits_path) is False:
+        return None
     try:
         return _commit_row(spark, spec)
     except AnalysisException as exc:

@@ -59,3 +59,18 @@ def local_session(cores: int = 8, app: str = "stayledger") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, asked of the session's Hadoop file system.
+
+    Returns None when that cannot be asked (Spark Connect); callers then try
+    the read and handle PATH_NOT_FOUND. Checking first avoids failed reads,
+    which observation listeners log as errors.
+    """
+    try:
+        sc = spark.sparkContext
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
+    except Exception:
+        return None
