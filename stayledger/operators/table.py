@@ -64,12 +64,6 @@ COMMITS_SCHEMA = T.StructType([
 
 _TRANSFORMS = {"identity", "month", "year"}
 
-# Version and staging folders are published only by the commit row appended
-# after the write, so tasks may move their files into place themselves
-# (no serial rename of every file at job commit); a failed write leaves an
-# unreferenced folder that the retry overwrites.
-DIRECT_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
-
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -317,7 +311,6 @@ def _write_version(spec: TableSpec, df: DataFrame, n: int) -> None:
     one busy day does not become one straggler task."""
     (df.hint("rebalance", spec.field)
        .write.mode("overwrite")
-       .options(**DIRECT_COMMIT)
        .partitionBy(SLOT, spec.field)
        .parquet(spec.version_path(n)))
 
@@ -331,7 +324,9 @@ def _salted(df: DataFrame, key: str) -> DataFrame:
 
     Null keys never match, but hash partitioning would send all of them to one
     task; the salt spreads them. It is a pure function of the row, so a
-    recomputed task sends each row to the same place."""
+    recomputed task sends each row to the same place. Both join sides use
+    this expression (not a literal 0), so the optimizer keeps the salt as a
+    join key instead of folding it into a filter."""
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_SPREAD))
     return df.withColumn(SALT, F.when(F.col(key).isNull(), spread.cast("int")).otherwise(F.lit(0)))
 
@@ -447,7 +442,7 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     key, field = spec.key, spec.field
     src = _with_field(spec, source.select(*data_schema.fieldNames()))
     if stage_source:
-        (src.write.mode("overwrite").options(**DIRECT_COMMIT).parquet(spec.staging_path(n)))
+        (src.write.mode("overwrite").parquet(spec.staging_path(n)))
         src = spark.read.schema(src.schema).parquet(spec.staging_path(n))
 
     # One job: partitions of the source, partitions holding matched keys
@@ -492,11 +487,11 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
     else:
         tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
-        hit = src_keys.select(key, F.lit(0).alias(SALT), F.lit(True).alias("_hit"))
+        hit = _salted(src_keys.select(key), key).withColumn("_hit", F.lit(True))
         old_rows = (_salted(tgt, key).join(hit, [key, SALT], "left")
                     .withColumn(SLOT, F.when(F.col("_hit"), "before").otherwise("kept")))
-        tgt_keys = (tgt.where(F.col(key).isNotNull()).groupBy(key)
-                    .agg(F.count(F.lit(1)).alias("_n_tgt")).withColumn(SALT, F.lit(0)))
+        tgt_keys = _salted(tgt.where(F.col(key).isNotNull()).groupBy(key)
+                           .agg(F.count(F.lit(1)).alias("_n_tgt")), key)
         new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left")
                     .withColumn(SLOT, F.when(F.col("_n_tgt").isNull(), "insert").otherwise("update")))
         if matched_rows > int(meta["matched_keys"]):
@@ -534,5 +529,5 @@ def stage(spark: SparkSession, spec: TableSpec, df: DataFrame, name: str) -> Dat
     """Evaluate ``df`` once into the table's staging folder and read it back:
     later steps see identical rows and a short, columnar lineage."""
     path = f"{spec.path}/_staging/{name}"
-    df.write.mode("overwrite").options(**DIRECT_COMMIT).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -152,3 +152,26 @@ def test_append_new_keys_equals_upsert_of_new_keys(spark, scratch):
     assert (ra.inserted, ra.updated, ra.row_count) == (rb.inserted, rb.updated, rb.row_count)
     assert rows(TB.read_table(spark, a)) == rows(TB.read_table(spark, b))
     assert rows(TB.changes(spark, a, 1, 2)) == rows(TB.changes(spark, b, 1, 2))
+
+
+def test_null_keys_are_spread_in_shuffled_merge_joins(spark, spec):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = spark.range(60).select(
+            F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("transaction_id"),
+            F.lit(D1).alias("check_in_date"), F.col("id").cast("double").alias("revenue"))
+        keys = t.where("transaction_id is not null").select("transaction_id").distinct()
+        j = TB._salted(t, "transaction_id").join(
+            TB._salted(keys, "transaction_id").withColumn("_hit", F.lit(True)),
+            ["transaction_id", TB.SALT], "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(transaction_id" in plan and f"{TB.SALT}#" in plan.split("SortMergeJoin")[1].split("\n")[0]
+        TB.write(spark, spec, t)
+        res = TB.write(spark, spec, t.where("transaction_id is null or transaction_id % 2 = 0"))
+        assert res.inserted == 20 and res.updated == 20  # null keys never match
+        assert TB.read_table(spark, spec).count() == 80
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
