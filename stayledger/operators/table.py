@@ -3,7 +3,8 @@
 Layout of a table at ``path``::
 
     commits/*.parquet                                     one row per commit
-    state/v=<n>/_slot=<slot>/<partition>=<value>/*.parquet rows written by commit n
+    state/v=<n>/<partition>=<value>/*.parquet             rows written by commit n,
+                                                          with a _slot column
     _staging/commit_id=<n>/*.parquet                      upsert source, written once
 
 A commit rewrites only the partitions that hold a matched key (copy-on-write
@@ -13,7 +14,8 @@ segment with just those rows. Every row a commit writes carries a slot:
 (after image) or ``before`` (before image of an updated row). The state of
 partition P is the union of its segments minus ``before`` rows, and the
 changelog of commit n is ``state/v=n`` minus ``kept``: both are
-partition-pruned reads of the same files and no row is written twice.
+partition-pruned reads of the same files (the slot filter is pushed to the
+Parquet scan) and no row is written twice.
 
 The commit row lists the (partition, version) segments of the state. It is
 appended last, so readers never see a half-written version; a failed commit
@@ -174,18 +176,21 @@ def first_last_commit(spark: SparkSession, spec: TableSpec) -> DataFrame:
     )
 
 
+_COMMIT_FIELDS = T.StructType([f for f in COMMITS_SCHEMA.fields if f.name != "committed_at"])
+
+
 def _append_commit(spark: SparkSession, spec: TableSpec, row: dict) -> None:
-    """Append the commit row (built from literals, stamped with the current time)."""
-    layout = [F.struct(F.lit(e.part).cast("string").alias("part"),
-                       F.lit(e.version).cast("bigint").alias("version")) for e in row["layout"]]
-    values = {
-        "commit_id": F.lit(row["commit_id"]).cast("bigint"),
-        "committed_at": F.current_timestamp(),
-        "layout": F.array(*layout) if layout else F.array().cast(COMMITS_SCHEMA["layout"].dataType),
-    }
-    cols = [values.get(f.name, F.lit(row[f.name])).cast(f.dataType).alias(f.name)
-            for f in COMMITS_SCHEMA.fields]
-    spark.range(1).select(*cols).write.mode("append").parquet(spec.commits_path)
+    """Append the commit row, stamped with the current time.
+
+    The row (whose segment list grows with the partition count) travels as
+    one JSON literal parsed JVM-side, so building it costs one expression
+    whatever the number of segments."""
+    doc = {f.name: row[f.name] for f in _COMMIT_FIELDS.fields if f.name != "layout"}
+    doc["layout"] = [{"part": e.part, "version": e.version} for e in row["layout"]]
+    parsed = F.from_json(F.lit(json.dumps(doc)), _COMMIT_FIELDS).alias("c")
+    cols = [(F.current_timestamp() if f.name == "committed_at" else F.col(f"c.{f.name}"))
+            .cast(f.dataType).alias(f.name) for f in COMMITS_SCHEMA.fields]
+    spark.range(1).select(parsed).select(*cols).write.mode("append").parquet(spec.commits_path)
 
 
 # --- reads ------------------------------------------------------------------------
@@ -308,10 +313,15 @@ def _write_version(spec: TableSpec, df: DataFrame, n: int) -> None:
 
     The rebalance hint shuffles by the partition value; adaptive execution
     then splits a hot partition over several tasks and merges small ones, so
-    one busy day does not become one straggler task."""
+    one busy day does not become one straggler task. Within a task rows are
+    sorted by partition, then slot (the order the partitioned writer needs
+    anyway), so each slot is a contiguous run of row groups and a slot filter
+    skips the others by their min/max statistics, without a directory (and
+    a file) per slot."""
     (df.hint("rebalance", spec.field)
+       .sortWithinPartitions(spec.field, SLOT)
        .write.mode("overwrite")
-       .partitionBy(SLOT, spec.field)
+       .partitionBy(spec.field)
        .parquet(spec.version_path(n)))
 
 
@@ -452,11 +462,9 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     part = F.col(field).cast("string").alias("_p")
     matched = (_state(spark, spec, prev, keep_field=True).select(key, field)
                .join(src_keys, key)
-               .select(F.lit(True).alias("_t"), part, F.col(field).isNull().alias("_pn"),
-                       "_n_src", F.col(key).alias("_k")))
+               .select(F.lit(True).alias("_t"), part, F.col(field).isNull().alias("_pn"), "_n_src"))
     incoming = src.select(F.lit(False).alias("_t"), part, F.col(field).isNull().alias("_pn"),
-                          F.lit(None).cast("bigint").alias("_n_src"),
-                          F.lit(None).cast(data_schema[key].dataType).alias("_k"))
+                          F.lit(None).cast("bigint").alias("_n_src"))
     t = F.col("_t")
     meta = (matched.unionByName(incoming).agg(
         F.max("_n_src").alias("max_src"),
@@ -465,7 +473,6 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         F.collect_set(F.when(~t, F.col("_p"))).alias("src_parts"),
         F.count_if(~t & F.col("_pn")).alias("src_null_parts"),
         F.count_if(t).alias("matched_rows"),
-        F.count_distinct(F.when(t, F.col("_k"))).alias("matched_keys"),
         F.count_if(~t).alias("source_rows"),
     ).collect()[0].asDict())
     if (meta["max_src"] or 0) > 1:
@@ -486,18 +493,28 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     if matched_rows == 0:
         rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
     else:
-        tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
-        hit = _salted(src_keys.select(key), key).withColumn("_hit", F.lit(True))
-        old_rows = (_salted(tgt, key).join(hit, [key, SALT], "left")
-                    .withColumn(SLOT, F.when(F.col("_hit"), "before").otherwise("kept")))
-        tgt_keys = _salted(tgt.where(F.col(key).isNotNull()).groupBy(key)
-                           .agg(F.count(F.lit(1)).alias("_n_tgt")), key)
-        new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left")
-                    .withColumn(SLOT, F.when(F.col("_n_tgt").isNull(), "insert").otherwise("update")))
-        if matched_rows > int(meta["matched_keys"]):
-            # a key held by several target rows: each becomes a copy of its source row
-            new_rows = new_rows.withColumn(
-                "_copy", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_n_tgt"), F.lit(1)).cast("int"))))
+        # Target rows of the rewritten partitions, each with its source row
+        # (at most one, checked above). An unmatched row is kept; a matched
+        # row gives its before image and its after image (the source row,
+        # which may land in another partition). A target key held by many
+        # rows is split over tasks by adaptive skew handling of the left side.
+        tgt = _salted(_state(spark, spec, prev, parts=sorted(rewrite, key=_part_order),
+                             keep_field=True), key)
+        out = [c for c in cols if c != SLOT]
+        after = _salted(src, key).select(key, SALT, F.lit(True).alias("_m"),
+                                         *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
+        joined = tgt.join(after, [key, SALT], "left")
+        matched = F.col("_m").isNotNull()
+        old_image = F.struct(*[F.col(c) for c in out],
+                             F.when(matched, F.lit("before")).otherwise(F.lit("kept")).alias(SLOT))
+        new_image = F.struct(*[F.col(c if c == key else f"_new_{c}").alias(c) for c in out],
+                             F.lit("update").alias(SLOT))
+        old_rows = joined.select(F.inline(F.when(matched, F.array(old_image, new_image))
+                                          .otherwise(F.array(old_image))))
+        # Source rows whose key no target row holds are inserts.
+        tgt_keys = tgt.where(F.col(key).isNotNull()).select(key, SALT).distinct()
+        new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left_anti")
+                    .withColumn(SLOT, F.lit("insert")))
         rows = old_rows.select(*cols).unionByName(new_rows.select(*cols))
 
     obs = Observation(f"upsert{n}")

@@ -8,6 +8,7 @@ a dict, or the path of a JSON object file ``{"<code>": "<region>", ...}``.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,31 @@ STATUS_MAPPING: dict[str, str] = {
     "cancelled": "cancelled",
 }
 
+# Row counts of lookups known to be bounded: set when a lookup is built here,
+# or measured (up to the cap) the first time another one is joined.
+_ROW_BOUND: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    _ROW_BOUND[df] = rows
+    return df
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows.
+
+    Lookups built by this module carry their size; any other DataFrame is
+    counted once, reading at most ``max_rows + 1`` rows. Callers broadcast a
+    lookup only when this holds and otherwise leave the join to the planner
+    (a shuffle join), so a large "lookup" cannot be forced into every task.
+    """
+    n = _ROW_BOUND.get(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+        _ROW_BOUND[df] = n
+    return n <= max_rows
+
+
 STATUS_SCHEMA = T.StructType(
     [T.StructField("raw_status", T.StringType()), T.StructField("mapped_status", T.StringType())]
 )
@@ -47,10 +73,10 @@ def _from_mapping(spark: SparkSession, mapping: Mapping[str, str], schema: T.Str
         raise ValueError(f"lookup has {len(mapping)} entries, more than {MAX_LOOKUP_ROWS}")
     key, value = schema.fieldNames()
     if not mapping:
-        return spark.createDataFrame([], schema)
+        return _bounded(spark.createDataFrame([], schema), 0)
     entries = [F.struct(F.lit(k).cast("string").alias(key), F.lit(v).cast("string").alias(value))
                for k, v in mapping.items()]
-    return spark.range(1).select(F.inline(F.array(*entries)))
+    return _bounded(spark.range(1).select(F.inline(F.array(*entries))), len(mapping))
 
 
 def status_lookup(spark: SparkSession, mapping: Mapping[str, str] | None = None) -> DataFrame:
@@ -78,7 +104,7 @@ def load_mapping_file(spark: SparkSession, path: str, schema: T.StructType = REG
     n = df.limit(MAX_LOOKUP_ROWS + 1).count()
     if n > MAX_LOOKUP_ROWS:
         raise ValueError(f"lookup file {path} has more than {MAX_LOOKUP_ROWS} entries")
-    return df
+    return _bounded(df, n)
 
 
 def status_lookup_from_file(spark: SparkSession, path: str) -> DataFrame:

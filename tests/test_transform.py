@@ -77,3 +77,23 @@ def test_fixture_matches_contract_after_json_round_trip(spark, scratch):
     Q.validate_schema(raw)
     assert raw.count() == FX.raw_bookings(spark, "/root/testdata/sf0.001").count()
     assert raw.agg(F.sum("accommodations.reservation")).collect()[0][0] > 0
+
+
+def _hinted_broadcast(df) -> bool:
+    return "BroadcastHint" in str(df._jdf.queryExecution().analyzed().toString()) or \
+        "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_lookup_broadcast_only_when_bounded(spark):
+    # built lookups carry their size: no counting job needed
+    assert LK.is_small(LK.status_lookup(spark))
+    big = spark.range(30).selectExpr("cast(id AS string) AS raw_status",
+                                     "cast(id AS string) AS mapped_status")
+    assert not LK.is_small(big, max_rows=20) and LK.is_small(big, max_rows=30)
+    raw = spark.createDataFrame([raw_row(1, status="7")], RAW)
+    small_plan = X.map_status(raw, LK.status_lookup(spark))
+    assert _hinted_broadcast(small_plan)
+    LK._ROW_BOUND[big] = LK.MAX_LOOKUP_ROWS + 1  # as if counted above the cap
+    big_plan = X.map_status(raw, big)
+    assert not _hinted_broadcast(big_plan)
+    assert big_plan.select("_mapped_status").collect()[0][0] == "7"
