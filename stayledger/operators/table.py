@@ -427,6 +427,34 @@ def append_new_keys(spark: SparkSession, spec: TableSpec, source: DataFrame,
     return CommitResult(n, "upsert", inserted, inserted, 0, prev.row_count + inserted)
 
 
+def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """Rows of a merge commit: every target row of the rewritten partitions
+    as ``kept`` or as ``before`` plus ``update`` (its source row, which may
+    land in another partition), and every source row no target row matches
+    as ``insert``. The source holds at most one row per matched key
+    (checked before).
+
+    Both joins keep the big side on the left, which adaptive skew-join
+    handling can split: a target key held by a third of all rows is spread
+    over many tasks, and no row is multiplied inside one task."""
+    out = [c for c in cols if c != SLOT]
+    tgt = _salted(tgt, key)
+    after = _salted(src, key).select(key, SALT, F.lit(True).alias("_m"),
+                                     *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
+    joined = tgt.join(after, [key, SALT], "left")
+    matched = F.col("_m").isNotNull()
+    old_image = F.struct(*[F.col(c) for c in out],
+                         F.when(matched, F.lit("before")).otherwise(F.lit("kept")).alias(SLOT))
+    new_image = F.struct(*[F.col(c if c == key else f"_new_{c}").alias(c) for c in out],
+                         F.lit("update").alias(SLOT))
+    old_rows = joined.select(F.inline(F.when(matched, F.array(old_image, new_image))
+                                      .otherwise(F.array(old_image))))
+    tgt_keys = tgt.where(F.col(key).isNotNull()).select(key, SALT).distinct()
+    new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left_anti")
+                .withColumn(SLOT, F.lit("insert")))
+    return old_rows.select(*cols).unionByName(new_rows.select(*cols))
+
+
 def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
            stage_source: bool = True, _prev: Row | None = None) -> CommitResult:
     """MERGE ``source`` into the table on ``spec.key`` as a new commit.
@@ -493,29 +521,8 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     if matched_rows == 0:
         rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
     else:
-        # Target rows of the rewritten partitions, each with its source row
-        # (at most one, checked above). An unmatched row is kept; a matched
-        # row gives its before image and its after image (the source row,
-        # which may land in another partition). A target key held by many
-        # rows is split over tasks by adaptive skew handling of the left side.
-        tgt = _salted(_state(spark, spec, prev, parts=sorted(rewrite, key=_part_order),
-                             keep_field=True), key)
-        out = [c for c in cols if c != SLOT]
-        after = _salted(src, key).select(key, SALT, F.lit(True).alias("_m"),
-                                         *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
-        joined = tgt.join(after, [key, SALT], "left")
-        matched = F.col("_m").isNotNull()
-        old_image = F.struct(*[F.col(c) for c in out],
-                             F.when(matched, F.lit("before")).otherwise(F.lit("kept")).alias(SLOT))
-        new_image = F.struct(*[F.col(c if c == key else f"_new_{c}").alias(c) for c in out],
-                             F.lit("update").alias(SLOT))
-        old_rows = joined.select(F.inline(F.when(matched, F.array(old_image, new_image))
-                                          .otherwise(F.array(old_image))))
-        # Source rows whose key no target row holds are inserts.
-        tgt_keys = tgt.where(F.col(key).isNotNull()).select(key, SALT).distinct()
-        new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left_anti")
-                    .withColumn(SLOT, F.lit("insert")))
-        rows = old_rows.select(*cols).unionByName(new_rows.select(*cols))
+        tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
+        rows = _merge_rows(tgt, src, key, cols)
 
     obs = Observation(f"upsert{n}")
     counted = rows.observe(obs, F.count_if(F.col(SLOT) == "insert").alias("inserted"),

@@ -175,3 +175,40 @@ def test_null_keys_are_spread_in_shuffled_merge_joins(spark, spec):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hot_target_key_is_split_across_tasks(spark, spec):
+    """A key held by a third of the target rows: every one of them gets its
+    before and after image, and the shuffled join splits the hot partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 3000
+        tgt = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 1000).alias("transaction_id"),
+            F.lit(D1).alias("check_in_date"), F.col("id").cast("double").alias("revenue"))
+        src = df(spark, [(7, D2, -1.0), (1001, D1, -2.0), (99999, D1, -3.0)])
+        cols = ["transaction_id", "check_in_date", "revenue", TB.SLOT]
+        merged = TB._merge_rows(tgt, src, "transaction_id", cols)
+        got = merged.groupBy(TB.SLOT).count().collect()
+        counts = {r[TB.SLOT]: r["count"] for r in got}
+        assert counts == {"kept": n - n // 3 - 1, "before": n // 3 + 1, "update": n // 3 + 1, "insert": 1}
+        hot = merged.where((F.col(TB.SLOT) == "update") & (F.col("transaction_id") == 7))
+        assert hot.distinct().collect() == [(7, D2, -1.0, "update")]
+        assert len(merged.collect()) == n + n // 3 + 2
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
