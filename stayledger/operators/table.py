@@ -62,6 +62,7 @@ COMMITS_SCHEMA = T.StructType([
         T.StructField("part", T.StringType()),
         T.StructField("version", T.LongType()),
     ]))),
+    T.StructField("txn", T.StringType()),
 ])
 
 _TRANSFORMS = {"identity", "month", "year"}
@@ -176,6 +177,20 @@ def first_last_commit(spark: SparkSession, spec: TableSpec) -> DataFrame:
     )
 
 
+def committed(spark: SparkSession, spec: TableSpec, txn: str) -> Row | None:
+    """The commit that recorded transaction ``txn``, or None (also when the
+    table does not exist yet)."""
+    if _latest(spark, spec) is None:
+        return None
+    rows = commits(spark, spec).where(F.col("txn") == txn).limit(1).collect()
+    return rows[0] if rows else None
+
+
+def _result(row: Row) -> CommitResult:
+    return CommitResult(row.commit_id, row.operation, row.source_rows, row.inserted,
+                        row.updated, row.row_count)
+
+
 _COMMIT_FIELDS = T.StructType([f for f in COMMITS_SCHEMA.fields if f.name != "committed_at"])
 
 
@@ -185,7 +200,7 @@ def _append_commit(spark: SparkSession, spec: TableSpec, row: dict) -> None:
     The row (whose segment list grows with the partition count) travels as
     one JSON literal parsed JVM-side, so building it costs one expression
     whatever the number of segments."""
-    doc = {f.name: row[f.name] for f in _COMMIT_FIELDS.fields if f.name != "layout"}
+    doc = {f.name: row.get(f.name) for f in _COMMIT_FIELDS.fields if f.name != "layout"}
     doc["layout"] = [{"part": e.part, "version": e.version} for e in row["layout"]]
     parsed = F.from_json(F.lit(json.dumps(doc)), _COMMIT_FIELDS).alias("c")
     cols = [(F.current_timestamp() if f.name == "committed_at" else F.col(f"c.{f.name}"))
@@ -364,7 +379,7 @@ def _part_metrics(spec: TableSpec) -> list[Column]:
 
 
 def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
-                 _checked: bool = False) -> CommitResult:
+                 _checked: bool = False, txn: str | None = None) -> CommitResult:
     """Create the table from ``df`` as commit 1 (every row an INSERT)."""
     if not _checked and _latest(spark, spec) is not None:
         raise TableWriteError(f"table {spec.path} already exists")
@@ -379,7 +394,7 @@ def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
         "commit_id": 1, "committed_at": None, "operation": "create", "source_rows": n,
         "inserted": n, "updated": 0, "row_count": n, "wrote_version": True,
         "schema_json": data_schema.json(),
-        "layout": [Row(part=p, version=1) for p in _parts_of(m)],
+        "layout": [Row(part=p, version=1) for p in _parts_of(m)], "txn": txn,
     })
     return CommitResult(1, "create", n, n, 0, n)
 
@@ -456,7 +471,7 @@ def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str]) -> Da
 
 
 def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
-           stage_source: bool = True, _prev: Row | None = None) -> CommitResult:
+           stage_source: bool = True, _prev: Row | None = None, txn: str | None = None) -> CommitResult:
     """MERGE ``source`` into the table on ``spec.key`` as a new commit.
 
     Only partitions holding a matched key are rewritten (their old rows are
@@ -513,7 +528,7 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         _append_commit(spark, spec, {
             "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": 0,
             "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": False,
-            "schema_json": prev.schema_json, "layout": list(prev.layout or []),
+            "schema_json": prev.schema_json, "layout": list(prev.layout or []), "txn": txn,
         })
         return CommitResult(n, "upsert", 0, 0, 0, prev.row_count)
 
@@ -536,17 +551,26 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     _append_commit(spark, spec, {
         "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": source_rows,
         "inserted": inserted, "updated": updated, "row_count": row_count, "wrote_version": True,
-        "schema_json": prev.schema_json, "layout": layout,
+        "schema_json": prev.schema_json, "layout": layout, "txn": txn,
     })
     return CommitResult(n, "upsert", source_rows, inserted, updated, row_count)
 
 
-def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: bool = True) -> CommitResult:
-    """Create the table on first use, upsert on every later call."""
+def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: bool = True,
+          txn: str | None = None) -> CommitResult:
+    """Create the table on first use, upsert on every later call.
+
+    ``txn`` names the write (say a stream and its micro-batch id): it is
+    stored in the commit row, and a write whose ``txn`` is already committed
+    is skipped and returns that commit, so a replayed batch commits once."""
     prev = _latest(spark, spec)
     if prev is not None:
-        return upsert(spark, spec, df, stage_source=stage_source, _prev=prev)
-    return create_table(spark, spec, df, _checked=True)
+        if txn is not None:
+            done = committed(spark, spec, txn)
+            if done is not None:
+                return _result(done)
+        return upsert(spark, spec, df, stage_source=stage_source, _prev=prev, txn=txn)
+    return create_table(spark, spec, df, _checked=True, txn=txn)
 
 
 def stage(spark: SparkSession, spec: TableSpec, df: DataFrame, name: str) -> DataFrame:

@@ -30,14 +30,20 @@ class RunConfig:
 
 
 def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: RunConfig,
-               check_schema: bool = True) -> TB.CommitResult:
-    """Check, transform, check and commit already-scanned raw bookings."""
+               check_schema: bool = True, txn: str | None = None) -> TB.CommitResult:
+    """Check, transform, check and commit already-scanned raw bookings.
+
+    With ``txn``, a run already committed under that name is not redone."""
+    if txn is not None:
+        done = TB.committed(spark, spec, txn)
+        if done is not None:
+            return TB._result(done)
     if check_schema:
         Q.validate_schema(raw)
     rows = transform(raw, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup)
     staged = TB.stage(spark, spec, rows, f"run-{uuid.uuid4().hex[:12]}")
     Q.validate_quality(staged, spec.key)
-    return TB.write(spark, spec, staged, stage_source=False)
+    return TB.write(spark, spec, staged, stage_source=False, txn=txn)
 
 
 def normal_run(spark: SparkSession, source_path: str, spec: TB.TableSpec, cfg: RunConfig,

@@ -8,13 +8,17 @@ steps as a normal run: transform, value checks, commit. With
 and stops, which is the scheduled run.
 
 A stream needs a declared schema (no inference pass); the structure check
-is therefore the declaration itself. If a micro-batch is retried after its
-commit succeeded, the merge is applied again: the table state is the same
-(MERGE of identical rows), the commit log shows one more commit.
+is therefore the declaration itself. ``foreachBatch`` is at-least-once: after
+a restart the last micro-batch may be handed over again. Each commit records
+the stream (its checkpoint location) and the micro-batch id as its ``txn``,
+and a batch whose ``txn`` is already in the commit log is skipped, so every
+micro-batch is committed exactly once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +27,23 @@ from ..operators import table as TB
 from ..plans.normal_run import RunConfig, run_on_raw
 
 
+def batch_txn(checkpoint_location: str, batch_id: int) -> str:
+    """Name of a micro-batch's commit: stable across restarts of the stream."""
+    return f"{checkpoint_location.rstrip('/')}#{batch_id}"
+
+
+def batch_committer(spec: TB.TableSpec, cfg: RunConfig,
+                    checkpoint_location: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: transform, check and commit a micro-batch
+    once, under its ``batch_txn``."""
+    def commit_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        run_on_raw(batch.sparkSession, batch, spec, cfg, check_schema=False,
+                   txn=batch_txn(checkpoint_location, batch_id))
+    return commit_batch
+
+
 def start_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType | str,
                  spec: TB.TableSpec, cfg: RunConfig, checkpoint_location: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -32,12 +53,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType | s
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_dir)
 
-    def commit_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        run_on_raw(batch.sparkSession, batch, spec, cfg, check_schema=False)
-
-    writer = (stream.writeStream.foreachBatch(commit_batch)
+    writer = (stream.writeStream.foreachBatch(batch_committer(spec, cfg, checkpoint_location))
               .option("checkpointLocation", checkpoint_location)
               .queryName(f"ingest-{spec.path.rsplit('/', 1)[-1]}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -27,3 +27,31 @@ def test_ingest_picks_up_new_files_only(spark, scratch):
     assert state.count() == exp.count() and state.exceptAll(exp).count() == 0
     run_ingest_once(spark, landing, BOOKING_SCHEMA, spec, run_config(spark), ckpt)  # nothing new
     assert TB.commits(spark, spec).count() == 2
+
+
+def test_replayed_micro_batch_commits_once(spark, scratch):
+    from stayledger.streaming.ingest import batch_committer
+    spec = TB.TableSpec(scratch("stream"), partition_transform="month")
+    commit = batch_committer(spec, run_config(spark), scratch("ckpt"))
+    raw = FX.raw_bookings(spark, SMALL)
+    key = F.col("accommodations.reservation")
+    commit(raw.where(key % 2 == 0), 0)
+    commit(raw.where(key % 2 == 0), 0)  # handed over again after a restart
+    commit(raw.where(key % 2 == 1), 1)
+    log = TB.commits(spark, spec).orderBy("commit_id").collect()
+    assert [r.commit_id for r in log] == [1, 2]
+    assert [r.txn.rsplit("#", 1)[1] for r in log] == ["0", "1"]
+    exp = bookings(spark, SMALL)
+    assert TB.read_table(spark, spec).exceptAll(exp).count() == 0
+    assert TB.read_table(spark, spec).count() == exp.count()
+
+
+def test_write_with_a_committed_txn_is_skipped(spark, scratch):
+    spec = TB.TableSpec(scratch("txn"))
+    rows = spark.createDataFrame([(1, None, 1.0)], "transaction_id bigint, check_in_date date, revenue double")
+    a = TB.write(spark, spec, rows, txn="job#1")
+    b = TB.write(spark, spec, rows.selectExpr("transaction_id", "check_in_date", "revenue + 1 AS revenue"),
+                 txn="job#1")
+    assert a == b and TB.commits(spark, spec).count() == 1
+    assert TB.read_table(spark, spec).collect()[0].revenue == 1.0
+    assert TB.committed(spark, spec, "job#2") is None
