@@ -276,7 +276,9 @@ def changes(spark: SparkSession, spec: TableSpec, start_exclusive: int | None =
     range) and ``_commit_snapshot_id`` (the commit id). Each commit is a
     partition-pruned read of its own version directory.
     """
-    log = commits(spark, spec).select("commit_id", "wrote_version", "schema_json")
+    # compactions rewrite rows without changing them: not part of a changelog
+    log = (commits(spark, spec).where(F.col("operation") != "compact")
+           .select("commit_id", "wrote_version", "schema_json"))
     if start_exclusive is not None:
         log = log.where(F.col("commit_id") > start_exclusive)
     if end_inclusive is not None:
@@ -556,6 +558,41 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     return CommitResult(n, "upsert", source_rows, inserted, updated, row_count)
 
 
+def compact(spark: SparkSession, spec: TableSpec, min_segments: int = 2) -> CommitResult:
+    """Rewrite each partition made of ``min_segments`` or more segments as one.
+
+    Insert-only commits add a segment per partition they touch, and a read
+    unions one scan per segment version; compaction brings a partition back
+    to one segment. It is a commit of its own whose rows are all ``kept``:
+    the table state is unchanged, the changelog skips it, and older commits
+    stay readable. The rewrite is clustered by partition like every commit.
+    """
+    prev = _latest(spark, spec)
+    if prev is None:
+        raise TableWriteError(f"table {spec.path} does not exist")
+    n = prev.commit_id + 1
+    segments: dict[str | None, int] = {}
+    for e in prev.layout or []:
+        segments[e.part] = segments.get(e.part, 0) + 1
+    parts = sorted((p for p, c in segments.items() if c >= max(min_segments, 2)), key=_part_order)
+    if parts:
+        data_schema = T.StructType.fromJson(json.loads(prev.schema_json))
+        names = data_schema.fieldNames()
+        cols = names + ([spec.field] if spec.field not in names else []) + [SLOT]
+        rows = (_state(spark, spec, prev, parts=parts, keep_field=True)
+                .withColumn(SLOT, F.lit("kept")).select(*cols))
+        _write_version(spec, rows, n)
+    done = set(parts)
+    layout = [e for e in (prev.layout or []) if e.part not in done]
+    layout += [Row(part=p, version=n) for p in parts]
+    _append_commit(spark, spec, {
+        "commit_id": n, "committed_at": None, "operation": "compact", "source_rows": 0,
+        "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": bool(parts),
+        "schema_json": prev.schema_json, "layout": layout,
+    })
+    return CommitResult(n, "compact", 0, 0, 0, prev.row_count)
+
+
 def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: bool = True,
           txn: str | None = None) -> CommitResult:
     """Create the table on first use, upsert on every later call.

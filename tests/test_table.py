@@ -212,3 +212,26 @@ def test_hot_target_key_is_split_across_tasks(spark, spec):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_compaction_keeps_state_and_changelog(spark, scratch):
+    spec = TB.TableSpec(scratch("compact"))
+    TB.create_table(spark, spec, df(spark, [(1, D1, 1.0), (2, D2, 2.0)]))
+    TB.append_new_keys(spark, spec, df(spark, [(3, D1, 3.0)]))
+    TB.append_new_keys(spark, spec, df(spark, [(4, D1, 4.0), (5, D2, 5.0)]))
+    TB.upsert(spark, spec, df(spark, [(2, D2, 20.0), (6, None, 6.0)]))
+    before, changes = rows(TB.read_table(spark, spec)), rows(TB.changes(spark, spec, 1, 4))
+    res = TB.compact(spark, spec)
+    assert res.operation == "compact" and res.commit_id == 5 and res.row_count == 6
+    assert rows(TB.read_table(spark, spec)) == before
+    assert rows(TB.changes(spark, spec, 1, 5)) == changes
+    layout = TB.commits(spark, spec).where("commit_id = 5").collect()[0].layout
+    assert sorted((e.part or "", e.version) for e in layout) == [
+        ("", 4), ("2024-01-01", 5), ("2024-02-01", 4)]
+    plan = TB.read_table(spark, spec).where("check_in_date = DATE'2024-01-01'")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert rows(TB.read_table(spark, spec, commit_id=2)) == rows(df(spark, [(1, D1, 1.0), (2, D2, 2.0), (3, D1, 3.0)]))
+    TB.upsert(spark, spec, df(spark, [(1, D1, 10.0)]))  # later commits build on the compacted layout
+    assert rows(TB.changes(spark, spec, 5, 6)) == rows(spark.createDataFrame(
+        [(1, D1, 1.0, "UPDATE_BEFORE", 0, 6), (1, D1, 10.0, "UPDATE_AFTER", 0, 6)],
+        SCHEMA + ", _change_type string, _change_ordinal int, _commit_snapshot_id bigint"))
