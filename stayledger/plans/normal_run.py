@@ -47,7 +47,8 @@ def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
 
 
 def normal_run(spark: SparkSession, source_path: str, spec: TB.TableSpec, cfg: RunConfig,
-               schema: T.StructType | None = None) -> TB.CommitResult:
+               schema: T.StructType | None = None, sampling_ratio: float | None = None,
+               txn: str | None = None) -> TB.CommitResult:
     """Read JSON-lines bookings at ``source_path`` and commit them to ``spec``."""
-    raw = read_bookings(spark, source_path, schema)
-    return run_on_raw(spark, raw, spec, cfg)
+    raw = read_bookings(spark, source_path, schema, sampling_ratio)
+    return run_on_raw(spark, raw, spec, cfg, txn=txn)

@@ -127,3 +127,13 @@ def test_extra_raw_region_column_is_allowed(spark, tmp_path):
     cfg = run_config(spark)
     out = transform(df, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup).collect()[0]
     assert out.region == "Europe" and out.status == "approved"
+
+
+def test_sampled_inference_reads_every_row(spark, tmp_path):
+    from stayledger.sources.bookings import read_bookings
+    from stayledger.sources import fixtures as FX
+    path = str(tmp_path / "b")
+    FX.raw_bookings(spark, "/root/testdata/sf0.001").write.json(path)
+    full, sampled = read_bookings(spark, path), read_bookings(spark, path, sampling_ratio=0.5)
+    assert sampled.schema == full.schema
+    assert sampled.count() == full.count() == FX.raw_bookings(spark, "/root/testdata/sf0.001").count()
