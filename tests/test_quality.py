@@ -137,3 +137,23 @@ def test_sampled_inference_reads_every_row(spark, tmp_path):
     full, sampled = read_bookings(spark, path), read_bookings(spark, path, sampling_ratio=0.5)
     assert sampled.schema == full.schema
     assert sampled.count() == full.count() == FX.raw_bookings(spark, "/root/testdata/sf0.001").count()
+
+
+def test_report_without_probe_for_fully_inferred_input(spark, tmp_path):
+    df = scan(spark, tmp_path, [GOOD, GOOD.replace('"1"', '"2"')])
+    key = lambda r: (r.check_order, r.column_name or "")
+    assert sorted(Q.schema_report(df, True).collect(), key=key) == \
+        sorted(Q.schema_report(df).collect(), key=key)
+    Q.validate_schema(df, inferred_from_all_lines=True)
+
+
+def test_empty_schema_still_probes(spark, tmp_path):
+    (tmp_path / "e").mkdir()
+    (tmp_path / "b").mkdir()
+    empty = scan(spark, tmp_path / "e", [""])
+    with pytest.raises(SchemaValidationError, match="empty"):
+        Q.validate_schema(empty, inferred_from_all_lines=True)
+    only_braces = scan(spark, tmp_path / "b", ["{}", "{}"])
+    if only_braces.columns == [] and not only_braces.isEmpty():
+        with pytest.raises(SchemaValidationError, match="Missing required columns"):
+            Q.validate_schema(only_braces, inferred_from_all_lines=True)
