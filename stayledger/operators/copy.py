@@ -8,36 +8,55 @@ semantics, handy where no database is reachable).
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists as fs_exists
 
 
+def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Run ``write`` on ``df`` and return how many rows it wrote, counted by
+    observed metrics during that same write (no extra pass)."""
+    obs = Observation(f"copy-{uuid.uuid4().hex[:8]}")
+    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return int(obs.get["rows"])
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """A database table reached over JDBC. ``num_partitions`` caps the
-    number of concurrent connections of a write."""
+    number of concurrent connections of a write (Spark coalesces the rows
+    into that many writers): without a cap a cluster-wide write would open
+    one connection per partition. ``None`` lifts the cap."""
 
     url: str
     table: str
     properties: dict = field(default_factory=dict)
-    num_partitions: int | None = None
+    num_partitions: int | None = 16
     batch_size: int = 10_000
 
     def _options(self) -> dict:
         opts = dict(self.properties)
         opts["batchsize"] = str(self.batch_size)
-        if self.num_partitions:
-            opts["numPartitions"] = str(self.num_partitions)
         return opts
 
-    def write(self, df: DataFrame, mode: str) -> None:
-        df.write.jdbc(self.url, self.table, mode=mode, properties=self._options())
+    def write(self, df: DataFrame, mode: str) -> int:
+        """Write ``df`` with ``mode``; returns the number of rows written.
+
+        The cap is applied here with ``coalesce`` (no shuffle), not with the
+        writer's ``numPartitions`` option: with that option set, the
+        writer's own partition check keeps the row counter of the write
+        from being reported."""
+        if self.num_partitions:
+            df = df.coalesce(self.num_partitions)
+        return counted_write(df, lambda d: d.write.jdbc(self.url, self.table, mode=mode,
+                                                        properties=self._options()))
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.jdbc(self.url, self.table, properties=dict(self.properties))
@@ -47,8 +66,9 @@ class JdbcTarget:
 class ParquetTarget:
     path: str
 
-    def write(self, df: DataFrame, mode: str) -> None:
-        df.write.mode(mode).parquet(self.path)
+    def write(self, df: DataFrame, mode: str) -> int:
+        """Write ``df`` with ``mode``; returns the number of rows written."""
+        return counted_write(df, lambda d: d.write.mode(mode).parquet(self.path))
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)

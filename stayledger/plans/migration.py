@@ -15,7 +15,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import copy as CP
@@ -68,9 +68,8 @@ def batch_load(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
             created = result.operation == "create"
         if i == 0:
             first = _oldest_newest(spark, spec)[0] if since_table_birth else result.commit_id
-            obs = Observation("first_copy")
-            target.write(batch.observe(obs, F.count(F.lit(1)).alias("rows")), "overwrite")
-            CP.record(spark, audit_path, first, "first", int(obs.get["rows"]))
+            copied = target.write(batch, "overwrite")
+            CP.record(spark, audit_path, first, "first", copied)
     last = _oldest_newest(spark, spec)[1]
     return first, last
 
@@ -79,9 +78,7 @@ def incremental_sync(spark: SparkSession, spec: TB.TableSpec, target, audit_path
                      first: int, last: int, include_updates: bool = False) -> SyncResult:
     """Append the inserts of commits (first, last] to the copy; audit them."""
     rows = TB.inserts(TB.changes(spark, spec, first, last), include_updates)
-    obs = Observation("sync")
-    target.write(rows.observe(obs, F.count(F.lit(1)).alias("rows")), "append")
-    n = int(obs.get["rows"])
+    n = target.write(rows, "append")
     CP.record(spark, audit_path, last, "last", n)
     return SyncResult(first, last, n, rows.limit(20))
 

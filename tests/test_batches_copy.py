@@ -96,3 +96,12 @@ def test_second_run_on_existing_table(spark, scratch):
     res = MG.batch_migration(spark, raw, spec, cfg, t3, scratch("a"), since_table_birth=True)
     assert (res.first_commit, res.last_commit) == (1, 15)
     assert res.synced_rows == _expected(spark).count() - n0
+
+
+def test_capped_jdbc_write_counts_every_row(spark):
+    t = CP.JdbcTarget(url=derby().url, table="CAPPED", properties=derby().properties, num_partitions=3)
+    df = spark.range(300).repartition(20).selectExpr("id", "cast(id AS string) AS v")
+    assert t.write(df, "overwrite") == 300
+    assert t.read(spark).count() == 300
+    assert t.write(df.where("id < 10"), "append") == 10
+    assert t.read(spark).count() == 310
