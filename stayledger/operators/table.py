@@ -2,7 +2,7 @@
 
 Layout of a table at ``path``::
 
-    commits/*.parquet                                     one row per commit
+    commits/commit_id=<n>/*.parquet                       one row per commit
     state/v=<n>/<partition>=<value>/*.parquet             rows written by commit n,
                                                           with a _slot column
     _staging/commit_id=<n>/*.parquet                      upsert source, written once
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import MergeCardinalityError, TableWriteError
-from ..session import path_exists
+from ..session import list_dirs, path_exists
 
 SLOT = "_slot"
 STATE_SLOTS = ("kept", "insert", "update")
@@ -125,8 +125,31 @@ class CommitResult:
 # --- commit log -------------------------------------------------------------------
 
 def commits(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """The commit log; raises ``AnalysisException`` if the table does not exist."""
-    return spark.read.schema(COMMITS_SCHEMA).parquet(spec.commits_path)
+    """The commit log; raises ``AnalysisException`` if the table does not exist.
+
+    Each commit row sits in its own folder ``commits/commit_id=<n>``, so the
+    log is one partitioned read and a single commit is a one-folder read."""
+    return (spark.read.schema(COMMITS_SCHEMA).parquet(spec.commits_path)
+            .select(*COMMITS_SCHEMA.fieldNames()))
+
+
+def _commit_dir(spec: TableSpec, n: int) -> str:
+    return f"{spec.commits_path}/commit_id={n}"
+
+
+def _listed_ids(spark: SparkSession, spec: TableSpec) -> list[int] | None:
+    """Commit ids from the folder names of the log (no file is opened)."""
+    names = list_dirs(spark, spec.commits_path)
+    if names is None:
+        return None
+    ids = [n.split("=", 1)[1] for n in names if n.startswith("commit_id=")]
+    return sorted(int(i) for i in ids if i.isdigit())
+
+
+def _read_commit(spark: SparkSession, spec: TableSpec, n: int) -> Row | None:
+    rows = (spark.read.option("basePath", spec.commits_path).schema(COMMITS_SCHEMA)
+            .parquet(_commit_dir(spec, n)).select(*COMMITS_SCHEMA.fieldNames()).collect())
+    return rows[0] if rows else None
 
 
 def table_exists(spark: SparkSession, spec: TableSpec) -> bool:
@@ -143,6 +166,18 @@ def table_exists(spark: SparkSession, spec: TableSpec) -> bool:
 
 
 def _commit_row(spark: SparkSession, spec: TableSpec, commit_id: int | None = None) -> Row | None:
+    """The given commit, or the latest one: read from its own folder, found by
+    listing folder names, so the cost does not grow with the number of commits.
+    A folder left by a failed commit-row write holds no row and is passed over."""
+    ids = _listed_ids(spark, spec)
+    if ids is not None:
+        candidates = [commit_id] if commit_id is not None else ids[::-1]
+        for n in candidates:
+            if n in ids:
+                row = _read_commit(spark, spec, n)
+                if row is not None:
+                    return row
+        return None
     log = commits(spark, spec)
     if commit_id is not None:
         rows = log.where(F.col("commit_id") == commit_id).limit(1).collect()
@@ -195,17 +230,19 @@ _COMMIT_FIELDS = T.StructType([f for f in COMMITS_SCHEMA.fields if f.name != "co
 
 
 def _append_commit(spark: SparkSession, spec: TableSpec, row: dict) -> None:
-    """Append the commit row, stamped with the current time.
+    """Write the commit row to ``commits/commit_id=<n>``, stamped with the
+    current time (the id is the folder's partition value).
 
     The row (whose segment list grows with the partition count) travels as
     one JSON literal parsed JVM-side, so building it costs one expression
-    whatever the number of segments."""
+    whatever the number of segments. A retried commit overwrites its folder."""
     doc = {f.name: row.get(f.name) for f in _COMMIT_FIELDS.fields if f.name != "layout"}
     doc["layout"] = [{"part": e.part, "version": e.version} for e in row["layout"]]
     parsed = F.from_json(F.lit(json.dumps(doc)), _COMMIT_FIELDS).alias("c")
     cols = [(F.current_timestamp() if f.name == "committed_at" else F.col(f"c.{f.name}"))
-            .cast(f.dataType).alias(f.name) for f in COMMITS_SCHEMA.fields]
-    spark.range(1).select(parsed).select(*cols).write.mode("append").parquet(spec.commits_path)
+            .cast(f.dataType).alias(f.name) for f in COMMITS_SCHEMA.fields if f.name != "commit_id"]
+    (spark.range(1).select(parsed).select(*cols)
+     .write.mode("overwrite").parquet(_commit_dir(spec, row["commit_id"])))
 
 
 # --- reads ------------------------------------------------------------------------

@@ -74,3 +74,18 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
     except Exception:
         return None
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str] | None:
+    """Names of the sub-folders of ``path`` (empty when it does not exist),
+    asked of the session's Hadoop file system; None when that cannot be
+    asked (Spark Connect)."""
+    try:
+        sc = spark.sparkContext
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(jpath):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()]
+    except Exception:
+        return None

@@ -235,3 +235,17 @@ def test_compaction_keeps_state_and_changelog(spark, scratch):
     assert rows(TB.changes(spark, spec, 5, 6)) == rows(spark.createDataFrame(
         [(1, D1, 1.0, "UPDATE_BEFORE", 0, 6), (1, D1, 10.0, "UPDATE_AFTER", 0, 6)],
         SCHEMA + ", _change_type string, _change_ordinal int, _commit_snapshot_id bigint"))
+
+
+def test_latest_commit_skips_a_half_written_commit_folder(spark, spec):
+    import os
+    TB.create_table(spark, spec, df(spark, [(1, D1, 1.0)]))
+    TB.upsert(spark, spec, df(spark, [(2, D1, 2.0)]))
+    # what a failed commit-row write leaves: the folder with only temporary files
+    os.makedirs(TB._commit_dir(spec, 3).replace("file:", "") + "/_temporary/0", exist_ok=True)
+    assert TB._listed_ids(spark, spec) == [1, 2, 3]
+    assert TB._latest(spark, spec).commit_id == 2
+    assert [r.commit_id for r in TB.commits(spark, spec).orderBy("commit_id").collect()] == [1, 2]
+    res = TB.upsert(spark, spec, df(spark, [(3, D2, 3.0)]))  # the retry takes the folder over
+    assert res.commit_id == 3 and TB._latest(spark, spec).commit_id == 3
+    assert rows(TB.read_table(spark, spec)) == rows(df(spark, [(1, D1, 1.0), (2, D1, 2.0), (3, D2, 3.0)]))
