@@ -198,6 +198,11 @@ def _latest(spark: SparkSession, spec: TableSpec) -> Row | None:
         raise
 
 
+def latest_commit(spark: SparkSession, spec: TableSpec) -> Row | None:
+    """The latest commit row, or None when the table does not exist."""
+    return _latest(spark, spec)
+
+
 def _part_order(p: str | None) -> tuple[bool, str]:
     return (p is None, p or "")
 
@@ -635,14 +640,16 @@ def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: boo
     """Create the table on first use, upsert on every later call.
 
     ``txn`` names the write (say a stream and its micro-batch id): it is
-    stored in the commit row, and a write whose ``txn`` is already committed
-    is skipped and returns that commit, so a replayed batch commits once."""
+    stored in the commit row, and a write whose ``txn`` is the latest
+    commit's is skipped and returns that commit, so a replayed batch commits
+    once. The latest commit is enough with one writer at a time, as a retry
+    or a stream replays only its last write (``foreachBatch`` hands over at
+    most the last micro-batch again); it is already read here, so the check
+    costs nothing. ``committed`` searches the whole log."""
     prev = _latest(spark, spec)
     if prev is not None:
-        if txn is not None:
-            done = committed(spark, spec, txn)
-            if done is not None:
-                return _result(done)
+        if txn is not None and prev.txn == txn:
+            return _result(prev)
         return upsert(spark, spec, df, stage_source=stage_source, _prev=prev, txn=txn)
     return create_table(spark, spec, df, _checked=True, txn=txn)
 

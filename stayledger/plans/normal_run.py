@@ -35,11 +35,12 @@ def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
                inferred_from_all_lines: bool = False) -> TB.CommitResult:
     """Check, transform, check and commit already-scanned raw bookings.
 
-    With ``txn``, a run already committed under that name is not redone."""
+    With ``txn``, a run that is the table's latest commit under that name is
+    not redone (see ``table.write``)."""
     if txn is not None:
-        done = TB.committed(spark, spec, txn)
-        if done is not None:
-            return TB._result(done)
+        prev = TB.latest_commit(spark, spec)
+        if prev is not None and prev.txn == txn:
+            return TB._result(prev)
     if check_schema:
         Q.validate_schema(raw, inferred_from_all_lines)
     rows = transform(raw, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup)

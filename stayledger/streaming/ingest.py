@@ -11,8 +11,8 @@ A stream needs a declared schema (no inference pass); the structure check
 is therefore the declaration itself. ``foreachBatch`` is at-least-once: after
 a restart the last micro-batch may be handed over again. Each commit records
 the stream (its checkpoint location) and the micro-batch id as its ``txn``,
-and a batch whose ``txn`` is already in the commit log is skipped, so every
-micro-batch is committed exactly once.
+and a batch whose ``txn`` is the table's latest commit is skipped, so every
+micro-batch is committed exactly once (one writer per table).
 """
 
 from __future__ import annotations
