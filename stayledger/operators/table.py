@@ -32,6 +32,7 @@ replaced by its source row (unconditionally).
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -423,8 +424,14 @@ def _part_metrics(spec: TableSpec) -> list[Column]:
 
 
 def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
-                 _checked: bool = False, txn: str | None = None) -> CommitResult:
-    """Create the table from ``df`` as commit 1 (every row an INSERT)."""
+                 _checked: bool = False, txn: str | None = None,
+                 check: Callable[[DataFrame], None] | None = None) -> CommitResult:
+    """Create the table from ``df`` as commit 1 (every row an INSERT).
+
+    ``check`` runs on the written rows before the commit row is written: if
+    it raises, nothing is committed and the table stays absent (the written
+    folder is unreferenced and a retry overwrites it). This checks data on
+    its way in without evaluating it into a staging copy first."""
     if not _checked and _latest(spark, spec) is not None:
         raise TableWriteError(f"table {spec.path} already exists")
     _check_columns(spec, df)
@@ -434,6 +441,8 @@ def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
     _write_version(spec, rows.observe(obs, *_part_metrics(spec)), 1)
     m = obs.get
     n = int(m["rows"])
+    if check is not None:
+        check(_read_version(spark, spec, data_schema, 1).select(*data_schema.fieldNames()))
     _append_commit(spark, spec, {
         "commit_id": 1, "committed_at": None, "operation": "create", "source_rows": n,
         "inserted": n, "updated": 0, "row_count": n, "wrote_version": True,

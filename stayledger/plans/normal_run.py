@@ -2,8 +2,10 @@
 
 Passes over the raw JSON: one for schema inference (skipped when a schema is
 declared) and one that evaluates the transform into the table's staging
-folder. A schema inferred from every line with at least one field proves the
-input is not empty, so no emptiness probe reads it a third time. The value checks and the commit read the staged Parquet, so the
+folder (on the first run, straight into the table's first version, whose
+commit row is written only after the value checks pass on it). A schema
+inferred from every line with at least one field proves the input is not
+empty, so no emptiness probe reads it a third time. The value checks and the commit read the staged Parquet, so the
 source is never parsed again and a lost executor only re-reads Parquet.
 """
 
@@ -37,13 +39,17 @@ def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
 
     With ``txn``, a run that is the table's latest commit under that name is
     not redone (see ``table.write``)."""
-    if txn is not None:
-        prev = TB.latest_commit(spark, spec)
-        if prev is not None and prev.txn == txn:
-            return TB._result(prev)
+    prev = TB.latest_commit(spark, spec)
+    if txn is not None and prev is not None and prev.txn == txn:
+        return TB._result(prev)
     if check_schema:
         Q.validate_schema(raw, inferred_from_all_lines)
     rows = transform(raw, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup)
+    if prev is None:
+        # First run: write the rows once as the table's first version and
+        # check them there; the commit row is written only if they pass.
+        return TB.create_table(spark, spec, rows, _checked=True, txn=txn,
+                               check=lambda written: Q.validate_quality(written, spec.key))
     staged = TB.stage(spark, spec, rows, f"run-{uuid.uuid4().hex[:12]}")
     Q.validate_quality(staged, spec.key)
     return TB.write(spark, spec, staged, stage_source=False, txn=txn)
