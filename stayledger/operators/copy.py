@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists as fs_exists
+from ..sources.literals import empty_rows
 
 
 def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -99,7 +100,7 @@ def path_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
 def ensure_audit_table(spark: SparkSession, path: str) -> None:
     """Create the empty audit table if it does not exist yet."""
     if not path_exists(spark, path, AUDIT_SCHEMA):
-        spark.createDataFrame([], AUDIT_SCHEMA).write.mode("append").parquet(path)
+        empty_rows(spark, AUDIT_SCHEMA).write.mode("append").parquet(path)
 
 
 def record(spark: SparkSession, path: str, snapshot_id: int, batch_label: str, record_count: int,

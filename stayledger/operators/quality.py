@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..errors import DataQualityError, SchemaValidationError
 from ..functions import columns as C
+from ..sources.literals import literal_rows
 from .transform import REVENUE_LEAF
 
 # The raw contract (top-level column -> type name) and the type
@@ -72,8 +73,8 @@ def schema_report(df: DataFrame, inferred_from_all_lines: bool = False) -> DataF
     rows.append((4, "revenue_type", REVENUE_LEAF, REVENUE_TYPE, leaf, leaf == REVENUE_TYPE))
     if inferred_from_all_lines and fields:
         rows.insert(0, (1, "not_empty", None, "rows", "rows", True))
-        return spark.createDataFrame(rows, SCHEMA_REPORT)
-    static = spark.createDataFrame(rows, SCHEMA_REPORT)
+        return literal_rows(spark, rows, SCHEMA_REPORT)
+    static = literal_rows(spark, rows, SCHEMA_REPORT)
     non_empty = (
         df.select(F.lit(1).alias("one")).limit(1)
         .agg((F.count(F.lit(1)) > 0).alias("passed"))

@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from ..errors import MergeCardinalityError, TableWriteError
 from ..session import list_dirs, path_exists
+from ..sources.literals import empty_rows
 
 SLOT = "_slot"
 STATE_SLOTS = ("kept", "insert", "update")
@@ -292,7 +293,7 @@ def _state(spark: SparkSession, spec: TableSpec, row: Row, parts: list[str | Non
     cols = data_schema.fieldNames() + ([spec.field] if keep_field and spec.field not in data_schema.fieldNames() else [])
     if not by_version:
         empty = _stored_schema(spec, data_schema)
-        return spark.createDataFrame([], empty).select(*cols)
+        return empty_rows(spark, empty).select(*cols)
     pieces = [
         _read_version(spark, spec, data_schema, v)
         .where(F.col(SLOT).isin(*STATE_SLOTS) & _part_filter(spec, vals))
@@ -349,7 +350,7 @@ def changes(spark: SparkSession, spec: TableSpec, start_exclusive: int | None =
             T.StructField("_change_type", T.StringType()),
             T.StructField("_change_ordinal", T.IntegerType()),
             T.StructField("_commit_snapshot_id", T.LongType())])
-        return spark.createDataFrame([], out)
+        return empty_rows(spark, out)
     return reduce(DataFrame.unionByName, pieces)
 
 

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators import table as TB
+from ..sources.literals import literal_rows
+
+DESCRIBE_SCHEMA = T.StructType([T.StructField("col_name", T.StringType()),
+                                T.StructField("data_type", T.StringType())])
 
 SAMPLE_COLUMNS = ["transaction_id", "conversion_key", "revenue", "currency", "status", "check_in_date"]
 
@@ -12,8 +17,7 @@ SAMPLE_COLUMNS = ["transaction_id", "conversion_key", "revenue", "currency", "st
 def describe(spark: SparkSession, spec: TB.TableSpec) -> DataFrame:
     """(col_name, data_type) of the stored columns, in order."""
     fields = TB.read_table(spark, spec).schema.fields
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields],
-                                 "col_name string, data_type string")
+    return literal_rows(spark, [(f.name, f.dataType.simpleString()) for f in fields], DESCRIBE_SCHEMA)
 
 
 def sample(spark: SparkSession, spec: TB.TableSpec, n: int = 20,

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .literals import empty_rows
+
 # Largest lookup we agree to broadcast. A lookup keyed by a status or country
 # code is far below this; anything larger is not a code table.
 MAX_LOOKUP_ROWS = 10_000
@@ -73,7 +75,7 @@ def _from_mapping(spark: SparkSession, mapping: Mapping[str, str], schema: T.Str
         raise ValueError(f"lookup has {len(mapping)} entries, more than {MAX_LOOKUP_ROWS}")
     key, value = schema.fieldNames()
     if not mapping:
-        return _bounded(spark.createDataFrame([], schema), 0)
+        return _bounded(empty_rows(spark, schema), 0)
     entries = [F.struct(F.lit(k).cast("string").alias(key), F.lit(v).cast("string").alias(value))
                for k, v in mapping.items()]
     return _bounded(spark.range(1).select(F.inline(F.array(*entries))), len(mapping))

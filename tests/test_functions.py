@@ -72,3 +72,16 @@ def test_revenue_predicates(spark):
     ).collect()
     assert [(g.neg, g.miss) for g in got] == [
         (False, True), (None, True), (True, False), (True, False), (False, False), (False, False)]
+
+
+def test_literal_rows_are_a_jvm_scan(spark):
+    from pyspark.sql import types as T
+    from stayledger.sources.literals import empty_rows, literal_rows
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("s", T.StringType()),
+                           T.StructField("b", T.BooleanType()), T.StructField("d", T.DateType())])
+    rows = [(1, "a'b\"c", True, dt.date(2024, 3, 5)), (None, None, None, None)]
+    df = literal_rows(spark, rows, schema)
+    assert [tuple(r) for r in df.collect()] == rows
+    assert [f.dataType for f in df.schema.fields] == [f.dataType for f in schema.fields]
+    assert "LogicalRDD" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert empty_rows(spark, schema).isEmpty() and empty_rows(spark, schema).columns == ["n", "s", "b", "d"]
