@@ -2,6 +2,8 @@
 
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stayledger.operators import batches as B
@@ -105,3 +107,32 @@ def test_capped_jdbc_write_counts_every_row(spark):
     assert t.read(spark).count() == 300
     assert t.write(df.where("id < 10"), "append") == 10
     assert t.read(spark).count() == 310
+
+
+def test_batch_mode_skips_checks_unless_asked(spark, scratch):
+    from stayledger.errors import DataQualityError
+    cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
+    dup = raw.unionByName(raw.where(F.col("accommodations.reservation") % 23 == 0))
+    n_dup = raw.where(F.col("accommodations.reservation") % 23 == 0).count()
+    spec = TB.TableSpec(scratch("dup"), partition_transform="month")
+    MG.batch_migration(spark, dup, spec, cfg, CP.ParquetTarget(scratch("c")), scratch("a"))
+    # one key's rows share a batch, so both copies are inserted (no checks, as in batch mode)
+    assert TB.read_table(spark, spec).count() == raw.count() + n_dup
+    strict = TB.TableSpec(scratch("dup2"), partition_transform="month")
+    with pytest.raises(DataQualityError, match="duplicate"):
+        MG.batch_migration(spark, dup, strict, cfg, CP.ParquetTarget(scratch("c")), scratch("a"),
+                           check_duplicates=True)
+
+
+def test_sync_with_updates_copies_after_images(spark, scratch):
+    spec = TB.TableSpec(scratch("upd"), partition_transform="month")
+    cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
+    MG.batch_migration(spark, raw, spec, cfg, CP.ParquetTarget(scratch("c")), scratch("a"))
+    target = CP.ParquetTarget(scratch("c"))
+    res = MG.batch_migration(spark, raw, spec, cfg, target, scratch("a"), include_updates=True)
+    n0 = _expected(spark).where(F.col("transaction_id") % 5 == 0).count()
+    # batches 2..5 of the second run update every key they hold: their after images are synced
+    assert res.synced_rows == _expected(spark).count() - n0
+    copy = target.read(spark)
+    assert copy.count() == _expected(spark).count()
+    assert copy.exceptAll(_expected(spark).select(*copy.columns)).count() == 0
