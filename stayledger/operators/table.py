@@ -496,7 +496,8 @@ def append_new_keys(spark: SparkSession, spec: TableSpec, source: DataFrame,
     return CommitResult(n, "upsert", inserted, inserted, 0, prev.row_count + inserted)
 
 
-def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str]) -> DataFrame:
+def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
+                key_where: Column | None = None) -> DataFrame:
     """Rows of a merge commit: every target row of the rewritten partitions
     as ``kept`` or as ``before`` plus ``update`` (its source row, which may
     land in another partition), and every source row no target row matches
@@ -518,14 +519,17 @@ def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str]) -> Da
                          F.lit("update").alias(SLOT))
     old_rows = joined.select(F.inline(F.when(matched, F.array(old_image, new_image))
                                       .otherwise(F.array(old_image))))
-    tgt_keys = tgt.where(F.col(key).isNotNull()).select(key, SALT).distinct()
+    has_key = F.col(key).isNotNull()
+    tgt_keys = tgt.where(has_key if key_where is None else has_key & key_where)
+    tgt_keys = tgt_keys.select(key, SALT).distinct()
     new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left_anti")
                 .withColumn(SLOT, F.lit("insert")))
     return old_rows.select(*cols).unionByName(new_rows.select(*cols))
 
 
 def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
-           stage_source: bool = True, _prev: Row | None = None, txn: str | None = None) -> CommitResult:
+           stage_source: bool = True, _prev: Row | None = None, txn: str | None = None,
+           key_where: Column | None = None) -> CommitResult:
     """MERGE ``source`` into the table on ``spec.key`` as a new commit.
 
     Only partitions holding a matched key are rewritten (their old rows are
@@ -537,6 +541,11 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     staging folder, so every later step reads the same rows (this also cuts
     the source's lineage). Pass ``False`` for a source that is already a
     cheap, deterministic Parquet read.
+
+    ``key_where`` is a predicate on the key that every source key satisfies
+    (say ``pmod(key, 5) = 2`` for one key-hashed batch): target rows failing
+    it cannot match, so they are dropped before the key joins shuffle, and a
+    batch shuffles only its share of the table's keys.
     """
     prev = _prev or _latest(spark, spec)
     if prev is None:
@@ -557,8 +566,10 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     src_keys = (src.where(F.col(key).isNotNull()).groupBy(key)
                 .agg(F.count(F.lit(1)).alias("_n_src")))
     part = F.col(field).cast("string").alias("_p")
-    matched = (_state(spark, spec, prev, keep_field=True).select(key, field)
-               .join(src_keys, key)
+    tgt_keys = _state(spark, spec, prev, keep_field=True).select(key, field)
+    if key_where is not None:
+        tgt_keys = tgt_keys.where(key_where)
+    matched = (tgt_keys.join(src_keys, key)
                .select(F.lit(True).alias("_t"), part, F.col(field).isNull().alias("_pn"), "_n_src"))
     incoming = src.select(F.lit(False).alias("_t"), part, F.col(field).isNull().alias("_pn"),
                           F.lit(None).cast("bigint").alias("_n_src"))
@@ -591,7 +602,7 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
     else:
         tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
-        rows = _merge_rows(tgt, src, key, cols)
+        rows = _merge_rows(tgt, src, key, cols, key_where)
 
     obs = Observation(f"upsert{n}")
     counted = rows.observe(obs, F.count_if(F.col(SLOT) == "insert").alias("inserted"),
@@ -646,7 +657,7 @@ def compact(spark: SparkSession, spec: TableSpec, min_segments: int = 2) -> Comm
 
 
 def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: bool = True,
-          txn: str | None = None) -> CommitResult:
+          txn: str | None = None, key_where: Column | None = None) -> CommitResult:
     """Create the table on first use, upsert on every later call.
 
     ``txn`` names the write (say a stream and its micro-batch id): it is
@@ -660,7 +671,8 @@ def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: boo
     if prev is not None:
         if txn is not None and prev.txn == txn:
             return _result(prev)
-        return upsert(spark, spec, df, stage_source=stage_source, _prev=prev, txn=txn)
+        return upsert(spark, spec, df, stage_source=stage_source, _prev=prev, txn=txn,
+                      key_where=key_where)
     return create_table(spark, spec, df, _checked=True, txn=txn)
 
 

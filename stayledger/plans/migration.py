@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import copy as CP
 from ..operators import quality as Q
 from ..operators import table as TB
-from ..operators.batches import BATCH, stage_batches
+from ..operators.batches import BATCH, batch_id, stage_batches
 from ..operators.transform import transform
 from .normal_run import RunConfig
 
@@ -64,7 +64,9 @@ def batch_load(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
             # table: no key of this batch can be in it, so no key join is needed.
             result = TB.append_new_keys(spark, spec, batch)
         else:
-            result = TB.write(spark, spec, batch, stage_source=False)
+            # on an existing table: only table keys of this batch can match
+            in_batch = batch_id(rows, spec.key, n_batches, batch_method) == i
+            result = TB.write(spark, spec, batch, stage_source=False, key_where=in_batch)
             created = result.operation == "create"
         if i == 0:
             first = _oldest_newest(spark, spec)[0] if since_table_birth else result.commit_id

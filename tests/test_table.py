@@ -249,3 +249,16 @@ def test_latest_commit_skips_a_half_written_commit_folder(spark, spec):
     res = TB.upsert(spark, spec, df(spark, [(3, D2, 3.0)]))  # the retry takes the folder over
     assert res.commit_id == 3 and TB._latest(spark, spec).commit_id == 3
     assert rows(TB.read_table(spark, spec)) == rows(df(spark, [(1, D1, 1.0), (2, D1, 2.0), (3, D2, 3.0)]))
+
+
+def test_key_where_gives_the_same_commit(spark, scratch):
+    base = [(k, D1 if k % 3 else D2, float(k)) for k in range(1, 21)] + [(None, D1, 0.0), (4, D2, 40.0)]
+    src = [(k, D2, -float(k)) for k in (2, 4, 6, 30)] + [(None, D2, -1.0)]
+    a, b = TB.TableSpec(scratch("kw")), TB.TableSpec(scratch("kw"))
+    for spec in (a, b):
+        TB.create_table(spark, spec, df(spark, base))
+    ra = TB.upsert(spark, a, df(spark, src))
+    rb = TB.upsert(spark, b, df(spark, src), key_where=F.pmod(F.col("transaction_id"), F.lit(2)) == 0)
+    assert (ra.inserted, ra.updated, ra.row_count) == (rb.inserted, rb.updated, rb.row_count) == (2, 4, 24)
+    assert rows(TB.read_table(spark, a)) == rows(TB.read_table(spark, b))
+    assert rows(TB.changes(spark, a, 1, 2)) == rows(TB.changes(spark, b, 1, 2))
