@@ -386,22 +386,6 @@ def _write_version(spec: TableSpec, df: DataFrame, n: int) -> None:
        .parquet(spec.version_path(n)))
 
 
-SALT = "_salt"
-NULL_KEY_SPREAD = 64
-
-
-def _salted(df: DataFrame, key: str) -> DataFrame:
-    """Add a join salt: 0 for every keyed row, a hash of the row for null keys.
-
-    Null keys never match, but hash partitioning would send all of them to one
-    task; the salt spreads them. It is a pure function of the row, so a
-    recomputed task sends each row to the same place. Both join sides use
-    this expression (not a literal 0), so the optimizer keeps the salt as a
-    join key instead of folding it into a filter."""
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_KEY_SPREAD))
-    return df.withColumn(SALT, F.when(F.col(key).isNull(), spread.cast("int")).otherwise(F.lit(0)))
-
-
 def _check_columns(spec: TableSpec, df: DataFrame) -> None:
     names = df.columns
     for needed in (spec.key, spec.partition_column):
@@ -502,16 +486,24 @@ def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
     as ``kept`` or as ``before`` plus ``update`` (its source row, which may
     land in another partition), and every source row no target row matches
     as ``insert``. The source holds at most one row per matched key
-    (checked before).
+    (checked before); every source key satisfies ``key_where``.
 
-    Both joins keep the big side on the left, which adaptive skew-join
+    Only rows that can match are shuffled: target rows with a null key (or
+    failing ``key_where``) are kept as they are read, and source rows with a
+    null key are inserts, so a hot null key never reaches a shuffle. The two
+    key joins keep the big side on the left, which adaptive skew-join
     handling can split: a target key held by a third of all rows is spread
     over many tasks, and no row is multiplied inside one task."""
     out = [c for c in cols if c != SLOT]
-    tgt = _salted(tgt, key)
-    after = _salted(src, key).select(key, SALT, F.lit(True).alias("_m"),
-                                     *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
-    joined = tgt.join(after, [key, SALT], "left")
+    can_match = F.col(key).isNotNull()
+    if key_where is not None:
+        can_match = can_match & F.coalesce(key_where, F.lit(False))
+    tgt_in, tgt_out = tgt.where(can_match), tgt.where(~can_match)
+    src_in, src_null = src.where(F.col(key).isNotNull()), src.where(F.col(key).isNull())
+
+    after = src_in.select(key, F.lit(True).alias("_m"),
+                          *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
+    joined = tgt_in.join(after, key, "left")
     matched = F.col("_m").isNotNull()
     old_image = F.struct(*[F.col(c) for c in out],
                          F.when(matched, F.lit("before")).otherwise(F.lit("kept")).alias(SLOT))
@@ -519,12 +511,12 @@ def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
                          F.lit("update").alias(SLOT))
     old_rows = joined.select(F.inline(F.when(matched, F.array(old_image, new_image))
                                       .otherwise(F.array(old_image))))
-    has_key = F.col(key).isNotNull()
-    tgt_keys = tgt.where(has_key if key_where is None else has_key & key_where)
-    tgt_keys = tgt_keys.select(key, SALT).distinct()
-    new_rows = (_salted(src, key).join(tgt_keys, [key, SALT], "left_anti")
+    new_rows = (src_in.join(tgt_in.select(key).distinct(), key, "left_anti")
                 .withColumn(SLOT, F.lit("insert")))
-    return old_rows.select(*cols).unionByName(new_rows.select(*cols))
+    return (old_rows.select(*cols)
+            .unionByName(tgt_out.withColumn(SLOT, F.lit("kept")).select(*cols))
+            .unionByName(new_rows.select(*cols))
+            .unionByName(src_null.withColumn(SLOT, F.lit("insert")).select(*cols)))
 
 
 def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
