@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import MergeCardinalityError, TableWriteError
-from ..session import list_dirs, path_exists
+from ..session import delete_path, list_dirs, path_exists
 from ..sources.literals import empty_rows
 
 SLOT = "_slot"
@@ -576,6 +576,8 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         F.count_if(~t).alias("source_rows"),
     ).collect()[0].asDict())
     if (meta["max_src"] or 0) > 1:
+        if stage_source:
+            delete_path(spark, spec.staging_path(n))
         raise MergeCardinalityError(
             f"MERGE into {spec.path}: a target row is matched by more than one source row")
     source_rows, matched_rows = int(meta["source_rows"]), int(meta["matched_rows"])
@@ -587,6 +589,8 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
             "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": False,
             "schema_json": prev.schema_json, "layout": list(prev.layout or []), "txn": txn,
         })
+        if stage_source:
+            delete_path(spark, spec.staging_path(n))
         return CommitResult(n, "upsert", 0, 0, 0, prev.row_count)
 
     cols = data_schema.fieldNames() + ([field] if field not in data_schema.fieldNames() else []) + [SLOT]
@@ -610,6 +614,8 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         "inserted": inserted, "updated": updated, "row_count": row_count, "wrote_version": True,
         "schema_json": prev.schema_json, "layout": layout, "txn": txn,
     })
+    if stage_source:
+        delete_path(spark, spec.staging_path(n))  # committed: the staged source is not read again
     return CommitResult(n, "upsert", source_rows, inserted, updated, row_count)
 
 
@@ -668,9 +674,19 @@ def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: boo
     return create_table(spark, spec, df, _checked=True, txn=txn)
 
 
+def staging_folder(spec: TableSpec, name: str) -> str:
+    return f"{spec.path}/_staging/{name}"
+
+
 def stage(spark: SparkSession, spec: TableSpec, df: DataFrame, name: str) -> DataFrame:
     """Evaluate ``df`` once into the table's staging folder and read it back:
-    later steps see identical rows and a short, columnar lineage."""
-    path = f"{spec.path}/_staging/{name}"
+    later steps see identical rows and a short, columnar lineage. The caller
+    removes the folder (``unstage``) once what read it is committed."""
+    path = staging_folder(spec, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(spark: SparkSession, spec: TableSpec, name: str) -> None:
+    """Remove a staging folder made by ``stage``."""
+    delete_path(spark, staging_folder(spec, name))

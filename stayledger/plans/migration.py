@@ -23,6 +23,7 @@ from ..operators import quality as Q
 from ..operators import table as TB
 from ..operators.batches import BATCH, batch_id, stage_batches
 from ..operators.transform import transform
+from ..session import delete_path
 from .normal_run import RunConfig
 
 NUM_BATCHES = 5
@@ -52,26 +53,29 @@ def batch_load(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
     behaviour, which on an existing table re-copies older inserts).
     """
     rows = transform(raw, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup)
-    staged = stage_batches(rows, spec.key, n_batches,
-                           f"{spec.path}/_staging/batches-{uuid.uuid4().hex[:12]}", batch_method)
+    staging = f"{spec.path}/_staging/batches-{uuid.uuid4().hex[:12]}"
+    staged = stage_batches(rows, spec.key, n_batches, staging, batch_method)
     first, created = None, False
-    for i in range(n_batches):
-        batch = staged.where(F.col(BATCH) == i).drop(BATCH)
-        if check_duplicates:
-            Q.raise_if_bad(Q.quality_report(batch, spec.key).where(F.col("check_order") == 1))
-        if created:
-            # Batch ids are a function of the key, and this run created the
-            # table: no key of this batch can be in it, so no key join is needed.
-            result = TB.append_new_keys(spark, spec, batch)
-        else:
-            # on an existing table: only table keys of this batch can match
-            in_batch = batch_id(rows, spec.key, n_batches, batch_method) == i
-            result = TB.write(spark, spec, batch, stage_source=False, key_where=in_batch)
-            created = result.operation == "create"
-        if i == 0:
-            first = _oldest_newest(spark, spec)[0] if since_table_birth else result.commit_id
-            copied = target.write(batch, "overwrite")
-            CP.record(spark, audit_path, first, "first", copied)
+    try:
+        for i in range(n_batches):
+            batch = staged.where(F.col(BATCH) == i).drop(BATCH)
+            if check_duplicates:
+                Q.raise_if_bad(Q.quality_report(batch, spec.key).where(F.col("check_order") == 1))
+            if created:
+                # Batch ids are a function of the key, and this run created the
+                # table: no key of this batch can be in it, so no key join is needed.
+                result = TB.append_new_keys(spark, spec, batch)
+            else:
+                # on an existing table: only table keys of this batch can match
+                in_batch = batch_id(rows, spec.key, n_batches, batch_method) == i
+                result = TB.write(spark, spec, batch, stage_source=False, key_where=in_batch)
+                created = result.operation == "create"
+            if i == 0:
+                first = _oldest_newest(spark, spec)[0] if since_table_birth else result.commit_id
+                copied = target.write(batch, "overwrite")
+                CP.record(spark, audit_path, first, "first", copied)
+    finally:
+        delete_path(spark, staging)  # every batch is committed (or the run failed)
     last = _oldest_newest(spark, spec)[1]
     return first, last
 

@@ -50,9 +50,13 @@ def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
         # check them there; the commit row is written only if they pass.
         return TB.create_table(spark, spec, rows, _checked=True, txn=txn,
                                check=lambda written: Q.validate_quality(written, spec.key))
-    staged = TB.stage(spark, spec, rows, f"run-{uuid.uuid4().hex[:12]}")
-    Q.validate_quality(staged, spec.key)
-    return TB.write(spark, spec, staged, stage_source=False, txn=txn)
+    name = f"run-{uuid.uuid4().hex[:12]}"
+    staged = TB.stage(spark, spec, rows, name)
+    try:
+        Q.validate_quality(staged, spec.key)
+        return TB.write(spark, spec, staged, stage_source=False, txn=txn)
+    finally:
+        TB.unstage(spark, spec, name)
 
 
 def normal_run(spark: SparkSession, source_path: str, spec: TB.TableSpec, cfg: RunConfig,

@@ -89,3 +89,17 @@ def list_dirs(spark: SparkSession, path: str) -> list[str] | None:
         return [st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()]
     except Exception:
         return None
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` (recursively) through the session's Hadoop file system.
+
+    Used for staging folders once the commit that read them is written.
+    Returns False when the file system cannot be reached (Spark Connect);
+    the folder is then left behind, unreferenced."""
+    try:
+        sc = spark.sparkContext
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))
+    except Exception:
+        return False

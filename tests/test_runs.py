@@ -52,3 +52,24 @@ def test_later_run_with_bad_rows_leaves_the_table_as_it_was(spark, scratch):
     assert res.commit_id == 2 and res.inserted == 0 and res.updated == exp.count()
     assert same_rows(TB.read_table(spark, spec), exp)
     assert TB.changes(spark, spec, 1, 2).where(F.col("_change_type") == "INSERT").isEmpty()
+
+
+def test_staging_is_removed_after_commits(spark, scratch):
+    from stayledger.errors import MergeCardinalityError
+    from stayledger.operators import copy as CP
+    from stayledger.plans import migration as MG
+    from stayledger.session import list_dirs
+    spec = TB.TableSpec(scratch("run"), partition_transform="month")
+    good = landed(spark, scratch)
+    normal_run(spark, good, spec, run_config(spark))
+    normal_run(spark, good, spec, run_config(spark))  # later run: staged, merged, unstaged
+    b = bookings(spark, SMALL)
+    TB.upsert(spark, spec, b.where(F.col("transaction_id") % 7 == 0))  # stage_source=True
+    with pytest.raises(MergeCardinalityError):
+        TB.upsert(spark, spec, b.unionByName(b))
+    mig = TB.TableSpec(scratch("mig"), partition_transform="month")
+    MG.batch_migration(spark, FX.raw_bookings(spark, SMALL), mig, run_config(spark),
+                       CP.ParquetTarget(scratch("c")), scratch("a"))
+    assert list_dirs(spark, f"{spec.path}/_staging") == []
+    assert list_dirs(spark, f"{mig.path}/_staging") == []
+    assert same_rows(TB.read_table(spark, spec), b)
