@@ -481,19 +481,28 @@ def append_new_keys(spark: SparkSession, spec: TableSpec, source: DataFrame,
 
 
 def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
-                key_where: Column | None = None) -> DataFrame:
+                key_where: Column | None = None, matched_keys: DataFrame | None = None,
+                updates: DataFrame | None = None) -> DataFrame:
     """Rows of a merge commit: every target row of the rewritten partitions
     as ``kept`` or as ``before`` plus ``update`` (its source row, which may
     land in another partition), and every source row no target row matches
     as ``insert``. The source holds at most one row per matched key
     (checked before); every source key satisfies ``key_where``.
+    ``matched_keys`` is the distinct set of source keys that target rows
+    hold (by default, computed here from the target); ``updates`` the
+    source rows of those keys, stored (``upsert`` stages both), so that the
+    left join reads plain scans on both sides and can split a hot target key.
 
     Only rows that can match are shuffled: target rows with a null key (or
     failing ``key_where``) are kept as they are read, and source rows with a
     null key are inserts, so a hot null key never reaches a shuffle. The two
     key joins keep the big side on the left, which adaptive skew-join
     handling can split: a target key held by a third of all rows is spread
-    over many tasks, and no row is multiplied inside one task."""
+    over many tasks, and no row is multiplied inside one task. Source rows
+    meet the matched keys in a semi join (updates, at most one row per key)
+    and an anti join (inserts), the source on the left: a new key held by a
+    third of the source is split there too, and the left join's right side
+    holds only update rows."""
     out = [c for c in cols if c != SLOT]
     can_match = F.col(key).isNotNull()
     if key_where is not None:
@@ -501,8 +510,10 @@ def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
     tgt_in, tgt_out = tgt.where(can_match), tgt.where(~can_match)
     src_in, src_null = src.where(F.col(key).isNotNull()), src.where(F.col(key).isNull())
 
-    after = src_in.select(key, F.lit(True).alias("_m"),
-                          *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
+    keys = matched_keys if matched_keys is not None else tgt_in.select(key).distinct()
+    upd = updates if updates is not None else src_in
+    after = upd.select(key, F.lit(True).alias("_m"),
+                       *[F.col(c).alias(f"_new_{c}") for c in out if c != key])
     joined = tgt_in.join(after, key, "left")
     matched = F.col("_m").isNotNull()
     old_image = F.struct(*[F.col(c) for c in out],
@@ -511,8 +522,7 @@ def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
                          F.lit("update").alias(SLOT))
     old_rows = joined.select(F.inline(F.when(matched, F.array(old_image, new_image))
                                       .otherwise(F.array(old_image))))
-    new_rows = (src_in.join(tgt_in.select(key).distinct(), key, "left_anti")
-                .withColumn(SLOT, F.lit("insert")))
+    new_rows = src_in.join(keys, key, "left_anti").withColumn(SLOT, F.lit("insert"))
     return (old_rows.select(*cols)
             .unionByName(tgt_out.withColumn(SLOT, F.lit("kept")).select(*cols))
             .unionByName(new_rows.select(*cols))
@@ -553,29 +563,48 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         (src.write.mode("overwrite").parquet(spec.staging_path(n)))
         src = spark.read.schema(src.schema).parquet(spec.staging_path(n))
 
-    # One job: partitions of the source, partitions holding matched keys
-    # (from the target's key and partition columns only), match cardinality.
+    # The matched keys, staged once: one row per source key that target rows
+    # hold (their partitions, how many target and source rows), from the
+    # target's key and partition columns only. Deduplicated and stored, the
+    # set is a plain scan for the merge's semi and anti joins, which keeps the
+    # source on their splittable left side.
     src_keys = (src.where(F.col(key).isNotNull()).groupBy(key)
                 .agg(F.count(F.lit(1)).alias("_n_src")))
-    part = F.col(field).cast("string").alias("_p")
     tgt_keys = _state(spark, spec, prev, keep_field=True).select(key, field)
     if key_where is not None:
         tgt_keys = tgt_keys.where(key_where)
-    matched = (tgt_keys.join(src_keys, key)
-               .select(F.lit(True).alias("_t"), part, F.col(field).isNull().alias("_pn"), "_n_src"))
-    incoming = src.select(F.lit(False).alias("_t"), part, F.col(field).isNull().alias("_pn"),
-                          F.lit(None).cast("bigint").alias("_n_src"))
-    t = F.col("_t")
-    meta = (matched.unionByName(incoming).agg(
-        F.max("_n_src").alias("max_src"),
-        F.collect_set(F.when(t, F.col("_p"))).alias("parts"),
-        F.count_if(t & F.col("_pn")).alias("null_parts"),
-        F.collect_set(F.when(~t, F.col("_p"))).alias("src_parts"),
-        F.count_if(~t & F.col("_pn")).alias("src_null_parts"),
-        F.count_if(t).alias("matched_rows"),
-        F.count_if(~t).alias("source_rows"),
-    ).collect()[0].asDict())
+    per_key = tgt_keys.join(src_keys, key).groupBy(key).agg(
+        F.max("_n_src").alias("_n_src"),
+        F.collect_set(F.col(field).cast("string")).alias("_parts"),
+        F.max(F.col(field).isNull().cast("int")).alias("_null_part"),
+        F.count(F.lit(1)).alias("_rows"))
+    keys_path = f"{spec.path}/_staging/commit_id={n}-keys"
+    per_key.write.mode("overwrite").parquet(keys_path)
+    matched_keys = spark.read.schema(per_key.schema).parquet(keys_path)
+
+    # One job over the staged keys and the source: partitions to rewrite and
+    # to add to, match cardinality, counts.
+    kind = F.col("_kind")
+    none = {"_p": F.lit(None).cast("string"), "_pn": F.lit(False), "_n_src": F.lit(None).cast("bigint"),
+            "_rows": F.lit(None).cast("bigint"), "_null_part": F.lit(None).cast("int")}
+
+    def facts(df: DataFrame, label: str, **given: Column) -> DataFrame:
+        return df.select(F.lit(label).alias("_kind"),
+                         *[given.get(c, v).alias(c) for c, v in none.items()])
+    meta = (facts(matched_keys, "k", _n_src=F.col("_n_src"), _rows=F.col("_rows"),
+                  _null_part=F.col("_null_part"))
+            .unionByName(facts(matched_keys.select(F.explode("_parts").alias("_q")), "p", _p=F.col("_q")))
+            .unionByName(facts(src, "s", _p=F.col(field).cast("string"), _pn=F.col(field).isNull()))
+            .agg(F.max("_n_src").alias("max_src"),
+                 F.collect_set(F.when(kind == "p", F.col("_p"))).alias("parts"),
+                 F.coalesce(F.max("_null_part"), F.lit(0)).alias("null_parts"),
+                 F.collect_set(F.when(kind == "s", F.col("_p"))).alias("src_parts"),
+                 F.count_if((kind == "s") & F.col("_pn")).alias("src_null_parts"),
+                 F.coalesce(F.sum("_rows"), F.lit(0)).alias("matched_rows"),
+                 F.count_if(kind == "s").alias("source_rows"))
+            .collect()[0].asDict())
     if (meta["max_src"] or 0) > 1:
+        delete_path(spark, keys_path)
         if stage_source:
             delete_path(spark, spec.staging_path(n))
         raise MergeCardinalityError(
@@ -589,6 +618,7 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
             "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": False,
             "schema_json": prev.schema_json, "layout": list(prev.layout or []), "txn": txn,
         })
+        delete_path(spark, keys_path)
         if stage_source:
             delete_path(spark, spec.staging_path(n))
         return CommitResult(n, "upsert", 0, 0, 0, prev.row_count)
@@ -598,7 +628,12 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
     else:
         tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
-        rows = _merge_rows(tgt, src, key, cols, key_where)
+        # the source rows of matched keys (at most one per key), stored so the
+        # left join's right side is a plain scan
+        upd_path = f"{spec.path}/_staging/commit_id={n}-updates"
+        src.join(matched_keys.select(key), key, "left_semi").write.mode("overwrite").parquet(upd_path)
+        updates = spark.read.schema(src.schema).parquet(upd_path).select(*src.columns)
+        rows = _merge_rows(tgt, src, key, cols, key_where, matched_keys.select(key), updates)
 
     obs = Observation(f"upsert{n}")
     counted = rows.observe(obs, F.count_if(F.col(SLOT) == "insert").alias("inserted"),
@@ -614,8 +649,10 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
         "inserted": inserted, "updated": updated, "row_count": row_count, "wrote_version": True,
         "schema_json": prev.schema_json, "layout": layout, "txn": txn,
     })
+    delete_path(spark, keys_path)  # committed: the staged keys and rows are not read again
+    delete_path(spark, f"{spec.path}/_staging/commit_id={n}-updates")
     if stage_source:
-        delete_path(spark, spec.staging_path(n))  # committed: the staged source is not read again
+        delete_path(spark, spec.staging_path(n))
     return CommitResult(n, "upsert", source_rows, inserted, updated, row_count)
 
 
