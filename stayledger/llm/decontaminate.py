@@ -333,11 +333,11 @@ win AS (
         FROM i WHERE len(w) > 0)
 ),
 lens AS (SELECT DISTINCT n FROM win),
-at AS (
+placed AS (
   SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS s
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d JOIN lens ON len(w) >= n)
 ),
-hit AS (SELECT doc_id, at.n, k, item_id FROM at JOIN win ON at.n = win.n AND at.s = win.s),
+hit AS (SELECT doc_id, p.n, k, item_id FROM placed p JOIN win ON p.n = win.n AND p.s = win.s),
 words AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, n, k FROM hit)) GROUP BY doc_id
