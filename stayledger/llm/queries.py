@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.llm.decontaminate import OP2_SQL, op2_suffix_automaton
+from stayledger.llm.langid import op1_nearest_centroid
 from stayledger.llm.licenses import op10_license_rules
 from stayledger.llm.secrets import op4_secret_randomness
 from stayledger.llm.sharding import op3_rendezvous_sharding
@@ -17,6 +18,7 @@ from stayledger.llm.simhash import op6_simhash_covering
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_nearest_centroid,
         op2_suffix_automaton,
         op3_rendezvous_sharding,
         op4_secret_randomness,
