@@ -14,6 +14,7 @@ from stayledger.llm.licenses import op10_license_rules
 from stayledger.llm.secrets import op4_secret_randomness
 from stayledger.llm.sharding import op3_rendezvous_sharding
 from stayledger.llm.simhash import op6_simhash_covering
+from stayledger.llm.subwords import op7_gumbel_segmentations
 from stayledger.llm.vector_search import op5_permutation_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_secret_randomness,
         op5_permutation_index,
         op6_simhash_covering,
+        op7_gumbel_segmentations,
         op10_license_rules,
     )
 }
