@@ -20,7 +20,8 @@ the segmentation that attains it, and splits the rest of the set into the sets
 Gumbel truncated at the popped value. No set is expanded before it is popped, so
 k pops give k segmentations. The value left on top after them is the threshold
 kappa, and exp(log_prob) enters the sample with probability
-1 - exp(-exp(log_prob - kappa)): its inclusion score.
+1 - exp(-exp(log_prob - kappa)): its inclusion score, given as a logarithm, as a
+long text's segmentations are all improbable.
 
 No piece crosses from a word into a following ``▁``, so the lattice is a chain of
 chunks (a word with the ``▁`` before it; a run of byte pieces) whose cuts are
@@ -31,7 +32,7 @@ samples on any cluster. Documents are never shuffled.
 
 Defined results: a null text gives one row, sample 0, without ids; an empty text
 has one, empty, segmentation; a text with fewer than k segmentations gives all
-of them, with inclusion 1; repeated rows give equal samples; an empty table
+of them, with log_inclusion 0; repeated rows give equal samples; an empty table
 gives no rows; columns other than the key and the text are not carried along.
 """
 
@@ -328,10 +329,10 @@ def _draw_other(lat: Lattices, chunk: int, taken: list[list[int]], seed: np.ndar
 
 
 def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces):
-    """For each text a list of up to ``k`` (ids, log_prob, inclusion), in the order
+    """For each text a list of up to ``k`` (ids, log_prob, log_inclusion), in the order
     drawn. ``keys``: a 64-bit row key for each text."""
     rows = [chunks_of(v, p) for v in values]
-    out: list[list] = [[] if r else [(np.empty(0, np.int32), 0.0, 1.0)] for r in rows]
+    out: list[list] = [[] if r else [(np.empty(0, np.int32), 0.0, 0.0)] for r in rows]
     docs = [i for i, r in enumerate(rows) if r]
     if not docs:
         return out
@@ -419,11 +420,17 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
                 skip = np.cumsum(size) - size
                 ids = flat[np.repeat(place[a:z] - skip, size) + np.arange(int(size.sum()))]
                 lp = float(log_p[a:z].sum())
-                held = 1.0 if kappa[j] == -np.inf else float(-np.expm1(-np.exp(min(lp - kappa[j], 700.0))))
-                out[d].append((ids, lp, held))
+                out[d].append((ids, lp, _log_inclusion(lp - float(kappa[j]))))
     return out
 
 
+def _log_inclusion(above: float) -> float:
+    """log(1 - exp(-exp(above))); for far-off values, where that underflows, its limit."""
+    if above < -30.0:
+        return above
+    return float(np.log(-np.expm1(-np.exp(min(above, 700.0)))))
+
+
 def _probability(lat: Lattices, chunk: int, cuts: list[list[int]]) -> float:
     total = 0.0
     for cut in cuts:
@@ -448,7 +455,7 @@ def encode_samples(
     model_file: str = MODEL_FILE,
     alpha: float = ALPHA,
 ) -> DataFrame:
-    """(key, sample from 0, ids, log_prob, inclusion): ``k`` rows for a text that
+    """(key, sample from 0, ids, log_prob, log_inclusion): ``k`` rows for a text that
     has as many segmentations."""
     pieces = _shared_pieces(docs.sparkSession, model_file, alpha)
     key_type = docs.schema[key].dataType.simpleString()
@@ -473,12 +480,12 @@ def encode_samples(
                         pa.array([r[3] for r in rows], pa.float64()),
                         pa.array([r[4] for r in rows], pa.float64()),
                     ],
-                    names=[key, "sample", "ids", "log_prob", "inclusion"],
+                    names=[key, "sample", "ids", "log_prob", "log_inclusion"],
                 )
 
     rows = docs.select(F.col(key), F.col(text), F.xxhash64(F.col(key).cast("string")).alias("_seed"))
     return rows.mapInArrow(
-        encode, f"`{key}` {key_type}, sample int, ids array<int>, log_prob double, inclusion double"
+        encode, f"`{key}` {key_type}, sample int, ids array<int>, log_prob double, log_inclusion double"
     )
 
 
@@ -496,5 +503,5 @@ def decode(spark: SparkSession, ids: Column, model_file: str = MODEL_FILE) -> Co
 def op7_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_samples(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
-        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "inclusion", "ids"
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "log_inclusion", "ids"
     )
