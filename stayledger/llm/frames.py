@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.session import shared_root
+from stayledger.session import scratch_path, shared_root
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +18,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spill(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: as `cut`, and its size is
+    known to the planner, which then broadcasts what is small."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fold_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -29,8 +35,3 @@ def doc_key(doc_id: Column, text: Column) -> Column:
     """64-bit key of a document: its id and text. Rows that repeat both are one
     document; rows without an id still differ by text."""
     return F.xxhash64(doc_id.cast("string"), text)
-
-
-def fresh(prefix: str) -> str:
-    """A column name no caller's column clashes with."""
-    return f"_{prefix}_{uuid.uuid4().hex[:8]}"

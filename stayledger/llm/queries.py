@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stayledger.llm.decontaminate import OP2_SQL, op2_suffix_automaton
 from stayledger.llm.langid import op1_nearest_centroid
 from stayledger.llm.licenses import op10_license_rules
+from stayledger.llm.lines import op8_minhash_lines
 from stayledger.llm.secrets import op4_secret_randomness
 from stayledger.llm.sharding import op3_rendezvous_sharding
 from stayledger.llm.simhash import op6_simhash_covering
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_permutation_index,
         op6_simhash_covering,
         op7_gumbel_segmentations,
+        op8_minhash_lines,
         op10_license_rules,
     )
 }

@@ -21,6 +21,9 @@ FOLD_WORDS = _table(lambda b: b >= 128 or 48 <= b <= 57 or 97 <= b <= 122)
 #: A-Z folded; ASCII white space (\x09-\x0D) becomes a space.
 FOLD_SPACE = _table(lambda b: not 9 <= b <= 13)
 
+#: As FOLD_SPACE, but the newline stays.
+FOLD_LINES = _table(lambda b: b == 10 or not 9 <= b <= 13)
+
 
 def texts(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of each value (None for null)."""
