@@ -12,6 +12,7 @@ from stayledger.llm.decontaminate import OP2_SQL, op2_suffix_automaton
 from stayledger.llm.langid import op1_nearest_centroid
 from stayledger.llm.licenses import op10_license_rules
 from stayledger.llm.lines import op8_minhash_lines
+from stayledger.llm.passages import op9_collinear_chains
 from stayledger.llm.secrets import op4_secret_randomness
 from stayledger.llm.sharding import op3_rendezvous_sharding
 from stayledger.llm.simhash import op6_simhash_covering
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_simhash_covering,
         op7_gumbel_segmentations,
         op8_minhash_lines,
+        op9_collinear_chains,
         op10_license_rules,
     )
 }

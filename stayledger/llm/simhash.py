@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stayledger.llm.components import components
-from stayledger.llm.frames import cut, table
+from stayledger.llm.frames import cut, doc_key, table
 from stayledger.llm.textbytes import FOLD_SPACE, texts
 
 BITS = 64
@@ -186,20 +186,42 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _marked(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, doc: its key, fingerprint) of every row."""
+    key = doc_key(F.col(doc_id), F.col(text))
+    return cut(docs.select(F.col(doc_id).alias("doc_id"), key.alias("doc"), simhash(F.col(text), words).alias("fingerprint")))
+
+
+def _named(marked: DataFrame, radius: int, name: Column) -> DataFrame:
+    """(fingerprint, name): the class of each fingerprint, named by an aggregate of
+    the rows that is itself a minimum of minima."""
+    prints = marked.groupBy("fingerprint").agg(name.alias("least"))
+    roots = components(fingerprint_links(prints.select("fingerprint"), radius), "a", "b")
+    classes = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
+    )
+    named = classes.groupBy("root").agg(F.min("least").alias("name"))
+    return classes.join(named, "root").select("fingerprint", "name")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, fingerprint long, component_id) for every row: the class is named
     by its smallest doc_id."""
-    marked = cut(docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text), words).alias("fingerprint")))
-    prints = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    roots = components(fingerprint_links(prints.select("fingerprint"), radius), "a", "b")
-    classes = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = classes.join(named, "root").select("fingerprint", "component_id")
-    return marked.join(by_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    marked = _marked(docs, words, doc_id, text)
+    named = _named(marked, radius, F.min("doc_id"))
+    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", F.col("name").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each class: that of the smallest doc_id (a null
+    one comes last, equal ones go by text); rows that repeat it stay once."""
+    marked = _marked(docs, words, doc_id, text)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "doc"))
+    kept = _named(marked, radius, first).select(F.col("name.doc").alias("_doc")).distinct()
+    keyed = docs.withColumn("_doc", doc_key(F.col(doc_id), F.col(text))).dropDuplicates(["_doc"])
+    return keyed.join(kept, "_doc", "left_semi").select(*docs.columns)
 
 
 def op6_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
