@@ -249,17 +249,17 @@ def mark_contamination(
     for k, automaton in enumerate(_blocks(items, item_id, item_text, window, block_bytes)):
         shared = spark.sparkContext.broadcast(automaton)
         if k == 0:
-            found = docs.withColumn("_found", _scanner(shared, False)(F.col(text)))
+            found = docs.withColumn("__found", _scanner(shared, False)(F.col(text)))
         else:  # executors hold one block's automaton at a time
-            found = cut(found).withColumn("_found", _scanner(shared, True)(F.col(text), F.col("_found")))
-    n_hit = F.aggregate("_found.hits", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
+            found = cut(found).withColumn("__found", _scanner(shared, True)(F.col(text), F.col("__found")))
+    n_hit = F.aggregate("__found.hits", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
     return (
-        found.withColumn("n_words", F.col("_found.n_words"))
+        found.withColumn("n_words", F.col("__found.n_words"))
         .withColumn("n_hit", n_hit)
-        .withColumn("hits", F.col("_found.hits"))
-        .withColumn("items", F.col("_found.items"))
+        .withColumn("hits", F.col("__found.hits"))
+        .withColumn("items", F.col("__found.items"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words")))
-        .drop("_found")
+        .drop("__found")
     )
 
 

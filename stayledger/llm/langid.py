@@ -168,11 +168,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         )
 
     return (
-        docs.withColumn("_near", nearest(F.col(text), has_letter(F.col(text))))
-        .withColumn("lang_pred", F.col("_near.lang"))
-        .withColumn("score", F.col("_near.score"))
-        .withColumn("rejected", F.col("_near.rejected"))
-        .drop("_near")
+        docs.withColumn("__near", nearest(F.col(text), has_letter(F.col(text))))
+        .withColumn("lang_pred", F.col("__near.lang"))
+        .withColumn("score", F.col("__near.score"))
+        .withColumn("rejected", F.col("__near.rejected"))
+        .drop("__near")
     )
 
 

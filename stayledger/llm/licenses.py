@@ -147,7 +147,7 @@ SENTENCES = [
     ("cc0", 92, "zero", "creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?"),
     ("cc-by", 85, "attribution", "creative commons attribution(?: [1234] [05])?(?: international| unported| generic)?"),
     ("cc-by-sa", 86, "alike", "creative commons attribution share ?alike(?: [1234] [05])?(?: international| unported| generic)?"),
-    ("cc-by-nd", 86, "noderiv", "creative commons attribution no ?deriv(?:ative)?s?(?: [1234] [05])?"),
+    ("cc-by-nd", 86, "deriv", "creative commons attribution no ?deriv(?:ative)?s?(?: [1234] [05])?"),
     ("cc-by-nc", 86, "commercial", "creative commons attribution non ?commercial(?: [1234] [05])?"),
     ("cc-by-nc-sa", 87, "alike", "creative commons attribution non ?commercial share ?alike(?: [1234] [05])?"),
     ("cc-by-nc-nd", 87, "commercial", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1234] [05])?"),
@@ -206,11 +206,11 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     ruleset = F.from_json(F.lit(json.dumps(rules())), _RULE)
     gated = F.lit(False)
     for g in GATES:
-        gated = gated | F.contains(F.col("_words"), F.lit(g))
+        gated = gated | F.contains(F.col("__license_words"), F.lit(g))
     running = F.filter(
-        ruleset, lambda r: F.contains(F.col("_words"), r["keyword"]) & F.regexp(F.col("_words"), r["regex"])
+        ruleset, lambda r: F.contains(F.col("__license_words"), r["keyword"]) & F.regexp(F.col("__license_words"), r["regex"])
     )
-    found = F.flatten(F.transform(running, lambda r: _places(F.col("_words"), r)))
+    found = F.flatten(F.transform(running, lambda r: _places(F.col("__license_words"), r)))
     none = F.array().cast("array<struct<first:bigint,end:bigint,label:string,priority:int,rule:int>>")
 
     def stronger(e: Column, d: Column) -> Column:
@@ -222,16 +222,16 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def stands(d: Column) -> Column:
         return ~F.exists(
-            F.col("_found"), lambda e: (e["first"] <= d["first"]) & (e["end"] >= d["end"]) & stronger(e, d)
+            F.col("__license_found"), lambda e: (e["first"] <= d["first"]) & (e["end"] >= d["end"]) & stronger(e, d)
         )
 
-    n = F.length("_words") - F.length(F.replace("_words", F.lit(" "), F.lit(""))) - 1
+    n = F.length("__license_words") - F.length(F.replace("__license_words", F.lit(" "), F.lit(""))) - 1
     return (
-        docs.withColumn("_words", folded_words(F.col(text)))
-        .withColumn("_found", F.when(gated, found).otherwise(none))
+        docs.withColumn("__license_words", folded_words(F.col(text)))
+        .withColumn("__license_found", F.when(gated, found).otherwise(none))
         .withColumn("n_words", F.greatest(n, F.lit(0)).cast("long"))
-        .withColumn("base", F.filter("_found", lambda d: d["priority"] == 100))
-        .withColumn("detections", F.when(F.size("_found") > 0, F.filter("_found", stands)).otherwise(none))
+        .withColumn("base", F.filter("__license_found", lambda d: d["priority"] == 100))
+        .withColumn("detections", F.when(F.size("__license_found") > 0, F.filter("__license_found", stands)).otherwise(none))
         .withColumn(
             "labels",
             F.array_sort(F.array_distinct(F.transform(F.concat("base", "detections"), lambda d: d["label"]))),
@@ -240,7 +240,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
             "score",
             F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])) / 100.0, F.lit(0.0)),
         )
-        .drop("_words", "_found")
+        .drop("__license_words", "__license_found")
     )
 
 

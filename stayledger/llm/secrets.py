@@ -159,11 +159,11 @@ def _tested(start: Column, hit: Column, coincidence: dict[str, float], max_z: fl
 
 
 def _tokens(docs: DataFrame, text: str, coincidence: dict[str, float], max_z: float) -> DataFrame:
-    """Adds ``_tokens``: the tested tokens of each row. A token whose letters and
+    """Adds ``__secret_tokens``: the tested tokens of each row. A token whose letters and
     digits are of one class only (a word, a number) has no digit runs to test and
     fails the runs test by itself when it is long enough to tell."""
-    return docs.withColumn("_hits", _matches(F.coalesce(F.col(text), F.lit("")), TOKEN)).withColumn(
-        "_tokens", F.transform("_hits", lambda m: _tested(m["start"], m["hit"], coincidence, max_z))
+    return docs.withColumn("__secret_hits", _matches(F.coalesce(F.col(text), F.lit("")), TOKEN)).withColumn(
+        "__secret_tokens", F.transform("__secret_hits", lambda m: _tested(m["start"], m["hit"], coincidence, max_z))
     )
 
 
@@ -172,7 +172,7 @@ def discovery_bins(tokens: DataFrame, rate: float) -> dict[tuple[str, int], int]
     on the histogram: bin b stands if 10^(-b/10) <= rate * (tokens in bins >= b) / all,
     its upper edge taken as every member's p-value."""
     rows = (
-        tokens.select(F.explode("_tokens").alias("t"))
+        tokens.select(F.explode("__secret_tokens").alias("t"))
         .groupBy("t.encoding", "t.band", "t.bin")
         .count()
         .collect()
@@ -210,14 +210,14 @@ def scan_secrets(
         return t["even"] & passes & clear
 
     random = F.transform(
-        F.filter("_tokens", reported),
+        F.filter("__secret_tokens", reported),
         lambda t: F.struct(t["start"].alias("start"), F.lit(RANDOM).alias("kind"), t["end"].alias("end")),
     )
     return (
         _tokens(docs, text, coincidence, max_z)
         .withColumn("base_spans", _base_spans(F.coalesce(F.col(text), F.lit(""))))
-        .withColumn("spans", F.when(F.size("_tokens") > 0, F.array_sort(F.concat("base_spans", random))).otherwise(F.col("base_spans")))
-        .drop("_hits", "_tokens")
+        .withColumn("spans", F.when(F.size("__secret_tokens") > 0, F.array_sort(F.concat("base_spans", random))).otherwise(F.col("base_spans")))
+        .drop("__secret_hits", "__secret_tokens")
     )
 
 

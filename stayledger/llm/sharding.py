@@ -62,22 +62,22 @@ def number_slots(rows: DataFrame, order: Sequence[str], rows_per_bucket: int = 2
 
     ``rows`` should be narrow: it is checkpointed, as it is read twice. Rows
     that repeat all of ``order`` still spread over buckets, by input partition."""
-    rows = cut(rows.withColumn("_part", F.spark_partition_id()))
+    rows = cut(rows.withColumn("__part", F.spark_partition_id()))
     # a shard of a third of all rows has that many buckets too: the count is of all rows
     n = max(1, math.ceil(rows.count() / rows_per_bucket / 16))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order, "_part"), F.lit(n)).cast("int"))
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order, "__part"), F.lit(n)).cast("int"))
     first = (
-        rows.groupBy("shard", "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_first", F.sum("_n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("_n"))
-        .drop("_n")
+        rows.groupBy("shard", "__bucket")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__first", F.sum("__n").over(Window.partitionBy("shard").orderBy("__bucket")) - F.col("__n"))
+        .drop("__n")
     )
-    in_bucket = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy(*order))
+    in_bucket = F.row_number().over(Window.partitionBy("shard", "__bucket").orderBy(*order))
     return (
-        rows.withColumn("_at", in_bucket)
-        .join(first, ["shard", "_bucket"])
-        .withColumn("slot", (F.col("_first") + F.col("_at") - 1).cast("long"))
-        .drop("_bucket", "_part", "_at", "_first")
+        rows.withColumn("__at", in_bucket)
+        .join(first, ["shard", "__bucket"])
+        .withColumn("slot", (F.col("__first") + F.col("__at") - 1).cast("long"))
+        .drop("__bucket", "__part", "__at", "__first")
     )
 
 

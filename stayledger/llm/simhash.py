@@ -219,9 +219,9 @@ def keep_one(docs: DataFrame, words: int = 4, radius: int = 4, doc_id: str = "do
     one comes last, equal ones go by text); rows that repeat it stay once."""
     marked = _marked(docs, words, doc_id, text)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "doc"))
-    kept = _named(marked, radius, first).select(F.col("name.doc").alias("_doc")).distinct()
-    keyed = docs.withColumn("_doc", doc_key(F.col(doc_id), F.col(text))).dropDuplicates(["_doc"])
-    return keyed.join(kept, "_doc", "left_semi").select(*docs.columns)
+    kept = _named(marked, radius, first).select("name.doc").distinct()
+    keyed = docs.select(F.struct("*").alias("row"), doc_key(F.col(doc_id), F.col(text)).alias("doc"))
+    return keyed.dropDuplicates(["doc"]).join(kept, "doc", "left_semi").select("row.*")
 
 
 def op6_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,79 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stayledger.llm import licenses as L
+from tests_llm_data import SMALL, words
+
+
+def base(text):
+    w = words(text)
+    out = []
+    for label, phrase in L.BASE_PHRASES:
+        p = phrase.split()
+        out += [(i, label) for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
+    return sorted(out), len(w)
+
+
+def test_query_against_brute_force(spark, documents):
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    rows = L.op10_license_rules(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        places, n = base(texts[r["doc_id"]])
+        assert (r["n_words"], r["n_base"]) == (n, len(places))
+        assert r["first_word"] == (places[0][0] if places else None)
+        assert r["last_word"] == (places[-1][0] if places else None)
+        assert r["base_labels"] == ",".join(sorted({x for _, x in places}))
+        assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+        assert 0.0 <= r["score"] <= 1.0 and (r["score"] > 0) == (r["labels"] != "")
+
+
+def test_there_are_hundreds_of_gated_rules():
+    rules = L.rules()
+    assert len(rules) > 400
+    # a keyword or gate must be in whatever the regex matches: try it on the plainest match
+    for r in rules:
+        body = r["regex"][len("(?<= )(?:") : -len(")(?= )")]
+        plain = body
+        while re.search(r"\((\?:)?[^()]*\)", plain):
+            plain = re.sub(r"\((?:\?:)?([^()]*)\)(\?|\*|\{1,120\})?", lambda m: "" if m[2] in ("?", "*") else m[1].split("|")[0], plain)
+        plain = re.sub(r"\[\^ \]\+", "x", re.sub(r"licen\[sc\]e", "license", plain))
+        plain = re.sub(r"\[0-9\]\+", "2", re.sub(r"\[([^\]]).*?\]", r"\1", plain)).replace(" ?", " ").replace("s?", "s")
+        plain = re.sub(" +", " ", plain).strip()
+        text = f" {plain} "
+        assert re.search(r["regex"], text), (r, plain)
+        assert any(g in text for g in L.GATES), (r, plain)
+
+
+@pytest.mark.parametrize(
+    "text, labels, base_n",
+    [
+        ("Released UNDER the MIT-License, under the MIT license.", ["mit"], 2),
+        ("SPDX-License-Identifier: GPL-2.0-only", ["gpl-2"], 0),
+        ("licensed under the GNU Lesser General Public License, version 2.1", ["lgpl", "lgpl-2.1"], 0),
+        ("Licensed under the Apache License, Version 2.0", ["apache-2"], 1),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", ["mit"], 0),
+        ("This is CC BY-NC-SA 4.0 text", ["cc-by-nc", "cc-by-nc-sa"], 1),
+        ("they admit the license was fine", [], 0),
+        ("no rules here", [], 0),
+    ],
+)
+def test_labels(spark, text, labels, base_n):
+    r = L.scan_licenses(spark.createDataFrame([(text,)], "text string")).first()
+    assert r["labels"] == labels and len(r["base"]) == base_n
+
+
+def test_contained_weaker_detection_is_suppressed(spark):
+    r = L.scan_licenses(spark.createDataFrame([("licensed under the GNU Lesser General Public License",)], "text string")).first()
+    assert {d["label"] for d in r["detections"]} == {"lgpl"}
+
+
+def test_edges(edge, empty):
+    out = L.scan_licenses(edge)
+    assert out.count() == edge.count() and set(edge.columns) <= set(out.columns)
+    assert out.where(F.size("labels") > 0).count() == 0
+    by_text = {r["text"]: r["n_words"] for r in out.collect()}
+    assert by_text[None] == 0 and by_text[""] == 0 and by_text[" \t\n \r\n"] == 0 and by_text["1234 5678 !!"] == 2
+    assert L.scan_licenses(empty).count() == 0
