@@ -49,6 +49,7 @@ SHINGLE, SIMILARITY, MIN_CHARS = 8, 0.8, 20
 BANDS, ROWS = 12, 5
 RUN_LIMIT = 4096
 _STRETCH = 4 << 20
+_CHUNK = 1 << 18  # characters whose arrays stay in the processor's cache
 _FULL = np.uint32(0xFFFFFFFF)
 
 
@@ -92,14 +93,15 @@ def buckets(lines: list[bytes], shingle: int, bands: int, rows: int) -> np.ndarr
     joined = b"\n".join(lines).decode().encode("utf-32-le")
     points = np.frombuffer(joined, np.uint32)
     ends = np.append(np.flatnonzero(points == 10), len(points))
-    size = np.diff(np.concatenate(([-1], ends))) - 1
+    size = np.diff(np.concatenate(([-1], ends)))  # with the newline
     h = _windows(points, shingle)
-    line = np.repeat(np.arange(len(lines)), size + 1)[: len(h)]
-    inside = np.arange(len(h)) + shingle <= ends[line]
-    h, line = h[inside], line[inside]
-    bin_ = ((h >> np.uint64(32)) * np.uint64(n_bins)) >> np.uint64(32)
+    slot = ((h >> np.uint64(32)) * np.uint64(n_bins) >> np.uint64(32)).astype(np.int64)
+    slot += np.repeat(np.arange(0, len(lines) * n_bins, n_bins), size)[: len(h)]
+    value = h.astype(np.uint32) & np.uint32(0xFFFFFFFE)
+    over = (ends[:-1, None] - np.arange(shingle)).ravel()  # windows that reach into the next line
+    value[over] = _FULL
     least = np.full(len(lines) * n_bins, _FULL, np.uint32)
-    np.minimum.at(least, line * n_bins + bin_.astype(np.int64), (h & np.uint64(0xFFFFFFFE)).astype(np.uint32))
+    np.minimum.at(least, slot, value)
     own = least.reshape(len(lines), n_bins)
     full = own.copy()
     r, c = np.nonzero(own == _FULL)
@@ -126,7 +128,10 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.Reco
         for first, end in batches_by_bytes(values, _STRETCH):
             lines = {line_hash(x): x for t in values[first:end] for x in fold_lines(t) if _judged(x, o["min_chars"])}
             if lines:
-                found = buckets(list(lines.values()), o["shingle"], o["bands"], o["rows"])
+                own = list(lines.values())
+                found = np.concatenate(
+                    [buckets(own[a:z], o["shingle"], o["bands"], o["rows"]) for a, z in batches_by_bytes(own, _CHUNK)]
+                )
                 keys = np.repeat(np.fromiter(lines, np.int64, len(lines)), o["bands"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.reshape(-1).view(np.int64)), pa.array(keys)], names=["bucket", "key"]
@@ -134,10 +139,11 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.Reco
 
 
 def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, key): the members of buckets with different keys.
-    A small bucket is renamed after its members, so that the bands two lines
-    share give one group; a long one streams through under its own number."""
-    held = None  # the unfinished bucket's different keys, with its number
+    """Rows sorted by bucket: the members of buckets with different keys. A small
+    bucket is renamed after its members, so that the bands two lines share give
+    one group; a long one streams through under its own number (perhaps with
+    repeats, which the caller drops)."""
+    held = None  # (number, different keys) of the unfinished bucket
     long = None  # number of a bucket that streams
 
     def out(bucket, key):
@@ -147,40 +153,34 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         h = xxhash.xxh3_64_intdigest(keys.tobytes())
         return h - (1 << 64) if h >> 63 else h
 
-    last_key = None
     for batch in batches:
         bucket, key = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if not len(bucket):
-            continue
         if long is not None:
             n = int((bucket == long).sum())  # sorted: they come first
-            mine = key[:n][np.diff(key[:n], prepend=last_key) != 0] if n else key[:0]
-            if len(mine):
-                yield out(np.full(len(mine), long), mine)
-                last_key = mine[-1]
+            if n:
+                yield out(np.full(n, long), key[:n])
             bucket, key = bucket[n:], key[n:]
-            if not len(bucket):
-                continue
-            long = None
+            if len(bucket):
+                long = None
+        if not len(bucket):
+            continue
         if held is not None:
             bucket = np.concatenate((np.full(len(held[1]), held[0]), bucket))
             key = np.concatenate((held[1], key))
-            held = None
-        new = np.ones(len(bucket), bool)
-        new[1:] = (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])
-        bucket, key = bucket[new], key[new]
         starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         ends = np.append(starts[1:], len(bucket))
         names, members = [], []
-        for s, e in zip(starts[:-1][ends[:-1] - starts[:-1] > 1], ends[:-1][ends[:-1] - starts[:-1] > 1]):
-            names.append(np.full(e - s, named(key[s:e]) if e - s <= RUN_LIMIT else bucket[s]))
-            members.append(key[s:e])
+        more = np.flatnonzero(ends[:-1] - starts[:-1] > 1)
+        for s, e in zip(starts[more].tolist(), ends[more].tolist()):
+            keys = np.unique(key[s:e])
+            if len(keys) > 1:
+                names.append(np.full(len(keys), named(keys) if len(keys) <= RUN_LIMIT else bucket[s]))
+                members.append(keys)
         if names:
             yield out(np.concatenate(names), np.concatenate(members))
-        held = (bucket[-1], key[starts[-1] :])
+        held = (bucket[-1], np.unique(key[starts[-1] :]))
         if len(held[1]) > RUN_LIMIT:
-            long, last_key, tail = held[0], held[1][-1], held[1]
-            held = None
+            long, tail, held = held[0], held[1], None
             yield out(np.full(len(tail), long), tail)
     if held is not None and len(held[1]) > 1:
         yield out(np.full(len(held[1]), named(held[1])), held[1])
@@ -198,16 +198,48 @@ def _line_rows(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.Record
             )
 
 
+def shingle_set(line: str, shingle: int) -> np.ndarray:
+    """The line's different shingles as sorted numbers. Exact: up to eight characters
+    of one byte each are packed into a number; other lines go by the shingles'
+    places in their own sorted list (see `_sets`)."""
+    raw = line.encode("latin-1").ljust(shingle, b"\0")
+    n = len(raw) - shingle + 1
+    words = np.ndarray((n,), np.uint64, raw + b"\0" * 8, strides=(1,)).copy()  # eight bytes from each place
+    if shingle < 8:
+        words &= np.uint64((1 << 8 * shingle) - 1)
+    words.sort()
+    return words[np.concatenate(([True], words[1:] != words[:-1]))]
+
+
+def _sets(lines: list[str], shingle: int) -> list[np.ndarray]:
+    """The shingle sets of lines that are to be compared."""
+    try:
+        if shingle <= 8:
+            return [shingle_set(x, shingle) for x in lines]
+    except UnicodeEncodeError:
+        pass
+    number: dict[str, int] = {}
+    of = [{x[i : i + shingle] for i in range(max(1, len(x) - shingle + 1))} for x in lines]
+    return [np.array(sorted(number.setdefault(g, len(number)) for g in x), np.uint64) for x in of]
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    both = np.concatenate((a, b))
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def like_links(lines: list[str], shingle: int, similarity: float) -> list[tuple[int, int]]:
     """A spanning forest (index pairs) of the pairs whose exact Jaccard similarity
     reaches ``similarity``: breadth first over what is left."""
-    sets = [frozenset(x[i : i + shingle] for i in range(max(1, len(x) - shingle + 1))) for x in lines]
+    sets = _sets(lines, shingle)
     left, links = list(range(len(lines))), []
 
-    def like(a: frozenset, b: frozenset) -> bool:
+    def like(a: np.ndarray, b: np.ndarray) -> bool:
         if min(len(a), len(b)) < similarity * max(len(a), len(b)):
             return False
-        both = len(a & b)
+        both = _common(a, b)
         return both >= similarity * (len(a) + len(b) - both)
 
     while left:
@@ -253,7 +285,7 @@ def _verified(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordB
 def like_lines(docs: DataFrame, text: str, o: dict) -> DataFrame:
     """(node, root) of the lines that are like others (by line hash)."""
     rows = docs.select(text).mapInArrow(lambda b: _bucket_rows(b, o), "bucket long, key long")
-    met = rows.repartition("bucket").sortWithinPartitions("bucket", "key").mapInArrow(_shared_buckets, "bucket long, key long")
+    met = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared_buckets, "bucket long, key long")
     met = spill(met, "line-buckets").distinct()
     keys = spill(met.select("key").distinct(), "line-keys")
     line = docs.select(text).mapInArrow(lambda b: _line_rows(b, o), "key long, line string")
@@ -319,7 +351,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     judged = spill(rooted.join(kept.select("root", "kept"), "root").select("key", "kept.doc", "kept.at"), "line-kept")
     judged = judged.withColumnsRenamed({"doc": "kept_doc", "at": "kept_at"})
     gone = places.join(judged, "key").where("doc <> kept_doc or at <> kept_at")
-    return gone.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("removed"))
+    return spill(gone.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("removed")), "line-removed")
 
 
 def _without(text: Column, removed: Column) -> Column:
