@@ -1,18 +1,22 @@
 """Connected components of an edge table, in Spark (alternating stars).
 
-Each round keeps the components and shortens the paths: every node sends its
-larger neighbours to the smallest node it knows (large star), then its smaller
-neighbours to the smallest of them (small star). When nothing changes, every
-component is a star around its smallest node. Rounds grow with the logarithm of
-the longest path. Neighbourhoods are only ever aggregated with ``min``, which
-combines before the shuffle, and joined to one row per node; no node's
-neighbours are collected. Each round ends in a checkpoint."""
+Edges run from a larger node u to a smaller node v. Each round keeps the
+components and shortens the paths. Large star: every edge (u, v) becomes (u, the
+least node v knows). Small star: of the nodes u now points to, the larger ones
+point to the least, and so does u. When nothing changes, every component is a
+star around its smallest node. Rounds grow with the logarithm of the longest path.
+
+Neighbourhoods are only ever aggregated with ``min``, which combines before the
+shuffle, and joined back to one row per node; no node's neighbours are gathered.
+The aggregates are written before they are joined: both sides of a join are plain
+scans then, so that a node with a third of all edges is split over many tasks,
+or the small side is broadcast by its size. A round's edges are written too."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stayledger.llm.frames import cut
+from stayledger.llm.frames import spill
 
 
 def _stamp(edges: DataFrame) -> tuple:
@@ -26,21 +30,19 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
     """(node, root) for every node of an edge between different nodes; ``root``
     is the smallest node of its component. Repeated edges, loops and edges with
     a null end do nothing; an empty table gives an empty one."""
-    e = cut(
-        edges.where(F.col(a) != F.col(b))
-        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-        .distinct()
+    e = spill(
+        edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
+        "edges",
     )
     before = _stamp(e)
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        both = e.union(e.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        known = spill(e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")), "large-star")
+        large = spill(e.join(known, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "edges")
+        low = spill(large.groupBy("u").agg(F.min("v").alias("m")), "small-star")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct())
+        e = spill(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         after = _stamp(e)
         if after == before:
             break
