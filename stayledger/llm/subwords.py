@@ -25,8 +25,9 @@ long text's segmentations are all improbable.
 
 No piece crosses from a word into a following ``▁``, so the lattice is a chain of
 chunks (a word with the ``▁`` before it; a run of byte pieces) whose cuts are
-independent. Forward sums are made once per different chunk of a few MB of
-text, and all documents of that stretch are walked together, in NumPy. Random
+independent. Forward sums are made once per different chunk of a stretch of
+text (frequent ones are kept), and all documents of the stretch are walked
+together, in NumPy. Random
 numbers are a hash of (row key, sample, chunk, step): the same row gives the same
 samples on any cluster. Documents are never shuffled.
 
@@ -56,7 +57,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 ALPHA = 0.5
 _BYTE = 0xF0000  # private-use code points that stand for byte pieces
-_STRETCH = 4 << 20
+_STRETCH = 512 << 10  # the arrays over a stretch stay within 100 MB
 _LINEAR = 96  # chunks up to this length are summed as plain numbers, longer ones as logarithms
 
 
@@ -64,7 +65,8 @@ _LINEAR = 96  # chunks up to this length are summed as plain numbers, longer one
 class Pieces:
     """The lattice's vocabulary: a hashed trie, log-probabilities, decoding bytes."""
 
-    chars: np.ndarray  # code points, sorted; a character's number is its place + 1
+    number: np.ndarray  # code point -> number of the character, 0 for what no piece holds
+    root: np.ndarray  # number of a character -> its trie node under the root, or 0
     slots: np.ndarray  # hashed (node, character number)
     child: np.ndarray
     piece: np.ndarray  # trie node -> piece id, or -1
@@ -74,6 +76,10 @@ class Pieces:
     known: str  # regex class body of the characters that pieces hold
     tall: float  # per character, added to log weights so that plain sums keep within range
 
+    @functools.cached_property
+    def store(self) -> ChunkStore:
+        return ChunkStore(self)
+
 
 def _slot(key: np.ndarray, size: int) -> np.ndarray:
     mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -118,8 +124,14 @@ def load_pieces(model: bytes, alpha: float = ALPHA) -> Pieces:
             s = (s + 1) % size
         slots[s], child[s] = key, to
     known = "".join(re.escape(chr(c)) for c in chars if chr(c) != SPACE) + r"\x20\n"
+    number_of = np.zeros(0x110000, np.uint16)
+    number_of[chars] = np.arange(1, len(chars) + 1)
+    root = np.zeros(len(chars) + 1, np.int32)
+    for (at, c), to in nodes.items():
+        if at == 0:
+            root[c] = to
     return Pieces(
-        chars, slots, child, np.array(piece, np.int32), alpha * log_p, byte_id, bytes_of, known, 4.0 * alpha
+        number_of, root, slots, child, np.array(piece, np.int32), alpha * log_p, byte_id, bytes_of, known, 4.0 * alpha
     )
 
 
@@ -156,21 +168,21 @@ class Lattices:
         # a unit sits at the node before it; the last node of a chunk has none
         at = np.arange(len(points)) + np.repeat(np.arange(len(chunks)), size)
         unit = np.zeros(n_nodes, np.int64)
-        place = np.searchsorted(p.chars, points)
-        place[place == len(p.chars)] = 0
-        unit[at] = np.where(p.chars[place] == points, place + 1, 0)
+        unit[at] = p.number[points]
         depth = np.arange(n_nodes) - np.repeat(self.base, size + 1)  # units before the node
         found = []  # (length, nodes where the edges start, piece ids)
-        live, node = at, np.zeros(len(at), np.int64)
-        for length in range(1, 65):
-            c = unit[live + length - 1]
-            node, hit = self._step(node, c, p)
-            live, node = live[hit], node[hit]
-            if not len(live):
-                break
+        node = p.root[unit[at]].astype(np.int64)
+        live = at[node > 0]
+        node, length = node[node > 0], 1
+        while len(live):
+            if length > 1:
+                node, hit = self._step(node, unit[live + length - 1], p)
+                live, node = live[hit], node[hit]
             ids = p.piece[node]
-            if (ids >= 0).any():
-                found.append((length, live[ids >= 0], ids[ids >= 0]))
+            piece = ids >= 0
+            if piece.any():
+                found.append((length, live[piece], ids[piece]))
+            length += 1
         # what has no piece of its own: byte units (characters only come with one)
         byte = at[(points >= _BYTE) & (points < _BYTE + 256)]
         own = p.byte_id[points[(points >= _BYTE) & (points < _BYTE + 256)] - _BYTE]
@@ -194,19 +206,20 @@ class Lattices:
         return to, hit
 
     def _sum(self, found: list, n_nodes: int, depth: np.ndarray, long: np.ndarray, p: Pieces) -> None:
-        by_depth = []  # edges of one length in the order of their end's depth
+        edges = []  # of one length each: start, piece, log weight, weight; by the depth they end at
         for length, start, ids in found:
             d = depth[start] + length
             order = np.argsort(d if d.max() >= 1 << 15 else d.astype(np.int16), kind="stable")
-            bounds = np.searchsorted(d[order], np.arange(int(d.max()) + 2))
-            w = p.log_p[ids[order]]
-            by_depth.append((length, start[order], w, np.exp(w + p.tall * length), bounds))
-        deepest = max((len(b) - 2 for *_, b in by_depth), default=0)
+            bounds = np.bincount(d).cumsum()  # edges that end at depth d or before
+            start, ids = start[order], ids[order]
+            w = p.log_p[ids]
+            edges.append((length, start, ids, w, np.exp(w + p.tall * length), [0, *bounds.tolist()]))
+        deepest = max((len(e[5]) - 2 for e in edges), default=0)
         total = np.where(long, -np.inf, 0.0)
         total[depth == 0] = np.where(long[depth == 0], 0.0, 1.0)
         any_long = bool(long.any())
         for d in range(1, deepest + 1):
-            for length, start, log_w, w, bounds in by_depth:
+            for length, start, _, log_w, w, bounds in edges:
                 if d + 1 < len(bounds) and bounds[d] < bounds[d + 1]:
                     here = slice(bounds[d], bounds[d + 1])
                     s, v = start[here], w[here]
@@ -216,26 +229,23 @@ class Lattices:
                         s, v = s[~log], v[~log]
                     total[s + length] += total[s] * v
         degree = np.zeros(n_nodes, np.int64)
-        for length, start, _ in found:
+        for length, start, *_ in edges:
             degree[start + length] += 1
         self.first = np.concatenate(([0], np.cumsum(degree)))[:-1]
         n = int(degree.sum())
-        self.prev, self.id, self.log_p = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n)
+        self.prev, self.id, self.p = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n)
         self.below, fill = np.zeros(n), self.first.copy()
         seen = np.zeros(n_nodes)
-        for length, start, ids in found:
+        for length, start, ids, log_w, w, _ in edges:
             end = start + length
             at = fill[end]
             fill[end] += 1
-            w = p.log_p[ids]
-            log = np.where(long[start], total[start] + w - total[end], -np.inf) if any_long else None
-            with np.errstate(divide="ignore", invalid="ignore"):
-                prob = total[start] * np.exp(w + p.tall * length) / total[end]
-            if log is not None:
-                prob = np.where(long[start], np.exp(log), prob)
+            with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+                prob = total[start] * w / total[end]
+                if any_long:
+                    prob = np.where(long[start], np.exp(total[start] + log_w - total[end]), prob)
             seen[end] += prob
-            self.prev[at], self.id[at], self.below[at] = start, ids, seen[end]
-            self.log_p[at] = np.log(np.minimum(prob, 1.0))
+            self.prev[at], self.id[at], self.below[at], self.p[at] = start, ids, seen[end], np.minimum(prob, 1.0)
         last = self.first + degree - 1
         self.below[last[degree > 0]] = np.inf  # rounding never runs past the last edge
         self.degree = degree
@@ -286,7 +296,7 @@ def _draw(lat: Lattices, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
             edge[over] += 1
             over = over[u[over] > lat.below[edge[over]]]
         steps.append((live, lat.id[edge]))
-        log_p[live] += lat.log_p[edge]
+        log_p[live] += np.log(lat.p[edge])
         length[live] += 1
         cur[live] = lat.prev[edge]
         live = live[cur[live] != goal[live]]
@@ -299,19 +309,57 @@ def _draw(lat: Lattices, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
     return place + pool.add(ids), length, log_p
 
 
+class ChunkStore:
+    """The chunks a worker has met, by number, with their lattices in parts: those of
+    the first ``KEPT`` stretches stay (they hold the frequent chunks), the part
+    behind them holds what else the stretch at hand has. What is kept decides
+    nothing but the time: a chunk's lattice is the same in any part."""
+
+    KEPT = 8
+
+    def __init__(self, p: Pieces) -> None:
+        self.p, self.number, self.parts, self.starts, self.last = p, {}, [], [0], []
+
+    def take_in(self, different: list[str]) -> None:
+        if len(self.parts) > self.KEPT:
+            for c in self.last:
+                del self.number[c]
+            self.parts.pop()
+            self.starts.pop()
+        self.last = [c for c in different if c not in self.number]
+        first = self.starts[-1]
+        self.number.update(zip(self.last, range(first, first + len(self.last))))
+        self.parts.append(Lattices(self.last, self.p) if self.last else None)
+        self.starts.append(first + len(self.last))
+
+    def of(self, chunk: int) -> tuple[Lattices, int]:
+        k = int(np.searchsorted(self.starts, chunk, side="right")) - 1
+        return self.parts[k], chunk - self.starts[k]
+
+    def draw(self, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
+        """`_draw` for chunks of any parts."""
+        out = np.zeros(len(chunk), np.int64), np.zeros(len(chunk), np.int64), np.zeros(len(chunk))
+        part = np.searchsorted(self.starts, chunk, side="right") - 1
+        for k in np.unique(part):
+            own = np.flatnonzero(part == k)
+            for whole, some in zip(out, _draw(self.parts[k], chunk[own] - self.starts[k], seed[own], pool)):
+                whole[own] = some
+        return out
+
+
 def _draw_other(lat: Lattices, chunk: int, taken: list[list[int]], seed: np.ndarray) -> tuple[list[int], float]:
     """A random cut of one chunk, other than those ``taken``."""
     cur, goal, out, log_p, step = int(lat.end[chunk]), int(lat.base[chunk]), [], 0.0, 0
     open_ = []  # (pieces still to come, from the end; their probability from here)
     for cut in taken:
-        prob, at = 0.0, cur
+        prob, at = 1.0, cur
         for i in reversed(cut):
             e = next(e for e in range(lat.first[at], lat.first[at] + lat.degree[at]) if lat.id[e] == i)
-            prob, at = prob + lat.log_p[e], int(lat.prev[e])
-        open_.append((cut, float(np.exp(prob))))
+            prob, at = prob * float(lat.p[e]), int(lat.prev[e])
+        open_.append((cut, prob))
     while cur != goal:
         edges = range(int(lat.first[cur]), int(lat.first[cur] + lat.degree[cur]))
-        prob = [float(np.exp(lat.log_p[e])) for e in edges]
+        prob = [float(lat.p[e]) for e in edges]
         mass = [max(0.0, q - sum(r for c, r in open_ if c[-1] == lat.id[e])) for e, q in zip(edges, prob)]
         u, k = float(_uniform(seed, step)[0]) * sum(mass), 0
         while k + 1 < len(mass) and (u > mass[k] or mass[k] == 0.0):
@@ -322,7 +370,7 @@ def _draw_other(lat: Lattices, chunk: int, taken: list[list[int]], seed: np.ndar
         e = edges[k]
         open_ = [(c[:-1], r / prob[k]) for c, r in open_ if c[-1] == lat.id[e]]
         out.append(int(lat.id[e]))
-        log_p += float(lat.log_p[e])
+        log_p += float(np.log(lat.p[e]))
         cur = int(lat.prev[e])
         step += 1
     return out[::-1], log_p
@@ -336,11 +384,10 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
     docs = [i for i, r in enumerate(rows) if r]
     if not docs:
         return out
-    different = list(dict.fromkeys(chain.from_iterable(rows)))
-    number = {c: i for i, c in enumerate(different)}
-    lat = Lattices(different, p)
+    store = p.store
+    store.take_in(list(dict.fromkeys(chain.from_iterable(rows))))
     n = np.array([len(rows[i]) for i in docs])
-    chunk = np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), np.int64, int(n.sum()))
+    chunk = np.fromiter(map(store.number.__getitem__, chain.from_iterable(rows)), np.int64, int(n.sum()))
     start = np.concatenate(([0], np.cumsum(n)))
     doc = np.repeat(np.arange(len(docs)), n)
     nth = np.arange(len(chunk)) - start[doc]
@@ -365,7 +412,7 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
 
     for s in range(k):
         if s == 0:
-            here = (*_draw(lat, chunk, seeds(0, everywhere, 1), pool),)
+            here = store.draw(chunk, seeds(0, everywhere, 1), pool)
             fresh = np.ones(len(chunk), bool)
         else:
             tops = np.array([np.maximum.reduceat(v, start[:-1]) for v in sets])
@@ -381,13 +428,13 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
                 for mine, theirs in zip(here, samples[b]):
                     mine[a:i] = theirs[a:i]
                 out_of = taken.get((b, d, i - a)) or [cut(b, i)]
-                ids, log_p = _draw_other(lat, int(chunk[i]), out_of, seeds(s, np.array([i]), 2))
+                ids, log_p = _draw_other(*store.of(int(chunk[i])), out_of, seeds(s, np.array([i]), 2))
                 here[0][i], here[1][i], here[2][i] = pool.add(np.array(ids, np.int32)), len(ids), log_p
                 taken[s, d, i - a] = [*out_of, ids]
                 fresh[i + 1 : z] = True
             at = np.flatnonzero(fresh)
             if len(at):
-                for mine, drawn in zip(here, _draw(lat, chunk[at], seeds(s, at, 1), pool)):
+                for mine, drawn in zip(here, store.draw(chunk[at], seeds(s, at, 1), pool)):
                     mine[at] = drawn
         samples.append(here)
         values_of.append((best, alive))
@@ -403,7 +450,7 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
             for (ts, d, i), cuts in taken.items():
                 if ts == s:  # the popped chunk itself: all cuts drawn so far are ruled out
                     at_ = start[d] + i
-                    gone = _probability(lat, int(chunk[at_]), cuts)
+                    gone = _probability(*store.of(int(chunk[at_])), cuts)
                     rest[at_] = np.log1p(-gone) if gone < 1 - 1e-12 else -np.inf
                     open_[at_] = True
         at = np.flatnonzero(open_ & (rest > -np.inf))
@@ -434,11 +481,11 @@ def _log_inclusion(above: float) -> float:
 def _probability(lat: Lattices, chunk: int, cuts: list[list[int]]) -> float:
     total = 0.0
     for cut in cuts:
-        log_p, at = 0.0, int(lat.end[chunk])
+        prob, at = 1.0, int(lat.end[chunk])
         for i in reversed(cut):
             e = next(e for e in range(lat.first[at], lat.first[at] + lat.degree[at]) if lat.id[e] == i)
-            log_p, at = log_p + lat.log_p[e], int(lat.prev[e])
-        total += float(np.exp(log_p))
+            prob, at = prob * float(lat.p[e]), int(lat.prev[e])
+        total += prob
     return total
 
 
