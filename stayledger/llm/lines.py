@@ -47,7 +47,7 @@ from stayledger.llm.textbytes import FOLD_LINES, batches_by_bytes, texts
 
 SHINGLE, SIMILARITY, MIN_CHARS = 8, 0.8, 20
 BANDS, ROWS = 12, 5
-RUN_LIMIT = 4096
+RUN_LIMIT = 512
 _STRETCH = 4 << 20
 _CHUNK = 1 << 18  # characters whose arrays stay in the processor's cache
 _FULL = np.uint32(0xFFFFFFFF)

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from stayledger.llm.frames import cut, table
+from stayledger.llm.frames import cut, spill, table
 
 PIVOTS = 256  # ranks fit one byte
 POST, PROBE, SHARE, LEAST = 16, 16, 0.03, 200
@@ -189,6 +189,7 @@ def nearest_vectors(
     order = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "id")
     best = found.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
     lists = best.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("at", "id", "score"))).alias("near"))
+    lists = spill(lists, "nearest")  # a vector that many queries share is then split, or the lists broadcast
     others = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)
     return (
         askers.join(lists, ["k1", "k2"])
