@@ -1,28 +1,12 @@
 import pytest
 
-from pyspark.sql import functions as F
+from stayledger.session import ship_package
+from tests_llm_data import SMALL, framed, prose
 
-SMALL = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-#: Extra columns named like outputs and helpers of the operators.
-CLASHES = ["shard", "slot", "score", "labels", "hits", "items", "rejected", "fingerprint", "doc", "key", "row", "removed", "spans", "name", "_row", "node", "root"]
 
-
-def prose(seed: int, n: int) -> str:
-    """Text of ``n`` made-up words, by a small congruence generator."""
-    x, words = seed * 7919 + 13, []
-    for _ in range(n):
-        x = (x * 1103515245 + 12345) % (1 << 31)
-        words.append("".join("bdklmnrst"[x // 7**k % 9] + "aeiou"[x // 11**k % 5] for k in range(2 + x % 3)))
-    return " ".join(words)
-
-
-def framed(spark, rows):
-    """Documents with clashing extra columns."""
-    df = spark.createDataFrame([(*r, None if r[1] is None else len(r[1])) for r in rows], SCHEMA)
-    for c in CLASHES:
-        df = df.withColumn(c, F.lit("mine"))
-    return df
+@pytest.fixture(scope="session", autouse=True)
+def code_on_workers(spark):
+    ship_package(spark)
 
 
 @pytest.fixture(scope="session")

@@ -1,0 +1,70 @@
+import corpus_pipeline as C
+from stayledger.llm import subwords
+from stayledger.llm.frames import table
+from test_decontaminate import brute as contaminated
+from test_lines import brute as repeated
+from test_simhash import brute_print, classes
+from tests_llm_data import SMALL, words
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def rows(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_stages_against_brute_force(spark, documents):
+    items = [(str(r["item_id"]), r["text"]) for r in table(spark, SMALL, "benchmark").collect()]
+    docs, kept = documents, None
+    for name, stage in C.STAGES[:-1]:
+        before = rows(docs)
+        out = stage(spark, docs, SMALL).cache()
+        after = rows(out)
+        assert out.columns == COLUMNS and out.count() == len(after)
+        texts = {i: r["text"] for i, r in before.items()}
+        got = {i: r["text"] for i, r in after.items()}
+        if name == "language_id":
+            assert got == texts  # all of these documents are in a known language
+        elif name == "line_dedup":
+            gone = repeated(texts.items())
+            cut = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, [])) for i, t in texts.items()}
+            assert got == {i: t for i, t in cut.items() if t.strip() or i not in gone}
+        elif name == "simhash":
+            root = classes([(i, brute_print(t)) for i, t in texts.items()])
+            assert got == {i: t for i, t in texts.items() if root[i] == i}
+        else:
+            for i, t in texts.items():
+                hit, _ = contaminated(t, items)
+                bad = len(hit) > 0 and 20 * len(hit) >= len(words(t))
+                assert (i in got) == (not bad)
+                if not bad:
+                    assert words(got[i]) == [w for k, w in enumerate(words(t)) if k not in hit]
+        assert all(r["n_chars"] == len(r["text"]) for i, r in after.items() if got[i] != texts[i])
+        docs, kept = out, got
+    last = C.STAGES[-1][1](spark, docs, SMALL).collect()
+    pieces = subwords.load_pieces(open(subwords.MODEL_FILE, "rb").read())
+    assert {r["doc_id"] for r in last} == set(kept)
+    for r in last:
+        assert subwords.decode_ids(r["ids"], pieces) == kept[r["doc_id"]]
+    whole = C.run(spark, SMALL)
+    assert sorted((r["doc_id"], r["sample"], tuple(r["ids"])) for r in whole.collect()) == sorted(
+        (r["doc_id"], r["sample"], tuple(r["ids"])) for r in last)
+
+
+def test_stages_take_edges_and_empty_tables(spark, edge, empty):
+    for docs in (edge, empty):
+        for name, stage in C.STAGES[:-1]:
+            out = stage(spark, docs, SMALL)
+            assert out.columns == docs.columns, name
+            assert out.count() <= docs.count()
+            assert name == "language_id" or docs is empty or out.where("doc = 'mine'").count() == out.count()
+        assert C.STAGES[-1][1](spark, docs, SMALL).where("ids is null and log_prob is not null").count() == 0
+
+
+def test_every_dealt_query_is_registered():
+    import __spark_entry__ as E
+
+    names = set(E.queries())
+    assert "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert all(callable(f) for _, f in C.STAGES)
