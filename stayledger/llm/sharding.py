@@ -12,7 +12,7 @@ of the rows, so no task sorts a whole shard: rows fall into buckets of about
 (one row per bucket) gives each bucket its first slot.
 
 Defined results: a null key is hashed as a key of its own; rows that repeat a
-key share its shard and get different slots; a null text has size 1; an empty
+key share its shard and get different slots; a null text has size 1 and the checksum of no bytes (0); an empty
 table stays empty. Columns of the input are kept; those named like an output
 are replaced by it.
 """
@@ -86,7 +86,7 @@ def op3_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
         F.lit("key").alias("law"),
     )
     sharded = shard_records(narrow, grown_weight=1.0)
