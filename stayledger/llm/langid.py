@@ -52,13 +52,14 @@ class Model:
 
 
 def gram_counts(values: list[bytes | None], dims: int) -> np.ndarray:
-    """Counts of hashed byte bigrams and trigrams, one row per text. A space is
-    put around each text; memory is bounded by ``_CHUNK`` bytes at a time."""
+    """Counts of hashed byte bigrams and trigrams, one row per text. Two spaces are
+    put on either side of each text, so that no gram reaches from one text into
+    the next; memory is bounded by ``_CHUNK`` bytes at a time."""
     counts = np.zeros(len(values) * dims, np.int64)
     shift = np.uint32(32 - dims.bit_length() + 1)
-    padded = [b" " + (v or b"").translate(_FOLD) + b"  " for v in values]
+    padded = [b"  " + (v or b"").translate(_FOLD) + b"  " for v in values]
     ends = np.cumsum([len(p) for p in padded])
-    joined = np.frombuffer(b"".join(padded), np.uint8)
+    joined = np.frombuffer(b"".join([*padded, b"  "]), np.uint8)
     for at in range(0, len(joined) - 2, _CHUNK):
         a = joined[at : at + _CHUNK + 2].astype(np.uint32)
         row = np.searchsorted(ends, np.arange(at, at + len(a) - 2), side="right") * dims
