@@ -1,5 +1,11 @@
 """Exception hierarchy of the warehouse jobs."""
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+# What a failed Spark job raises: known errors arrive converted, others as they are.
+JOB_ERRORS = (PySparkException, Py4JJavaError)
+
 
 class BookingPipelineError(Exception):
     """Base class: catch this to catch any job failure."""
@@ -9,11 +15,20 @@ class DataExtractionError(BookingPipelineError):
     """Reading the raw records failed."""
 
 
-class SchemaValidationError(BookingPipelineError):
+class CheckFailed(BookingPipelineError):
+    """A check of the input did not hold. ``check`` names it; ``columns`` are the
+    offending columns and ``count`` the offending rows or keys, where it has them."""
+
+    def __init__(self, check: str, text: str, columns: tuple[str, ...] = (), count: int | None = None) -> None:
+        super().__init__(f"{check}: {text}")
+        self.check, self.columns, self.count = check, tuple(columns), count
+
+
+class SchemaValidationError(CheckFailed):
     """The raw records do not have the expected structure."""
 
 
-class DataQualityError(BookingPipelineError):
+class DataQualityError(CheckFailed):
     """The transformed rows break a value rule."""
 
 

@@ -23,7 +23,8 @@ from ..sources.literals import empty_rows
 
 def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Run ``write`` on ``df`` and return how many rows it wrote, counted by
-    observed metrics during that same write (no extra pass)."""
+    observed metrics in the stage that writes: only the successful attempt of each
+    of its tasks counts, and no extra pass is made."""
     obs = Observation(f"copy-{uuid.uuid4().hex[:8]}")
     write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
     return int(obs.get["rows"])
@@ -31,15 +32,15 @@ def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """A database table reached over JDBC. ``num_partitions`` caps the
-    number of concurrent connections of a write (Spark coalesces the rows
-    into that many writers): without a cap a cluster-wide write would open
-    one connection per partition. ``None`` lifts the cap."""
+    """A database table reached over JDBC. ``num_partitions`` caps the number of
+    concurrent connections of a write, for a database that takes no more: the rows
+    are dealt to that many writers by a shuffle, so what computes them keeps its
+    own parallelism. By default every partition writes over its own connection."""
 
     url: str
     table: str
     properties: dict = field(default_factory=dict)
-    num_partitions: int | None = 16
+    num_partitions: int | None = None
     batch_size: int = 10_000
 
     def _options(self) -> dict:
@@ -47,17 +48,13 @@ class JdbcTarget:
         opts["batchsize"] = str(self.batch_size)
         return opts
 
-    def write(self, df: DataFrame, mode: str) -> int:
-        """Write ``df`` with ``mode``; returns the number of rows written.
+    def rows_to_write(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.num_partitions) if self.num_partitions else df
 
-        The cap is applied here with ``coalesce`` (no shuffle), not with the
-        writer's ``numPartitions`` option: with that option set, the
-        writer's own partition check keeps the row counter of the write
-        from being reported."""
-        if self.num_partitions:
-            df = df.coalesce(self.num_partitions)
-        return counted_write(df, lambda d: d.write.jdbc(self.url, self.table, mode=mode,
-                                                        properties=self._options()))
+    def write(self, df: DataFrame, mode: str) -> int:
+        """Write ``df`` with ``mode``; returns the number of rows written."""
+        return counted_write(self.rows_to_write(df), lambda d: d.write.jdbc(
+            self.url, self.table, mode=mode, properties=self._options()))
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.jdbc(self.url, self.table, properties=dict(self.properties))
@@ -75,6 +72,7 @@ class ParquetTarget:
         return spark.read.parquet(self.path)
 
 
+# The columns of the audit table.
 AUDIT_SCHEMA = T.StructType([
     T.StructField("snapshot_id", T.LongType()),
     T.StructField("batch_label", T.StringType()),

@@ -4,7 +4,7 @@
 non-emptiness with a lazy one-row probe. ``quality_report`` computes all four
 value checks in one scan and one shuffle: rows are grouped by key with
 map-side partial aggregation, so a hot key costs one row per map task.
-``raise_if_*`` keep the original order of checks and their messages.
+``raise_if_*`` raise for the first failing check, in the original order.
 """
 
 from __future__ import annotations
@@ -47,11 +47,14 @@ SCHEMA_REPORT = T.StructType([
 QUALITY_CHECKS = ["duplicate_keys", "negative_revenue", "invalid_currency", "missing_revenue"]
 
 
-def _leaf_type(df: DataFrame, path: str) -> str | None:
-    try:
-        return df.select(F.col(path)).schema[0].dataType.typeName()
-    except Exception:
-        return None
+def _leaf_type(schema: T.StructType, path: str) -> str | None:
+    """Type name of the nested field at ``path``, or None where the schema has none."""
+    here: T.DataType = schema
+    for name in path.split("."):
+        if not isinstance(here, T.StructType) or name not in here.fieldNames():
+            return None
+        here = here[name].dataType
+    return here.typeName()
 
 
 def schema_report(df: DataFrame, inferred_from_all_lines: bool = False) -> DataFrame:
@@ -69,7 +72,7 @@ def schema_report(df: DataFrame, inferred_from_all_lines: bool = False) -> DataF
     for name, expected in REQUIRED_COLUMNS.items():
         actual = fields.get(name)
         rows.append((3, "column_type", name, expected, actual, actual == expected))
-    leaf = _leaf_type(df, REVENUE_LEAF)
+    leaf = _leaf_type(df.schema, REVENUE_LEAF)
     rows.append((4, "revenue_type", REVENUE_LEAF, REVENUE_TYPE, leaf, leaf == REVENUE_TYPE))
     if inferred_from_all_lines and fields:
         rows.insert(0, (1, "not_empty", None, "rows", "rows", True))
@@ -87,33 +90,21 @@ def schema_report(df: DataFrame, inferred_from_all_lines: bool = False) -> DataF
     return non_empty.unionByName(static)
 
 
+_SCHEMA_RULES = {1: "the input has no rows", 2: "columns are absent", 3: "columns have another type",
+                 4: "the revenue leaf is absent or has another type"}
+
+
 def raise_if_schema_bad(report: DataFrame) -> None:
-    """Raise ``SchemaValidationError`` at the first failing check, naming all
-    offenders of that check. The report is bounded by the contract size."""
-    rows = sorted(report.collect(), key=lambda r: r.check_order)
-    failed = [r for r in rows if not r.passed]
+    """Raise ``SchemaValidationError`` for the first failing check, with all its
+    offending columns. The report is bounded by the contract size."""
+    failed = [r for r in report.collect() if not r.passed]
     if not failed:
         return
-    first = failed[0].check_order
-    bad = [r for r in failed if r.check_order == first]
-    if first == 1:
-        raise SchemaValidationError("Extracted DataFrame is empty. No records to process.")
-    if first == 2:
-        raise SchemaValidationError(
-            f"Missing required columns in raw data: {[r.column_name for r in bad]}. "
-            f"Expected columns: {list(REQUIRED_COLUMNS)}"
-        )
-    if first == 3:
-        msgs = [f"'{r.column_name}' expected "
-                + (r.expected if r.expected == "struct" else f"'{r.expected}'")
-                + f", got '{r.actual}'" for r in bad]
-        raise SchemaValidationError(f"Column data type mismatch in raw data: {msgs}")
-    r = bad[0]
-    if r.actual is None:
-        raise SchemaValidationError(f"Revenue source field '{REVENUE_LEAF}' does not exist in raw data.")
-    raise SchemaValidationError(
-        f"Revenue source field '{REVENUE_LEAF}' expected '{REVENUE_TYPE}', got '{r.actual}'"
-    )
+    order = min(r.check_order for r in failed)
+    bad = [r for r in failed if r.check_order == order]
+    found = ", ".join(f"{r.column_name} is {r.actual}, not {r.expected}" for r in bad if r.column_name)
+    raise SchemaValidationError(bad[0].check_name, _SCHEMA_RULES[order] + (f" ({found})" if found else ""),
+                                [r.column_name for r in bad if r.column_name], len(bad))
 
 
 def validate_schema(df: DataFrame, inferred_from_all_lines: bool = False) -> None:
@@ -156,23 +147,21 @@ def quality_report(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
+_VALUE_RULES = {
+    "duplicate_keys": "keys with more than one row",
+    "negative_revenue": "rows with an amount below zero",
+    "invalid_currency": "rows whose currency is not three capital letters",
+    "missing_revenue": "rows whose revenue is null or not a number",
+}
+
+
 def raise_if_bad(report: DataFrame) -> None:
-    """Raise ``DataQualityError`` at the first check with a non-zero count."""
-    rows = sorted(report.collect(), key=lambda r: r.check_order)
-    for r in rows:
-        n = r.bad_count
-        if not n:
-            continue
-        if r.check_name == "duplicate_keys":
-            msg = f"Found {n} duplicate transaction_id value(s) in transformed data."
-        elif r.check_name == "negative_revenue":
-            msg = f"Found {n} row(s) with negative revenue or revenue_usd."
-        elif r.check_name == "invalid_currency":
-            msg = (f"Found {n} row(s) with an invalid currency code "
-                   f"(expected a 3-letter uppercase code like 'EUR' or 'USD').")
-        else:
-            msg = f"Found {n} row(s) with a missing or invalid (NaN) revenue value."
-        raise DataQualityError(msg)
+    """Raise ``DataQualityError`` for the first check with a count above zero."""
+    bad = sorted((r for r in report.collect() if r.bad_count), key=lambda r: r.check_order)
+    if bad:
+        first = bad[0]
+        raise DataQualityError(first.check_name, f"{first.bad_count} {_VALUE_RULES[first.check_name]}",
+                               count=first.bad_count)
 
 
 def validate_quality(df: DataFrame, key: str = "transaction_id") -> None:

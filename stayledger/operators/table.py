@@ -2,25 +2,29 @@
 
 Layout of a table at ``path``::
 
-    commits/commit_id=<n>/*.parquet                       one row per commit
-    state/v=<n>/<partition>=<value>/*.parquet             rows written by commit n,
-                                                          with a _slot column
-    _staging/commit_id=<n>/*.parquet                      upsert source, written once
+    state/_v=<n>/_p=<partition>/*.parquet     rows written by commit n, with a _slot column
+    segments/commit_id=<n>/*.parquet          one row per partition commit n wrote
+    commits/commit_id=<n>/*.parquet           one row per commit, written last
+    _staging/...                              sources evaluated once, removed after the commit
 
 A commit rewrites only the partitions that hold a matched key (copy-on-write
 per partition); a partition that only receives new rows gets one more
 segment with just those rows. Every row a commit writes carries a slot:
 ``kept`` (unchanged row of a rewritten partition), ``insert``, ``update``
-(after image) or ``before`` (before image of an updated row). The state of
-partition P is the union of its segments minus ``before`` rows, and the
-changelog of commit n is ``state/v=n`` minus ``kept``: both are
-partition-pruned reads of the same files (the slot filter is pushed to the
-Parquet scan) and no row is written twice.
+(after image) or ``before`` (before image of an updated row).
 
-The commit row lists the (partition, version) segments of the state. It is
-appended last, so readers never see a half-written version; a failed commit
-leaves an unreferenced directory that the next attempt overwrites.
-One writer at a time is assumed.
+Both reads are one scan of ``state``. The state keeps the segments at or after
+the last rewrite of their partition (a semi join with the small segment table, on
+folder columns, so that pruning picks the folders) minus ``before`` rows; the
+changelog of a range is the versions of the range minus ``kept`` rows. No row is
+written twice. ``_p`` is the partition value as text with a letter in front
+(``v``), or ``n`` for null, so that an empty string is a value like any other;
+the partition column itself stays in the files.
+
+Counts come from the version as written (its folder and slot columns), not from
+metrics below a shuffle, which a retried task could count twice. The commit row
+is written last, so readers never see a half-written version; a failed commit
+leaves folders that the next attempt overwrites. One writer at a time is assumed.
 
 Upsert semantics follow SQL MERGE with ``UPDATE SET *`` / ``INSERT *``:
 keys compare with ``=`` (a null key never matches and is always inserted),
@@ -34,18 +38,16 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import MergeCardinalityError, TableWriteError
 from ..session import delete_path, list_dirs, path_exists
-from ..sources.literals import empty_rows
 
-SLOT = "_slot"
+SLOT, PART, VERSION = "_slot", "_p", "_v"
 STATE_SLOTS = ("kept", "insert", "update")
 CHANGE_TYPES = {"insert": "INSERT", "update": "UPDATE_AFTER", "before": "UPDATE_BEFORE"}
 CHANGE_COLUMNS = ["_change_type", "_change_ordinal", "_commit_snapshot_id"]
@@ -60,12 +62,9 @@ COMMITS_SCHEMA = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("wrote_version", T.BooleanType()),
     T.StructField("schema_json", T.StringType()),
-    T.StructField("layout", T.ArrayType(T.StructType([
-        T.StructField("part", T.StringType()),
-        T.StructField("version", T.LongType()),
-    ]))),
     T.StructField("txn", T.StringType()),
 ])
+_SEGMENTS = "part STRING, rewritten BOOLEAN, inserted BIGINT, updated BIGINT, commit_id BIGINT"
 
 _TRANSFORMS = {"identity", "month", "year"}
 
@@ -74,9 +73,9 @@ _TRANSFORMS = {"identity", "month", "year"}
 class TableSpec:
     """Where a table lives, its merge key and how it is partitioned.
 
-    ``partition_transform`` is ``identity`` (one directory per value of
-    ``partition_column``), ``month`` or ``year`` (a hidden derived column, so
-    a daily date does not explode into thousands of small directories).
+    ``partition_transform`` is ``identity`` (one folder per value of
+    ``partition_column``), ``month`` or ``year`` (of a date, so that a daily
+    date does not explode into thousands of small folders).
     """
 
     path: str
@@ -88,30 +87,30 @@ class TableSpec:
         if self.partition_transform not in _TRANSFORMS:
             raise ValueError(f"partition_transform must be one of {sorted(_TRANSFORMS)}")
 
-    @property
-    def field(self) -> str:
-        """Name of the directory-level partition column."""
-        if self.partition_transform == "identity":
-            return self.partition_column
-        return f"_{self.partition_column}_{self.partition_transform}"
-
-    def partition_value(self) -> Column:
+    def partition(self) -> Column:
+        """The folder value of a row: never null and never empty."""
         c = F.col(self.partition_column)
-        if self.partition_transform == "month":
-            return F.trunc(c, "month")
-        if self.partition_transform == "year":
-            return F.trunc(c, "year")
-        return c
+        if self.partition_transform != "identity":
+            c = F.trunc(c, self.partition_transform)
+        return F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n"))
 
     @property
     def commits_path(self) -> str:
         return f"{self.path}/commits"
 
+    @property
+    def state_path(self) -> str:
+        return f"{self.path}/state"
+
+    @property
+    def segments_path(self) -> str:
+        return f"{self.path}/segments"
+
     def version_path(self, n: int) -> str:
-        return f"{self.path}/state/v={n}"
+        return f"{self.state_path}/{VERSION}={n}"
 
-    def staging_path(self, n: int) -> str:
-        return f"{self.path}/_staging/commit_id={n}"
+    def staging_path(self, name: str) -> str:
+        return f"{self.path}/_staging/{name}"
 
 
 @dataclass(frozen=True)
@@ -127,10 +126,7 @@ class CommitResult:
 # --- commit log -------------------------------------------------------------------
 
 def commits(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """The commit log; raises ``AnalysisException`` if the table does not exist.
-
-    Each commit row sits in its own folder ``commits/commit_id=<n>``, so the
-    log is one partitioned read and a single commit is a one-folder read."""
+    """The commit log; raises ``AnalysisException`` if the table does not exist."""
     return (spark.read.schema(COMMITS_SCHEMA).parquet(spec.commits_path)
             .select(*COMMITS_SCHEMA.fieldNames()))
 
@@ -156,15 +152,7 @@ def _read_commit(spark: SparkSession, spec: TableSpec, n: int) -> Row | None:
 
 def table_exists(spark: SparkSession, spec: TableSpec) -> bool:
     """True when the table has at least one commit."""
-    if path_exists(spark, spec.commits_path) is False:
-        return False
-    try:
-        log = commits(spark, spec)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc.getCondition() or exc):
-            return False
-        raise
-    return not log.select("commit_id").isEmpty()
+    return _latest(spark, spec) is not None
 
 
 def _commit_row(spark: SparkSession, spec: TableSpec, commit_id: int | None = None) -> Row | None:
@@ -173,18 +161,12 @@ def _commit_row(spark: SparkSession, spec: TableSpec, commit_id: int | None = No
     A folder left by a failed commit-row write holds no row and is passed over."""
     ids = _listed_ids(spark, spec)
     if ids is not None:
-        candidates = [commit_id] if commit_id is not None else ids[::-1]
-        for n in candidates:
-            if n in ids:
-                row = _read_commit(spark, spec, n)
-                if row is not None:
-                    return row
-        return None
+        wanted = ids[::-1] if commit_id is None else [n for n in ids if n == commit_id]
+        return next((row for n in wanted if (row := _read_commit(spark, spec, n)) is not None), None)
     log = commits(spark, spec)
     if commit_id is not None:
-        rows = log.where(F.col("commit_id") == commit_id).limit(1).collect()
-    else:
-        rows = log.orderBy(F.col("commit_id").desc()).limit(1).collect()
+        log = log.where(F.col("commit_id") == commit_id)
+    rows = log.orderBy(F.col("commit_id").desc()).limit(1).collect()
     return rows[0] if rows else None
 
 
@@ -205,10 +187,6 @@ def latest_commit(spark: SparkSession, spec: TableSpec) -> Row | None:
     return _latest(spark, spec)
 
 
-def _part_order(p: str | None) -> tuple[bool, str]:
-    return (p is None, p or "")
-
-
 def first_last_commit(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """(first_commit, last_commit): oldest and newest commit by commit time,
     ties broken by commit id."""
@@ -233,74 +211,49 @@ def _result(row: Row) -> CommitResult:
                         row.updated, row.row_count)
 
 
-_COMMIT_FIELDS = T.StructType([f for f in COMMITS_SCHEMA.fields if f.name != "committed_at"])
+def _append_commit(spark: SparkSession, spec: TableSpec, n: int, **values) -> CommitResult:
+    """Write the commit row of commit ``n``, stamped with the current time (the id
+    is the folder's value). A retried commit overwrites its folder."""
+    cols = [(F.current_timestamp() if f.name == "committed_at" else F.lit(values.get(f.name)))
+            .cast(f.dataType).alias(f.name) for f in COMMITS_SCHEMA.fields if f.name != "commit_id"]
+    spark.range(1).select(*cols).write.mode("overwrite").parquet(_commit_dir(spec, n))
+    return CommitResult(n, *(values[k] for k in ("operation", "source_rows", "inserted", "updated", "row_count")))
 
 
-def _append_commit(spark: SparkSession, spec: TableSpec, row: dict) -> None:
-    """Write the commit row to ``commits/commit_id=<n>``, stamped with the
-    current time (the id is the folder's partition value).
+# --- reads ------------------------------------------------------------------------
 
-    The row (whose segment list grows with the partition count) travels as
-    one JSON literal parsed JVM-side, so building it costs one expression
-    whatever the number of segments. A retried commit overwrites its folder."""
-    doc = {f.name: row.get(f.name) for f in _COMMIT_FIELDS.fields if f.name != "layout"}
-    doc["layout"] = [{"part": e.part, "version": e.version} for e in row["layout"]]
-    parsed = F.from_json(F.lit(json.dumps(doc)), _COMMIT_FIELDS).alias("c")
-    cols = [(F.current_timestamp() if f.name == "committed_at" else F.col(f"c.{f.name}"))
-            .cast(f.dataType).alias(f.name) for f in COMMITS_SCHEMA.fields if f.name != "commit_id"]
-    (spark.range(1).select(parsed).select(*cols)
-     .write.mode("overwrite").parquet(_commit_dir(spec, row["commit_id"])))
+def _data_schema(row: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(row.schema_json))
 
 
-# --- reads ------------------------------------------------------------------------
+def _scan(spark: SparkSession, spec: TableSpec, data_schema: T.StructType) -> DataFrame:
+    """All rows of all versions, with slot and folder columns: one file scan."""
+    schema = T.StructType(data_schema.fields + [
+        T.StructField(SLOT, T.StringType()), T.StructField(VERSION, T.LongType()),
+        T.StructField(PART, T.StringType())])
+    return spark.read.schema(schema).parquet(spec.state_path)
+
+
+def segments(spark: SparkSession, spec: TableSpec, commit_id: int | None = None) -> DataFrame:
+    """(part, version): what the state at the latest (or given) commit is made of."""
+    row = _commit_row(spark, spec, commit_id)
+    log = spark.read.schema(_SEGMENTS).parquet(spec.segments_path).where(F.col("commit_id") <= row.commit_id)
+    per_part = log.groupBy("part").agg(
+        F.max(F.when(F.col("rewritten"), F.col("commit_id"))).alias("since"),
+        F.collect_list("commit_id").alias("ids"))
+    live = F.filter("ids", lambda i: i >= F.coalesce(F.col("since"), F.lit(0)))
+    return per_part.select("part", F.explode(live).alias("version"))
+
 
-def _stored_schema(spec: TableSpec, data_schema: T.StructType) -> T.StructType:
-    fields = list(data_schema.fields)
-    if spec.partition_transform != "identity":
-        fields.append(T.StructField(spec.field, T.DateType()))
-    fields.append(T.StructField(SLOT, T.StringType()))
-    return T.StructType(fields)
-
-
-def _sql_string(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _part_filter(spec: TableSpec, parts: list[str | None]) -> Column:
-    """Partition filter (pruned at planning time), built as one expression."""
-    values = [p for p in parts if p is not None]
-    terms = []
-    if values:
-        terms.append(f"CAST(`{spec.field}` AS STRING) IN ({', '.join(map(_sql_string, values))})")
-    if len(values) < len(parts):
-        terms.append(f"`{spec.field}` IS NULL")
-    return F.expr(" OR ".join(terms) if terms else "false")
-
-
-def _read_version(spark: SparkSession, spec: TableSpec, data_schema: T.StructType, n: int) -> DataFrame:
-    return spark.read.schema(_stored_schema(spec, data_schema)).parquet(spec.version_path(n))
-
-
-def _state(spark: SparkSession, spec: TableSpec, row: Row, parts: list[str | None] | None = None,
-           keep_field: bool = False) -> DataFrame:
-    """State at commit ``row``; optionally only the given partitions."""
-    data_schema = T.StructType.fromJson(json.loads(row.schema_json))
-    by_version: dict[int, list[str | None]] = {}
-    wanted = None if parts is None else set(parts)
-    for entry in row.layout or []:
-        if wanted is None or entry.part in wanted:
-            by_version.setdefault(entry.version, []).append(entry.part)
-    cols = data_schema.fieldNames() + ([spec.field] if keep_field and spec.field not in data_schema.fieldNames() else [])
-    if not by_version:
-        empty = _stored_schema(spec, data_schema)
-        return empty_rows(spark, empty).select(*cols)
-    pieces = [
-        _read_version(spark, spec, data_schema, v)
-        .where(F.col(SLOT).isin(*STATE_SLOTS) & _part_filter(spec, vals))
-        .select(*cols)
-        for v, vals in sorted(by_version.items())
-    ]
-    return reduce(DataFrame.unionByName, pieces)
+def _state(spark: SparkSession, spec: TableSpec, row: Row, parts: DataFrame | None = None) -> DataFrame:
+    """State at commit ``row`` with its folder column; optionally only the
+    partitions listed in the column ``part`` of ``parts``."""
+    live = segments(spark, spec, row.commit_id)
+    if parts is not None:
+        live = live.join(parts, "part", "left_semi")
+    rows = _scan(spark, spec, _data_schema(row)).where(F.col(SLOT).isin(*STATE_SLOTS))
+    on = (rows[PART] == live["part"]) & (rows[VERSION] == live["version"])
+    return rows.join(live, on, "left_semi")
 
 
 def read_table(spark: SparkSession, spec: TableSpec, commit_id: int | None = None) -> DataFrame:
@@ -308,7 +261,7 @@ def read_table(spark: SparkSession, spec: TableSpec, commit_id: int | None = Non
     row = _commit_row(spark, spec, commit_id)
     if row is None:
         raise TableWriteError(f"table {spec.path} has no commit {commit_id or ''}".strip())
-    return _state(spark, spec, row)
+    return _state(spark, spec, row).select(*_data_schema(row).fieldNames())
 
 
 def changes(spark: SparkSession, spec: TableSpec, start_exclusive: int | None = None,
@@ -317,41 +270,20 @@ def changes(spark: SparkSession, spec: TableSpec, start_exclusive: int | None =
 
     Columns: the table columns plus ``_change_type`` (INSERT, UPDATE_BEFORE,
     UPDATE_AFTER), ``_change_ordinal`` (0-based position of the commit in the
-    range) and ``_commit_snapshot_id`` (the commit id). Each commit is a
-    partition-pruned read of its own version directory.
-    """
-    # compactions rewrite rows without changing them: not part of a changelog
-    log = (commits(spark, spec).where(F.col("operation") != "compact")
-           .select("commit_id", "wrote_version", "schema_json"))
-    if start_exclusive is not None:
-        log = log.where(F.col("commit_id") > start_exclusive)
-    if end_inclusive is not None:
-        log = log.where(F.col("commit_id") <= end_inclusive)
-    rows = sorted(log.collect(), key=lambda r: r.commit_id)
-    latest = _commit_row(spark, spec, end_inclusive) if end_inclusive is not None else _latest(spark, spec)
+    range) and ``_commit_snapshot_id`` (the commit id). One scan, pruned to the
+    range's version folders: commit ids have no holes, so the ordinal follows
+    from the folder."""
+    latest = _latest(spark, spec) if end_inclusive is None else _commit_row(spark, spec, end_inclusive)
     if latest is None:
         raise TableWriteError(f"table {spec.path} has no commit {end_inclusive}")
-    data_schema = T.StructType.fromJson(json.loads(latest.schema_json))
-    change_type = F.element_at(F.create_map(*[F.lit(x) for kv in CHANGE_TYPES.items() for x in kv]),
-                               F.col(SLOT))
-    pieces = []
-    for ordinal, r in enumerate(rows):
-        if not r.wrote_version:
-            continue
-        pieces.append(
-            _read_version(spark, spec, T.StructType.fromJson(json.loads(r.schema_json)), r.commit_id)
-            .where(F.col(SLOT).isin(*CHANGE_TYPES))
-            .select(*data_schema.fieldNames(), change_type.alias("_change_type"),
-                    F.lit(ordinal).alias("_change_ordinal"),
-                    F.lit(r.commit_id).cast("bigint").alias("_commit_snapshot_id"))
-        )
-    if not pieces:
-        out = T.StructType(list(data_schema.fields) + [
-            T.StructField("_change_type", T.StringType()),
-            T.StructField("_change_ordinal", T.IntegerType()),
-            T.StructField("_commit_snapshot_id", T.LongType())])
-        return empty_rows(spark, out)
-    return reduce(DataFrame.unionByName, pieces)
+    start = start_exclusive or 0
+    change_type = F.element_at(F.create_map(*[F.lit(x) for kv in CHANGE_TYPES.items() for x in kv]), F.col(SLOT))
+    schema = _data_schema(latest)
+    return (_scan(spark, spec, schema)
+            .where((F.col(VERSION) > start) & (F.col(VERSION) <= latest.commit_id) & F.col(SLOT).isin(*CHANGE_TYPES))
+            .select(*schema.fieldNames(), change_type.alias("_change_type"),
+                    (F.col(VERSION) - start - 1).cast("int").alias("_change_ordinal"),
+                    F.col(VERSION).alias("_commit_snapshot_id")))
 
 
 def inserts(changelog: DataFrame, include_updates: bool = False) -> DataFrame:
@@ -363,49 +295,39 @@ def inserts(changelog: DataFrame, include_updates: bool = False) -> DataFrame:
 
 # --- writes -----------------------------------------------------------------------
 
-def _with_field(spec: TableSpec, df: DataFrame) -> DataFrame:
-    if spec.partition_transform == "identity":
-        return df
-    return df.withColumn(spec.field, spec.partition_value())
-
-
-def _write_version(spec: TableSpec, df: DataFrame, n: int) -> None:
-    """Write commit n's rows, clustered by partition.
+def _write_version(spec: TableSpec, df: DataFrame, n: int) -> tuple[int, int]:
+    """Write commit n's rows, clustered by partition, and the table of its segments;
+    returns (inserted, updated), counted from what was written.
 
     The rebalance hint shuffles by the partition value; adaptive execution
     then splits a hot partition over several tasks and merges small ones, so
     one busy day does not become one straggler task. Within a task rows are
-    sorted by partition, then slot (the order the partitioned writer needs
-    anyway), so each slot is a contiguous run of row groups and a slot filter
-    skips the others by their min/max statistics, without a directory (and
-    a file) per slot."""
-    (df.hint("rebalance", spec.field)
-       .sortWithinPartitions(spec.field, SLOT)
+    sorted by partition, then slot, so a slot filter skips the other slots' row
+    groups by their statistics."""
+    (df.withColumn(PART, spec.partition())
+       .hint("rebalance", PART)
+       .sortWithinPartitions(PART, SLOT)
        .write.mode("overwrite")
-       .partitionBy(spec.field)
+       .partitionBy(PART)
        .parquet(spec.version_path(n)))
-
-
-def _check_columns(spec: TableSpec, df: DataFrame) -> None:
-    names = df.columns
-    for needed in (spec.key, spec.partition_column):
-        if needed not in names:
-            raise TableWriteError(f"column '{needed}' is missing from the rows to write")
-
-
-def _parts_of(obs_row: dict) -> list[str | None]:
-    parts: list[str | None] = list(obs_row.get("parts") or [])
-    if obs_row.get("null_parts"):
-        parts.append(None)
-    return parts
-
-
-def _part_metrics(spec: TableSpec) -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.col(spec.field).cast("string")).alias("parts"),
-        F.count_if(F.col(spec.field).isNull()).alias("null_parts"),
-    ]
+    spark, path = df.sparkSession, f"{spec.segments_path}/commit_id={n}"
+    written = spark.read.schema(f"{SLOT} STRING, {PART} STRING").parquet(spec.version_path(n))
+    per_part = written.groupBy(F.col(PART).alias("part")).agg(
+        F.max(F.col(SLOT).isin("kept", "before")).alias("rewritten"),
+        F.count_if(F.col(SLOT) == "insert").alias("inserted"),
+        F.count_if(F.col(SLOT) == "update").alias("updated"))
+    per_part.write.mode("overwrite").parquet(path)
+    total = spark.read.schema(per_part.schema).parquet(path).agg(F.sum("inserted"), F.sum("updated")).first()
+    return int(total[0] or 0), int(total[1] or 0)
+
+
+def _checked_source(spec: TableSpec, row: Row, source: DataFrame) -> DataFrame:
+    """``source`` in the table's column order; raises when its types differ."""
+    schema = _data_schema(row)
+    problems = _same_types(schema, source.schema)
+    if problems:
+        raise TableWriteError(f"source does not match table {spec.path}: {problems}")
+    return source.select(*schema.fieldNames())
 
 
 def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
@@ -419,22 +341,16 @@ def create_table(spark: SparkSession, spec: TableSpec, df: DataFrame,
     its way in without evaluating it into a staging copy first."""
     if not _checked and _latest(spark, spec) is not None:
         raise TableWriteError(f"table {spec.path} already exists")
-    _check_columns(spec, df)
-    data_schema = df.schema
-    obs = Observation("create")
-    rows = _with_field(spec, df).withColumn(SLOT, F.lit("insert"))
-    _write_version(spec, rows.observe(obs, *_part_metrics(spec)), 1)
-    m = obs.get
-    n = int(m["rows"])
+    for needed in (spec.key, spec.partition_column):
+        if needed not in df.columns:
+            raise TableWriteError(f"column '{needed}' is missing from the rows to write")
+    if clash := {SLOT, PART, VERSION} & set(df.columns):
+        raise TableWriteError(f"columns {sorted(clash)} are the table's own")
+    n, _ = _write_version(spec, df.withColumn(SLOT, F.lit("insert")), 1)
     if check is not None:
-        check(_read_version(spark, spec, data_schema, 1).select(*data_schema.fieldNames()))
-    _append_commit(spark, spec, {
-        "commit_id": 1, "committed_at": None, "operation": "create", "source_rows": n,
-        "inserted": n, "updated": 0, "row_count": n, "wrote_version": True,
-        "schema_json": data_schema.json(),
-        "layout": [Row(part=p, version=1) for p in _parts_of(m)], "txn": txn,
-    })
-    return CommitResult(1, "create", n, n, 0, n)
+        check(_scan(spark, spec, df.schema).where(F.col(VERSION) == 1).select(*df.columns))
+    return _append_commit(spark, spec, 1, operation="create", source_rows=n, inserted=n, updated=0,
+                          row_count=n, wrote_version=True, schema_json=df.schema.json(), txn=txn)
 
 
 def _same_types(a: T.StructType, b: T.StructType) -> list[str]:
@@ -452,32 +368,17 @@ def append_new_keys(spark: SparkSession, spec: TableSpec, source: DataFrame,
     """Commit rows whose keys the caller knows are not in the table yet.
 
     Same result as ``upsert`` under that guarantee (every row is an
-    insert), without reading the table: the rows go to one new segment per
-    partition, and the partition list is observed during the write. Used
-    for key-hashed batches on a table the same run created, where disjoint
-    key sets hold by construction.
-    """
+    insert), without reading the table. Used for key-hashed batches on a table
+    the same run created, where disjoint key sets hold by construction."""
     prev = _prev or _latest(spark, spec)
     if prev is None:
         raise TableWriteError(f"table {spec.path} does not exist")
     n = prev.commit_id + 1
-    data_schema = T.StructType.fromJson(json.loads(prev.schema_json))
-    problems = _same_types(data_schema, source.schema)
-    if problems:
-        raise TableWriteError(f"source does not match table {spec.path}: {problems}")
-    rows = _with_field(spec, source.select(*data_schema.fieldNames())).withColumn(SLOT, F.lit("insert"))
-    obs = Observation(f"append{n}")
-    _write_version(spec, rows.observe(obs, *_part_metrics(spec)), n)
-    m = obs.get
-    inserted = int(m["rows"])
-    layout = list(prev.layout or []) + [Row(part=p, version=n)
-                                        for p in sorted(set(_parts_of(m)), key=_part_order)]
-    _append_commit(spark, spec, {
-        "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": inserted,
-        "inserted": inserted, "updated": 0, "row_count": prev.row_count + inserted,
-        "wrote_version": inserted > 0, "schema_json": prev.schema_json, "layout": layout,
-    })
-    return CommitResult(n, "upsert", inserted, inserted, 0, prev.row_count + inserted)
+    rows = _checked_source(spec, prev, source).withColumn(SLOT, F.lit("insert"))
+    inserted, _ = _write_version(spec, rows, n)
+    return _append_commit(spark, spec, n, operation="upsert", source_rows=inserted, inserted=inserted,
+                          updated=0, row_count=prev.row_count + inserted, wrote_version=inserted > 0,
+                          schema_json=prev.schema_json)
 
 
 def _merge_rows(tgt: DataFrame, src: DataFrame, key: str, cols: list[str],
@@ -552,143 +453,49 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     prev = _prev or _latest(spark, spec)
     if prev is None:
         raise TableWriteError(f"table {spec.path} does not exist")
-    n = prev.commit_id + 1
-    data_schema = T.StructType.fromJson(json.loads(prev.schema_json))
-    problems = _same_types(data_schema, source.schema)
-    if problems:
-        raise TableWriteError(f"source does not match table {spec.path}: {problems}")
-    key, field = spec.key, spec.field
-    src = _with_field(spec, source.select(*data_schema.fieldNames()))
-    if stage_source:
-        (src.write.mode("overwrite").parquet(spec.staging_path(n)))
-        src = spark.read.schema(src.schema).parquet(spec.staging_path(n))
-
-    # The matched keys, staged once: one row per source key that target rows
-    # hold (their partitions, how many target and source rows), from the
-    # target's key and partition columns only. Deduplicated and stored, the
-    # set is a plain scan for the merge's semi and anti joins, which keeps the
-    # source on their splittable left side.
-    src_keys = (src.where(F.col(key).isNotNull()).groupBy(key)
-                .agg(F.count(F.lit(1)).alias("_n_src")))
-    tgt_keys = _state(spark, spec, prev, keep_field=True).select(key, field)
-    if key_where is not None:
-        tgt_keys = tgt_keys.where(key_where)
-    per_key = tgt_keys.join(src_keys, key).groupBy(key).agg(
-        F.max("_n_src").alias("_n_src"),
-        F.collect_set(F.col(field).cast("string")).alias("_parts"),
-        F.max(F.col(field).isNull().cast("int")).alias("_null_part"),
-        F.count(F.lit(1)).alias("_rows"))
-    keys_path = f"{spec.path}/_staging/commit_id={n}-keys"
-    per_key.write.mode("overwrite").parquet(keys_path)
-    matched_keys = spark.read.schema(per_key.schema).parquet(keys_path)
-
-    # One job over the staged keys and the source: partitions to rewrite and
-    # to add to, match cardinality, counts.
-    kind = F.col("_kind")
-    none = {"_p": F.lit(None).cast("string"), "_pn": F.lit(False), "_n_src": F.lit(None).cast("bigint"),
-            "_rows": F.lit(None).cast("bigint"), "_null_part": F.lit(None).cast("int")}
-
-    def facts(df: DataFrame, label: str, **given: Column) -> DataFrame:
-        return df.select(F.lit(label).alias("_kind"),
-                         *[given.get(c, v).alias(c) for c, v in none.items()])
-    meta = (facts(matched_keys, "k", _n_src=F.col("_n_src"), _rows=F.col("_rows"),
-                  _null_part=F.col("_null_part"))
-            .unionByName(facts(matched_keys.select(F.explode("_parts").alias("_q")), "p", _p=F.col("_q")))
-            .unionByName(facts(src, "s", _p=F.col(field).cast("string"), _pn=F.col(field).isNull()))
-            .agg(F.max("_n_src").alias("max_src"),
-                 F.collect_set(F.when(kind == "p", F.col("_p"))).alias("parts"),
-                 F.coalesce(F.max("_null_part"), F.lit(0)).alias("null_parts"),
-                 F.collect_set(F.when(kind == "s", F.col("_p"))).alias("src_parts"),
-                 F.count_if((kind == "s") & F.col("_pn")).alias("src_null_parts"),
-                 F.coalesce(F.sum("_rows"), F.lit(0)).alias("matched_rows"),
-                 F.count_if(kind == "s").alias("source_rows"))
-            .collect()[0].asDict())
-    if (meta["max_src"] or 0) > 1:
-        delete_path(spark, keys_path)
-        if stage_source:
-            delete_path(spark, spec.staging_path(n))
-        raise MergeCardinalityError(
-            f"MERGE into {spec.path}: a target row is matched by more than one source row")
-    source_rows, matched_rows = int(meta["source_rows"]), int(meta["matched_rows"])
-    rewrite = set(_parts_of(meta))
-    added = set(_parts_of({"parts": meta["src_parts"], "null_parts": meta["src_null_parts"]}))
-    if source_rows == 0:  # nothing changes, still a commit
-        _append_commit(spark, spec, {
-            "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": 0,
-            "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": False,
-            "schema_json": prev.schema_json, "layout": list(prev.layout or []), "txn": txn,
-        })
-        delete_path(spark, keys_path)
+    n, key = prev.commit_id + 1, spec.key
+    src = _checked_source(spec, prev, source)
+    staged = []
+
+    def stage(df: DataFrame, what: str) -> DataFrame:
+        staged.append(spec.staging_path(f"commit_id={n}-{what}"))
+        df.write.mode("overwrite").parquet(staged[-1])
+        return spark.read.schema(df.schema).parquet(staged[-1])
+
+    try:
         if stage_source:
-            delete_path(spark, spec.staging_path(n))
-        return CommitResult(n, "upsert", 0, 0, 0, prev.row_count)
-
-    cols = data_schema.fieldNames() + ([field] if field not in data_schema.fieldNames() else []) + [SLOT]
-    if matched_rows == 0:
-        rows = src.withColumn(SLOT, F.lit("insert")).select(*cols)
-    else:
-        tgt = _state(spark, spec, prev, parts=sorted(rewrite, key=_part_order), keep_field=True)
-        # the source rows of matched keys (at most one per key), stored so the
-        # left join's right side is a plain scan
-        upd_path = f"{spec.path}/_staging/commit_id={n}-updates"
-        src.join(matched_keys.select(key), key, "left_semi").write.mode("overwrite").parquet(upd_path)
-        updates = spark.read.schema(src.schema).parquet(upd_path).select(*src.columns)
-        rows = _merge_rows(tgt, src, key, cols, key_where, matched_keys.select(key), updates)
-
-    obs = Observation(f"upsert{n}")
-    counted = rows.observe(obs, F.count_if(F.col(SLOT) == "insert").alias("inserted"),
-                           F.count_if(F.col(SLOT) == "update").alias("updated"))
-    _write_version(spec, counted, n)
-    m = obs.get
-    inserted, updated = int(m["inserted"]), int(m["updated"])
-    layout = [e for e in (prev.layout or []) if e.part not in rewrite]
-    layout += [Row(part=p, version=n) for p in sorted(rewrite | added, key=_part_order)]
-    row_count = prev.row_count + inserted
-    _append_commit(spark, spec, {
-        "commit_id": n, "committed_at": None, "operation": "upsert", "source_rows": source_rows,
-        "inserted": inserted, "updated": updated, "row_count": row_count, "wrote_version": True,
-        "schema_json": prev.schema_json, "layout": layout, "txn": txn,
-    })
-    delete_path(spark, keys_path)  # committed: the staged keys and rows are not read again
-    delete_path(spark, f"{spec.path}/_staging/commit_id={n}-updates")
-    if stage_source:
-        delete_path(spark, spec.staging_path(n))
-    return CommitResult(n, "upsert", source_rows, inserted, updated, row_count)
-
-
-def compact(spark: SparkSession, spec: TableSpec, min_segments: int = 2) -> CommitResult:
-    """Rewrite each partition made of ``min_segments`` or more segments as one.
-
-    Insert-only commits add a segment per partition they touch, and a read
-    unions one scan per segment version; compaction brings a partition back
-    to one segment. It is a commit of its own whose rows are all ``kept``:
-    the table state is unchanged, the changelog skips it, and older commits
-    stay readable. The rewrite is clustered by partition like every commit.
-    """
-    prev = _latest(spark, spec)
-    if prev is None:
-        raise TableWriteError(f"table {spec.path} does not exist")
-    n = prev.commit_id + 1
-    segments: dict[str | None, int] = {}
-    for e in prev.layout or []:
-        segments[e.part] = segments.get(e.part, 0) + 1
-    parts = sorted((p for p, c in segments.items() if c >= max(min_segments, 2)), key=_part_order)
-    if parts:
-        data_schema = T.StructType.fromJson(json.loads(prev.schema_json))
-        names = data_schema.fieldNames()
-        cols = names + ([spec.field] if spec.field not in names else []) + [SLOT]
-        rows = (_state(spark, spec, prev, parts=parts, keep_field=True)
-                .withColumn(SLOT, F.lit("kept")).select(*cols))
-        _write_version(spec, rows, n)
-    done = set(parts)
-    layout = [e for e in (prev.layout or []) if e.part not in done]
-    layout += [Row(part=p, version=n) for p in parts]
-    _append_commit(spark, spec, {
-        "commit_id": n, "committed_at": None, "operation": "compact", "source_rows": 0,
-        "inserted": 0, "updated": 0, "row_count": prev.row_count, "wrote_version": bool(parts),
-        "schema_json": prev.schema_json, "layout": layout,
-    })
-    return CommitResult(n, "compact", 0, 0, 0, prev.row_count)
+            src = stage(src, "source")
+        # The matched keys with the partitions that hold them. Both sides are
+        # aggregated before they meet, with map-side partial aggregation: a hot
+        # target key is one row per map task and partition, not a third of the table.
+        src_keys = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n_src"))
+        tgt_keys = _state(spark, spec, prev).where(F.col(key).isNotNull())
+        if key_where is not None:
+            tgt_keys = tgt_keys.where(key_where)
+        tgt_keys = tgt_keys.groupBy(key, PART).agg(F.count(F.lit(1)).alias("_rows"))
+        matched = stage(tgt_keys.join(src_keys, key), "keys")
+        meta = matched.agg(F.max("_n_src"), F.sum("_rows")).first()
+        if (meta[0] or 0) > 1:
+            raise MergeCardinalityError(
+                f"MERGE into {spec.path}: a target row is matched by more than one source row")
+        if not meta[1]:
+            rows = src.withColumn(SLOT, F.lit("insert"))
+        else:
+            cols = _data_schema(prev).fieldNames() + [SLOT]
+            tgt = _state(spark, spec, prev, matched.select(F.col(PART).alias("part")).distinct())
+            keys = matched.select(key).distinct()
+            # the source rows of matched keys (at most one per key), stored so the
+            # left join's right side is a plain scan
+            updates = stage(src.join(keys, key, "left_semi").select(*src.columns), "updates")
+            rows = _merge_rows(tgt, src, key, cols, key_where, stage(keys, "matched"), updates)
+        inserted, updated = _write_version(spec, rows, n)
+        source_rows = src.count()
+    finally:
+        for path in staged:  # committed or failed: not read again
+            delete_path(spark, path)
+    return _append_commit(spark, spec, n, operation="upsert", source_rows=source_rows, inserted=inserted,
+                          updated=updated, row_count=prev.row_count + inserted,
+                          wrote_version=inserted + updated > 0, schema_json=prev.schema_json, txn=txn)
 
 
 def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: bool = True,
@@ -711,19 +518,15 @@ def write(spark: SparkSession, spec: TableSpec, df: DataFrame, stage_source: boo
     return create_table(spark, spec, df, _checked=True, txn=txn)
 
 
-def staging_folder(spec: TableSpec, name: str) -> str:
-    return f"{spec.path}/_staging/{name}"
-
-
 def stage(spark: SparkSession, spec: TableSpec, df: DataFrame, name: str) -> DataFrame:
     """Evaluate ``df`` once into the table's staging folder and read it back:
     later steps see identical rows and a short, columnar lineage. The caller
     removes the folder (``unstage``) once what read it is committed."""
-    path = staging_folder(spec, name)
+    path = spec.staging_path(name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def unstage(spark: SparkSession, spec: TableSpec, name: str) -> None:
     """Remove a staging folder made by ``stage``."""
-    delete_path(spark, staging_folder(spec, name))
+    delete_path(spark, spec.staging_path(name))

@@ -1,10 +1,8 @@
 """The booking transform: raw nested records -> 15-column booking table.
 
 Each step is a ``DataFrame -> DataFrame`` function for ``df.transform``.
-Lookup joins are left broadcast hash joins on code tables whose row count is
-checked (``lookups.is_small``), so the whole chain is one scan plus narrow,
-codegen'd operators: no shuffle. A lookup above the cap is joined without the
-hint and the planner shuffles both sides instead.
+Lookup joins carry no hint: code tables are small enough for the planner to
+broadcast, so the whole chain is one scan plus narrow, codegen'd operators.
 Intermediate columns carry a ``_`` prefix so raw columns of the same name
 (for instance a top-level ``region``) cannot make the final select ambiguous.
 """
@@ -15,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..sources.lookups import is_small
+from ..sources.lookups import unique_keys
 
-# Output contract, in order.
+# The output contract, in order, and the raw leaf revenue is read from.
 BOOKING_COLUMNS = [
     "transaction_id", "conversion_key", "property_id", "status", "travel_purpose",
     "country_code", "region", "currency", "check_in_date", "check_out_date",
@@ -27,17 +25,11 @@ BOOKING_COLUMNS = [
 REVENUE_LEAF = "commission.estimate_commission_amount.booker_currency"
 
 
-def _hinted(lookup: DataFrame, projected: DataFrame) -> DataFrame:
-    """Broadcast hint on the projected lookup when the lookup is proven small;
-    otherwise the planner picks the join (a shuffle join for a big table)."""
-    return F.broadcast(projected) if is_small(lookup) else projected
-
-
 def map_status(df: DataFrame, lookup: DataFrame) -> DataFrame:
     """Adds ``_mapped_status``: the lookup's status, else the raw code."""
-    lk = _hinted(lookup, lookup.select(
+    lk = unique_keys(lookup, "raw_status").select(
         F.col("raw_status").alias("_status_raw"), F.col("mapped_status").alias("_status_mapped")
-    ))
+    )
     joined = df.join(lk, df["status"] == lk["_status_raw"], "left")
     return joined.withColumn(
         "_mapped_status", F.coalesce(F.col("_status_mapped"), df["status"])
@@ -47,9 +39,9 @@ def map_status(df: DataFrame, lookup: DataFrame) -> DataFrame:
 def map_region(df: DataFrame, lookup: DataFrame) -> DataFrame:
     """Adds ``_country_code`` (upper-cased) and ``_region`` (null when unmapped)."""
     with_code = df.withColumn("_country_code", F.upper(F.col("booker.address.country")))
-    lk = _hinted(lookup, lookup.select(
+    lk = unique_keys(lookup, "country_code").select(
         F.col("country_code").alias("_region_code"), F.col("region").alias("_region")
-    ))
+    )
     return with_code.join(
         lk, with_code["_country_code"] == lk["_region_code"], "left"
     ).drop("_region_code")

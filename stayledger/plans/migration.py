@@ -1,13 +1,18 @@
-"""Batch migration (X3-X5): load the input as n commits, copy the first batch
-to a relational target, then append every later insert from the changelog.
+"""Batch migration (X3-X5): load the input as n commits and bring a relational
+copy level with the table.
 
 The transformed input is evaluated once into Parquet partitioned by batch id;
 each batch is a partition-pruned read of it (no shuffle per batch). When the
-run creates the table, later batches are appended without a key join: batch
-ids are a function of the key, so their key sets are disjoint. Copies are
-parallel executor writes; counts come from observed metrics of the writes,
-not from extra passes. Like the original, value checks are not run here
-unless ``check_duplicates`` asks for the key check.
+run creates the table, later batches are appended without a key join (batch
+ids are a function of the key, so their key sets are disjoint), the copy is
+overwritten with the first batch and then gets every later insert from the
+changelog. On a table that was there before (an earlier run, or one that failed
+half-way) the batches are merged and the copy is overwritten once, at the end,
+with the table's state: after every run the copy equals the table. A run that
+fails leaves no audit row for what it did not finish; running it again redoes it.
+
+Copies are parallel executor writes. Like the original, value checks are not run
+here unless ``check_duplicates`` asks for the key check.
 """
 
 from __future__ import annotations
@@ -37,25 +42,22 @@ class SyncResult:
     preview: DataFrame  # up to 20 synced rows, for display
 
 
-def _oldest_newest(spark: SparkSession, spec: TB.TableSpec) -> tuple[int, int]:
-    row = TB.first_last_commit(spark, spec).collect()[0]
-    return int(row.first_commit), int(row.last_commit)
+@dataclass(frozen=True)
+class LoadResult:
+    first_commit: int  # this run's first commit
+    last_commit: int
+    created: bool  # whether this run created the table (and started the copy)
 
 
 def batch_load(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: RunConfig,
                target, audit_path: str, n_batches: int = NUM_BATCHES,
-               since_table_birth: bool = False, check_duplicates: bool = False,
-               batch_method: str | None = None) -> tuple[int, int]:
-    """Commit ``raw`` in ``n_batches`` key-hashed batches; copy batch 0.
-
-    Returns (first, last) commit ids. ``first`` is this run's first commit,
-    or the table's oldest commit with ``since_table_birth`` (the original
-    behaviour, which on an existing table re-copies older inserts).
-    """
+               check_duplicates: bool = False, batch_method: str = "hash") -> LoadResult:
+    """Commit ``raw`` in ``n_batches`` batches by key. A run that creates the table
+    also overwrites the copy with the first batch."""
     rows = transform(raw, cfg.usd_rate, cfg.status_lookup, cfg.region_lookup)
     staging = f"{spec.path}/_staging/batches-{uuid.uuid4().hex[:12]}"
     staged = stage_batches(rows, spec.key, n_batches, staging, batch_method)
-    first, created = None, False
+    first, last, created = None, None, False
     try:
         for i in range(n_batches):
             batch = staged.where(F.col(BATCH) == i).drop(BATCH)
@@ -71,13 +73,13 @@ def batch_load(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
                 result = TB.write(spark, spec, batch, stage_source=False, key_where=in_batch)
                 created = result.operation == "create"
             if i == 0:
-                first = _oldest_newest(spark, spec)[0] if since_table_birth else result.commit_id
-                copied = target.write(batch, "overwrite")
-                CP.record(spark, audit_path, first, "first", copied)
+                first = result.commit_id
+                if created:
+                    CP.record(spark, audit_path, first, "first", target.write(batch, "overwrite"))
+            last = result.commit_id
     finally:
         delete_path(spark, staging)  # every batch is committed (or the run failed)
-    last = _oldest_newest(spark, spec)[1]
-    return first, last
+    return LoadResult(first, last, created)
 
 
 def incremental_sync(spark: SparkSession, spec: TB.TableSpec, target, audit_path: str,
@@ -89,12 +91,20 @@ def incremental_sync(spark: SparkSession, spec: TB.TableSpec, target, audit_path
     return SyncResult(first, last, n, rows.limit(20))
 
 
+def full_sync(spark: SparkSession, spec: TB.TableSpec, target, audit_path: str,
+              first: int, last: int) -> SyncResult:
+    """Overwrite the copy with the table's state at commit ``last``; audit it."""
+    rows = TB.read_table(spark, spec, last)
+    n = target.write(rows, "overwrite")
+    CP.record(spark, audit_path, last, "last", n)
+    return SyncResult(first, last, n, rows.limit(20))
+
+
 def batch_migration(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: RunConfig,
                     target, audit_path: str, n_batches: int = NUM_BATCHES,
-                    since_table_birth: bool = False, include_updates: bool = False,
-                    check_duplicates: bool = False, batch_method: str | None = None) -> SyncResult:
-    """Audit table, batch load, incremental sync."""
+                    check_duplicates: bool = False, batch_method: str = "hash") -> SyncResult:
+    """Audit table, batch load, and the copy brought level with the table."""
     CP.ensure_audit_table(spark, audit_path)
-    first, last = batch_load(spark, raw, spec, cfg, target, audit_path, n_batches,
-                             since_table_birth, check_duplicates, batch_method)
-    return incremental_sync(spark, spec, target, audit_path, first, last, include_updates)
+    load = batch_load(spark, raw, spec, cfg, target, audit_path, n_batches, check_duplicates, batch_method)
+    sync = incremental_sync if load.created else full_sync
+    return sync(spark, spec, target, audit_path, load.first_commit, load.last_commit)

@@ -17,10 +17,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..errors import JOB_ERRORS, DataExtractionError
 from ..operators import quality as Q
 from ..operators import table as TB
 from ..operators.transform import transform
-from ..sources.bookings import read_bookings
+from ..sources.bookings import NOT_AS_DECLARED, read_bookings
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,16 @@ def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
 
     With ``txn``, a run that is the table's latest commit under that name is
     not redone (see ``table.write``)."""
+    try:
+        return _checked_run(spark, raw, spec, cfg, check_schema, txn, inferred_from_all_lines)
+    except JOB_ERRORS as exc:
+        if NOT_AS_DECLARED in str(exc):
+            raise DataExtractionError(str(exc)) from exc
+        raise
+
+
+def _checked_run(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: RunConfig,
+                 check_schema: bool, txn: str | None, inferred_from_all_lines: bool) -> TB.CommitResult:
     prev = TB.latest_commit(spark, spec)
     if txn is not None and prev is not None and prev.txn == txn:
         return TB._result(prev)
@@ -60,9 +71,7 @@ def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: Run
 
 
 def normal_run(spark: SparkSession, source_path: str, spec: TB.TableSpec, cfg: RunConfig,
-               schema: T.StructType | None = None, sampling_ratio: float | None = None,
-               txn: str | None = None) -> TB.CommitResult:
+               schema: T.StructType | None = None, txn: str | None = None) -> TB.CommitResult:
     """Read JSON-lines bookings at ``source_path`` and commit them to ``spec``."""
-    raw = read_bookings(spark, source_path, schema, sampling_ratio)
-    return run_on_raw(spark, raw, spec, cfg, txn=txn,
-                      inferred_from_all_lines=schema is None and sampling_ratio is None)
+    raw = read_bookings(spark, source_path, schema)
+    return run_on_raw(spark, raw, spec, cfg, txn=txn, inferred_from_all_lines=schema is None)

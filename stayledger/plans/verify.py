@@ -11,6 +11,7 @@ from ..sources.literals import literal_rows
 DESCRIBE_SCHEMA = T.StructType([T.StructField("col_name", T.StringType()),
                                 T.StructField("data_type", T.StringType())])
 
+# The columns of the short sample.
 SAMPLE_COLUMNS = ["transaction_id", "conversion_key", "revenue", "currency", "status", "check_in_date"]
 
 

@@ -46,6 +46,14 @@ def _once(spark: SparkSession, sf_dir: str, what: str, build):
         return _memo[key]
 
 
+def forget_tables() -> None:
+    """Forget which tables queries have written, so that the next ones write anew
+    (the JSON-lines fixture stays)."""
+    with _memo_lock:
+        for key in [k for k in _memo if k[2] != "json"]:
+            del _memo[key]
+
+
 def run_config(spark: SparkSession) -> RunConfig:
     return RunConfig(FX.USD_RATE, LK.status_lookup(spark), LK.region_lookup(spark, FX.FIXTURE_REGIONS))
 
@@ -80,7 +88,10 @@ def bookings_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scan_bookings_json", O.q("SELECT * FROM flat_bookings"))
 def scan_bookings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = read_bookings(spark, raw_json_path(spark, sf_dir))
+    return _flat(read_bookings(spark, raw_json_path(spark, sf_dir)))
+
+
+def _flat(raw: DataFrame) -> DataFrame:
     return raw.select(
         "id",
         F.col("accommodations.reservation").alias("reservation"),
@@ -96,6 +107,11 @@ def scan_bookings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("scan_bookings_declared", O.q("SELECT * FROM flat_bookings"))
+def scan_bookings_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(read_bookings(spark, raw_json_path(spark, sf_dir), BOOKING_SCHEMA))
+
+
 # --- transform steps (J1, J2, C1-C5, D1, M1, P1-P4) ---------------------------
 
 @register("map_status", O.q(O.MAP_STATUS))
@@ -198,7 +214,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("batch_slice", O.BATCH_SLICE)
 def batch_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = with_batch_id(bookings(spark, sf_dir), "transaction_id", MG.NUM_BATCHES)
+    b = with_batch_id(bookings(spark, sf_dir), "transaction_id", MG.NUM_BATCHES, "modulo")
     return b.groupBy(F.col(BATCH).alias("batch")).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("transaction_id").alias("key_sum"))
 
@@ -212,6 +228,22 @@ def create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.read_table(spark, spec)
 
 
+@register("create_table_by_purpose", O.q(O.cols("*")))
+def create_table_by_purpose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitioned by a text column that holds empty strings."""
+    spec = TB.TableSpec(scratch_path(spark, "by-purpose"), partition_column="travel_purpose")
+    TB.create_table(spark, spec, bookings(spark, sf_dir))
+    return TB.read_table(spark, spec)
+
+
+@register("create_table_by_day", O.q(O.cols("*")))
+def create_table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitioned by the check-in date as it is, the library's default."""
+    spec = TB.TableSpec(scratch_path(spark, "by-day"))
+    TB.create_table(spark, spec, bookings(spark, sf_dir))
+    return TB.read_table(spark, spec)
+
+
 def _upserted(spark: SparkSession, sf_dir: str) -> TB.TableSpec:
     def build():
         spec = _table_spec(spark, "upsert")
@@ -275,7 +307,7 @@ def _migrated(spark: SparkSession, sf_dir: str) -> dict:
         target = CP.ParquetTarget(scratch_path(spark, "copy"))
         audit = scratch_path(spark, "audit")
         result = MG.batch_migration(spark, FX.raw_bookings(spark, sf_dir), spec, run_config(spark),
-                                    target, audit)
+                                    target, audit, batch_method="modulo")
         return {"spec": spec, "target": target, "audit": audit, "result": result}
     return _once(spark, sf_dir, "migration", build)
 
@@ -325,6 +357,17 @@ def batch_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m["target"].read(spark)
 
 
+@register("migration_rerun", O.q(O.cols("*")))
+def migration_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy after a second run with more rows: equal to the table, all bookings."""
+    spec = _table_spec(spark, "rerun")
+    target, audit = CP.ParquetTarget(scratch_path(spark, "rerun-copy")), scratch_path(spark, "rerun-audit")
+    raw = FX.raw_bookings(spark, sf_dir)
+    for part in (raw.where(F.col("accommodations.reservation") % 5 != 4), raw):
+        MG.batch_migration(spark, part, spec, run_config(spark), target, audit)
+    return target.read(spark).select(*X.BOOKING_COLUMNS)
+
+
 @register("sync_audit", O.SYNC_AUDIT)
 def sync_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _migrated(spark, sf_dir)
@@ -337,5 +380,5 @@ def sync_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scheduled_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _table_spec(spark, "stream")
     run_ingest_once(spark, raw_json_path(spark, sf_dir), BOOKING_SCHEMA, spec, run_config(spark),
-                    scratch_path(spark, "stream-checkpoint"), max_files_per_trigger=4)
+                    scratch_path(spark, "stream-checkpoint"))
     return TB.read_table(spark, spec)

@@ -2,41 +2,75 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkContext
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
+# what a Spark Connect session raises where a classic one has a SparkContext
+_NO_CONTEXT = (PySparkAttributeError, PySparkNotImplementedError)
+
+
+def _context(spark: SparkSession) -> SparkContext | None:
+    """The SparkContext, or None on a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except _NO_CONTEXT:
+        return None
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder on shared storage for scratch tables.
 
     Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one set
-    with ``setCheckpointDir``). Only when neither is set (a local test
-    session) a local folder is created and registered as checkpoint dir.
+    with ``setCheckpointDir``). Where neither is set, a local session gets a
+    folder of its own, registered as checkpoint dir; any other master raises, as
+    executors elsewhere would not see this machine's folders.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        sc = None
-    root = sc.getCheckpointDir() if sc is not None else None
+    sc = _context(spark)
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and sc is not None:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        if sc is None:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        if sc is None or not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stayledger-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether the master runs everything in this one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, as
+    ``--py-files`` would: Python functions then find it wherever they run. On
+    Spark Connect, or where the package is installed, nothing needs to be sent."""
+    sc = _context(spark)
+    if sc is None or sc.applicationId in _shipped:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="stayledger-code-"), "stayledger.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(home)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -61,45 +95,43 @@ def local_session(cores: int = 8, app: str = "stayledger") -> SparkSession:
     return spark
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``, or None on Spark Connect.
+    Errors of the file system itself (say, no permission) are not caught."""
+    sc = _context(spark)
+    if sc is None:
+        return None
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool | None:
     """Whether ``path`` exists, asked of the session's Hadoop file system.
 
-    Returns None when that cannot be asked (Spark Connect); callers then try
+    Returns None on Spark Connect, where it cannot be asked; callers then try
     the read and handle PATH_NOT_FOUND. Checking first avoids failed reads,
     which observation listeners log as errors.
     """
-    try:
-        sc = spark.sparkContext
-        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath))
-    except Exception:
-        return None
+    found = _file_system(spark, path)
+    return None if found is None else bool(found[0].exists(found[1]))
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str] | None:
     """Names of the sub-folders of ``path`` (empty when it does not exist),
-    asked of the session's Hadoop file system; None when that cannot be
-    asked (Spark Connect)."""
-    try:
-        sc = spark.sparkContext
-        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
-        if not fs.exists(jpath):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()]
-    except Exception:
+    asked of the session's Hadoop file system; None on Spark Connect."""
+    found = _file_system(spark, path)
+    if found is None:
         return None
+    fs, jpath = found
+    if not fs.exists(jpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()]
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete ``path`` (recursively) through the session's Hadoop file system.
 
     Used for staging folders once the commit that read them is written.
-    Returns False when the file system cannot be reached (Spark Connect);
-    the folder is then left behind, unreferenced."""
-    try:
-        sc = spark.sparkContext
-        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True))
-    except Exception:
-        return False
+    Returns False on Spark Connect; the folder is then left behind, unreferenced."""
+    found = _file_system(spark, path)
+    return found is not None and bool(found[0].delete(found[1], True))

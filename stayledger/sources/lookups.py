@@ -1,13 +1,16 @@
 """Code lookups (status, region) as small two-column DataFrames.
 
-Lookups are configuration, not data: they are bounded in size, checked on
-construction, and joined with a broadcast hint. The status table ships with
+A lookup's key is unique: a repeated key would double the rows it is joined to.
+Lookups built from a dict are unique by construction; a file is checked when it
+is loaded, any other DataFrame within the join (``unique_keys``). Joins carry no
+hint: the planner broadcasts a lookup by its size. The status table ships with
 the package; the region table (about 250 country codes) is a parameter: pass
 a dict, or the path of a JSON object file ``{"<code>": "<region>", ...}``.
 """
 
 from __future__ import annotations
 
+import json
 import weakref
 from collections.abc import Mapping
 
@@ -15,11 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .literals import empty_rows
-
-# Largest lookup we agree to broadcast. A lookup keyed by a status or country
-# code is far below this; anything larger is not a code table.
-MAX_LOOKUP_ROWS = 10_000
+from ..errors import JOB_ERRORS, DataExtractionError
 
 # Raw booking status code -> reported status, as the original
 # job maps them. Matching is exact (case-sensitive, no trimming).
@@ -36,29 +35,8 @@ STATUS_MAPPING: dict[str, str] = {
     "cancelled": "cancelled",
 }
 
-# Row counts of lookups known to be bounded: set when a lookup is built here,
-# or measured (up to the cap) the first time another one is joined.
-_ROW_BOUND: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    _ROW_BOUND[df] = rows
-    return df
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows.
-
-    Lookups built by this module carry their size; any other DataFrame is
-    counted once, reading at most ``max_rows + 1`` rows. Callers broadcast a
-    lookup only when this holds and otherwise leave the join to the planner
-    (a shuffle join), so a large "lookup" cannot be forced into every task.
-    """
-    n = _ROW_BOUND.get(df)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-        _ROW_BOUND[df] = n
-    return n <= max_rows
+# Lookups whose keys are known to be unique.
+_UNIQUE: weakref.WeakSet = weakref.WeakSet()
 
 
 STATUS_SCHEMA = T.StructType(
@@ -69,16 +47,26 @@ REGION_SCHEMA = T.StructType(
 )
 
 
+def _unique(df: DataFrame) -> DataFrame:
+    _UNIQUE.add(df)
+    return df
+
+
+def unique_keys(lookup: DataFrame, key: str) -> DataFrame:
+    """``lookup``, failing when it is read if a key has more than one row."""
+    if lookup in _UNIQUE:
+        return lookup
+    values = [c for c in lookup.columns if c != key]
+    once = F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*values))).otherwise(
+        F.raise_error(F.concat(F.lit("repeated lookup key: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))))
+    return lookup.groupBy(key).agg(once.alias("_v")).select(key, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
 def _from_mapping(spark: SparkSession, mapping: Mapping[str, str], schema: T.StructType) -> DataFrame:
-    """A JVM-side table of literals (no Python rows, no Python workers)."""
-    if len(mapping) > MAX_LOOKUP_ROWS:
-        raise ValueError(f"lookup has {len(mapping)} entries, more than {MAX_LOOKUP_ROWS}")
+    """A JVM-side table of literals (no Python rows, no Python workers), of any size."""
     key, value = schema.fieldNames()
-    if not mapping:
-        return _bounded(empty_rows(spark, schema), 0)
-    entries = [F.struct(F.lit(k).cast("string").alias(key), F.lit(v).cast("string").alias(value))
-               for k, v in mapping.items()]
-    return _bounded(spark.range(1).select(F.inline(F.array(*entries))), len(mapping))
+    rows = json.dumps([{key: str(k), value: None if v is None else str(v)} for k, v in mapping.items()])
+    return _unique(spark.range(1).select(F.inline(F.from_json(F.lit(rows), T.ArrayType(schema)))))
 
 
 def status_lookup(spark: SparkSession, mapping: Mapping[str, str] | None = None) -> DataFrame:
@@ -94,19 +82,24 @@ def region_lookup(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
 def load_mapping_file(spark: SparkSession, path: str, schema: T.StructType = REGION_SCHEMA) -> DataFrame:
     """Read a JSON object file ``{"key": "value", ...}`` as a two-column lookup.
 
-    The file is read by Spark, so any Hadoop path works. Its size is checked
-    before it is handed out for broadcasting.
+    The file is read by Spark, so any Hadoop path works. Loading checks it: a file
+    that is empty, truncated, malformed or no object of scalars, and a key that is
+    repeated, raise ``DataExtractionError``.
     """
     key, value = schema.fieldNames()
-    df = (
-        spark.read.text(path, wholetext=True)
-        .select(F.explode(F.from_json("value", T.MapType(T.StringType(), T.StringType()))))
-        .select(F.col("key").alias(key), F.col("value").alias(value))
-    )
-    n = df.limit(MAX_LOOKUP_ROWS + 1).count()
-    if n > MAX_LOOKUP_ROWS:
-        raise ValueError(f"lookup file {path} has more than {MAX_LOOKUP_ROWS} entries")
-    return _bounded(df, n)
+    entries = F.from_json("value", T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
+    parsed = spark.read.text(path, wholetext=True).select(entries.alias("entries"))
+    rows = parsed.select(F.explode("entries").alias(key, value))
+    try:
+        unread = parsed.agg(F.count(F.lit(1)), F.count_if(F.col("entries").isNull())).first()
+        repeated = rows.groupBy(key).count().where("count > 1").limit(5).collect()
+    except JOB_ERRORS as exc:
+        raise DataExtractionError(f"lookup file {path} cannot be parsed: {exc}") from exc
+    if not unread[0] or unread[1]:
+        raise DataExtractionError(f"lookup file {path} holds no JSON object")
+    if repeated:
+        raise DataExtractionError(f"lookup file {path} repeats keys: {[r[0] for r in repeated]}")
+    return _unique(rows)
 
 
 def status_lookup_from_file(spark: SparkSession, path: str) -> DataFrame:

@@ -5,10 +5,13 @@ a file stream over the landing folder does the bookkeeping of which files
 are new (in its checkpoint), and each micro-batch goes through the same
 steps as a normal run: transform, value checks, commit. With
 ``availableNow`` every start processes what has landed since the last one
-and stops, which is the scheduled run.
+and stops, which is the scheduled run. No cap splits that into several
+micro-batches: the value checks see all of a start's rows together, as in a
+normal run.
 
 A stream needs a declared schema (no inference pass); the structure check
-is therefore the declaration itself. ``foreachBatch`` is at-least-once: after
+is therefore the declaration itself, and a record that does not fit it fails
+the batch. ``foreachBatch`` is at-least-once: after
 a restart the last micro-batch may be handed over again. Each commit records
 the stream (its checkpoint location) and the micro-batch id as its ``txn``,
 and a batch whose ``txn`` is the table's latest commit is skipped, so every
@@ -25,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import table as TB
 from ..plans.normal_run import RunConfig, run_on_raw
+from ..sources.bookings import refuse_corrupt, with_corrupt_record
 
 
 def batch_txn(checkpoint_location: str, batch_id: int) -> str:
@@ -46,13 +50,9 @@ def batch_committer(spec: TB.TableSpec, cfg: RunConfig,
 
 def start_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType | str,
                  spec: TB.TableSpec, cfg: RunConfig, checkpoint_location: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 available_now: bool = True) -> StreamingQuery:
     """Start the stream; returns the running query (``awaitTermination`` it)."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing_dir)
-
+    stream = refuse_corrupt(spark.readStream.schema(with_corrupt_record(schema)).json(landing_dir))
     writer = (stream.writeStream.foreachBatch(batch_committer(spec, cfg, checkpoint_location))
               .option("checkpointLocation", checkpoint_location)
               .queryName(f"ingest-{spec.path.rsplit('/', 1)[-1]}"))
@@ -61,11 +61,9 @@ def start_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType | s
 
 
 def run_ingest_once(spark: SparkSession, landing_dir: str, schema: T.StructType | str,
-                    spec: TB.TableSpec, cfg: RunConfig, checkpoint_location: str,
-                    max_files_per_trigger: int | None = None) -> None:
+                    spec: TB.TableSpec, cfg: RunConfig, checkpoint_location: str) -> None:
     """Process everything landed since the last run, then return."""
-    q = start_ingest(spark, landing_dir, schema, spec, cfg, checkpoint_location, True,
-                     max_files_per_trigger)
+    q = start_ingest(spark, landing_dir, schema, spec, cfg, checkpoint_location)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -16,18 +16,27 @@ from stayledger.sources import fixtures as FX
 SMALL = "/root/testdata/sf0.001"
 
 
-def test_slices_partition_the_input(spark):
-    df = spark.createDataFrame([(i,) for i in range(103)] + [(None,)], "k bigint")
-    slices = [B.batch_slice(df, "k", i, 5) for i in range(5)]
+@pytest.mark.parametrize("method", ["hash", "modulo"])
+def test_slices_partition_the_input(spark, method):
+    df = spark.createDataFrame([(i,) for i in range(1003)] + [(None,)], "k bigint")
+    slices = [B.batch_slice(df, "k", i, 5, method) for i in range(5)]
     sizes = [s.count() for s in slices]
-    assert sum(sizes) == 104 and min(sizes) >= 20
-    assert B.batch_slice(df, "k", 0, 5).where(F.col("k").isNull()).count() == 1
+    assert sum(sizes) == 1004 and min(sizes) >= 160
+    assert sum(s.where(F.col("k").isNull()).count() for s in slices) == 1
     union = slices[0]
     for s in slices[1:]:
         union = union.unionByName(s)
     assert union.exceptAll(df).count() == 0 and df.exceptAll(union).count() == 0
 
 
+def test_hash_batches_are_near_equal_whatever_the_keys(spark):
+    df = spark.range(0, 50_000, 5).withColumnRenamed("id", "k")  # multiples of 5
+    sizes = [r["count"] for r in B.with_batch_id(df, "k", 5).groupBy(B.BATCH).count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 1850 and max(sizes) < 2150
+    with pytest.raises(ValueError):
+        B.batch_id(spark.createDataFrame([("a",)], "k string"), "k", 5, "modulo")
+
+
 def test_hash_slices_for_string_keys(spark):
     df = spark.createDataFrame([(f"id-{i}",) for i in range(200)] + [(None,)], "k string")
     sizes = [B.batch_slice(df, "k", i, 4).count() for i in range(4)]
@@ -70,7 +79,8 @@ def _expected(spark):
 def test_migration_copy_equals_state_on_fresh_table(spark, scratch):
     spec = TB.TableSpec(scratch("mig"), partition_transform="month")
     target, audit = derby(), scratch("audit")
-    res = MG.batch_migration(spark, FX.raw_bookings(spark, SMALL), spec, run_config(spark), target, audit)
+    res = MG.batch_migration(spark, FX.raw_bookings(spark, SMALL), spec, run_config(spark), target, audit,
+                             batch_method="modulo")
     state = TB.read_table(spark, spec)
     copy = target.read(spark).select(*state.columns)
     exp = _expected(spark)
@@ -84,20 +94,68 @@ def test_migration_copy_equals_state_on_fresh_table(spark, scratch):
     assert res.preview.count() == 20
 
 
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def yearly(scratch, name):
+    return TB.TableSpec(scratch(name), partition_transform="year")
+
+
 def test_second_run_on_existing_table(spark, scratch):
-    spec = TB.TableSpec(scratch("mig2"), partition_transform="month")
+    spec = yearly(scratch, "mig2")
     cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
-    t1, t2, t3 = (CP.ParquetTarget(scratch("c")) for _ in range(3))
-    MG.batch_migration(spark, raw, spec, cfg, t1, scratch("a"))
-    # this run's first commit (default): every row is an update now, so no inserts follow
-    res = MG.batch_migration(spark, raw, spec, cfg, t2, scratch("a"))
-    n0 = _expected(spark).where(F.col("transaction_id") % 5 == 0).count()
-    assert (res.first_commit, res.last_commit, res.synced_rows) == (6, 10, 0)
-    assert t2.read(spark).count() == n0
-    # the original behaviour: from the table's birth, which copies old inserts again
-    res = MG.batch_migration(spark, raw, spec, cfg, t3, scratch("a"), since_table_birth=True)
-    assert (res.first_commit, res.last_commit) == (1, 15)
-    assert res.synced_rows == _expected(spark).count() - n0
+    target, audit = CP.ParquetTarget(scratch("c")), scratch("a")
+    MG.batch_migration(spark, raw, spec, cfg, target, audit, n_batches=2)
+    # every row is an update now: the copy is still all of the table
+    res = MG.batch_migration(spark, raw, spec, cfg, target, audit, n_batches=2)
+    n = _expected(spark).count()
+    assert (res.first_commit, res.last_commit, res.synced_rows) == (3, 4, n)
+    assert same(target.read(spark), _expected(spark))
+    labels = sorted((r.snapshot_id, r.batch_label) for r in CP.read_audit(spark, audit).collect())
+    assert labels == [(1, "first"), (2, "last"), (4, "last")]
+
+
+def test_copy_equals_table_after_a_failed_run_and_a_repeat(spark, scratch, monkeypatch):
+    spec = yearly(scratch, "mig3")
+    cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
+    target, audit = CP.ParquetTarget(scratch("c")), scratch("a")
+    append, calls = TB.append_new_keys, []
+
+    def failing(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost the third batch")
+        return append(*a, **k)
+    monkeypatch.setattr(TB, "append_new_keys", failing)
+    with pytest.raises(RuntimeError):
+        MG.batch_migration(spark, raw, spec, cfg, target, audit, n_batches=3)
+    monkeypatch.undo()
+    assert [r.batch_label for r in CP.read_audit(spark, audit).collect()] == ["first"]  # not "last": redo
+    MG.batch_migration(spark, raw, spec, cfg, target, audit, n_batches=3)
+    assert same(target.read(spark), _expected(spark))
+    assert same(TB.read_table(spark, spec), _expected(spark))
+
+
+def test_copy_equals_table_after_a_run_with_other_rows(spark, scratch):
+    spec = yearly(scratch, "mig4")
+    cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
+    target, audit = CP.ParquetTarget(scratch("c")), scratch("a")
+    key = F.col("accommodations.reservation")
+    MG.batch_migration(spark, raw.where(key % 3 != 0), spec, cfg, target, audit, n_batches=2)
+    MG.batch_migration(spark, raw.where(key % 3 != 1), spec, cfg, target, audit, n_batches=2)
+    assert same(target.read(spark), TB.read_table(spark, spec))
+    assert same(target.read(spark), _expected(spark))
+
+
+def test_a_cap_on_connections_keeps_the_scan_parallel(spark):
+    df = spark.range(0, 6400, 1, 64).selectExpr("id", "id * 2 AS v")
+    open_ = CP.JdbcTarget(url="jdbc:none", table="t")
+    assert open_.rows_to_write(df).rdd.getNumPartitions() == 64
+    capped = CP.JdbcTarget(url="jdbc:none", table="t", num_partitions=3).rows_to_write(df)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(3)" in plan and "Coalesce" not in plan
 
 
 def test_capped_jdbc_write_counts_every_row(spark):
@@ -114,25 +172,23 @@ def test_batch_mode_skips_checks_unless_asked(spark, scratch):
     cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
     dup = raw.unionByName(raw.where(F.col("accommodations.reservation") % 23 == 0))
     n_dup = raw.where(F.col("accommodations.reservation") % 23 == 0).count()
-    spec = TB.TableSpec(scratch("dup"), partition_transform="month")
-    MG.batch_migration(spark, dup, spec, cfg, CP.ParquetTarget(scratch("c")), scratch("a"))
+    spec = yearly(scratch, "dup")
+    MG.batch_migration(spark, dup, spec, cfg, CP.ParquetTarget(scratch("c")), scratch("a"), n_batches=2)
     # one key's rows share a batch, so both copies are inserted (no checks, as in batch mode)
     assert TB.read_table(spark, spec).count() == raw.count() + n_dup
-    strict = TB.TableSpec(scratch("dup2"), partition_transform="month")
+    strict = yearly(scratch, "dup2")
     with pytest.raises(DataQualityError, match="duplicate"):
         MG.batch_migration(spark, dup, strict, cfg, CP.ParquetTarget(scratch("c")), scratch("a"),
                            check_duplicates=True)
 
 
 def test_sync_with_updates_copies_after_images(spark, scratch):
-    spec = TB.TableSpec(scratch("upd"), partition_transform="month")
-    cfg, raw = run_config(spark), FX.raw_bookings(spark, SMALL)
-    MG.batch_migration(spark, raw, spec, cfg, CP.ParquetTarget(scratch("c")), scratch("a"))
+    spec = yearly(scratch, "upd")
+    b = bookings(spark, SMALL)
+    key = F.col("transaction_id")
+    TB.write(spark, spec, b.where(key % 5 != 4))
+    TB.write(spark, spec, b.where(key % 5 >= 3))
     target = CP.ParquetTarget(scratch("c"))
-    res = MG.batch_migration(spark, raw, spec, cfg, target, scratch("a"), include_updates=True)
-    n0 = _expected(spark).where(F.col("transaction_id") % 5 == 0).count()
-    # batches 2..5 of the second run update every key they hold: their after images are synced
-    assert res.synced_rows == _expected(spark).count() - n0
-    copy = target.read(spark)
-    assert copy.count() == _expected(spark).count()
-    assert copy.exceptAll(_expected(spark).select(*copy.columns)).count() == 0
+    res = MG.incremental_sync(spark, spec, target, scratch("a"), 1, 2, include_updates=True)
+    assert res.synced_rows == b.where(key % 5 >= 3).count()
+    assert same(target.read(spark), b.where(key % 5 >= 3))

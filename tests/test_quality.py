@@ -30,26 +30,29 @@ def test_good_input_passes(spark, tmp_path):
 
 def test_missing_and_renamed_columns(spark, tmp_path):
     df = scan(spark, tmp_path, [GOOD.replace('"id"', '"ID"').replace('"label": "k-a", ', "")])
-    with pytest.raises(SchemaValidationError, match=r"Missing required columns.*'id'.*'label'"):
+    with pytest.raises(SchemaValidationError) as e:
         Q.validate_schema(df)
+    assert (e.value.check, e.value.columns, e.value.count) == ("column_present", ("id", "label"), 2)
 
 
 def test_integer_revenue_is_rejected(spark, tmp_path):
     df = scan(spark, tmp_path, [GOOD.replace("1.5", "2")])
-    with pytest.raises(SchemaValidationError, match="expected 'double', got 'long'"):
+    with pytest.raises(SchemaValidationError, match="is long, not double") as e:
         Q.validate_schema(df)
+    assert e.value.check == "revenue_type"
 
 
 def test_array_for_struct_is_rejected(spark, tmp_path):
     df = scan(spark, tmp_path, [GOOD.replace('"accommodations": {"reservation": 1}',
                                              '"accommodations": [{"reservation": 1}]')])
-    with pytest.raises(SchemaValidationError, match="'accommodations' expected struct, got 'array'"):
+    with pytest.raises(SchemaValidationError, match="accommodations is array, not struct") as e:
         Q.validate_schema(df)
+    assert (e.value.check, e.value.columns) == ("column_type", ("accommodations",))
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id string")
-    with pytest.raises(SchemaValidationError, match="empty"):
+    with pytest.raises(SchemaValidationError, match="not_empty"):
         Q.validate_schema(df)
 
 
@@ -70,7 +73,7 @@ def test_duplicates_count_keys_and_null_is_one_group(spark):
     rep = {r.check_name: r.bad_count for r in Q.quality_report(df).collect()}
     assert rep == {"duplicate_keys": 2, "negative_revenue": 0, "invalid_currency": 0,
                    "missing_revenue": 0}
-    with pytest.raises(DataQualityError, match="Found 2 duplicate"):
+    with pytest.raises(DataQualityError, match="duplicate_keys: 2"):
         Q.validate_quality(df)
 
 
@@ -80,12 +83,12 @@ def test_checks_in_order(spark):
     rep = {r.check_name: r.bad_count for r in Q.quality_report(df).collect()}
     assert rep == {"duplicate_keys": 0, "negative_revenue": 1, "invalid_currency": 1,
                    "missing_revenue": 2}
-    with pytest.raises(DataQualityError, match="negative revenue"):
+    with pytest.raises(DataQualityError, match="negative_revenue: 1"):
         Q.validate_quality(df)
-    with pytest.raises(DataQualityError, match="invalid currency"):
+    with pytest.raises(DataQualityError, match="invalid_currency"):
         Q.validate_quality(df.where(F.col("transaction_id") != "2").unionByName(
             _rows(spark, [("5", 1.0, 1.0, "EURO")])))
-    with pytest.raises(DataQualityError, match="NaN"):
+    with pytest.raises(DataQualityError, match="missing_revenue"):
         Q.validate_quality(df.where(F.col("transaction_id").isin("1", "4")))
 
 
@@ -115,7 +118,7 @@ def test_empty_file_has_an_empty_schema(spark, tmp_path):
     p.write_text("")
     df = read_bookings(spark, str(p))
     assert df.columns == []
-    with pytest.raises(SchemaValidationError, match="empty"):
+    with pytest.raises(SchemaValidationError, match="not_empty"):
         Q.validate_schema(df)
 
 
@@ -129,16 +132,6 @@ def test_extra_raw_region_column_is_allowed(spark, tmp_path):
     assert out.region == "Europe" and out.status == "approved"
 
 
-def test_sampled_inference_reads_every_row(spark, tmp_path):
-    from stayledger.sources.bookings import read_bookings
-    from stayledger.sources import fixtures as FX
-    path = str(tmp_path / "b")
-    FX.raw_bookings(spark, "/root/testdata/sf0.001").write.json(path)
-    full, sampled = read_bookings(spark, path), read_bookings(spark, path, sampling_ratio=0.5)
-    assert sampled.schema == full.schema
-    assert sampled.count() == full.count() == FX.raw_bookings(spark, "/root/testdata/sf0.001").count()
-
-
 def test_report_without_probe_for_fully_inferred_input(spark, tmp_path):
     df = scan(spark, tmp_path, [GOOD, GOOD.replace('"1"', '"2"')])
     key = lambda r: (r.check_order, r.column_name or "")
@@ -151,9 +144,9 @@ def test_empty_schema_still_probes(spark, tmp_path):
     (tmp_path / "e").mkdir()
     (tmp_path / "b").mkdir()
     empty = scan(spark, tmp_path / "e", [""])
-    with pytest.raises(SchemaValidationError, match="empty"):
+    with pytest.raises(SchemaValidationError, match="not_empty"):
         Q.validate_schema(empty, inferred_from_all_lines=True)
     only_braces = scan(spark, tmp_path / "b", ["{}", "{}"])
     if only_braces.columns == [] and not only_braces.isEmpty():
-        with pytest.raises(SchemaValidationError, match="Missing required columns"):
+        with pytest.raises(SchemaValidationError, match="column_present"):
             Q.validate_schema(only_braces, inferred_from_all_lines=True)

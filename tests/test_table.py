@@ -102,11 +102,10 @@ def test_state_is_replay_of_changes(spark, spec):
 def test_insert_only_commit_appends_a_segment(spark, spec):
     TB.write(spark, spec, df(spark, [(1, D1, 1.0)]))
     TB.write(spark, spec, df(spark, [(2, D1, 2.0)]))
-    layout = TB.commits(spark, spec).where("commit_id = 2").collect()[0].layout
-    assert sorted((e.part, e.version) for e in layout) == [("2024-01-01", 1), ("2024-01-01", 2)]
+    assert rows(TB.segments(spark, spec)) == [("v2024-01-01", 1), ("v2024-01-01", 2)]
     TB.write(spark, spec, df(spark, [(1, D1, 3.0)]))  # a match: the partition is rewritten
-    layout = TB.commits(spark, spec).where("commit_id = 3").collect()[0].layout
-    assert [(e.part, e.version) for e in layout] == [("2024-01-01", 3)]
+    assert rows(TB.segments(spark, spec)) == [("v2024-01-01", 3)]
+    assert rows(TB.segments(spark, spec, 2)) == [("v2024-01-01", 1), ("v2024-01-01", 2)]
     assert rows(TB.read_table(spark, spec)) == rows(df(spark, [(1, D1, 3.0), (2, D1, 2.0)]))
 
 
@@ -228,27 +227,66 @@ def test_hot_target_key_is_split_across_tasks(spark, spec):
                 spark.conf.set(k, v)
 
 
-def test_compaction_keeps_state_and_changelog(spark, scratch):
-    spec = TB.TableSpec(scratch("compact"))
-    TB.create_table(spark, spec, df(spark, [(1, D1, 1.0), (2, D2, 2.0)]))
-    TB.append_new_keys(spark, spec, df(spark, [(3, D1, 3.0)]))
-    TB.append_new_keys(spark, spec, df(spark, [(4, D1, 4.0), (5, D2, 5.0)]))
-    TB.upsert(spark, spec, df(spark, [(2, D2, 20.0), (6, None, 6.0)]))
-    before, changes = rows(TB.read_table(spark, spec)), rows(TB.changes(spark, spec, 1, 4))
-    res = TB.compact(spark, spec)
-    assert res.operation == "compact" and res.commit_id == 5 and res.row_count == 6
-    assert rows(TB.read_table(spark, spec)) == before
-    assert rows(TB.changes(spark, spec, 1, 5)) == changes
-    layout = TB.commits(spark, spec).where("commit_id = 5").collect()[0].layout
-    assert sorted((e.part or "", e.version) for e in layout) == [
-        ("", 4), ("2024-01-01", 5), ("2024-02-01", 4)]
-    plan = TB.read_table(spark, spec).where("check_in_date = DATE'2024-01-01'")
-    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
-    assert rows(TB.read_table(spark, spec, commit_id=2)) == rows(df(spark, [(1, D1, 1.0), (2, D2, 2.0), (3, D1, 3.0)]))
-    TB.upsert(spark, spec, df(spark, [(1, D1, 10.0)]))  # later commits build on the compacted layout
-    assert rows(TB.changes(spark, spec, 5, 6)) == rows(spark.createDataFrame(
-        [(1, D1, 1.0, "UPDATE_BEFORE", 0, 6), (1, D1, 10.0, "UPDATE_AFTER", 0, 6)],
-        SCHEMA + ", _change_type string, _change_ordinal int, _commit_snapshot_id bigint"))
+def test_many_commits_read_as_one_scan(spark, spec):
+    TB.create_table(spark, spec, df(spark, [(0, D1, 0.0), (100, D2, 0.0)]))
+    for i in range(1, 10):
+        TB.append_new_keys(spark, spec, df(spark, [(i, D1 if i % 2 else D2, float(i))]))
+
+    def scans(d):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        return sum("FileScan" in line and TB.SLOT in line for line in plan.split("\n"))
+    state, log = TB.read_table(spark, spec), TB.changes(spark, spec, 2, 9)
+    assert scans(state) == 1 and scans(log) == 1
+    assert state.count() == 11
+    assert sorted((r._commit_snapshot_id, r._change_ordinal, r.transaction_id) for r in log.collect()) == [
+        (n, n - 3, n - 1) for n in range(3, 10)]
+    # the changelog reads the range's folders only
+    assert log.select(F.input_file_name()).distinct().count() == 7
+    one = TB.commits(spark, spec).where("commit_id = 10").first()
+    assert one.row_count == 11 and one.inserted == 1
+
+
+def test_empty_string_and_null_partitions_stay_apart(spark, scratch):
+    spec = TB.TableSpec(scratch("purpose"), key="k", partition_column="p")
+    data = [(1, ""), (2, ""), (3, None), (4, "a"), (5, "n"), (6, "a=b/c"), (7, " ")]
+    TB.create_table(spark, spec, spark.createDataFrame(data, "k bigint, p string"))
+    assert rows(TB.read_table(spark, spec)) == sorted(data, key=repr)
+    res = TB.upsert(spark, spec, spark.createDataFrame([(1, None), (3, ""), (8, "")], "k bigint, p string"))
+    assert (res.inserted, res.updated) == (1, 2)
+    want = [(1, None), (2, ""), (3, ""), (4, "a"), (5, "n"), (6, "a=b/c"), (7, " "), (8, "")]
+    assert rows(TB.read_table(spark, spec)) == sorted(want, key=repr)
+    before = TB.changes(spark, spec, 1, 2).where("_change_type = 'UPDATE_BEFORE'").select("k", "p")
+    assert rows(before) == sorted([(1, ""), (3, None)], key=repr)
+
+
+def test_upsert_aggregates_a_hot_target_key_before_the_shuffle(spark, scratch, monkeypatch):
+    """A key held by a third of the target: the job that finds the matched keys
+    aggregates it in the map tasks, so the shuffle sees one row per task."""
+    spec = TB.TableSpec(scratch("hot"))
+    n = 3000
+    t = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 1000).alias("transaction_id"),
+        F.lit(D1).alias("check_in_date"), F.col("id").cast("double").alias("revenue"))
+    TB.create_table(spark, spec, t)
+    from pyspark.sql import DataFrameWriter
+    plans, write = [], DataFrameWriter.parquet
+
+    def spy(self, path, *a, **k):
+        if path.endswith("-keys"):
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    res = TB.upsert(spark, spec, df(spark, [(7, D2, -1.0), (99999, D1, -3.0)]))
+    assert (res.inserted, res.updated) == (1, n // 3)
+    (plan,) = plans
+    lines = plan.split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(transaction_id" in line]
+    assert shuffles
+    for i in shuffles:  # right below every shuffle of keys stands an aggregate
+        below = next(line for line in lines[i + 1:] if depth(line) > depth(lines[i]))
+        assert "Aggregate" in below, (lines[i], below)
+    assert any("partial_count" in line for line in lines)
 
 
 def test_latest_commit_skips_a_half_written_commit_folder(spark, spec):

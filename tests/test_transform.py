@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from stayledger.errors import DataExtractionError
 from stayledger.operators import transform as X
 from stayledger.sources import fixtures as FX
 from stayledger.sources import lookups as LK
@@ -79,21 +81,30 @@ def test_fixture_matches_contract_after_json_round_trip(spark, scratch):
     assert raw.agg(F.sum("accommodations.reservation")).collect()[0][0] > 0
 
 
-def _hinted_broadcast(df) -> bool:
-    return "BroadcastHint" in str(df._jdf.queryExecution().analyzed().toString()) or \
-        "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
-
-
-def test_lookup_broadcast_only_when_bounded(spark):
-    # built lookups carry their size: no counting job needed
-    assert LK.is_small(LK.status_lookup(spark))
-    big = spark.range(30).selectExpr("cast(id AS string) AS raw_status",
-                                     "cast(id AS string) AS mapped_status")
-    assert not LK.is_small(big, max_rows=20) and LK.is_small(big, max_rows=30)
-    raw = spark.createDataFrame([raw_row(1, status="7")], RAW)
-    small_plan = X.map_status(raw, LK.status_lookup(spark))
-    assert _hinted_broadcast(small_plan)
-    LK._ROW_BOUND[big] = LK.MAX_LOOKUP_ROWS + 1  # as if counted above the cap
-    big_plan = X.map_status(raw, big)
-    assert not _hinted_broadcast(big_plan)
-    assert big_plan.select("_mapped_status").collect()[0][0] == "7"
+@pytest.mark.parametrize("content", ["", "{", '{"DE": "Europe", "US": ', "[1, 2]", "not json", "null"])
+def test_unreadable_lookup_files_raise(spark, tmp_path, content):
+    path = tmp_path / "regions.json"
+    path.write_text(content)
+    with pytest.raises(DataExtractionError):
+        LK.region_lookup_from_file(spark, str(path))
+
+
+def test_repeated_lookup_keys_raise(spark, tmp_path):
+    path = tmp_path / "regions.json"
+    path.write_text('{"DE": "Europe", "DE": "Asia"}')
+    with pytest.raises(DataExtractionError, match="DE"):
+        LK.region_lookup_from_file(spark, str(path))
+    raw = spark.createDataFrame([raw_row(1)], RAW)
+    twice = spark.createDataFrame([("DE", "Europe"), ("DE", "Asia")], LK.REGION_SCHEMA)
+    with pytest.raises(Exception, match="repeated lookup key: DE"):
+        X.map_region(raw, twice).select("_region").collect()
+    once = spark.createDataFrame([("DE", "Europe"), ("US", None)], LK.REGION_SCHEMA)
+    assert X.map_region(raw, once).select("_region").collect()[0][0] == "Europe"
+
+
+def test_a_large_lookup_joins(spark):
+    big = LK.status_lookup(spark, {f"s{i}": f"m{i}" for i in range(20_000)})
+    assert big.count() == 20_000
+    raw = spark.createDataFrame([raw_row(1, status="s19999"), raw_row(2, status="x")], RAW)
+    got = X.map_status(raw, big).select("status", "_mapped_status").collect()
+    assert sorted(map(tuple, got)) == [("s19999", "m19999"), ("x", "x")]
