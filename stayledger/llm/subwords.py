@@ -25,9 +25,8 @@ long text's segmentations are all improbable.
 
 No piece crosses from a word into a following ``▁``, so the lattice is a chain of
 chunks (a word with the ``▁`` before it; a run of byte pieces) whose cuts are
-independent. Forward sums are made once per different chunk of a stretch of
-text (frequent ones are kept), and all documents of the stretch are walked
-together, in NumPy. Random
+independent. Forward sums are made once per different chunk of a few MB of
+text, and all documents of that stretch are walked together, in NumPy. Random
 numbers are a hash of (row key, sample, chunk, step): the same row gives the same
 samples on any cluster. Documents are never shuffled.
 
@@ -41,9 +40,10 @@ from __future__ import annotations
 
 import functools
 import re
-from itertools import chain
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,7 @@ from stayledger.llm.textbytes import batches_by_bytes, texts
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 ALPHA = 0.5
+_DENSE = 256  # ASCII and Latin letters
 _BYTE = 0xF0000  # private-use code points that stand for byte pieces
 _STRETCH = 512 << 10  # the arrays over a stretch stay within 100 MB
 _LINEAR = 96  # chunks up to this length are summed as plain numbers, longer ones as logarithms
@@ -67,6 +68,7 @@ class Pieces:
 
     number: np.ndarray  # code point -> number of the character, 0 for what no piece holds
     root: np.ndarray  # number of a character -> its trie node under the root, or 0
+    two: np.ndarray  # the same for two characters, both of the first ``_DENSE`` numbers
     slots: np.ndarray  # hashed (node, character number)
     child: np.ndarray
     piece: np.ndarray  # trie node -> piece id, or -1
@@ -76,10 +78,6 @@ class Pieces:
     known: str  # regex class body of the characters that pieces hold
     tall: float  # per character, added to log weights so that plain sums keep within range
 
-    @functools.cached_property
-    def store(self) -> ChunkStore:
-        return ChunkStore(self)
-
 
 def _slot(key: np.ndarray, size: int) -> np.ndarray:
     mixed = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -130,8 +128,13 @@ def load_pieces(model: bytes, alpha: float = ALPHA) -> Pieces:
     for (at, c), to in nodes.items():
         if at == 0:
             root[c] = to
+    two = np.zeros((_DENSE, _DENSE), np.int32)
+    first = {to: c for (at, c), to in nodes.items() if at == 0 and c < _DENSE}
+    for (at, c), to in nodes.items():
+        if at in first and c < _DENSE:
+            two[first[at], c] = to
     return Pieces(
-        number_of, root, slots, child, np.array(piece, np.int32), alpha * log_p, byte_id, bytes_of, known, 4.0 * alpha
+        number_of, root, two, slots, child, np.array(piece, np.int32), alpha * log_p, byte_id, bytes_of, known, 4.0 * alpha
     )
 
 
@@ -176,8 +179,16 @@ class Lattices:
         node, length = node[node > 0], 1
         while len(live):
             if length > 1:
-                node, hit = self._step(node, unit[live + length - 1], p)
-                live, node = live[hit], node[hit]
+                c = unit[live + length - 1]
+                if length == 2:
+                    a = unit[live]
+                    dense = (a < _DENSE) & (c < _DENSE)
+                    to = np.where(dense, p.two[np.where(dense, a, 0), np.where(dense, c, 0)], 0).astype(np.int64)
+                    if not dense.all():
+                        to[~dense] = self._step(node[~dense], c[~dense], p)
+                else:
+                    to = self._step(node, c, p)
+                live, node = live[to > 0], to[to > 0]
             ids = p.piece[node]
             piece = ids >= 0
             if piece.any():
@@ -191,19 +202,19 @@ class Lattices:
         self._sum(found, n_nodes, depth, np.repeat(size > _LINEAR, size + 1), p)
 
     @staticmethod
-    def _step(node: np.ndarray, c: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
-        key = node << 16 | c
-        to, hit = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-        ask = np.flatnonzero(c > 0)
-        slot = _slot(key[ask], len(p.slots))
+    def _step(node: np.ndarray, c: np.ndarray, p: Pieces) -> np.ndarray:
+        """The trie nodes one character on, 0 where there is none."""
+        to = np.zeros(len(node), np.int64)
+        ask = np.flatnonzero(c)
+        key = node[ask] << 16 | c[ask]
+        slot = _slot(key, len(p.slots))
         while len(ask):
             held = p.slots[slot]
-            same = held == key[ask]
+            same = held == key
             to[ask[same]] = p.child[slot[same]]
-            hit[ask[same]] = True
-            more = (held >= 0) & ~same
-            ask, slot = ask[more], (slot[more] + 1) % len(p.slots)
-        return to, hit
+            more = np.flatnonzero((held >= 0) & ~same)
+            ask, key, slot = ask[more], key[more], (slot[more] + 1) % len(p.slots)
+        return to
 
     def _sum(self, found: list, n_nodes: int, depth: np.ndarray, long: np.ndarray, p: Pieces) -> None:
         edges = []  # of one length each: start, piece, log weight, weight; by the depth they end at
@@ -245,7 +256,7 @@ class Lattices:
                 if any_long:
                     prob = np.where(long[start], np.exp(total[start] + log_w - total[end]), prob)
             seen[end] += prob
-            self.prev[at], self.id[at], self.below[at], self.p[at] = start, ids, seen[end], np.minimum(prob, 1.0)
+            self.prev[at], self.id[at], self.below[at], self.p[at] = start, ids, seen[end], prob
         last = self.first + degree - 1
         self.below[last[degree > 0]] = np.inf  # rounding never runs past the last edge
         self.degree = degree
@@ -262,7 +273,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _uniform(seed: np.ndarray, step: int) -> np.ndarray:
     """In (0, 1), by seed and step."""
-    x = _mix(seed + np.uint64((step * 0xD1342543DE82EF95 + 1) & (2**64 - 1)))
+    x = (seed + np.uint64((step * 0xD1342543DE82EF95 + 1) & (2**64 - 1))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -309,44 +321,6 @@ def _draw(lat: Lattices, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
     return place + pool.add(ids), length, log_p
 
 
-class ChunkStore:
-    """The chunks a worker has met, by number, with their lattices in parts: those of
-    the first ``KEPT`` stretches stay (they hold the frequent chunks), the part
-    behind them holds what else the stretch at hand has. What is kept decides
-    nothing but the time: a chunk's lattice is the same in any part."""
-
-    KEPT = 8
-
-    def __init__(self, p: Pieces) -> None:
-        self.p, self.number, self.parts, self.starts, self.last = p, {}, [], [0], []
-
-    def take_in(self, different: list[str]) -> None:
-        if len(self.parts) > self.KEPT:
-            for c in self.last:
-                del self.number[c]
-            self.parts.pop()
-            self.starts.pop()
-        self.last = [c for c in different if c not in self.number]
-        first = self.starts[-1]
-        self.number.update(zip(self.last, range(first, first + len(self.last))))
-        self.parts.append(Lattices(self.last, self.p) if self.last else None)
-        self.starts.append(first + len(self.last))
-
-    def of(self, chunk: int) -> tuple[Lattices, int]:
-        k = int(np.searchsorted(self.starts, chunk, side="right")) - 1
-        return self.parts[k], chunk - self.starts[k]
-
-    def draw(self, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
-        """`_draw` for chunks of any parts."""
-        out = np.zeros(len(chunk), np.int64), np.zeros(len(chunk), np.int64), np.zeros(len(chunk))
-        part = np.searchsorted(self.starts, chunk, side="right") - 1
-        for k in np.unique(part):
-            own = np.flatnonzero(part == k)
-            for whole, some in zip(out, _draw(self.parts[k], chunk[own] - self.starts[k], seed[own], pool)):
-                whole[own] = some
-        return out
-
-
 def _draw_other(lat: Lattices, chunk: int, taken: list[list[int]], seed: np.ndarray) -> tuple[list[int], float]:
     """A random cut of one chunk, other than those ``taken``."""
     cur, goal, out, log_p, step = int(lat.end[chunk]), int(lat.base[chunk]), [], 0.0, 0
@@ -384,10 +358,10 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
     docs = [i for i, r in enumerate(rows) if r]
     if not docs:
         return out
-    store = p.store
-    store.take_in(list(dict.fromkeys(chain.from_iterable(rows))))
+    number: defaultdict[str, int] = defaultdict(count().__next__)  # a new chunk gets the next number
     n = np.array([len(rows[i]) for i in docs])
-    chunk = np.fromiter(map(store.number.__getitem__, chain.from_iterable(rows)), np.int64, int(n.sum()))
+    chunk = np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), np.int64, int(n.sum()))
+    lat = Lattices(list(number), p)
     start = np.concatenate(([0], np.cumsum(n)))
     doc = np.repeat(np.arange(len(docs)), n)
     nth = np.arange(len(chunk)) - start[doc]
@@ -412,7 +386,7 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
 
     for s in range(k):
         if s == 0:
-            here = store.draw(chunk, seeds(0, everywhere, 1), pool)
+            here = (*_draw(lat, chunk, seeds(0, everywhere, 1), pool),)
             fresh = np.ones(len(chunk), bool)
         else:
             tops = np.array([np.maximum.reduceat(v, start[:-1]) for v in sets])
@@ -428,13 +402,13 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
                 for mine, theirs in zip(here, samples[b]):
                     mine[a:i] = theirs[a:i]
                 out_of = taken.get((b, d, i - a)) or [cut(b, i)]
-                ids, log_p = _draw_other(*store.of(int(chunk[i])), out_of, seeds(s, np.array([i]), 2))
+                ids, log_p = _draw_other(lat, int(chunk[i]), out_of, seeds(s, np.array([i]), 2))
                 here[0][i], here[1][i], here[2][i] = pool.add(np.array(ids, np.int32)), len(ids), log_p
                 taken[s, d, i - a] = [*out_of, ids]
                 fresh[i + 1 : z] = True
             at = np.flatnonzero(fresh)
             if len(at):
-                for mine, drawn in zip(here, store.draw(chunk[at], seeds(s, at, 1), pool)):
+                for mine, drawn in zip(here, _draw(lat, chunk[at], seeds(s, at, 1), pool)):
                     mine[at] = drawn
         samples.append(here)
         values_of.append((best, alive))
@@ -450,7 +424,7 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
             for (ts, d, i), cuts in taken.items():
                 if ts == s:  # the popped chunk itself: all cuts drawn so far are ruled out
                     at_ = start[d] + i
-                    gone = _probability(*store.of(int(chunk[at_])), cuts)
+                    gone = _probability(lat, int(chunk[at_]), cuts)
                     rest[at_] = np.log1p(-gone) if gone < 1 - 1e-12 else -np.inf
                     open_[at_] = True
         at = np.flatnonzero(open_ & (rest > -np.inf))
@@ -466,7 +440,7 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
                 size = length[a:z]
                 skip = np.cumsum(size) - size
                 ids = flat[np.repeat(place[a:z] - skip, size) + np.arange(int(size.sum()))]
-                lp = float(log_p[a:z].sum())
+                lp = min(0.0, float(log_p[a:z].sum()))
                 out[d].append((ids, lp, _log_inclusion(lp - float(kappa[j]))))
     return out
 
