@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 from stayledger.llm.frames import spill
 
 
+EDGES_PER_FILE = 200_000
+
+
 def _stamp(edges: DataFrame) -> tuple:
     """Count and order-free hash of an edge table."""
     mixed = F.xxhash64("u", "v")
@@ -35,14 +38,19 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
         "edges",
     )
     before = _stamp(e)
+    files = 1 + before[0] // EDGES_PER_FILE  # edges never become more
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return spill(df.coalesce(files), name)
+
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        known = spill(e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")), "large-star")
-        large = spill(e.join(known, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "edges")
-        low = spill(large.groupBy("u").agg(F.min("v").alias("m")), "small-star")
+        known = written(e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")), "large-star")
+        large = written(e.join(known, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct(), "edges")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "small-star")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = spill(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        e = written(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         after = _stamp(e)
         if after == before:
             break
