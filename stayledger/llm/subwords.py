@@ -39,6 +39,7 @@ gives no rows; columns other than the key and the text are not carried along.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -50,7 +51,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.llm.frames import table
+from stayledger.llm.frames import table, whole_texts
 from stayledger.llm.textbytes import batches_by_bytes, texts
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -58,7 +59,7 @@ SPACE = "▁"
 ALPHA = 0.5
 _DENSE = 256  # ASCII and Latin letters
 _BYTE = 0xF0000  # private-use code points that stand for byte pieces
-_STRETCH = 512 << 10  # the arrays over a stretch stay within 100 MB
+_STRETCH = 256 << 10  # the arrays over a stretch stay within 100 MB
 _LINEAR = 96  # chunks up to this length are summed as plain numbers, longer ones as logarithms
 
 
@@ -158,9 +159,9 @@ def decode_ids(ids: list[int], p: Pieces) -> str:
 
 
 class Lattices:
-    """The lattices of many chunks: node j of chunk t stands before its unit j;
-    edges are listed by the node they end at, with the probability of being the
-    last piece of a random segmentation up to there."""
+    """The lattices of many chunks: node j of chunk t stands before its unit j.
+    ``p[l, node]`` is the probability that a random segmentation up to the node
+    ends in a piece of l + 1 units, ``id[l, node]`` that piece."""
 
     def __init__(self, chunks: list[str], p: Pieces) -> None:
         size = np.fromiter(map(len, chunks), np.int64, len(chunks))
@@ -239,27 +240,19 @@ class Lattices:
                         total[a + length] = np.logaddexp(total[a + length], total[a] + log_w[here][log])
                         s, v = s[~log], v[~log]
                     total[s + length] += total[s] * v
-        degree = np.zeros(n_nodes, np.int64)
-        for length, start, *_ in edges:
-            degree[start + length] += 1
-        self.first = np.concatenate(([0], np.cumsum(degree)))[:-1]
-        n = int(degree.sum())
-        self.prev, self.id, self.p = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n)
-        self.below, fill = np.zeros(n), self.first.copy()
-        seen = np.zeros(n_nodes)
+        longest = max((e[0] for e in edges), default=1)
+        self.p, self.id = np.zeros((longest, n_nodes)), np.zeros((longest, n_nodes), np.int32)
         for length, start, ids, log_w, w, _ in edges:
             end = start + length
-            at = fill[end]
-            fill[end] += 1
             with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
                 prob = total[start] * w / total[end]
                 if any_long:
                     prob = np.where(long[start], np.exp(total[start] + log_w - total[end]), prob)
-            seen[end] += prob
-            self.prev[at], self.id[at], self.below[at], self.p[at] = start, ids, seen[end], prob
-        last = self.first + degree - 1
-        self.below[last[degree > 0]] = np.inf  # rounding never runs past the last edge
-        self.degree = degree
+            self.p[length - 1, end], self.id[length - 1, end] = prob, ids
+
+    def last_pieces(self, node: int) -> list[tuple[int, int, float]]:
+        """(units, piece, probability) of the pieces that end at a node."""
+        return [(i + 1, int(self.id[i, node]), q) for i, q in enumerate(self.p[:, node].tolist()) if q]
 
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -301,16 +294,21 @@ def _draw(lat: Lattices, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
     live, steps = np.arange(len(chunk)), []
     step = 0
     while len(live):
-        u = _uniform(seed[live], step)
-        edge = lat.first[cur[live]]
-        over = np.flatnonzero(u > lat.below[edge])
-        while len(over):
-            edge[over] += 1
-            over = over[u[over] > lat.below[edge[over]]]
-        steps.append((live, lat.id[edge]))
-        log_p[live] += np.log(lat.p[edge])
+        node = cur[live]
+        left, size = _uniform(seed[live], step) - lat.p[0, node], np.zeros(len(live), np.int64)
+        over = np.flatnonzero(left > 0)
+        for i in range(1, len(lat.p)):
+            if not len(over):
+                break
+            left[over] -= lat.p[i, node[over]]
+            size[over] = i
+            over = over[left[over] > 0]
+        for x in over:  # rounding left a little: the longest piece takes it
+            size[x] = np.flatnonzero(lat.p[:, node[x]])[-1]
+        steps.append((live, lat.id[size, node]))
+        log_p[live] += np.log(lat.p[size, node])
         length[live] += 1
-        cur[live] = lat.prev[edge]
+        cur[live] = node - size - 1
         live = live[cur[live] != goal[live]]
         step += 1
     place = np.concatenate(([0], np.cumsum(length)))[:-1]
@@ -321,31 +319,26 @@ def _draw(lat: Lattices, chunk: np.ndarray, seed: np.ndarray, pool: _Pool):
     return place + pool.add(ids), length, log_p
 
 
-def _draw_other(lat: Lattices, chunk: int, taken: list[list[int]], seed: np.ndarray) -> tuple[list[int], float]:
-    """A random cut of one chunk, other than those ``taken``."""
+def _draw_other(
+    lat: Lattices, chunk: int, taken: list[tuple[list[int], float]], seed: np.ndarray
+) -> tuple[list[int], float]:
+    """A random cut of one chunk, other than those ``taken`` (with their probabilities)."""
     cur, goal, out, log_p, step = int(lat.end[chunk]), int(lat.base[chunk]), [], 0.0, 0
-    open_ = []  # (pieces still to come, from the end; their probability from here)
-    for cut in taken:
-        prob, at = 1.0, cur
-        for i in reversed(cut):
-            e = next(e for e in range(lat.first[at], lat.first[at] + lat.degree[at]) if lat.id[e] == i)
-            prob, at = prob * float(lat.p[e]), int(lat.prev[e])
-        open_.append((cut, prob))
+    open_ = taken  # (pieces still to come, from the end; their probability from here)
     while cur != goal:
-        edges = range(int(lat.first[cur]), int(lat.first[cur] + lat.degree[cur]))
-        prob = [float(lat.p[e]) for e in edges]
-        mass = [max(0.0, q - sum(r for c, r in open_ if c[-1] == lat.id[e])) for e, q in zip(edges, prob)]
+        last = lat.last_pieces(cur)
+        mass = [max(0.0, q - sum(r for c, r in open_ if c[-1] == i)) for _, i, q in last]
         u, k = float(_uniform(seed, step)[0]) * sum(mass), 0
         while k + 1 < len(mass) and (u > mass[k] or mass[k] == 0.0):
             u -= mass[k]
             k += 1
         while mass[k] == 0.0 and k:
             k -= 1
-        e = edges[k]
-        open_ = [(c[:-1], r / prob[k]) for c, r in open_ if c[-1] == lat.id[e]]
-        out.append(int(lat.id[e]))
-        log_p += float(np.log(lat.p[e]))
-        cur = int(lat.prev[e])
+        size, piece, prob = last[k]
+        open_ = [(c[:-1], r / prob) for c, r in open_ if c[-1] == piece]
+        out.append(piece)
+        log_p += math.log(prob)
+        cur -= size
         step += 1
     return out[::-1], log_p
 
@@ -401,10 +394,10 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
                 sets[b][i] = -np.inf  # popped
                 for mine, theirs in zip(here, samples[b]):
                     mine[a:i] = theirs[a:i]
-                out_of = taken.get((b, d, i - a)) or [cut(b, i)]
+                out_of = taken.get((b, d, i - a)) or [(cut(b, i), math.exp(samples[b][2][i]))]
                 ids, log_p = _draw_other(lat, int(chunk[i]), out_of, seeds(s, np.array([i]), 2))
                 here[0][i], here[1][i], here[2][i] = pool.add(np.array(ids, np.int32)), len(ids), log_p
-                taken[s, d, i - a] = [*out_of, ids]
+                taken[s, d, i - a] = [*out_of, (ids, math.exp(log_p))]
                 fresh[i + 1 : z] = True
             at = np.flatnonzero(fresh)
             if len(at):
@@ -424,7 +417,7 @@ def sample_segmentations(values: list[str], keys: np.ndarray, k: int, p: Pieces)
             for (ts, d, i), cuts in taken.items():
                 if ts == s:  # the popped chunk itself: all cuts drawn so far are ruled out
                     at_ = start[d] + i
-                    gone = _probability(lat, int(chunk[at_]), cuts)
+                    gone = sum(q for _, q in cuts)
                     rest[at_] = np.log1p(-gone) if gone < 1 - 1e-12 else -np.inf
                     open_[at_] = True
         at = np.flatnonzero(open_ & (rest > -np.inf))
@@ -452,17 +445,6 @@ def _log_inclusion(above: float) -> float:
     return float(np.log(-np.expm1(-np.exp(min(above, 700.0)))))
 
 
-def _probability(lat: Lattices, chunk: int, cuts: list[list[int]]) -> float:
-    total = 0.0
-    for cut in cuts:
-        prob, at = 1.0, int(lat.end[chunk])
-        for i in reversed(cut):
-            e = next(e for e in range(lat.first[at], lat.first[at] + lat.degree[at]) if lat.id[e] == i)
-            prob, at = prob * float(lat.p[e]), int(lat.prev[e])
-        total += prob
-    return total
-
-
 def _shared_pieces(spark: SparkSession, model_file: str, alpha: float = ALPHA):
     with open(model_file, "rb") as f:
         return spark.sparkContext.broadcast(load_pieces(f.read(), alpha))
@@ -478,6 +460,7 @@ def encode_samples(
 ) -> DataFrame:
     """(key, sample from 0, ids, log_prob, log_inclusion): ``k`` rows for a text that
     has as many segmentations."""
+    whole_texts(docs.sparkSession)
     pieces = _shared_pieces(docs.sparkSession, model_file, alpha)
     key_type = docs.schema[key].dataType.simpleString()
 
