@@ -34,21 +34,21 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.llm.frames import cut, table
+from stayledger.llm.frames import cut, table, whole_texts
 from stayledger.llm.textbytes import FOLD_WORDS, texts
 
 WINDOW = 13
 ONE_IN = 20
 BLOCK_BYTES = 8 << 20
+_WORD = re.compile(rb"[^ ]+")
 
-_FOUND = (
-    "struct<n_words:long,hits:array<struct<first:int,end:int>>,items:array<string>>"
-)
+_FOUND = "struct<n_words:long,hits:array<struct<first:int,end:int>>,items:array<string>,rest:string>"
 _FOUND_ARROW = pa.struct(
     [
         ("n_words", pa.int64()),
         ("hits", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))),
         ("items", pa.list_(pa.string())),
+        ("rest", pa.string()),
     ]
 )
 
@@ -185,8 +185,19 @@ def _merged(spans: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _scanner(automaton, carried: bool):
-    """Arrow function text (, spans and items of earlier blocks) -> found."""
+def _rest(raw: bytes, hits: list[tuple[int, int]]) -> str:
+    """The text without the hit words and what stands between them."""
+    places = [m.span() for m in _WORD.finditer(raw.translate(FOLD_WORDS))]
+    kept, at = [], 0
+    for first, end in hits:
+        kept.append(raw[at : places[first][0]])
+        at = places[end - 1][1]
+    return b"".join([*kept, raw[at:]]).decode()
+
+
+def _scanner(automaton, carried: bool, cut_texts: bool):
+    """Arrow function text (, found in earlier blocks) -> found; ``cut_texts``: with
+    the rest of a text that has hits."""
 
     def scan(column: pa.Array, earlier: pa.Array | None) -> pa.Array:
         found = automaton.value
@@ -203,6 +214,7 @@ def _scanner(automaton, carried: bool):
                     "n_words": len(words),
                     "hits": [{"first": a, "end": b} for a, b in hits],
                     "items": sorted(x for x in items if x is not None),
+                    "rest": _rest(text, hits) if cut_texts and hits else None,
                 }
             )
         return pa.array(rows, _FOUND_ARROW)
@@ -233,6 +245,25 @@ def _blocks(items: DataFrame, item_id: str, text: str, window: int, block_bytes:
         yield Automaton([(r["id"], words_of(r["text"])) for r in block], window)
 
 
+def _found(
+    docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, block_bytes: int, cut_texts: bool
+) -> DataFrame:
+    """Adds ``__found``, what the items' automata find in the text."""
+    whole_texts(docs.sparkSession)
+    spark, found = docs.sparkSession, None
+    for k, automaton in enumerate(_blocks(items, item_id, item_text, window, block_bytes)):
+        shared = spark.sparkContext.broadcast(automaton)
+        if k == 0:
+            found = docs.withColumn("__found", _scanner(shared, False, cut_texts)(F.col(text)))
+        else:  # executors hold one block's automaton at a time
+            found = cut(found).withColumn("__found", _scanner(shared, True, cut_texts)(F.col(text), F.col("__found")))
+    return found
+
+
+def _n_hit() -> Column:
+    return F.aggregate("__found.hits", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
+
+
 def mark_contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -245,17 +276,10 @@ def mark_contamination(
 ) -> DataFrame:
     """Adds ``n_words``, ``n_hit``, ``hits`` (merged word spans, end exclusive),
     ``items`` (ids as strings, sorted) and ``contaminated``."""
-    spark, found = docs.sparkSession, None
-    for k, automaton in enumerate(_blocks(items, item_id, item_text, window, block_bytes)):
-        shared = spark.sparkContext.broadcast(automaton)
-        if k == 0:
-            found = docs.withColumn("__found", _scanner(shared, False)(F.col(text)))
-        else:  # executors hold one block's automaton at a time
-            found = cut(found).withColumn("__found", _scanner(shared, True)(F.col(text), F.col("__found")))
-    n_hit = F.aggregate("__found.hits", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["first"])
     return (
-        found.withColumn("n_words", F.col("__found.n_words"))
-        .withColumn("n_hit", n_hit)
+        _found(docs, items, text, item_id, item_text, window, block_bytes, False)
+        .withColumn("n_words", F.col("__found.n_words"))
+        .withColumn("n_hit", _n_hit())
         .withColumn("hits", F.col("__found.hits"))
         .withColumn("items", F.col("__found.items"))
         .withColumn("contaminated", (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words")))
@@ -263,48 +287,31 @@ def mark_contamination(
     )
 
 
-_WORD = re.compile(rb"[^ ]+")
-
-
-def cut_spans(text: Column, hits: Column) -> Column:
-    """``text`` without the hit words and what stands between them; unchanged where
-    there are no hits."""
-
-    @F.arrow_udf("string")
-    def without(column: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for raw, hit in zip(texts(column), spans.to_pylist()):
-            if raw is None or not hit:
-                out.append(raw)
-                continue
-            places = [m.span() for m in _WORD.finditer(raw.translate(FOLD_WORDS))]
-            kept, at = [], 0
-            for s in hit:
-                kept.append(raw[at : places[s["first"]][0]])
-                at = places[s["end"] - 1][1]
-            out.append(b"".join([*kept, raw[at:]]))
-        return pa.array(out, pa.binary()).cast(pa.string())
-
-    return without(text, hits)
-
-
-def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without contaminated documents, and without the hit spans of the
-    others; ``n_chars``, where present, follows the text. Same columns as ``docs``."""
-    text = options.get("text", "text")
-    kept = mark_contamination(docs.select(F.struct("*").alias("_row"), F.col(text).alias(text)), items, **options)
-    kept = kept.where(~F.col("contaminated")).select("_row", cut_spans(F.col(text), F.col("hits")).alias("_text"))
-    out = []
+def remove_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    one_in: int = ONE_IN,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """``docs`` without contaminated documents, and without the hit words (and what
+    stands between them) of the others; ``n_chars``, where present, follows the
+    text. Same columns as ``docs``."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    found = _found(rows, items, "text", item_id, item_text, window, block_bytes, True)
+    clean = (_n_hit() == 0) | (one_in * _n_hit() < F.col("__found.n_words"))
+    rest, out = F.col("__found.rest"), []
     for c in docs.columns:
-        value = F.col("_row")[c]
+        value = F.col("row")[c]
         if c == text:
-            value = F.col("_text")
+            value = F.coalesce(rest, value)
         elif c == "n_chars":
-            value = F.when(F.col("_text") == F.col("_row")[text], value).otherwise(
-                F.length("_text").cast(docs.schema[c].dataType)
-            )
+            value = F.coalesce(F.length(rest).cast(docs.schema[c].dataType), value)
         out.append(value.alias(c))
-    return kept.select(*out)
+    return found.where(clean).select(*out)
 
 
 def op2_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

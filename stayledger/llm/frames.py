@@ -13,6 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def whole_texts(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows, where the session has Spark's default of 10,000:
+    rows are whole texts here, and executor and Python worker each hold a batch
+    or two of them outside the heap."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` checkpointed to the shared folder: its lineage ends there, and a
     lost executor costs a re-read, not a recomputation. Use on narrow rows."""

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.llm.frames import doc_key, table
+from stayledger.llm.frames import doc_key, table, whole_texts
 from stayledger.llm.textbytes import batches_by_bytes, texts
 
 MAX_LANGS = 1000
@@ -105,6 +105,7 @@ def fit(
     slack: float = 0.5,
 ) -> Model:
     """Centroids from at most about ``fit_rows`` rows of ``labelled``."""
+    whole_texts(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & has_letter(F.col(text)))
     sizes = dict(rows.groupBy(lang).count().limit(MAX_LANGS + 1).collect())
     if len(sizes) > MAX_LANGS:
@@ -147,6 +148,7 @@ def fit(
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds ``lang_pred``, ``score`` (0 to 1) and ``rejected``."""
+    whole_texts(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<lang:string,score:double,rejected:boolean>"
 
@@ -157,7 +159,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         lang, score, rejected = ["und"] * n, np.zeros(n), np.ones(n, bool)
         rows = np.flatnonzero(letters.to_numpy(zero_copy_only=False)) if m.langs else np.empty(0, int)
         asked = [values[i] for i in rows]
-        for first, end in batches_by_bytes(asked, _CHUNK):
+        for first, end in batches_by_bytes(asked, _CHUNK, most=256):
             counts = gram_counts(asked[first:end], len(m.idf))
             near = unit_rows(counts, m.idf) @ m.centroids.T
             best, total = near.argmax(1), counts.sum(1)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stayledger.llm.components import components
-from stayledger.llm.frames import doc_key, spill, table
+from stayledger.llm.frames import doc_key, spill, table, whole_texts
 from stayledger.llm.textbytes import FOLD_LINES, batches_by_bytes, texts
 
 SHINGLE, SIMILARITY, MIN_CHARS = 8, 0.8, 20
@@ -331,6 +331,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc, removed): for each document (`doc_key`) that loses lines, their numbers
     (from 0, ascending)."""
     o = {"shingle": SHINGLE, "similarity": SIMILARITY, "min_chars": MIN_CHARS, "bands": BANDS, "rows": ROWS} | options
+    whole_texts(docs.sparkSession)
     o["min_chars"] = max(o["min_chars"], o["shingle"])
     rows = docs.select(F.col(text).alias("text"), doc_key(F.col(doc_id), F.col(text)).alias("doc"), F.col(doc_id).alias("id"))
     roots = like_lines(rows, "text", o)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stayledger.llm.components import components
-from stayledger.llm.frames import cut, doc_key, table
+from stayledger.llm.frames import cut, doc_key, table, whole_texts
 from stayledger.llm.textbytes import FOLD_SPACE, texts
 
 BITS = 64
@@ -188,6 +188,7 @@ def _signed(x: int) -> int:
 
 def _marked(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
     """(doc_id, doc: its key, fingerprint) of every row."""
+    whole_texts(docs.sparkSession)
     key = doc_key(F.col(doc_id), F.col(text))
     return cut(docs.select(F.col(doc_id).alias("doc_id"), key.alias("doc"), simhash(F.col(text), words).alias("fingerprint")))
 

@@ -32,13 +32,13 @@ def texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def batches_by_bytes(values: list[bytes | None], limit: int = 4 << 20):
-    """(first, end) index pairs of neighbouring values of about ``limit`` bytes
-    together; a longer value stands alone."""
+def batches_by_bytes(values: list[bytes | None], limit: int = 4 << 20, most: int = 1 << 30):
+    """(first, end) index pairs of neighbouring values, of about ``limit`` bytes and
+    at most ``most`` values together; a longer value stands alone."""
     first = size = 0
     for i, v in enumerate(values):
         n = len(v or b"")
-        if size and size + n > limit:
+        if i > first and (size + n > limit or i - first == most):
             yield first, i
             first, size = i, 0
         size += n

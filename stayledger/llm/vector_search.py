@@ -3,7 +3,7 @@
 ``PIVOTS`` vectors (a bounded sample: those with the smallest hashes) stand for
 the space. A vector is represented by its permutation, the order of the pivots
 by nearness, stored as one byte of rank per pivot. The index table holds every
-vector with its ranks, in blocks of at most one Arrow batch; a task posts a
+vector with its ranks; a task takes them in blocks of ``BLOCK`` rows and posts a
 block's vectors in inverted files, one per pivot, each under its ``post``
 nearest pivots. A query looks through the files of its ``probe`` nearest
 pivots, ranks what it finds by footrule distance (the sum of rank differences),
@@ -39,6 +39,7 @@ from stayledger.llm.frames import cut, spill, table
 PIVOTS = 256  # ranks fit one byte
 POST, PROBE, SHARE, LEAST = 16, 16, 0.03, 200
 QUERY_BLOCK = 4096
+BLOCK = 10_000
 
 
 def usable(vector: Column) -> Column:
@@ -96,16 +97,28 @@ def build_index(
     return classes.withColumn("ranks", permutation("vector")), centers
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition in blocks of about ``BLOCK``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= BLOCK:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _answer(
     batches: Iterator[pa.RecordBatch], queries, centers: np.ndarray, k: int, post: int, probe: int, share: float, least: int
 ) -> Iterator[pa.RecordBatch]:
-    """Each batch is a block: post it, then every query's k + 1 best of it."""
+    """Post each block, then every query's k + 1 best of it."""
     keys, asked = queries.value
     units = _units(asked)
     ranks = _ranks(units, centers).astype(np.int16)
     nearest = np.argsort(ranks, axis=1)[:, :probe]
     norms = np.sqrt((asked * asked).sum(1))
-    for batch in batches:
+    for batch in _blocks(batches):
         block = _matrix(batch.column("vector"))
         if not len(block):
             continue
