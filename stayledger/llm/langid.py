@@ -102,7 +102,7 @@ def fit(
     fit_rows: int = 2000,
     per_lang: int = 4,
     dims: int = 4096,
-    slack: float = 0.5,
+    slack: float = 0.3,
 ) -> Model:
     """Centroids from at most about ``fit_rows`` rows of ``labelled``."""
     whole_texts(labelled.sparkSession)
