@@ -41,7 +41,7 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
     files = 1 + before[0] // EDGES_PER_FILE  # edges never become more
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        return spill(df.coalesce(files), name)
+        return spill(df.repartition(files), name)  # a task for each partition, few files
 
     for _ in range(max_rounds):
         if before[0] == 0:
