@@ -31,11 +31,12 @@ BASE_PHRASES = [
 ]
 
 #: Every match of every rule holds one of these (tests/llm checks the rules).
-GATES = ["licen", "spdx", "cc by", "public domain", "creative commons", "permission is hereby granted", "redistribution and use", "all rights reserved"]
+GATES = ["licen", "spdx", "cc by", "public domain", "creative commons", "hereby granted", "redistribution and use", "all rights reserved"]
 
 #: label, keyword, name as a regex over folded words.
 NAMES = [
-    ("mit", "mit", "(?:mit|expat|x11 mit)"),
+    ("mit", "mit", "(?:mit|x11 mit)"),
+    ("mit", "expat", "expat"),
     ("mit-0", "mit", "mit (?:0|no attribution)"),
     ("apache-1.1", "apache", "apache (?:software )?(?:license )?(?:version )?1 1"),
     ("apache-2", "apache", "apache (?:software )?(?:license )?(?:version |v )?2(?: 0)?"),
@@ -58,7 +59,7 @@ NAMES = [
     ("agpl-3", "agpl", "(?:gnu )?agpl ?(?:v|version )?3(?: 0)?(?: only| or later)?"),
     ("agpl", "affero", "gnu affero general public"),
     ("gfdl", "documentation", "gnu free documentation"),
-    ("gfdl", "gfdl", "(?:gnu )?(?:gfdl|fdl)(?: 1 [123])?(?: only| or later)?"),
+    ("gfdl", "fdl", "(?:gnu )?(?:gfdl|fdl)(?: 1 [123])?(?: only| or later)?"),
     ("mpl-1.1", "mpl", "mpl (?:version )?1 1"),
     ("mpl-2.0", "mpl", "mpl (?:version )?2(?: 0)?"),
     ("mpl", "mozilla", "mozilla public"),
@@ -130,7 +131,7 @@ FRAMES = [
 #: label, priority, keyword, regex: sentences and marks of one license.
 SENTENCES = [
     ("mit", 95, "permission", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("isc", 95, "permission", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted licen[sc]e"),
+    ("isc", 95, "permission", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
     ("bsd-2-clause", 75, "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3-clause", 95, "endorse", "redistribution and use in source and binary forms(?: [^ ]+){1,120} may be used to endorse or promote products"),
     ("apache-2", 95, "apache", "http www apache org licenses license 2 0"),
@@ -144,7 +145,8 @@ SENTENCES = [
     ("epl-2.0", 92, "eclipse", "eclipse public license (?:v |version )?2 0"),
     ("unlicense", 95, "unencumbered", "free and unencumbered software released into the public domain"),
     ("public-domain", 65, "public domain", "(?:released into|dedicated to|placed in|in) the public domain"),
-    ("cc0", 92, "zero", "creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?"),
+    ("cc0", 92, "cc0", "creative commons cc0(?: 1 0)?(?: universal)?"),
+    ("cc0", 92, "zero", "creative commons zero(?: 1 0)?(?: universal)?"),
     ("cc-by", 85, "attribution", "creative commons attribution(?: [1234] [05])?(?: international| unported| generic)?"),
     ("cc-by-sa", 86, "alike", "creative commons attribution share ?alike(?: [1234] [05])?(?: international| unported| generic)?"),
     ("cc-by-nd", 86, "deriv", "creative commons attribution no ?deriv(?:ative)?s?(?: [1234] [05])?"),

@@ -47,6 +47,58 @@ def test_there_are_hundreds_of_gated_rules():
         assert any(g in text for g in L.GATES), (r, plain)
 
 
+def every(nodes):
+    """Strings of a parsed regex: every branch, options in and out, repeats once."""
+    if not nodes:
+        return [""]
+    (op, arg), rest = nodes[0], every(nodes[1:])
+    op = str(op)
+    if op == "LITERAL":
+        heads = [chr(arg)]
+    elif op == "BRANCH":
+        heads = [x for b in arg[1] for x in every(list(b))]
+    elif op == "SUBPATTERN":
+        heads = every(list(arg[3]))
+    elif op == "MAX_REPEAT":
+        heads = ([""] if arg[0] == 0 else []) + every(list(arg[2]))
+    elif op == "IN":
+        literal = [chr(a) for o, a in arg if str(o) == "LITERAL"]
+        heads = ["2"] if any(str(o) == "RANGE" for o, _ in arg) else ["x"] if str(arg[0][0]) == "NEGATE" else literal
+    else:
+        assert op == "NOT_LITERAL", op
+        heads = ["x"]
+    return [a + b for a in heads for b in rest]
+
+
+def test_keywords_and_gates_stand_in_every_alternative():
+    parsed = lambda rx: list(re._parser.parse(rx))
+    for label, keyword, name in L.NAMES:
+        assert all(keyword in x for x in every(parsed(name))), (label, name)
+    for _, frame in L.FRAMES:
+        assert all(any(g in x for g in L.GATES) for x in every(parsed(frame.replace("N", "name", 1)))), frame
+    for label, _, keyword, rx in L.SENTENCES:
+        for x in every(parsed(rx)):
+            assert keyword in x and any(g in f" {x} " for g in L.GATES), (label, x)
+
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee
+is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (ISC, ["isc"]),
+        (ISC.replace("and/or", "and"), ["isc"]),
+        ("Creative Commons CC0 1.0 Universal", ["cc0"]),
+        ("licensed under the Expat license", ["mit"]),
+        ("under the terms of the GNU FDL 1.3 license", ["gfdl"]),
+    ],
+)
+def test_texts_without_the_old_keyword_or_gate(spark, text, labels):
+    assert L.scan_licenses(spark.createDataFrame([(text,)], "text string")).first()["labels"] == labels
+
+
 @pytest.mark.parametrize(
     "text, labels, base_n",
     [
