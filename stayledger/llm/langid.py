@@ -6,11 +6,12 @@ places, weighted log(1 + count) * idf and scaled to length 1. Each language's
 sample vectors are clustered by spherical k-means into ``per_lang`` centroids,
 as one language is written in several manners (prose, lists, tables). A text
 gets the language of the nearest centroid; its score is that cosine. Each
-centroid has a reach: ``slack`` times the lowest similarity among its own sample
-members. A short text shows few of its language's grams and lies far from any
-centroid, so for a text of n grams the reach is times sqrt(n / (n + SHORT)). A
-text whose nearest centroid does not reach it is rejected, though it keeps its
-prediction.
+language has a reach for texts of 16, 32, ... 4,096 bytes: ``slack`` times the
+similarity to its own centroids that all but ``tail`` of such pieces of its sample
+members have, as a short text shows few of its language's grams and lies far from any
+centroid. Between these sizes the reach is interpolated, below 16 bytes it falls to
+nothing. A text whose nearest centroid does not reach it is rejected, though it keeps
+its prediction.
 
 The fit takes at most ``fit_rows`` labelled rows, split evenly over the labels
 and chosen by a hash of id and text; whole texts are vectorised on the
@@ -36,7 +37,7 @@ from stayledger.llm.frames import doc_key, table, whole_texts
 from stayledger.llm.textbytes import batches_by_bytes, texts
 
 MAX_LANGS = 1000
-SHORT = 200
+PIECES = [16 << i for i in range(9)]  # bytes
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)
 )
@@ -48,7 +49,7 @@ class Model:
     langs: list[str]  # of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    reach: np.ndarray
+    reach: np.ndarray  # of each centroid, by ``PIECES``
 
 
 def gram_counts(values: list[bytes | None], dims: int) -> np.ndarray:
@@ -102,7 +103,8 @@ def fit(
     fit_rows: int = 2000,
     per_lang: int = 4,
     dims: int = 4096,
-    slack: float = 0.3,
+    slack: float = 0.5,
+    tail: float = 0.05,
 ) -> Model:
     """Centroids from at most about ``fit_rows`` rows of ``labelled``."""
     whole_texts(labelled.sparkSession)
@@ -133,17 +135,40 @@ def fit(
     idf = (np.log((1 + len(got)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
     x = unit_rows(counts, idf)
     names = np.array([g[0] for g in got], dtype=object)
-    langs, centroids, reach = [], [np.zeros((0, dims), np.float32)], []
+    langs, centroids = [], [np.zeros((0, dims), np.float32)]
     for name in sorted(set(names)):
-        own = x[names == name]
-        c = _clusters(own, per_lang)
-        near = own @ c.T
-        for k in range(len(c)):
-            members = near[near.argmax(1) == k, k]
-            langs.append(name)
-            reach.append(slack * float(members.min()) if len(members) else 0.0)
+        c = _clusters(x[names == name], per_lang)
+        langs += [name] * len(c)
         centroids.append(c)
-    return Model(langs, np.vstack(centroids).astype(np.float32), idf, np.array(reach, np.float32))
+    model = Model(langs, np.vstack(centroids).astype(np.float32), idf, np.zeros((len(langs), len(PIECES)), np.float32))
+    if langs:
+        _set_reach(rows.where(draw < share).select(F.col(lang).alias("lang"), F.col(text).alias("text")), model, slack, tail)
+    return model
+
+
+def _set_reach(sample: DataFrame, model: Model, slack: float, tail: float) -> None:
+    """Pieces from the middle of the sample's texts against their language's centroids."""
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("array<float>")
+    def near(column: pa.Array, lang: pa.Array) -> pa.Array:
+        m, out = shared.value, []
+        own = {name: m.centroids[[x == name for x in m.langs]].T for name in set(m.langs)}
+        for value, name in zip(texts(column), lang.to_pylist()):
+            pieces = [value[(len(value) - n) // 2 :][:n] for n in PIECES if n <= len(value)]
+            out.append((unit_rows(gram_counts(pieces, len(m.idf)), m.idf) @ own[name]).max(1).tolist() if pieces else [])
+        return pa.array(out, pa.list_(pa.float32()))
+
+    found: dict[str, list[list[float]]] = {}
+    for name, values in sample.select("lang", near(F.col("text"), F.col("lang"))).collect():
+        for of_size, v in zip(found.setdefault(name, [[] for _ in PIECES]), values):
+            of_size.append(v)
+    for i, name in enumerate(model.langs):
+        last = 0.0
+        for k, values in enumerate(found.get(name, [])):
+            if values:
+                last = slack * float(np.quantile(values, tail))
+            model.reach[i, k] = last  # no member is that long: as before
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -163,7 +188,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             counts = gram_counts(asked[first:end], len(m.idf))
             near = unit_rows(counts, m.idf) @ m.centroids.T
             best, total = near.argmax(1), counts.sum(1)
-            least = m.reach[best] * np.sqrt(total / (total + SHORT))
+            size = np.maximum(total / 2 - 2, 0) / PIECES[0]  # two grams a byte, and the spaces around
+            at = np.clip(np.log2(np.maximum(size, 1)), 0, len(PIECES) - 1)
+            low = np.minimum(at.astype(int), len(PIECES) - 2)
+            least = m.reach[best, low] * (low + 1 - at) + m.reach[best, low + 1] * (at - low)
+            least = least * np.minimum(size, 1)
             for i, b, s, r in zip(rows[first:end], best, near[np.arange(len(best)), best], least):
                 lang[i], score[i], rejected[i] = m.langs[b], min(1.0, max(0.0, float(s))), s < r
         return pa.StructArray.from_arrays(

@@ -1,6 +1,10 @@
+import base64
+import random
+import string
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stayledger.llm import langid as L
@@ -54,6 +58,35 @@ def test_rejection_by_distance(spark, documents):
     assert clean.where("rejected").count() == 0
 
 
+def test_texts_of_no_learned_language_are_rejected(spark, documents):
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice(string.ascii_letters) for _ in range(n))
+    code = lambda n: base64.b64encode(rng.randbytes(n * 3 // 4)).decode()
+    foreign = [
+        "Ten dokument został napisany w języku, którego model nigdy wcześniej nie widział, i jest dość długi.",
+        "Tämä asiakirja on kirjoitettu kielellä, jota malli ei ole koskaan ennen nähnyt, ja se on melko pitkä.",
+        "Bu belge, modelin daha önce hiç görmediği bir dilde yazılmıştır ve oldukça uzundur.",
+    ]
+    alien = [*foreign, *(f(n) for f in (letters, code) for n in (100, 1000, 5000))]
+    m = L.fit_on_documents(documents)
+    got = L.predict(framed(spark, [(i, t, None, None) for i, t in enumerate(alien)]), m).collect()
+    assert all(r["rejected"] for r in got), [(r["doc_id"], r["score"]) for r in got if not r["rejected"]]
+    held = [r["text"].encode() for r in documents.where(L.held_out(F.col("doc_id"))).collect()]
+    short = [t[at : at + n].decode(errors="ignore") for t in held for n in (24, 48, 100, 300) for at in range(0, min(len(t) - n, 900), 300)]
+    rows = L.predict(framed(spark, [(i, t, None, None) for i, t in enumerate(short)]), m).collect()
+    assert sum(r["rejected"] for r in rows) <= 0.02 * len(rows) and len(rows) > 300, (sum(r["rejected"] for r in rows), len(rows))
+
+
+@pytest.mark.parametrize("lang", ["de", "en", "es", "fr"])
+def test_a_language_left_out_of_the_fit_is_rejected(spark, lang):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    m = L.fit_on_documents(docs.where(F.col("lang") != lang))
+    out = L.predict(docs, m).groupBy((F.col("lang") == lang).alias("alien")).agg(F.avg(F.col("rejected").cast("int")), F.count(F.lit(1)))
+    rate = {r[0]: r[1] for r in out.collect()}
+    print(lang, "rejected of its documents, of others:", rate[True], rate[False])
+    assert rate[True] >= 0.9 and rate[False] <= 0.01
+
+
 def test_edges(spark, documents, edge, empty):
     m = L.fit_on_documents(documents)
     out = L.predict(edge, m)
