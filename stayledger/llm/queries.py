@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stayledger.llm.alignment import op13_tokenizer_spans
 from stayledger.llm.decontaminate import OP2_SQL, op2_suffix_automaton
 from stayledger.llm.langid import op1_nearest_centroid
 from stayledger.llm.licenses import op10_license_rules
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash_lines,
         op9_collinear_chains,
         op10_license_rules,
+        op13_tokenizer_spans,
     )
 }
 
