@@ -14,6 +14,7 @@ from stayledger.llm.langid import op1_nearest_centroid
 from stayledger.llm.licenses import op10_license_rules
 from stayledger.llm.lines import op8_minhash_lines
 from stayledger.llm.passages import op9_collinear_chains
+from stayledger.llm.prefix_trie import OP12_SQL, op12_time_forward_trie
 from stayledger.llm.quality_rules import OP11_SQL, op11_rule_ledger
 from stayledger.llm.secrets import op4_secret_randomness
 from stayledger.llm.sharding import op3_rendezvous_sharding
@@ -35,8 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_collinear_chains,
         op10_license_rules,
         op11_rule_ledger,
+        op12_time_forward_trie,
         op13_tokenizer_spans,
     )
 }
 
-ORACLES: dict[str, str] = {"op2_suffix_automaton": OP2_SQL, "op11_rule_ledger": OP11_SQL}
+ORACLES: dict[str, str] = {"op2_suffix_automaton": OP2_SQL, "op11_rule_ledger": OP11_SQL, "op12_time_forward_trie": OP12_SQL}
