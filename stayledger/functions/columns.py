@@ -10,7 +10,7 @@ __all__ = [
     "DEVICE_NAMES", "CURRENCY_PATTERN", "PROPERTY_PREFIX",
     "site_key", "device_code", "device", "referral_property_id", "property_id",
     "stay_date", "usd_amount", "is_negative_revenue", "is_invalid_currency",
-    "is_missing_revenue",
+    "is_missing_revenue", "is_missing_rate",
 ]
 
 # Label patterns (unanchored, first match wins; no match -> ''),
@@ -76,3 +76,8 @@ def is_invalid_currency(currency: Column) -> Column:
 
 def is_missing_revenue(revenue: Column) -> Column:
     return revenue.isNull() | F.isnan(revenue)
+
+
+def is_missing_rate(revenue: Column, revenue_usd: Column) -> Column:
+    """True where there is an amount, but no rate turned it into dollars."""
+    return revenue.isNotNull() & revenue_usd.isNull()

@@ -45,6 +45,8 @@ SCHEMA_REPORT = T.StructType([
 ])
 
 QUALITY_CHECKS = ["duplicate_keys", "negative_revenue", "invalid_currency", "missing_revenue"]
+#: A fifth check, for runs with a rate table: an amount whose currency has no rate.
+RATE_CHECK = "missing_rate"
 
 
 def _leaf_type(schema: T.StructType, path: str) -> str | None:
@@ -113,36 +115,40 @@ def validate_schema(df: DataFrame, inferred_from_all_lines: bool = False) -> Non
 
 # --- value checks -------------------------------------------------------------------
 
-def _flags(df: DataFrame) -> dict[str, Column]:
-    return {
+def _flags(rates: bool = False) -> dict[str, Column]:
+    flags = {
         "negative_revenue": C.is_negative_revenue(F.col("revenue"), F.col("revenue_usd")),
         "invalid_currency": C.is_invalid_currency(F.col("currency")),
         "missing_revenue": C.is_missing_revenue(F.col("revenue")),
     }
+    return flags | {RATE_CHECK: C.is_missing_rate(F.col("revenue"), F.col("revenue_usd"))} if rates else flags
 
 
-def quality_counts(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """One row with the four bad counts, in one scan and one key shuffle.
+def quality_counts(df: DataFrame, key: str = "transaction_id", rates: bool = False) -> DataFrame:
+    """One row with the four bad counts (five with ``rates``), in one scan and one key
+    shuffle.
 
     Keys with more than one row are counted once each; null keys form one group.
     """
+    flags = _flags(rates)
     per_key = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(cond).alias(name) for name, cond in _flags(df).items()],
+        *[F.count_if(cond).alias(name) for name, cond in flags.items()],
     )
     return per_key.agg(
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
-        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in _flags(df)],
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in flags],
     )
 
 
-def quality_report(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """(check_order, check_name, bad_count) for the four checks, in order."""
-    counts = quality_counts(df, key)
+def quality_report(df: DataFrame, key: str = "transaction_id", rates: bool = False) -> DataFrame:
+    """(check_order, check_name, bad_count) for the four checks, in order, and with
+    ``rates`` for amounts without a rate."""
+    counts = quality_counts(df, key, rates)
     entries = [
         F.struct(F.lit(i + 1).alias("check_order"), F.lit(name).alias("check_name"),
                  F.col(name).cast("bigint").alias("bad_count"))
-        for i, name in enumerate(QUALITY_CHECKS)
+        for i, name in enumerate(QUALITY_CHECKS + [RATE_CHECK] * rates)
     ]
     return counts.select(F.inline(F.array(*entries)))
 
@@ -152,6 +158,7 @@ _VALUE_RULES = {
     "negative_revenue": "rows with an amount below zero",
     "invalid_currency": "rows whose currency is not three capital letters",
     "missing_revenue": "rows whose revenue is null or not a number",
+    RATE_CHECK: "rows with an amount whose currency has no rate",
 }
 
 
@@ -164,8 +171,8 @@ def raise_if_bad(report: DataFrame) -> None:
                                count=first.bad_count)
 
 
-def validate_quality(df: DataFrame, key: str = "transaction_id") -> None:
-    raise_if_bad(quality_report(df, key))
+def validate_quality(df: DataFrame, key: str = "transaction_id", rates: bool = False) -> None:
+    raise_if_bad(quality_report(df, key, rates))
 
 
 def duplicate_keys(df: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -183,3 +190,7 @@ def invalid_currency_rows(df: DataFrame) -> DataFrame:
 
 def missing_revenue_rows(df: DataFrame) -> DataFrame:
     return df.filter(C.is_missing_revenue(F.col("revenue")))
+
+
+def missing_rate_rows(df: DataFrame) -> DataFrame:
+    return df.filter(C.is_missing_rate(F.col("revenue"), F.col("revenue_usd")))

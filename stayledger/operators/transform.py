@@ -77,14 +77,26 @@ def select_final_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def add_revenue_usd(df: DataFrame, usd_rate: float) -> DataFrame:
-    """``revenue_usd`` = round(revenue * usd_rate, 2); one rate for every row."""
-    return df.withColumn("revenue_usd", C.usd_amount(F.col("revenue"), usd_rate))
+def add_revenue_usd(df: DataFrame, usd_rate: float | DataFrame) -> DataFrame:
+    """``revenue_usd`` = round(revenue * rate, 2). A number is the rate of every row; a
+    DataFrame (currency, usd_rate) gives each row the rate of its own currency, by
+    exact code. A row whose currency is null or has no rate gets null, which the value
+    checks count (`quality.missing_rate_rows`); no row is dropped or doubled."""
+    if not isinstance(usd_rate, DataFrame):
+        return df.withColumn("revenue_usd", C.usd_amount(F.col("revenue"), usd_rate))
+    rates = unique_keys(usd_rate, "currency").select(
+        F.col("currency").alias("_rate_currency"), F.col("usd_rate").alias("_usd_rate")
+    )
+    joined = df.join(rates, df["currency"] == rates["_rate_currency"], "left")
+    return joined.withColumn("revenue_usd", C.usd_amount(F.col("revenue"), F.col("_usd_rate"))).drop(
+        "_rate_currency", "_usd_rate"
+    )
 
 
-def transform(raw: DataFrame, usd_rate: float, status_lookup: DataFrame,
+def transform(raw: DataFrame, usd_rate: float | DataFrame, status_lookup: DataFrame,
               region_lookup: DataFrame) -> DataFrame:
-    """Status, region, label, flatten, revenue: the full chain, lazily."""
+    """Status, region, label, flatten, revenue: the full chain, lazily. ``usd_rate``:
+    see `add_revenue_usd`."""
     return (
         raw.transform(map_status, status_lookup)
         .transform(map_region, region_lookup)

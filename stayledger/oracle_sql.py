@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from .functions.columns import CURRENCY_PATTERN, DEVICE_NAMES, LABEL_DEVICE_PATTERN, \
     LABEL_REFERRAL_PATTERN, LABEL_SITE_PATTERN, PROPERTY_PREFIX
-from .sources.fixtures import DAMAGED_SQL, FIXTURE_REGIONS, FLAT_SQL, USD_RATE
+from .sources.fixtures import DAMAGED_SQL, FIXTURE_REGIONS, FLAT_SQL, USD_RATE, USD_RATES
 from .sources.lookups import STATUS_MAPPING
 
 
@@ -112,6 +112,32 @@ DQ_REPORT = q(f"""SELECT * FROM (VALUES
   (4, 'missing_revenue', (SELECT count(*) FROM damaged_bookings WHERE {_MISS}))
 ) AS t(check_order, check_name, bad_count)""")
 
+_RATES = ", ".join(f"('{c}', {r}::double)" for c, r in USD_RATES.items())
+
+
+def by_currency(source: str, amount: str = "round(b.revenue * r.usd_rate, 2)") -> str:
+    """``source`` with dollars by the rate of each row's currency."""
+    return f"""SELECT b.* REPLACE ({amount} AS revenue_usd)
+FROM {source} b LEFT JOIN (VALUES {_RATES}) AS r(currency, usd_rate) ON b.currency = r.currency"""
+
+
+# Spark rounds the decimal text of a double half up; DuckDB does so for decimals only
+_HALF_UP = "round(CAST(CAST(b.revenue * r.usd_rate AS varchar) AS decimal(38, 18)), 2)::double"
+REVENUE_BY_CURRENCY = q(f"SELECT transaction_id, currency, revenue, revenue_usd FROM ({by_currency('bookings', _HALF_UP)})")
+DQ_BY_CURRENCY = q(f"""SELECT * FROM (WITH d AS ({by_currency('damaged_bookings')}) SELECT * FROM (VALUES
+  (1, 'duplicate_keys', (SELECT count(*) FROM (SELECT transaction_id FROM d GROUP BY transaction_id HAVING count(*) > 1))),
+  (2, 'negative_revenue', (SELECT count(*) FROM d WHERE {_NEG})),
+  (3, 'invalid_currency', (SELECT count(*) FROM d WHERE {_CUR})),
+  (4, 'missing_revenue', (SELECT count(*) FROM d WHERE {_MISS})),
+  (5, 'missing_rate', (SELECT count(*) FROM d WHERE revenue IS NOT NULL AND revenue_usd IS NULL))
+) AS t(check_order, check_name, bad_count))""")
+
+# a table of every third key, then all bookings in two batches of even and odd keys
+SYNC_SINCE_BIRTH = q("""SELECT * FROM bookings WHERE transaction_id % 2 = 0
+UNION ALL
+SELECT * FROM bookings WHERE transaction_id % 3 <> 0""")
+SYNC_SINCE_BIRTH_ONCE = q("SELECT * FROM bookings WHERE transaction_id % 2 = 0 OR transaction_id % 3 <> 0")
+
 BATCH_SLICE = q("""SELECT cast(transaction_id % 5 AS integer) AS batch, count(*) AS row_count,
   cast(sum(transaction_id) AS bigint) AS key_sum FROM bookings GROUP BY 1""")
 

@@ -26,11 +26,20 @@ from ..sources.bookings import NOT_AS_DECLARED, read_bookings
 
 @dataclass(frozen=True)
 class RunConfig:
-    """Run constants: the USD rate and the two lookups."""
+    """Run constants: the USD rate and the two lookups.
 
-    usd_rate: float
+    ``usd_rate`` is one number for every row, or a table (currency, usd_rate). With a
+    table, a run fails on amounts whose currency has no rate, unless
+    ``allow_missing_rates``: their dollars are then null."""
+
+    usd_rate: float | DataFrame
     status_lookup: DataFrame
     region_lookup: DataFrame
+    allow_missing_rates: bool = False
+
+    @property
+    def checks_rates(self) -> bool:
+        return isinstance(self.usd_rate, DataFrame) and not self.allow_missing_rates
 
 
 def run_on_raw(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: RunConfig,
@@ -60,11 +69,11 @@ def _checked_run(spark: SparkSession, raw: DataFrame, spec: TB.TableSpec, cfg: R
         # First run: write the rows once as the table's first version and
         # check them there; the commit row is written only if they pass.
         return TB.create_table(spark, spec, rows, _checked=True, txn=txn,
-                               check=lambda written: Q.validate_quality(written, spec.key))
+                               check=lambda written: Q.validate_quality(written, spec.key, cfg.checks_rates))
     name = f"run-{uuid.uuid4().hex[:12]}"
     staged = TB.stage(spark, spec, rows, name)
     try:
-        Q.validate_quality(staged, spec.key)
+        Q.validate_quality(staged, spec.key, cfg.checks_rates)
         return TB.write(spark, spec, staged, stage_source=False, txn=txn)
     finally:
         TB.unstage(spark, spec, name)

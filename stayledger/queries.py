@@ -162,6 +162,23 @@ def revenue_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bookings(spark, sf_dir).select("transaction_id", "revenue", "revenue_usd")
 
 
+def _rates_config(spark: SparkSession) -> RunConfig:
+    return RunConfig(LK.rate_lookup(spark, FX.USD_RATES), LK.status_lookup(spark),
+                     LK.region_lookup(spark, FX.FIXTURE_REGIONS))
+
+
+def bookings_by_currency(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    cfg = _rates_config(spark)
+    return X.transform(FX.raw_bookings(spark, sf_dir, damaged), cfg.usd_rate,
+                       cfg.status_lookup, cfg.region_lookup)
+
+
+@register("revenue_usd_by_currency", O.REVENUE_BY_CURRENCY)
+def revenue_usd_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dollars by a rate table that lacks one of the currencies."""
+    return bookings_by_currency(spark, sf_dir).select("transaction_id", "currency", "revenue", "revenue_usd")
+
+
 @register("flatten_bookings", O.q(O.cols(*X.BOOKING_COLUMNS[:-1])))
 def flatten_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = run_config(spark)
@@ -184,6 +201,11 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(bookings(spark, sf_dir, damaged=True))
 
 
+@register("dq_report_by_currency", O.DQ_BY_CURRENCY)
+def dq_report_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.quality_report(bookings_by_currency(spark, sf_dir, damaged=True), rates=True)
+
+
 @register("dq_duplicate_keys", O.DQ_DUPLICATES)
 def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.duplicate_keys(bookings(spark, sf_dir, damaged=True))
@@ -368,6 +390,28 @@ def migration_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark).select(*X.BOOKING_COLUMNS)
 
 
+def _since_birth(spark: SparkSession, sf_dir: str, duplicates: str) -> DataFrame:
+    spec = _table_spec(spark, "birth")
+    target, audit = CP.ParquetTarget(scratch_path(spark, "birth-copy")), scratch_path(spark, "birth-audit")
+    TB.write(spark, spec, bookings(spark, sf_dir).where(F.col("transaction_id") % 3 == 0))
+    MG.batch_migration(spark, FX.raw_bookings(spark, sf_dir), spec, run_config(spark), target, audit, n_batches=2,
+                       batch_method="modulo", since_table_birth=True, duplicates=duplicates)
+    return target.read(spark).select(*X.BOOKING_COLUMNS)
+
+
+@register("sync_since_birth", O.SYNC_SINCE_BIRTH)
+def sync_since_birth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy of a run on a table with an earlier commit: the run's first batch, then
+    every insert after the table's first commit (rows that are both stand twice)."""
+    return _since_birth(spark, sf_dir, "keep")
+
+
+@register("sync_since_birth_once", O.SYNC_SINCE_BIRTH_ONCE)
+def sync_since_birth_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, where keys of the first batch are not appended again."""
+    return _since_birth(spark, sf_dir, "skip")
+
+
 @register("sync_audit", O.SYNC_AUDIT)
 def sync_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _migrated(spark, sf_dir)

@@ -135,3 +135,36 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     Returns False on Spark Connect; the folder is then left behind, unreferenced."""
     found = _file_system(spark, path)
     return found is not None and bool(found[0].delete(found[1], True))
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename ``source`` to ``target``, which must not exist, through the session's
+    Hadoop file system. Raises where that is not possible."""
+    found = _file_system(spark, source)
+    if found is None:
+        raise RuntimeError("folders cannot be renamed through Spark Connect")
+    fs, path = found
+    to = _file_system(spark, target)[1]
+    if fs.exists(to):
+        raise FileExistsError(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(path, to):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def sql_connection(spark: SparkSession, url: str, properties: dict):
+    """A JDBC connection of the driver's JVM, by the driver class of ``properties`` where
+    it names one (also one that Spark was started with)."""
+    sc = _context(spark)
+    if sc is None:
+        raise RuntimeError("a JDBC copy needs a session with a SparkContext")
+    jvm = sc._jvm
+    settings = jvm.java.util.Properties()
+    for k, v in properties.items():
+        settings.setProperty(k, str(v))
+    name = properties.get("driver")
+    if not name:
+        return jvm.java.sql.DriverManager.getConnection(url, settings)
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    driver = loader.loadClass(name).getDeclaredConstructor(sc._gateway.new_array(jvm.java.lang.Class, 0))
+    return driver.newInstance(sc._gateway.new_array(jvm.java.lang.Object, 0)).connect(url, settings)

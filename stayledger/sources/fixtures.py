@@ -25,6 +25,8 @@ STATUSES = [
     "stayed", "booked", "S", "F", "C", "cancelled", "Stayed", "modified",
 ]
 USD_RATE = 1.0837
+#: Dollars for one unit; CHF has none on purpose.
+USD_RATES = {"EUR": 1.0837, "USD": 1.0, "GBP": 1.2694}
 
 # Region of each upper-cased country code the fixture uses, as in
 # the original region mapping (ZZ is absent there on purpose).

@@ -1,16 +1,18 @@
-"""Code lookups (status, region) as small two-column DataFrames.
+"""Code lookups (status, region) and currency rates as small two-column DataFrames.
 
 A lookup's key is unique: a repeated key would double the rows it is joined to.
 Lookups built from a dict are unique by construction; a file is checked when it
 is loaded, any other DataFrame within the join (``unique_keys``). Joins carry no
 hint: the planner broadcasts a lookup by its size. The status table ships with
 the package; the region table (about 250 country codes) is a parameter: pass
-a dict, or the path of a JSON object file ``{"<code>": "<region>", ...}``.
+a dict, or the path of a JSON object file ``{"<code>": "<region>", ...}``. Rates
+(dollars for one unit of a currency) are a parameter too, in the same forms.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import weakref
 from collections.abc import Mapping
 
@@ -46,6 +48,10 @@ REGION_SCHEMA = T.StructType(
     [T.StructField("country_code", T.StringType()), T.StructField("region", T.StringType())]
 )
 
+RATE_SCHEMA = T.StructType(
+    [T.StructField("currency", T.StringType()), T.StructField("usd_rate", T.DoubleType())]
+)
+
 
 def _unique(df: DataFrame) -> DataFrame:
     _UNIQUE.add(df)
@@ -66,7 +72,9 @@ def _from_mapping(spark: SparkSession, mapping: Mapping[str, str], schema: T.Str
     """A JVM-side table of literals (no Python rows, no Python workers), of any size."""
     key, value = schema.fieldNames()
     rows = json.dumps([{key: str(k), value: None if v is None else str(v)} for k, v in mapping.items()])
-    return _unique(spark.range(1).select(F.inline(F.from_json(F.lit(rows), T.ArrayType(schema)))))
+    text = T.StructType([T.StructField(c, T.StringType()) for c in (key, value)])
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(rows), T.ArrayType(text))))
+    return _unique(table.select(*(F.col(f.name).cast(f.dataType) for f in schema)))
 
 
 def status_lookup(spark: SparkSession, mapping: Mapping[str, str] | None = None) -> DataFrame:
@@ -102,6 +110,27 @@ def load_mapping_file(spark: SparkSession, path: str, schema: T.StructType = REG
     return _unique(rows)
 
 
+def rate_lookup(spark: SparkSession, rates: Mapping[str, float]) -> DataFrame:
+    """(currency, usd_rate) from a dict of currency code -> dollars for one unit.
+    A rate that is not a finite number above zero raises."""
+    for currency, rate in rates.items():
+        if not (isinstance(rate, (int, float)) and 0 < rate < math.inf):
+            raise DataExtractionError(f"rate of {currency} is {rate!r}, not a number above zero")
+    return _from_mapping(spark, {c: repr(float(r)) for c, r in rates.items()}, RATE_SCHEMA)
+
+
+def rate_lookup_from_file(spark: SparkSession, path: str) -> DataFrame:
+    """(currency, usd_rate) from a JSON object file ``{"<currency>": <rate>, ...}``,
+    checked as `load_mapping_file` does, and as `rate_lookup` does its rates."""
+    rows = load_mapping_file(spark, path, T.StructType([RATE_SCHEMA["currency"], T.StructField("rate", T.StringType())]))
+    rates = rows.select("currency", F.col("rate").try_cast("double").alias("usd_rate"))
+    usable = F.coalesce((F.col("usd_rate") > 0) & (F.col("usd_rate") < math.inf), F.lit(False))
+    bad = rates.where(~usable).limit(5).collect()
+    if bad:
+        raise DataExtractionError(f"rate file {path} has no number above zero for {[r.currency for r in bad]}")
+    return _unique(rates)
+
+
 def status_lookup_from_file(spark: SparkSession, path: str) -> DataFrame:
     return load_mapping_file(spark, path, STATUS_SCHEMA)
 

@@ -192,3 +192,129 @@ def test_sync_with_updates_copies_after_images(spark, scratch):
     res = MG.incremental_sync(spark, spec, target, scratch("a"), 1, 2, include_updates=True)
     assert res.synced_rows == b.where(key % 5 >= 3).count()
     assert same(target.read(spark), b.where(key % 5 >= 3))
+
+
+# --- copies change in one step, and once ---------------------------------------
+
+WIDE = "id bigint, v string, d double, at timestamp"
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark, scratch):
+    df = spark.range(40).selectExpr("id", "cast(id AS string) AS v").repartition(4)
+    broken = df.withColumn("v", F.when(F.col("id") == 33, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    for t in (derby(), CP.ParquetTarget(scratch("c"))):
+        assert t.write(df, "overwrite") == 40
+        with pytest.raises(Exception, match="lost"):
+            t.write(broken, "overwrite")
+        with pytest.raises(Exception, match="lost"):
+            t.append_once(broken, "more")
+        assert same(t.read(spark), df) and t.appended(spark, "more") is None
+        assert t.append_once(df.where("id < 5"), "more") == 5
+        assert t.read(spark).count() == 45
+        assert t.write(df.where("id < 7"), "overwrite") == 7
+        assert same(t.read(spark), df.where("id < 7")) and t.appended(spark, "more") is None
+
+
+def test_overwrite_that_fails_in_the_database_keeps_the_old_rows(spark):
+    t = derby()
+    df = spark.range(10).selectExpr("id", "cast(id AS string) AS v")
+    t.write(df, "overwrite")
+    bad = CP.JdbcTarget(t.url, t.table, t.properties, rename="RENAME TABLE {old} TO {new} NOW")
+    with pytest.raises(Exception):
+        bad.write(df.where("id < 3"), "overwrite")
+    assert same(t.read(spark), df)
+    assert t.write(df.where("id < 3"), "overwrite") == 3 and t.read(spark).count() == 3
+
+
+def test_repeated_append_adds_nothing(spark, scratch):
+    rows = [(1, "a", 1.5, None), (1, "a", 1.5, None), (None, None, None, None), (2, "é\n'\"", -0.0, None)]
+    df = spark.createDataFrame(rows, WIDE)
+    for t in (derby(), CP.ParquetTarget(scratch("c"))):
+        assert t.append_once(df, "first") == 4  # creates the copy; equal rows both stay
+        assert t.append_once(df, "first") is None and t.appended(spark, "first") == 4
+        assert t.append_once(df.limit(0), "none") == 0 and t.append_once(df, "none") is None
+        assert t.append_once(df, "second") == 4
+        assert same(t.read(spark), df.union(df))
+
+
+def test_rows_loaded_twice_by_a_repeated_task_count_once(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    load = DataFrameWriter.jdbc
+
+    def twice(self, url, table, mode=None, properties=None):
+        load(self, url, table, mode=mode, properties=properties)
+        if table.endswith("_STAGED"):
+            load(self, url, table, mode="append", properties=properties)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", twice)
+    t = derby()
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "id bigint, v string")
+    t.write(df, "overwrite")
+    t.append_once(df, "more")
+    assert same(t.read(spark), df.union(df))
+
+
+@pytest.mark.parametrize("kind", ["jdbc", "parquet"])
+def test_repeated_sync_finds_no_double_row(spark, scratch, kind):
+    spec = yearly(scratch, "again")
+    b = bookings(spark, SMALL)
+    key = F.col("transaction_id")
+    TB.write(spark, spec, b.where(key % 3 == 0))
+    TB.write(spark, spec, b.where(key % 3 == 1))
+    TB.write(spark, spec, b.where(key % 3 == 2))
+    target = derby() if kind == "jdbc" else CP.ParquetTarget(scratch("c"))
+    audit = scratch("a")
+    CP.ensure_audit_table(spark, audit)
+    target.write(b.where(key % 3 == 0), "overwrite")
+    results = [MG.incremental_sync(spark, spec, target, audit, 1, 3) for _ in range(3)]
+    assert len({r.synced_rows for r in results}) == 1 and results[0].synced_rows == b.where(key % 3 != 0).count()
+    assert same(target.read(spark), b)
+    assert CP.read_audit(spark, audit).count() == 1
+
+
+def test_sync_repeated_after_its_audit_row_was_lost(spark, scratch, monkeypatch):
+    spec = yearly(scratch, "lost")
+    b = bookings(spark, SMALL)
+    TB.write(spark, spec, b.where("transaction_id % 2 = 0"))
+    TB.write(spark, spec, b.where("transaction_id % 2 = 1"))
+    target, audit = derby(), scratch("a")
+    CP.ensure_audit_table(spark, audit)
+
+    def failing(*a, **k):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(CP, "record", failing)
+    with pytest.raises(RuntimeError):
+        MG.incremental_sync(spark, spec, target, audit, 1, 2)
+    monkeypatch.undo()
+    n = MG.incremental_sync(spark, spec, target, audit, 1, 2).synced_rows
+    assert same(target.read(spark), b.where("transaction_id % 2 = 1"))
+    assert [tuple(r)[:3] for r in CP.read_audit(spark, audit).collect()] == [(2, "last", n)]
+
+
+def test_sync_since_birth(spark, scratch):
+    cfg, raw, b = run_config(spark), FX.raw_bookings(spark, SMALL), bookings(spark, SMALL)
+    for duplicates in ("keep", "skip"):
+        spec = yearly(scratch, "birth")
+        TB.write(spark, spec, b.where("transaction_id % 3 = 0"))
+        target, audit = derby(), scratch("a")
+        res = MG.batch_migration(spark, raw, spec, cfg, target, audit, n_batches=2, batch_method="modulo",
+                                 since_table_birth=True, duplicates=duplicates)
+        first, later = b.where("transaction_id % 2 = 0"), b.where("transaction_id % 3 <> 0")
+        if duplicates == "skip":
+            later = later.where("transaction_id % 2 <> 0")
+        assert same(target.read(spark), first.union(later))
+        assert (res.first_commit, res.last_commit, res.synced_rows) == (1, 3, later.count())
+        audit_rows = sorted((r.batch_label, r.snapshot_id, r.record_count) for r in CP.read_audit(spark, audit).collect())
+        assert audit_rows == [("first", 2, first.count()), ("last", 3, later.count())]
+    with pytest.raises(ValueError, match="duplicates"):
+        MG.sync_since_birth(spark, spec, target, audit, MG.LoadResult(2, 3, False), "merge")
+
+
+def test_since_birth_keeps_null_keys(spark, scratch):
+    spec = TB.TableSpec(scratch("nulls"), key="k", partition_column="p")
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a"), (2, "a")], "k bigint, p string")
+    TB.write(spark, spec, spark.createDataFrame([(9, "a")], "k bigint, p string"))
+    TB.write(spark, spec, df.where("k = 1 or k is null"))
+    TB.write(spark, spec, df.where("k = 2"))
+    target = CP.ParquetTarget(scratch("c"))
+    MG.sync_since_birth(spark, spec, target, scratch("a"), MG.LoadResult(2, 3, False), "skip")
+    assert sorted(r.k or 0 for r in target.read(spark).collect()) == [0, 0, 2]
