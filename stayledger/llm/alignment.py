@@ -4,16 +4,24 @@ Tokenizer A is a byte-level BPE (a ``tokenizers`` file, applied to a space and t
 text), tokenizer B a SentencePiece model (which puts that space in front itself).
 
 1. Coarse cuts. A gives every token the characters it touches, B's proto the bytes
-   of its surface. A token whose coarse span is as long as its decoded bytes ends
-   where its span ends.
+   of its surface. A token whose span, from the end before it, is as long as its
+   decoded bytes ends where its span ends.
 2. Refinement. Tokens that share a character (parts of a multibyte character, pieces
-   ``<0xHH>``) have spans that overlap, or are empty; from the last exact cut on,
-   they end where the lengths of their decoded bytes add up to.
+   ``<0xHH>``) have spans of other lengths; from the last exact cut on, they end where
+   the lengths of their decoded bytes add up to.
 3. Groups and links. Byte offsets where tokens of both end cut the text into groups.
    Every stretch between neighbouring cuts of either side belongs to one token of A
    and one of B, and every overlapping pair has one such stretch: a merge of two
    sorted lists finds all links, no pair is tried.
 
+Chunks. Where neither vocabulary holds an entry that goes on over a space after
+another character, no token crosses a single space between two characters that are
+not white space, and a text is the sum of its chunks between such spaces. A worker
+then tokenizes, aligns and links each different chunk of a stretch of text once, and
+adds up the chunks of its documents (some 5 of 6 words of prose repeat within
+megabytes). Other vocabularies, and texts with a chunk whose tokens do not spell it,
+are taken whole.
+
 Corpus-wide counts. Documents are taken in blocks of about ``block_bytes`` of text as
 they stand in their partition. A block lists its different id pairs once, with the
 number of its documents that hold each; only these lists are shuffled (some ten
@@ -27,8 +35,8 @@ Defined results: a null or empty text, and one whose tokens' bytes do not add up
 the space and the text (say, one with a literal U+2581, or broken UTF-8), has no
 tokens: zero counts and an empty digest. Every row is a document: repeated rows count
 each. An empty table gives no rows. Columns other than the key and the text are not
-carried along, whatever their names. A very long text is a block of its own; its
-arrays take some 60 bytes a byte of text.
+carried along, whatever their names. A very long text is a block of its own and takes
+some 30 bytes of memory a byte of text.
 """
 
 from __future__ import annotations
@@ -36,6 +44,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,7 +62,10 @@ BYTE_BPE_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 8 << 20
 _STRETCH = 1 << 20  # bytes of text encoded at a time
+_CHUNKS = 500_000  # different chunks a worker knows at a time
+_JOINED = 1000  # chunks tokenized together
 SPACE = "▁"
+_CUT, _CROSSED = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\S (?:\S|$)")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -96,6 +108,9 @@ class Pair:
         self.side_a = _side(raw)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         self.side_b = _side([_piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())])
+        sides = (self.side_a.raw, [self.b.id_to_piece(i).replace(SPACE, " ").encode() for i in range(self.b.get_piece_size())])
+        #: whether no token goes on over a space between characters that are not white space
+        self.cuts = not any(_CROSSED.search(x.decode("utf-8", "replace")) for side in sides for x in side)
         n = len(raw)
         #: what a token's id is written as within a group (even) and at its end (odd); A's ids, then B's
         self.written = [b"%d%s" % (i, c) for i in range(n) for c in (b",", b"|")]
@@ -111,20 +126,18 @@ class Pair:
         of_a = self.a.encode_batch([" " + t for _, t in own], add_special_tokens=False)
         of_b = self.b.encode([t for _, t in own], return_type="proto", num_threads=1)
         for (i, text), a, b in zip(own, of_a, of_b):
-            raw = b" " + values[i]
-            ids_a = np.array(a.ids, np.int64)
-            ids_b, begin, end = np.array([(p.id, p.begin, p.end) for p in b.pieces], np.int64).reshape(-1, 3).T
-            if b"".join(map(self.side_a.raw.__getitem__, a.ids)) != raw:
+            raw, found_a = b" " + values[i], a.ids
+            ids_b = [p.id for p in b.pieces]
+            if b"".join(map(self.side_a.raw.__getitem__, found_a)) != raw:
                 continue
-            if b"".join(map(self.side_b.raw.__getitem__, ids_b.tolist())) != raw:
+            if b"".join(map(self.side_b.raw.__getitem__, ids_b)) != raw:
                 continue
-            places = np.array(a.offsets, np.int64).reshape(-1, 2)
+            ids_a, ids_b = np.array(found_a, np.int64), np.array(ids_b, np.int64)
+            ends_a = np.fromiter((end for _, end in a.offsets), np.int64, len(ids_a))
             if len(text) + 1 != len(raw):
-                places = _byte_places(" " + text)[places]
-            ends_a = refine(places[:, 0], places[:, 1], self.side_a.size[ids_a])
-            begin, end = begin + 1, end + 1  # the space in front
-            begin[0] = 0
-            out[i] = (ids_a, ends_a, ids_b, refine(begin, end, self.side_b.size[ids_b]))
+                ends_a = _byte_places(" " + text)[ends_a]
+            ends_b = np.fromiter((p.end for p in b.pieces), np.int64, len(ids_b)) + 1  # the space in front
+            out[i] = ids_a, refine(ends_a, self.side_a.size[ids_a]), ids_b, refine(ends_b, self.side_b.size[ids_b])
         return out
 
 
@@ -135,15 +148,16 @@ def _byte_places(text: str) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(width)))
 
 
-def refine(begin: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Byte ends of tokens from their coarse spans: a span as long as its token's bytes
-    stands, other tokens' lengths are added up from the last such end."""
-    exact = end - begin == size
+def refine(coarse: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens from the ends of their coarse spans, which reach back to the
+    end before: a span as long as its token's bytes stands, other tokens' lengths are
+    added up from the last such end."""
+    exact = np.diff(coarse, prepend=0) == size
     if exact.all():
-        return end
+        return coarse
     total = np.cumsum(size)
     last = np.maximum.accumulate(np.where(exact, np.arange(len(size)), -1))
-    base = np.where(last >= 0, end[last] - total[last], 0)
+    base = np.where(last >= 0, coarse[last] - total[last], 0)
     return base + total
 
 
@@ -184,8 +198,8 @@ def links(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.n
     return ids_a[np.searchsorted(ends_a, cuts)] << 32 | ids_b[np.searchsorted(ends_b, cuts)]
 
 
-def groups_text(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray, pair: Pair) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
+def groups_words(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.ndarray, pair: Pair) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3;``: the ids of each group, token by token."""
     common = np.intersect1d(ends_a, ends_b, assume_unique=True)
     of_a, of_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
     cut_a, cut_b = common[of_a] == ends_a, common[of_b] == ends_b
@@ -193,7 +207,7 @@ def groups_text(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b
     code = np.empty(len(ids_a) + len(ids_b), np.int64)
     code[np.arange(len(ids_a)) + np.concatenate(([0], upto_b))[of_a]] = 2 * ids_a + cut_a
     code[np.arange(len(ids_b)) + upto_a[of_b]] = 2 * len(pair.side_a.raw) + 2 * ids_b + cut_b
-    return b"".join(map(pair.written.__getitem__, code.tolist()))[:-1]
+    return list(map(pair.written.__getitem__, code.tolist()))
 
 
 def align_tokens(
@@ -227,6 +241,98 @@ _BLOCK_DDL = (
 )
 
 
+class _Chunks:
+    """The chunks a worker has seen, aligned and linked."""
+
+    def __init__(self, pair: Pair) -> None:
+        self.pair = pair
+        self.pairs: dict[int, int] = {}  # pair of ids -> number
+        self.clear()
+
+    def clear(self) -> None:
+        """Forgets the chunks; pairs keep their numbers."""
+        self.number: dict[str, int] = {}
+        self.text: list[bytes] = []  # the groups' ids
+        self.counts = np.empty((4, 0), np.int64)  # of A, of B, groups, links; -1 where a token does not spell it
+        self.start = np.zeros(1, np.int64)  # of a chunk's links
+        self.links = np.empty(0, np.int64)  # numbers of pairs
+
+    def numbers(self, values: np.ndarray) -> np.ndarray:
+        get, pairs = self.pairs.setdefault, self.pairs
+        return np.array([get(x, len(pairs)) for x in values.tolist()], np.int64)
+
+    def learn(self, chunks: list[str]) -> None:
+        """Adds chunks, none of them known or twice: joined by single spaces they are a
+        text of just these chunks, and are tokenized as one."""
+        plain = [c for c in chunks if c == c.strip()]
+        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
+        parts = [p for group in groups for p in self._aligned(group)]
+        parts += [p for c in chunks if c != c.strip() for p in self._aligned([c])]
+        for names, written, _, _, _ in parts:
+            for c, x in zip(names, written):
+                self.number[c] = len(self.number)
+                self.text.append(x)
+        self.counts = np.concatenate((self.counts, *(p[2] for p in parts)), axis=1)
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(np.concatenate([p[3] for p in parts]))))
+        self.links = np.concatenate((self.links, self.numbers(np.concatenate([p[4] for p in parts]))))
+
+    def _aligned(self, chunks: list[str]) -> Iterator[tuple]:
+        """(chunks, their groups' ids, their counts, numbers of links, links)."""
+        (found,) = self.pair.spans([" ".join(chunks).encode()])
+        if found is None:
+            if len(chunks) > 1:  # one of them is not spelled by its tokens
+                for c in chunks:
+                    yield from self._aligned([c])
+            else:
+                yield chunks, [b""], np.full((4, 1), -1, np.int64), np.zeros(1, np.int64), np.empty(0, np.int64)
+            return
+        ids_a, ends_a, ids_b, ends_b = found
+        last = np.cumsum([len(c.encode()) + 1 for c in chunks])  # the chunks' byte ends
+        cuts = np.union1d(ends_a, ends_b)
+        upto = [np.searchsorted(x, last, "right") for x in (ends_a, ends_b, cuts)]
+        n_a, n_b, n = (np.diff(x, prepend=0) for x in upto)
+        counts = np.stack((n_a, n_b, n_a + n_b - n, n))  # a shared end is one cut
+        words, at = groups_words(ids_a, ends_a, ids_b, ends_b, self.pair), [0, *(upto[0] + upto[1]).tolist()]
+        written = [b"".join(words[i:j]) for i, j in zip(at, at[1:])]
+        yield chunks, written, counts, n, ids_a[np.searchsorted(ends_a, cuts)] << 32 | ids_b[np.searchsorted(ends_b, cuts)]
+
+    def documents(self, values: list[bytes | None]) -> Iterator[tuple]:
+        """For each text its row and its pairs' numbers and times."""
+        none = (0, 0, 0, 0, ""), np.empty(0, np.int64), np.empty(0, np.int64)
+        split = [_CUT.split(v.decode("utf-8", "replace")) if v and self.pair.cuts else None for v in values]
+        known = self.number
+        new = dict.fromkeys([c for parts in split if parts for c in parts if c not in known])
+        if new:
+            if len(self.number) + len(new) > _CHUNKS:
+                self.clear()
+                new = dict.fromkeys(c for parts in split if parts for c in parts)
+            self.learn(list(new))
+        for v, parts in zip(values, split):
+            if not v:
+                yield none
+                continue
+            if parts:
+                of = np.array([self.number[c] for c in parts], np.int64)
+                if (self.counts[0, of] >= 0).all():
+                    row = [int(x) for x in self.counts[:, of].sum(axis=1)]
+                    digest = hashlib.sha256(b"".join(map(self.text.__getitem__, of.tolist()))[:-1]).hexdigest()
+                    own, times = np.unique(of, return_counts=True)
+                    size = self.start[own + 1] - self.start[own]
+                    skip = np.cumsum(size) - size
+                    flat = self.links[np.repeat(self.start[own] - skip, size) + np.arange(int(size.sum()))]
+                    pairs, place = np.unique(flat, return_inverse=True)
+                    yield (*row, digest), pairs, np.bincount(place, np.repeat(times, size)).astype(np.int64)
+                    continue
+            (found,) = self.pair.spans([v])
+            if found is None:
+                yield none
+                continue
+            pairs, times = np.unique(self.numbers(links(*found)), return_counts=True)
+            digest = hashlib.sha256(b"".join(groups_words(*found, self.pair))[:-1]).hexdigest()
+            n_a, n_b, n = len(found[0]), len(found[2]), int(times.sum())
+            yield (n_a, n_b, n_a + n_b - n, n, digest), pairs, times
+
+
 class _Block:
     """The documents of a block and the pairs they hold."""
 
@@ -234,23 +340,18 @@ class _Block:
         self.number, self.key_type = number, key_type
         self.keys, self.rows, self.pairs, self.times, self.bytes = [], [], [], [], 0
 
-    def add(self, key: pa.Scalar, found: tuple | None, pair: Pair) -> None:
-        if found is None:
-            row, own, times = (0, 0, 0, 0, ""), np.empty(0, np.int64), np.empty(0, np.int64)
-        else:
-            all_links = links(*found)
-            own, times = np.unique(all_links, return_counts=True)
-            digest = hashlib.sha256(groups_text(*found, pair)).hexdigest()
-            n_a, n_b = len(found[0]), len(found[2])
-            row = (n_a, n_b, n_a + n_b - len(all_links), len(all_links), digest)  # a shared end is one cut
+    def add(self, key: pa.Scalar, found: tuple, size: int) -> None:
+        row, pairs, times = found
         self.keys.append(key)
         self.rows.append(row)
-        self.pairs.append(own)
-        self.times.append(times)
+        self.pairs.append(pairs.astype(np.int32))
+        self.times.append(times.astype(np.int32))
+        self.bytes += size
 
-    def table(self, key: str) -> Iterator[pa.RecordBatch]:
+    def table(self, key: str, known: _Chunks) -> Iterator[pa.RecordBatch]:
         """The documents' rows, then one row with the block's pairs."""
-        pairs, place, n_docs = np.unique(np.concatenate(self.pairs), return_inverse=True, return_counts=True)
+        own, place, n_docs = np.unique(np.concatenate(self.pairs), return_inverse=True, return_counts=True)
+        pairs = np.fromiter(known.pairs, np.int64, len(known.pairs))[own]
         bounds = np.concatenate(([0], np.cumsum([len(x) for x in self.pairs]))).astype(np.int32)
         n = len(self.rows)
         columns = [pa.array([self.number] * n, pa.int64()), pa.array(self.keys, self.key_type)]
@@ -260,7 +361,9 @@ class _Block:
         ]
         columns += [pa.nulls(n, t) for _, t in _BLOCK]
         names = ["block", key, *(x for x, _ in _DOC + _OWN + _BLOCK)]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        rows = pa.RecordBatch.from_arrays(columns, names=names)
+        for i in range(0, n, 1000):
+            yield rows.slice(i, 1000)
         columns = [pa.array([self.number], pa.int64()), pa.nulls(1, self.key_type)]
         columns += [pa.nulls(1, t) for _, t in _DOC + _OWN]
         columns += [pa.array([x], t) for x, (_, t) in zip((pairs, n_docs), _BLOCK)]
@@ -268,20 +371,19 @@ class _Block:
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch], key: str, shared: _Shared, block_bytes: int) -> Iterator[pa.RecordBatch]:
-    pair, number, block = shared.pair(), TaskContext.get().partitionId() << 32, None
+    known, number, block = _Chunks(shared.pair()), TaskContext.get().partitionId() << 32, None
     for batch in batches:
         values, keys = texts(batch.column(1)), batch.column(0)
         for first, end in batches_by_bytes(values, _STRETCH):
             if block is None:
                 block, number = _Block(number, keys.type), number + 1
-            for i, found in enumerate(pair.spans(values[first:end]), first):
-                block.add(keys[i], found, pair)
-                block.bytes += len(values[i] or b"")
+            for i, found in enumerate(known.documents(values[first:end]), first):
+                block.add(keys[i], found, len(values[i] or b""))
             if block.bytes >= block_bytes:
-                yield from block.table(key)
+                yield from block.table(key, known)
                 block = None
     if block is not None:
-        yield from block.table(key)
+        yield from block.table(key, known)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:

@@ -145,8 +145,27 @@ def test_blocks_and_partitions_do_not_matter(spark, documents):
 
 def test_refine_adds_up_what_shares_a_character():
     # two whole tokens, a character of four bytes in two tokens, an empty span before a full one
-    begin, end = np.array([0, 3, 5, 5, 9, 9]), np.array([3, 5, 9, 9, 9, 11])
-    assert AL.refine(begin, end, np.array([3, 2, 3, 1, 1, 1])).tolist() == [3, 5, 8, 9, 10, 11]
+    assert AL.refine(np.array([3, 5, 9, 9, 9, 11]), np.array([3, 2, 3, 1, 1, 1])).tolist() == [3, 5, 8, 9, 10, 11]
+    assert AL.refine(np.array([4, 4, 6]), np.array([3, 1, 2])).tolist() == [3, 4, 6]
+
+
+def test_chunks_equal_whole_texts(documents):
+    """The sums of chunks against tokens of the whole text, also with odd white space."""
+    pair = AL._Shared(documents.sparkSession, AL.BYTE_BPE_FILE, AL.PIECE_FILE).pair()
+    assert pair.cuts
+    texts = [r["text"].encode() for r in documents.select("text").collect() if r["text"]]
+    texts += [x.encode() for x in HARD] + [b" lead", b"trail ", b"a  b   c", "a\u00a0 b \u2003c\n d".encode(), b"x\n\n y ", b"\n"]
+    known = AL._Chunks(pair)
+    for value, (row, pairs, times) in zip(texts, known.documents(texts)):
+        (found,) = pair.spans([value])
+        if found is None:
+            assert row == (0, 0, 0, 0, "")
+            continue
+        n_a, n_b, n = len(found[0]), len(found[2]), len(AL.links(*found))
+        digest = hashlib.sha256(b"".join(AL.groups_words(*found, pair))[:-1]).hexdigest()
+        assert row == (n_a, n_b, n_a + n_b - n, n, digest)
+        numbers = list(known.pairs)
+        assert Counter(dict(zip([numbers[p] for p in pairs], times))) == Counter(AL.links(*found).tolist())
 
 
 def test_edges(edge, empty, edge_rows, sides):
