@@ -1,11 +1,11 @@
 """Line dedup for fuzzy lines: MinHash, exact check, union-find.
 
 A line is folded (A-Z lower-cased, white space runs to one space, ends trimmed);
-lines of ``min_chars`` folded characters or more are judged, shorter ones (blank
-lines, brackets, headings) always stay. Two lines are alike when the Jaccard
-similarity of their sets of ``shingle``-character shingles is ``similarity`` or
-more; likeness is closed transitively, and of each component the first line
-(smallest doc_id, then place) is kept.
+lines of ``min_chars`` folded characters or more are judged (at least a shingle:
+by default all that have one), shorter ones (blank lines, brackets) always stay. Two
+lines are alike when the Jaccard similarity of their sets of ``shingle``-character
+shingles is ``similarity`` or more; likeness is closed transitively, and of each
+component the first line (smallest doc_id, then place) is kept.
 
 1. Signatures: one hash per shingle, the minimum kept in each of
    ``bands * rows`` bins (one-permutation MinHash; an empty bin borrows from
@@ -17,9 +17,9 @@ more; likeness is closed transitively, and of each component the first line
    hold costs a few rows.
 2. Buckets that hold different lines are kept. A bucket's members meet again
    with their texts (only candidates' texts are joined) and are compared
-   exactly; each yields a spanning forest of its links, never all pairs. A
-   bucket of more than ``run_limit`` lines is dealt out in pairs of blocks, so
-   no task holds more than two blocks and no pair is left out.
+   exactly; each yields a spanning forest of its links, never all pairs. Buckets of
+   more than ``run_limit`` lines are taken apart, without leaving a pair out
+   (`_long_links`).
 3. ``components`` joins the forests, exact repeats already being one node. The
    first place of each line is aggregated before the shuffle.
 
@@ -29,7 +29,8 @@ one with probability n^2 / 2^65.
 Defined results: null and empty texts have no judged lines and stay as they are;
 rows that repeat doc_id and text are one document and get the same result; a null
 doc_id comes after all others; empty tables stay empty. Columns of the input are
-kept; those named like an output are replaced.
+kept; those named like an output are replaced. Work on a very long text grows with
+its lines, on a very long line with its shingles; both are held whole.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from stayledger.llm.components import components
 from stayledger.llm.frames import doc_key, spill, table, whole_texts
 from stayledger.llm.textbytes import FOLD_LINES, batches_by_bytes, texts
 
-SHINGLE, SIMILARITY, MIN_CHARS = 8, 0.8, 20
+SHINGLE, SIMILARITY, MIN_CHARS = 8, 0.8, 8
 BANDS, ROWS = 12, 5
 RUN_LIMIT = 512
 _STRETCH = 4 << 20
@@ -138,7 +139,7 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.Reco
                 )
 
 
-def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared_buckets(batches: Iterator[pa.RecordBatch], run_limit: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: the members of buckets with different keys. A small
     bucket is renamed after its members, so that the bands two lines share give
     one group; a long one streams through under its own number (perhaps with
@@ -174,12 +175,12 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for s, e in zip(starts[more].tolist(), ends[more].tolist()):
             keys = np.unique(key[s:e])
             if len(keys) > 1:
-                names.append(np.full(len(keys), named(keys) if len(keys) <= RUN_LIMIT else bucket[s]))
+                names.append(np.full(len(keys), named(keys) if len(keys) <= run_limit else bucket[s]))
                 members.append(keys)
         if names:
             yield out(np.concatenate(names), np.concatenate(members))
         held = (bucket[-1], np.unique(key[starts[-1] :]))
-        if len(held[1]) > RUN_LIMIT:
+        if len(held[1]) > run_limit:
             long, tail, held = held[0], held[1], None
             yield out(np.full(len(tail), long), tail)
     if held is not None and len(held[1]) > 1:
@@ -258,23 +259,22 @@ def like_links(lines: list[str], shingle: int, similarity: float) -> list[tuple[
     return links
 
 
-def _verified(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordBatch]:
-    """Rows (g, i, j, key, line) sorted by group: the links of each group."""
+def _solved(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordBatch]:
+    """Rows (g, i, j, key, line) sorted by group (g, i, j): the links of each group."""
     group, keys, lines = None, [], []
 
     def solve():
-        pairs = like_links(lines, o["shingle"], o["similarity"])
-        return [(keys[a], keys[b]) for a, b in pairs]
+        return [(keys[a], keys[b]) for a, b in like_links(lines, o["shingle"], o["similarity"])]
 
     for batch in batches:
         found = []
-        rows = zip(*(batch.column(i).to_pylist() for i in range(5)))
-        for g, i, j, key, line in rows:
-            if (g, i, j) != group:
+        for *at, key, line in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if at != group:
                 found += solve()
-                group, keys, lines = (g, i, j), [], []
-            keys.append(key)
-            lines.append(line)
+                group, keys, lines = at, [], []
+            if not keys or keys[-1] != key:
+                keys.append(key)
+                lines.append(line)
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
     found = solve()
@@ -282,31 +282,90 @@ def _verified(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
 
+def _solve(rows: DataFrame, o: dict) -> DataFrame:
+    """Links (a, b) of the lines of each group, of rows (g, i, j, key, line)."""
+    return (
+        rows.select("g", "i", "j", "key", "line")
+        .repartition("g", "i", "j")
+        .sortWithinPartitions("g", "i", "j", "key")
+        .mapInArrow(lambda b: _solved(b, o), "a long, b long")
+    )
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordBatch]:
+    """(bucket, key, line) -> (bucket, key, piece), a row for each different shingle."""
+    for batch in batches:
+        for bucket, key, line in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            own = {line_hash(line[i : i + o["shingle"]].encode()) for i in range(len(line) - o["shingle"] + 1)}
+            n = len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(list(own), pa.int64())],
+                names=["bucket", "key", "piece"],
+            )
+
+
+def _long_links(met: DataFrame, line: DataFrame, o: dict) -> list[DataFrame]:
+    """Links of the members (bucket, key) of buckets with more than ``run_limit`` lines:
+    what comparing all of them would connect, without all pairs.
+
+    A shingle is common in a bucket if more than ``run_limit`` of its lines hold it, else
+    rare; x has h_x common and r_x rare ones. Two alike lines that share a rare shingle
+    share one among their first size - similarity * size + 1 in the order of how many
+    lines hold it (the prefix filter): these lines meet by it, at most ``run_limit``
+    together. Two alike lines that share none have r_x + r_y <= w * min(h_x, h_y), w =
+    1 / similarity - 1, so that one of them has r <= w / 2 * h, the other r <= w * h. Of
+    the former, those with the same common shingles are alike, and whatever is alike to
+    one of them is so to the one with the least r. Only these meet the latter, in
+    pairs of blocks: few for lines of some templates, whatever their number."""
+    rows = spill(met.join(line, "key").select("bucket", "key", "line"), "long-buckets")
+    if rows.isEmpty():
+        return []
+    limit, over = o["run_limit"], 1 / o["similarity"] - 1 + 1e-9
+    pieces = spill(rows.repartition("bucket", "key").mapInArrow(lambda b: _pieces(b, o), "bucket long, key long, piece long"), "long-pieces")
+    held = spill(pieces.groupBy("bucket", "piece").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit), "long-rare")
+    sizes = pieces.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor("piece").alias("every"))
+    rare = pieces.join(held, ["bucket", "piece"]).groupBy("bucket", "key")
+    rare = rare.agg(F.sort_array(F.collect_list(F.struct("n", "piece"))).alias("rare"), F.bit_xor("piece").alias("some"))
+    known = sizes.join(rare, ["bucket", "key"], "left").withColumn("r", F.coalesce(F.size("rare"), F.lit(0)))
+    known = known.withColumn("h", F.col("size") - F.col("r"))
+    common = F.col("every").bitwiseXOR(F.coalesce("some", F.lit(0))).alias("common")
+    known = spill(known.select("bucket", "key", "size", "rare", "r", "h", common), "long-lines")
+    first = F.col("size") - F.ceil(F.lit(o["similarity"] - 1e-9) * F.col("size")) + 1
+    by_piece = known.where("r > 0").select("bucket", "key", F.explode(F.slice("rare", F.lit(1), first.cast("int"))).alias("p"))
+    by_piece = by_piece.where("p.n > 1").select("bucket", F.col("p.piece").alias("i"), F.lit(0).alias("j"), "key")
+    links = [_solve(by_piece.join(rows, ["bucket", "key"]).withColumnRenamed("bucket", "g"), o)]
+    tops = known.where(F.col("r") <= over / 2 * F.col("h")).groupBy("bucket", "common", "h").agg(F.min(F.struct("r", "key")).alias("top"))
+    sides = []
+    for side in (tops.select("bucket", F.col("top.key").alias("key")), known.where(F.col("r") <= over * F.col("h")).select("bucket", "key")):
+        n = side.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / limit).alias("blocks"))
+        sides.append((side, spill(n, "long-blocks")))
+    met = []
+    for (side, n), (_, others), (own, other) in ((*sides, "ij"), (*sides[::-1], "ji")):
+        placed = side.join(n, "bucket").join(others.withColumnRenamed("blocks", "others"), "bucket")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
+        placed = placed.select("bucket", "key", F.pmod(F.xxhash64("key"), "blocks").alias(own), every.alias(other))
+        met.append(placed.join(rows, ["bucket", "key"]).select(F.col("bucket").alias("g"), "i", "j", "key", "line"))
+    links.append(_solve(met[0].union(met[1]), o))
+    return links
+
+
 def like_lines(docs: DataFrame, text: str, o: dict) -> DataFrame:
     """(node, root) of the lines that are like others (by line hash)."""
     rows = docs.select(text).mapInArrow(lambda b: _bucket_rows(b, o), "bucket long, key long")
-    met = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared_buckets, "bucket long, key long")
+    met = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        lambda b: _shared_buckets(b, o["run_limit"]), "bucket long, key long"
+    )
     met = spill(met, "line-buckets").distinct()
     keys = spill(met.select("key").distinct(), "line-keys")
     line = docs.select(text).mapInArrow(lambda b: _line_rows(b, o), "key long, line string")
-    line = line.join(keys, "key").dropDuplicates(["key"])
-    blocks = F.ceil(F.col("n") / RUN_LIMIT).cast("int")
-    sizes = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    own = F.pmod(F.xxhash64("key", F.lit(7)), F.col("nb").cast("long")).cast("int")
-    placed = (
-        met.join(sizes, "bucket")
-        .withColumn("nb", blocks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key")
-    )
-    links = (
-        placed.join(line, "key")
-        .select("bucket", "i", "j", "key", "line")
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j", "key")
-        .mapInArrow(lambda b: _verified(b, o), "a long, b long")
-    )
+    line = spill(line.join(keys, "key").dropDuplicates(["key"]), "line-texts")
+    sizes = spill(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "line-sizes")
+    short = met.join(sizes.where(F.col("n") <= o["run_limit"]), "bucket")
+    short = short.select(F.col("bucket").alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j"), "key").join(line, "key")
+    links = _solve(short, o)
+    long = sizes.where(F.col("n") > o["run_limit"])
+    for more in _long_links(met.join(long, "bucket"), line, o):
+        links = links.union(more)
     return components(links, "a", "b")
 
 
@@ -330,7 +389,8 @@ def _places(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordBat
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(doc, removed): for each document (`doc_key`) that loses lines, their numbers
     (from 0, ascending)."""
-    o = {"shingle": SHINGLE, "similarity": SIMILARITY, "min_chars": MIN_CHARS, "bands": BANDS, "rows": ROWS} | options
+    o = {"shingle": SHINGLE, "similarity": SIMILARITY, "min_chars": MIN_CHARS, "bands": BANDS, "rows": ROWS, "run_limit": RUN_LIMIT}
+    o |= options
     whole_texts(docs.sparkSession)
     o["min_chars"] = max(o["min_chars"], o["shingle"])
     rows = docs.select(F.col(text).alias("text"), doc_key(F.col(doc_id), F.col(text)).alias("doc"), F.col(doc_id).alias("id"))
@@ -349,6 +409,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "line-roots",
     )
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
+    kept = spill(kept, "line-first")  # both sides of the join are plain scans: a hot root is split, or the few are broadcast
     judged = spill(rooted.join(kept.select("root", "kept"), "root").select("key", "kept.doc", "kept.at"), "line-kept")
     judged = judged.withColumnsRenamed({"doc": "kept_doc", "at": "kept_at"})
     gone = places.join(judged, "key").where("doc <> kept_doc or at <> kept_at")

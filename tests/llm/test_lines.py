@@ -12,7 +12,7 @@ def folded(line):
     return re.sub("[\x09-\x0d\x20]+", " ", fold(line)).strip(" ")
 
 
-def brute(docs, shingle=8, similarity=0.8, min_chars=20):
+def brute(docs, shingle=8, similarity=0.8, min_chars=8):
     """{doc_id: removed line numbers}; doc ids are different and not null."""
     places = defaultdict(list)
     for i, t in docs:
@@ -62,17 +62,67 @@ def variants(n):
 
 
 @pytest.mark.parametrize("limit", [4096, 16])
-def test_fuzzy_groups_and_buckets_over_the_limit(spark, monkeypatch, limit):
-    monkeypatch.setattr(L, "RUN_LIMIT", limit)
+def test_fuzzy_groups_and_buckets_over_the_limit(spark, limit):
     docs = [(i, f"{prose(1000 + i, 12)}\n{x}") for i, x in enumerate(variants(60))]
     docs += [(200, "The same LINE, again and   again!\n\n}"), (201, "the same line, again and again!\n}\n"), (202, None), (203, "")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = {r["doc"]: r["removed"] for r in L.repeated_lines(df).collect()}
+    got = {r["doc"]: r["removed"] for r in L.repeated_lines(df, run_limit=limit).collect()}
     keys = {r["doc"]: r["doc_id"] for r in df.select("doc_id", L.doc_key(F.col("doc_id"), F.col("text")).alias("doc")).collect()}
     want = brute(docs)
     assert len(want) >= 59 and {keys[d]: v for d, v in got.items()} == want
 
 
+def templated(n, own):
+    """Lines of one template, each with ``own`` random characters, in pairs that differ
+    in the last of them."""
+    import random
+    rng, base, out = random.Random(own), prose(9, 12), []
+    for _ in range(n // 2):
+        w = "".join(rng.choice("bcdfghjklmnp") for _ in range(own))
+        out += [f"{base} {w} {prose(10, 3)}", f"{base} {w[:-1]}z {prose(10, 3)}"]
+    return out
+
+
+@pytest.mark.parametrize("own", [4, 6, 9, 12, 16, 24])
+def test_long_buckets_of_templated_lines_against_brute_force(spark, own):
+    """Whatever share of the lines is their own: all alike, none but the pairs, between."""
+    lines = templated(120, own)
+    docs = list(enumerate(lines))
+    want = brute(docs)
+    o = {"shingle": 8, "similarity": 0.8, "run_limit": 8}
+    # one bucket holds all of them
+    line = spark.createDataFrame([(i, x) for i, x in docs], "key long, line string")
+    met = line.selectExpr("7L as bucket", "key").repartition(4)
+    u = Union()
+    for links in L._long_links(met, line, o):
+        for a, b in links.collect():
+            u.join(a, b)
+    assert sorted(i for i in range(len(lines)) if u.root(i) != i) == sorted(want)
+
+
+def test_a_long_bucket_takes_rows_in_proportion(spark, monkeypatch):
+    """50,000 lines of one template that are not alike, beside pairs that are: as many
+    rows are solved for twice the lines, twice over."""
+    seen, solve = [], L._solve
+
+    def counted(rows, o):
+        seen[-1] += rows.count()
+        return solve(rows, o)
+    monkeypatch.setattr(L, "_solve", counted)
+    for n in (25_000, 50_000):
+        seen.append(0)
+        line = spark.range(n).selectExpr(
+            "id as key", "concat('alpha beta gamma delta epsilon zeta ', substring(md5(cast(id div 2 as string)), 1, 15), "
+            "case when id % 2 = 0 then 'x' else 'y' end) as line")
+        o = {"shingle": 8, "similarity": 0.8, "run_limit": 512}
+        u = Union()
+        for links in L._long_links(line.selectExpr("1L as bucket", "key"), line, o):
+            for a, b in links.collect():
+                u.join(a, b)
+        assert all(u.root(i) == i - i % 2 for i in range(n))
+    assert seen[1] < 2.1 * seen[0] and seen[1] < 40 * 50_000
+
+
 def test_signatures_meet_at_the_similarity():
     """Recall over random pairs near the threshold, and few meetings far below it."""
     pairs, met, far = 0, 0, 0
@@ -109,6 +159,15 @@ def test_dedup_rewrites_texts(spark):
     assert got == {1: (f"{a}\n{b}", len(a) + len(b) + 1, "mine"), 2: ("short", 5, "mine"), 4: ("x\n\ny", 4, "mine")}
 
 
+def test_short_lines_are_judged(spark):
+    docs = [(1, "ok, fine\nno"), (2, "OK,  fine\n}"), (3, "ok, fin"), (4, "a b c d e f g\na b c d e f g h i"), (5, "a b c d e f g")]
+    got = L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {1: "ok, fine\nno", 2: "}", 3: "ok, fin", 4: "a b c d e f g\na b c d e f g h i"}
+    n = {sf: sum(map(len, brute([(r[0], r[1]) for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select(
+        "doc_id", "text").collect()]).values())) for sf in ("sf0.001",)}
+    assert n == {"sf0.001": 294}
+
+
 def test_edges(edge, empty):
     out = L.dedup_lines(edge)
     assert out.columns == edge.columns

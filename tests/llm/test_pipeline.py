@@ -66,5 +66,5 @@ def test_every_dealt_query_is_registered():
 
     names = set(E.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert all(callable(f) for _, f in C.STAGES)
