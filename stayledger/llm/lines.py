@@ -318,8 +318,6 @@ def _long_links(met: DataFrame, line: DataFrame, o: dict) -> list[DataFrame]:
     one of them is so to the one with the least r. Only these meet the latter, in
     pairs of blocks: few for lines of some templates, whatever their number."""
     rows = spill(met.join(line, "key").select("bucket", "key", "line"), "long-buckets")
-    if rows.isEmpty():
-        return []
     limit, over = o["run_limit"], 1 / o["similarity"] - 1 + 1e-9
     pieces = spill(rows.repartition("bucket", "key").mapInArrow(lambda b: _pieces(b, o), "bucket long, key long, piece long"), "long-pieces")
     held = spill(pieces.groupBy("bucket", "piece").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= limit), "long-rare")
@@ -358,14 +356,15 @@ def like_lines(docs: DataFrame, text: str, o: dict) -> DataFrame:
     met = spill(met, "line-buckets").distinct()
     keys = spill(met.select("key").distinct(), "line-keys")
     line = docs.select(text).mapInArrow(lambda b: _line_rows(b, o), "key long, line string")
-    line = spill(line.join(keys, "key").dropDuplicates(["key"]), "line-texts")
+    line = line.join(keys, "key").dropDuplicates(["key"])
     sizes = spill(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "line-sizes")
     short = met.join(sizes.where(F.col("n") <= o["run_limit"]), "bucket")
     short = short.select(F.col("bucket").alias("g"), F.lit(0).alias("i"), F.lit(0).alias("j"), "key").join(line, "key")
     links = _solve(short, o)
     long = sizes.where(F.col("n") > o["run_limit"])
-    for more in _long_links(met.join(long, "bucket"), line, o):
-        links = links.union(more)
+    if not long.isEmpty():
+        for more in _long_links(met.join(long, "bucket"), line, o):
+            links = links.union(more)
     return components(links, "a", "b")
 
 
