@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -168,3 +169,14 @@ def sql_connection(spark: SparkSession, url: str, properties: dict):
     loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
     driver = loader.loadClass(name).getDeclaredConstructor(sc._gateway.new_array(jvm.java.lang.Class, 0))
     return driver.newInstance(sc._gateway.new_array(jvm.java.lang.Object, 0)).connect(url, settings)
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Have the driver's JVM collect garbage, which is how Spark's cleaner learns of
+    shuffles and broadcasts that are no longer referred to. What the first collection
+    finds may hold others, which a second one finds a moment later."""
+    sc = _context(spark)
+    if sc is not None:
+        for _ in range(3):
+            sc._jvm.System.gc()
+            time.sleep(0.5)
