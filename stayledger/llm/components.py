@@ -8,6 +8,7 @@ star around its smallest node. Rounds grow with the logarithm of the longest pat
 
 Neighbourhoods are only ever aggregated with ``min``, which combines before the
 shuffle, and joined back to one row per node; no node's neighbours are gathered.
+A round's tables are removed once the next one's edges are written.
 The aggregates are written before they are joined: both sides of a join are plain
 scans then, so that a node with a third of all edges is split over many tasks,
 or the small side is broadcast by its size. A round's edges are written too."""
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stayledger.llm.frames import spill
+from stayledger.session import delete_path
 
 
 EDGES_PER_FILE = 200_000
@@ -33,15 +35,17 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
     """(node, root) for every node of an edge between different nodes; ``root``
     is the smallest node of its component. Repeated edges, loops and edges with
     a null end do nothing; an empty table gives an empty one."""
+    spark, paths = edges.sparkSession, []
     e = spill(
         edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(),
         "edges",
+        paths,
     )
     before = _stamp(e)
     files = 1 + before[0] // EDGES_PER_FILE  # edges never become more
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        return spill(df.repartition(files), name)  # a task for each partition, few files
+        return spill(df.repartition(files), name, paths)  # a task for each partition, few files
 
     for _ in range(max_rounds):
         if before[0] == 0:
@@ -51,6 +55,9 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
         low = written(large.groupBy("u").agg(F.min("v").alias("m")), "small-star")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = written(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        for path in paths[:-1]:
+            delete_path(spark, path)
+        del paths[:-1]
         after = _stamp(e)
         if after == before:
             break
