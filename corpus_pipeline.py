@@ -10,14 +10,21 @@
    go; the hit words of the others are cut out.
 5. segment: two distinct sampled segmentations of each text, as piece ids.
 
-All but the last return the columns of `documents`."""
+All but the last return the columns of `documents`.
+
+Defined results: a null or empty text goes at the first stage, as it has no letter; rows
+that repeat doc_id and text are one document and get the same treatment (of a group of
+near duplicates the smallest doc_id stays, a null one last; of alike lines the first by
+doc_id and place); an empty table gives an empty one at every stage; extra columns
+are carried along by all but the last stage, whatever their names; texts of any length
+are taken whole, each held in the memory of one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayledger.llm.decontaminate import remove_contaminated
-from stayledger.llm.frames import spill, table
+from stayledger.llm.frames import spill, table, whole_texts
 from stayledger.llm.langid import fit_on_documents, predict
 from stayledger.llm.lines import dedup_lines
 from stayledger.llm.simhash import keep_one
@@ -25,24 +32,29 @@ from stayledger.llm.subwords import encode_samples
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    whole_texts(spark)
     rows = docs.select(F.struct("*").alias("row"), "text")
     found = predict(rows, fit_on_documents(docs))
     return found.where(~F.col("rejected")).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    whole_texts(spark)
     return dedup_lines(docs)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    whole_texts(spark)
     return keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    whole_texts(spark)
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    whole_texts(spark)
     return encode_samples(docs)
 
 
