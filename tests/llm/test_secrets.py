@@ -1,6 +1,9 @@
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -39,6 +42,105 @@ def test_query_against_regex(spark, documents):
         assert set(named(want).split(",")) <= set(r["spans"].split(","))
 
 
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={0,2})")
+
+
+def battery(token):
+    """(encoding, band, even, bin) by the formulas, in plain Python."""
+    body = token.rstrip("=")
+    n = len(body)
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", body):
+        enc, alphabet, digits, plain, coincidence = "hex", "0123456789abcdef", 10, body.lower(), 0.2
+    elif re.fullmatch("[A-Z2-7]+", body):
+        enc, alphabet, digits, plain, coincidence = "base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 6, body, 0.07
+    else:
+        enc, digits, coincidence = "base64", 10, 0.065
+        alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+        plain = body.replace("-", "+").replace("_", "/")
+    k = len(alphabet)
+    chi = max(k / n * sum(plain.count(c) ** 2 for c in alphabet) - n, 1e-9)
+    free = k - 1
+    z_chi = ((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))
+    p = digits / k
+    pq = p * (1 - p)
+    is_digit = [c in "0123456789" for c in plain]
+    changes = sum(a != b for a, b in zip(is_digit, is_digit[1:]))
+    z_runs = (changes - 2 * pq * (n - 1)) / math.sqrt((n - 1) * 2 * pq * (1 - 2 * pq) + 2 * (n - 2) * (pq - 4 * pq * pq))
+    at = [alphabet.index(c) + 1 - (k + 1) / 2 for c in plain]
+    z_serial = sum(a * b for a, b in zip(at, at[1:])) / ((k * k - 1) / 12) / math.sqrt(n - 1)
+    shift = n * (k * coincidence - 1)
+    z = (chi - (free + shift)) / math.sqrt(2 * (free + 2 * shift))
+    if z > -3:
+        log_p = -math.log10(1 + math.exp(-1.5976 * z - 0.07056 * z**3))
+    else:
+        log_p = -z * z / (2 * math.log(10)) - math.log10(-z * math.sqrt(2 * math.pi))
+    even = z_chi <= 3.3 and abs(z_runs) <= 3.3 and abs(z_serial) <= 3.3
+    return enc, min(int(math.floor(math.log2(n / 20) * 2)), 11), even, min(max(math.floor(-10 * log_p), 0), 240)
+
+
+def brute_spans(texts, rate=0.01):
+    """All spans of each text: battery, control over all tokens, overlap with base spans."""
+    found = {i: [(m.start(), m.end(), *battery(m[0])) for m in TOKEN.finditer(t or "")] for i, t in texts.items()}
+    families = {}
+    for rows in found.values():
+        for _, _, enc, band, _, bin_ in rows:
+            families.setdefault((enc, band), Counter())[bin_] += 1
+    bars = {}
+    for family, bins in families.items():
+        for b in bins:
+            above = sum(n for x, n in bins.items() if x >= b)
+            if 10 ** (-b / 10) <= rate * above / sum(bins.values()):
+                bars[family] = min(bars.get(family, 999), b)
+    out = {}
+    for i, rows in found.items():
+        own = base(texts[i])
+        covered = bytearray(len(texts[i] or ""))
+        for a, _, z in own:
+            covered[a:z] = b"x" * (z - a)
+        more = [
+            (s, SC.RANDOM, e) for s, e, enc, band, even, bin_ in rows
+            if even and bin_ >= bars.get((enc, band), 999) and not any(covered[s:e])
+        ]
+        out[i] = sorted(own + more)
+    return out
+
+
+def test_battery_and_discovery_control_against_brute_force(spark, documents):
+    rng = random.Random(8)
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for i in range(60):  # random and patterned tokens of all encodings, near base spans too
+        parts = []
+        for alphabet in (b64, b64[:26] + "234567", "0123456789ABCDEF", "abcdefgh", "0123456789", b64.replace("+/", "-_")):
+            parts.append("".join(rng.choice(alphabet) for _ in range(rng.randrange(18, 90))) + "=" * rng.randrange(3))
+        texts[10_000 + i] = f"{' '.join(parts[:3])} token={parts[3]} {parts[4]}:{parts[5]} AKIA{parts[1]}"
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in SC.scan_secrets(df).select("doc_id", "spans").collect()}
+    want = brute_spans(texts)
+    assert sum(k == SC.RANDOM for v in want.values() for _, k, _ in v) > 50
+    assert got == want
+    query = {r["doc_id"]: r["spans"] for r in SC.op4_secret_randomness(spark, SMALL).collect()}
+    want = brute_spans({r["doc_id"]: r["text"] for r in documents.collect()})
+    assert query == {i: named(v) for i, v in want.items()}
+
+
+def test_a_text_full_of_secrets_takes_linear_time(spark):
+    rng = random.Random(1)
+    line = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32))
+    other = lambda: "".join(rng.choice("ABCDEFGHJKMNPQRSTUVWXYZ0123456789abcdefghij") for _ in range(31))
+    took = []
+    for n in (15_000, 75_000):  # 1 and 5 MB
+        text = "\n".join(f"{line()} token={line()[:9]}" if i % 2 else f"{other()} {line()[:20]}" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        (row,) = SC.scan_secrets(df).select("base_spans", "spans").collect()
+        took.append(time.time() - start)
+        assert [tuple(s) for s in row["base_spans"]] == base(text)
+        assert [tuple(s) for s in row["spans"]] == brute_spans({1: text})[1]
+    print("seconds", took)
+    assert took[1] < 60 and took[1] < 10 * took[0] + 5
+
+
 def test_base_rules_on_hard_texts(spark):
     texts = [
         "secret: token: abcdefghijkl",  # the failing match hides the one inside it
