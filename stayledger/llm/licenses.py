@@ -8,7 +8,10 @@ are word intervals. One is suppressed when an interval that contains it was
 made by a stronger rule (higher priority, then the longer interval, then the
 earlier rule), so "gnu lesser general public license" is not also a GPL hit.
 
-Everything is one projection over the row: no shuffle, join or Python worker.
+Everything is one projection over the row: no shuffle, join or Python worker. Work on a
+text grows with its words, for each rule that matches in it: a detection is compared
+only with its neighbours in the order of their places, as far as the text's longest
+detection reaches. The detections of one text are held together.
 
 Defined results: null, empty and word-free texts have no detections (no
 labels, score 0); repeated places each count; columns of the input are kept
@@ -21,7 +24,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.llm.frames import fold_ascii, table
+from stayledger.llm.frames import fold_ascii, let, part_of, table
 
 #: Fixed values of the contract: the phrases all of whose places count.
 BASE_PHRASES = [
@@ -201,6 +204,48 @@ def _places(words: Column, rule: Column) -> Column:
     )
 
 
+_BLOCK = 64
+
+
+def _by_place(d: Column) -> Column:
+    """A detection for the sweep: sorted by place, its strength one number (priority, then
+    length, then the earlier rule)."""
+    strength = (d["priority"].cast("long") * (1 << 40)) + (d["end"] - d["first"]) * (1 << 12) - d["rule"]
+    return F.struct(
+        d["first"].alias("first"), (-d["end"]).alias("back"), strength.alias("strength"),
+        d["end"].alias("end"), d["label"].alias("label"), d["priority"].alias("priority"), d["rule"].alias("rule"),
+    )
+
+
+def _standing(placed: Column, reach: Column) -> Column:
+    """The detections in no stronger one, of detections sorted by place, none longer
+    than ``reach``. One that contains another starts at most ``reach`` words before it
+    and not behind it: it stands in the block of its neighbours, the block before or the one
+    after. Where more than a block of them starts within reach, all are looked at."""
+    n = F.size(placed)
+    starts = F.sequence(F.lit(0), ((n - 1) / _BLOCK).cast("int"))
+    at = lambda i: F.get(placed, i)["first"]
+
+    def block(i: Column, reach: Column) -> Column:
+        low = F.greatest((i - 1) * _BLOCK, F.lit(0))
+        first, last = at(i * _BLOCK), at(F.least((i + 1) * _BLOCK, n) - 1)
+        enough = (low == 0) | (at(low - 1) < first - reach)
+        enough = enough & F.coalesce(at(low + 3 * _BLOCK) > last, F.lit(True))
+        near = F.when(enough, part_of(placed, low, 3 * _BLOCK)).otherwise(placed)
+
+        def standing(near: Column) -> Column:
+            return F.filter(
+                part_of(placed, i * _BLOCK, _BLOCK),
+                lambda d: ~F.exists(near, lambda e: (e["strength"] > d["strength"]) & (e["first"] <= d["first"]) & (e["end"] >= d["end"])),
+            )
+
+        return let(near, standing)
+
+    # bound first: a column named once is worked out where it is used, here for every block
+    kept = let(reach, lambda reach: F.flatten(F.transform(starts, lambda i: block(i, reach))))
+    return F.transform(kept, lambda d: F.struct(*(d[c].alias(c) for c in ("first", "end", "label", "priority", "rule"))))
+
+
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``n_words``, ``detections`` (places that stand, with label, word
     interval [first, end) and priority), ``base`` (all places of the base
@@ -214,26 +259,20 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     found = F.flatten(F.transform(running, lambda r: _places(F.col("__license_words"), r)))
     none = F.array().cast("array<struct<first:bigint,end:bigint,label:string,priority:int,rule:int>>")
-
-    def stronger(e: Column, d: Column) -> Column:
-        e_len, d_len = e["end"] - e["first"], d["end"] - d["first"]
-        return (e["priority"] > d["priority"]) | (
-            (e["priority"] == d["priority"])
-            & ((e_len > d_len) | ((e_len == d_len) & (e["rule"] < d["rule"])))
-        )
-
-    def stands(d: Column) -> Column:
-        return ~F.exists(
-            F.col("__license_found"), lambda e: (e["first"] <= d["first"]) & (e["end"] >= d["end"]) & stronger(e, d)
-        )
-
+    placed = F.array_sort(F.transform("__license_found", _by_place))
     n = F.length("__license_words") - F.length(F.replace("__license_words", F.lit(" "), F.lit(""))) - 1
     return (
         docs.withColumn("__license_words", folded_words(F.col(text)))
         .withColumn("__license_found", F.when(gated, found).otherwise(none))
         .withColumn("n_words", F.greatest(n, F.lit(0)).cast("long"))
         .withColumn("base", F.filter("__license_found", lambda d: d["priority"] == 100))
-        .withColumn("detections", F.when(F.size("__license_found") > 0, F.filter("__license_found", stands)).otherwise(none))
+        .withColumn("__license_placed", F.when(F.size("__license_found") > 1, placed))
+        .withColumn("__license_reach", F.array_max(F.transform("__license_placed", lambda d: d["end"] - d["first"])))
+        .withColumn(
+            "detections",
+            F.when(F.size("__license_found") < 2, F.col("__license_found"))
+            .otherwise(_standing(F.col("__license_placed"), F.col("__license_reach"))),
+        )
         .withColumn(
             "labels",
             F.array_sort(F.array_distinct(F.transform(F.concat("base", "detections"), lambda d: d["label"]))),
@@ -242,7 +281,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
             "score",
             F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])) / 100.0, F.lit(0.0)),
         )
-        .drop("__license_words", "__license_found")
+        .drop("__license_words", "__license_found", "__license_placed", "__license_reach")
     )
 
 

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,6 +31,56 @@ def test_query_against_brute_force(spark, documents):
         assert 0.0 <= r["score"] <= 1.0 and (r["score"] > 0) == (r["labels"] != "")
 
 
+def brute_standing(text, rules):
+    """The places that stand, all pairs compared."""
+    folded = " " + " ".join(words(text)) + " "
+    found = []
+    for r in rules:
+        if r["keyword"] in folded:
+            for m in re.finditer(r["regex"], folded):
+                first = folded[: m.start()].count(" ") - 1
+                found.append((first, first + len(m[0].split(" ")), r["priority"], r["rule"], r["label"]))
+    key = lambda d: (d[2], d[1] - d[0], -d[3])
+    return sorted(d for d in found if not any(e[0] <= d[0] and e[1] >= d[1] and key(e) > key(d) for e in found))
+
+
+def standing(row):
+    return sorted((d["first"], d["end"], d["priority"], d["rule"], d["label"]) for d in row["detections"])
+
+
+def test_rules_and_suppression_against_brute_force(spark, documents):
+    rules = L.rules()
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    names = ["the MIT license", "gnu lesser general public license version 2.1 or later", "Apache License, Version 2.0", "GPL v3",
+             "licensed under the BSD 3-clause license", "CC BY-NC-SA 4.0", "released into the public domain", "spdx license identifier: isc",
+             "under the mit license", "apache license version 2", "all rights reserved", "creative commons attribution 4.0 international", "MPL 2.0 license"]
+    for i in range(40):
+        texts[10_000 + i] = " ".join(names[(i * k + k * k) % len(names)] + (" or", ", and", "", " x")[(i + k) % 4] for k in range(1, 60))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in L.scan_licenses(df).collect()}
+    total = 0
+    for i, text in texts.items():
+        want = brute_standing(text, rules)
+        total += len(want)
+        assert standing(rows[i]) == want, (i, text[:200])
+        assert rows[i]["score"] == max((d[2] for d in want), default=0) / 100
+        assert set(rows[i]["labels"]) == {d[4] for d in want} | {x for _, x in base(text)[0]}
+    assert total > 1000
+
+
+def test_a_text_full_of_phrases_takes_linear_time(spark):
+    took = []
+    for n in (45_000, 225_000):  # 1 and 5 MB
+        text = "under the mit license " * n
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        (row,) = L.scan_licenses(df).select("n_words", F.size("base").alias("n"), F.size("detections").alias("d"), "labels").collect()
+        took.append(time.time() - start)
+        assert (row["n_words"], row["n"], row["labels"]) == (4 * n, n, ["mit"]) and row["d"] >= n
+    print("seconds", took)
+    assert took[1] < 60 and took[1] < 10 * took[0] + 5
+
+
 def test_there_are_hundreds_of_gated_rules():
     rules = L.rules()
     assert len(rules) > 400

@@ -2,6 +2,7 @@ import math
 import zlib
 
 import pytest
+import xxhash
 
 from stayledger.llm.sharding import number_slots, op3_rendezvous_sharding, shard_records
 from tests_llm_data import SMALL
@@ -20,6 +21,30 @@ def test_query_obeys_the_law(spark, documents):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def _xx(data, seed):
+    return xxhash.xxh64_intdigest(data, seed=seed)
+
+
+def winner(key, weights):
+    """The shard with the highest bid: Spark's xxhash64 of (key as text, shard number)."""
+    bids = []
+    for s, w in enumerate(weights):
+        seed = 42 if key is None else _xx(str(key).encode(), 42)
+        h = _xx(s.to_bytes(4, "little"), seed) >> 11  # the text's hash seeds the number's
+        bids.append((math.log((h + 0.5) / 2**53) / w, -s))
+    return -max(bids)[1]
+
+
+def test_query_gives_every_record_to_the_highest_bid(spark):
+    rows = op3_rendezvous_sharding(spark, SMALL).collect()
+    for r in rows:
+        assert r["shard"] == winner(r["doc_id"], [1.0] * 16) and r["grown_shard"] == winner(r["doc_id"], [1.0] * 17)
+    keys = spark.createDataFrame([(i,) for i in [None, -5, *range(500)]], "doc_id long")
+    for r in shard_records(keys, weights=(0.5, 3.0, 1.0, 7.5), grown_weight=2.0).collect():
+        assert r["shard"] == winner(r["doc_id"], [0.5, 3.0, 1.0, 7.5])
+        assert r["grown_shard"] == winner(r["doc_id"], [0.5, 3.0, 1.0, 7.5, 2.0])
+
+
 def test_key_decides_and_growth_takes_only_into_the_new_shard(edge, spark):
     a = {(r["doc_id"]): r["shard"] for r in shard_records(edge).collect()}
     b = {(r["doc_id"]): r["shard"] for r in shard_records(edge.limit(5)).collect()}
