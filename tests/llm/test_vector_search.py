@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -38,20 +40,55 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 5 * len(want)
 
 
-def test_recall_where_blocks_and_lists_prune(spark):
+def test_recall_where_few_are_reranked(spark, monkeypatch):
+    """10,000 vectors without clusters, the hardest case: at most a tenth is reranked, and the answer is
+    the same for any partitioning and any size of blocks."""
     rng = np.random.default_rng(1)
-    x = rng.normal(size=(6000, 24)) + rng.normal(size=(30, 24))[rng.integers(0, 30, 6000)] * 2
-    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
-    got = {}
-    for r in V.nearest_vectors(df.repartition(2), F.col("vec_id") % 100 == 0, least=50, query_block=16).collect():
-        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    x = rng.normal(size=(10_000, 32))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>").cache()
+    answers = []
+    for n, block, queries in ((1, 10_000, 4096), (8, 100, 7), (64, 10_000, 4096)):
+        monkeypatch.setattr(V, "BLOCK", block)
+        monkeypatch.setattr(V, "QUERY_BLOCK", queries)
+        got = {}
+        for r in V.nearest_vectors(df.repartition(n), F.col("vec_id") % 100 == 0).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        answers.append({q: sorted(v) for q, v in got.items()})
+    assert answers[0] == answers[1] == answers[2]
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     hits = 0
-    for q in range(0, 6000, 100):
+    for q in range(0, 10_000, 100):
         s = u @ u[q]
         s[q] = -2
-        hits += len(set(np.argsort(-s)[:5]) & set(got[q]))
-    assert hits >= 0.9 * 5 * 60
+        hits += len(set(np.argsort(-s)[:5].tolist()) & {v for _, v, _ in answers[0][q]})
+    print("recall", hits / 500)
+    assert hits >= 0.9 * 500
+    # within the bounds of the histogram
+    index, _ = V.build_index(df, "vec_id", "embedding", 5)
+    index = V.cut(index)
+    ranks = np.stack([np.frombuffer(r["ranks"], np.uint8) for r in index.orderBy(F.col("ids")[0]).collect()]).astype(np.int16)
+    for q in range(0, 10_000, 1000):
+        near = ((ranks < V.POST) & (ranks[q] < V.PROBE)).any(1)
+        step = np.sort(np.abs(ranks[near] - ranks[q]).sum(1) // V.STEP)
+        assert (step <= step[math.ceil(V.SHARE * 10_000) - 1]).sum() < 1000
+
+
+def test_extreme_components_have_a_finite_score(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [3e-300, 3e-300]), (3, [-1e308, 1.0]), (4, [1.0, 2.0]), (5, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["score"] for r in V.nearest_vectors(df, F.col("vec_id") == 0).collect()}
+    want = {1: 0.5**0.5, 2: 1.0, 3: -(0.5**0.5), 4: 3 / 10**0.5, 5: 0.5**0.5}
+    assert set(got) == set(want) and all(abs(got[i] - w) < 1e-12 for i, w in want.items())
+
+
+def test_a_query_whose_files_are_empty_looks_through_all(spark):
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(size=(600, 8)) + 6, rng.normal(size=(3, 8)) - 6])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in V.nearest_vectors(df, F.col("vec_id") >= 600, post=1, probe=1, least=20, share=0.01).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(got) == {600, 601, 602} and all(len(v) == 5 for v in got.values())
 
 
 def test_ties_repeats_and_unusable_vectors(spark):
