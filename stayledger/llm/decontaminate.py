@@ -13,8 +13,8 @@ A document is contaminated when at least one in ``one_in`` of its words is hit.
 of the others.
 
 Scale: documents are never shuffled; the automaton is broadcast. Its size is
-bounded by ``block_bytes`` of item text: more items than that form several
-blocks of whole items, applied one after the other, each result
+bounded by ``block_bytes`` of item text (1 MB takes some 230 MB in a Python worker), or
+by one longer item: more items than that form several blocks of whole items, applied one after the other, each result
 carried along as merged spans, with a checkpoint of (document key, spans)
 between blocks. A text is streamed word by word, whatever its length.
 
@@ -34,12 +34,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.llm.frames import cut, table, whole_texts
+from stayledger.llm.frames import cut, table
 from stayledger.llm.textbytes import FOLD_WORDS, texts
 
 WINDOW = 13
 ONE_IN = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
 _WORD = re.compile(rb"[^ ]+")
 
 _FOUND = "struct<n_words:long,hits:array<struct<first:int,end:int>>,items:array<string>,rest:string>"
@@ -235,21 +235,29 @@ def _scanner(automaton, carried: bool, cut_texts: bool):
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> Iterator[Automaton]:
-    """Automata over blocks of whole items, each of about ``block_bytes`` of text."""
-    rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where("text is not null")
+    """Automata over blocks of whole items. Items fall into parts by their hash; neighbouring
+    parts make a block as long as they have ``block_bytes`` of text together."""
+    rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).where("text is not null").distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(size / block_bytes))
-    place = F.pmod(F.xxhash64("id", "text"), F.lit(n))
-    for k in range(n):
-        block = rows.where(place == k).distinct().collect()  # bounded by block_bytes
+    parts = 64 * max(1, math.ceil(size / block_bytes))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(parts))
+    own = rows.groupBy(place.alias("part")).agg(F.sum(F.octet_length("text")).alias("n"))
+    sizes = sorted(map(tuple, own.collect()))  # 64 numbers a block
+    first = 0
+    while first < max(1, len(sizes)):
+        end, total = first, 0
+        while end < len(sizes) and (end == first or total + sizes[end][1] <= block_bytes):
+            total, end = total + sizes[end][1], end + 1
+        inside = place.between(sizes[first][0], sizes[end - 1][0]) if sizes else F.lit(False)
+        block = rows.where(inside).collect()  # bounded by block_bytes, or one part
         yield Automaton([(r["id"], words_of(r["text"])) for r in block], window)
+        first = max(end, first + 1)
 
 
 def _found(
     docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, window: int, block_bytes: int, cut_texts: bool
 ) -> DataFrame:
     """Adds ``__found``, what the items' automata find in the text."""
-    whole_texts(docs.sparkSession)
     spark, found = docs.sparkSession, None
     for k, automaton in enumerate(_blocks(items, item_id, item_text, window, block_bytes)):
         shared = spark.sparkContext.broadcast(automaton)

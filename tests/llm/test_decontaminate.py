@@ -86,3 +86,39 @@ def test_edges(spark, edge, empty):
     assert kept.columns == edge.columns and kept.count() == edge.count() - 4
     assert kept.select("hits").distinct().first()[0] == "mine"
     assert out.where(F.col("doc_id") == 5).first()["n_words"] == 800 * 25
+
+
+def test_a_full_block_fits_a_worker(spark):
+    """An automaton over a block of the default size, of made-up words: its states and memory."""
+    import pickle
+    import tracemalloc
+
+    from stayledger.llm import decontaminate as D
+
+    items, size, i = [], 0, 0
+    while size < D.BLOCK_BYTES:
+        text = prose(600_000 + i, 60)
+        items.append((str(i), text))
+        size, i = size + len(text), i + 1
+    tracemalloc.start()
+    found = D.Automaton([(k, D.words_of(t)) for k, t in items[:-1]], 13)
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    print(len(found.step), "states,", used >> 20, "MB,", len(pickle.dumps(found)) >> 20, "MB pickled")
+    assert used < 300 << 20
+    hits, ids = found.scan(D.words_of(f"x {items[7][1]} y"))
+    assert hits == [(1, 61)] and ids == {"7"}
+
+
+def test_blocks_hold_whole_items_up_to_the_size(spark):
+    from stayledger.llm import decontaminate as D
+
+    rows = [(i, prose(i, 40)) for i in range(200)] + [(200, prose(7, 3000)), (201, None), (5, prose(5, 40)), (None, prose(9000, 40))]
+    df = spark.createDataFrame(rows, "item_id long, text string").repartition(4)
+    for limit in (1 << 30, 3000, 1):
+        blocks = list(D._blocks(df, "item_id", "text", 13, limit))
+        held = [x for b in blocks for by in b.windows.values() for ids in by.values() for x in ids]
+        assert set(held) == {str(i) for i in range(201)} | {None}
+        if limit == 3000:
+            assert len(blocks) > 20
+    assert len(list(D._blocks(df.limit(0), "item_id", "text", 13, 10))) == 1
