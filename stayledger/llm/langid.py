@@ -13,10 +13,11 @@ centroid. Between these sizes the reach is interpolated, below 16 bytes it falls
 nothing. A text whose nearest centroid does not reach it is rejected, though it keeps
 its prediction.
 
-The fit takes at most ``fit_rows`` labelled rows, split evenly over the labels
-and chosen by a hash of id and text; whole texts are vectorised on the
-executors, and only the sparse vectors of that sample are gathered. Prediction is an Arrow function on the text column: no
-shuffle, and the model (at most ``MAX_LANGS`` labels) is the only thing shipped.
+The fit takes about ``fit_rows`` labelled rows, split evenly over the labels, but some
+``LEAST_ROWS`` of every label, chosen by a hash of id and text; whole texts are vectorised on
+the executors, and only the sparse vectors of that sample are gathered. Prediction is an
+Arrow function on the text column: no shuffle, and the model is the only thing shipped.
+Labels whose centroids would take more than ``MAX_MODEL_BYTES`` raise a ValueError.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0
 and rejected; with no labelled row at all every text is; rows with a null label
@@ -33,10 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stayledger.llm.frames import doc_key, table, whole_texts
+from stayledger.llm.frames import doc_key, table
 from stayledger.llm.textbytes import batches_by_bytes, texts
 
-MAX_LANGS = 1000
+MAX_MODEL_BYTES = 256 << 20
+LEAST_ROWS = 20  # of a label, in the sample
 PIECES = [16 << i for i in range(9)]  # bytes
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)
@@ -106,13 +108,13 @@ def fit(
     slack: float = 0.5,
     tail: float = 0.05,
 ) -> Model:
-    """Centroids from at most about ``fit_rows`` rows of ``labelled``."""
-    whole_texts(labelled.sparkSession)
+    """Centroids from about ``fit_rows`` rows of ``labelled``."""
     rows = labelled.where(F.col(lang).isNotNull() & has_letter(F.col(text)))
-    sizes = dict(rows.groupBy(lang).count().limit(MAX_LANGS + 1).collect())
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} different labels: not languages")
-    each = fit_rows // max(1, len(sizes))
+    most = MAX_MODEL_BYTES // (4 * dims * per_lang)
+    sizes = dict(rows.groupBy(lang).count().limit(most + 1).collect())
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} different labels: the model would be over {MAX_MODEL_BYTES} bytes")
+    each = max(LEAST_ROWS, fit_rows // max(1, len(sizes)))
     # a row is in the sample if its hash falls in its label's share
     share = F.lit(0.0)
     for name, n in sizes.items():
@@ -173,7 +175,6 @@ def _set_reach(sample: DataFrame, model: Model, slack: float, tail: float) -> No
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds ``lang_pred``, ``score`` (0 to 1) and ``rejected``."""
-    whole_texts(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<lang:string,score:double,rejected:boolean>"
 

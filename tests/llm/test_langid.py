@@ -1,4 +1,5 @@
 import base64
+import math
 import random
 import string
 import zlib
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayledger.llm import langid as L
-from tests_llm_data import SMALL, framed
+from tests_llm_data import SMALL, framed, prose
 
 
 def test_held_out_documents_get_their_language(spark, documents):
@@ -22,6 +23,57 @@ def test_held_out_documents_get_their_language(spark, documents):
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.97 * len(held)
 
 
+def slow_vector(raw, idf):
+    """log(1 + count) * idf of the hashed byte bigrams and trigrams, one gram at a time."""
+    dims, counts = len(idf), {}
+    text = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in raw)
+    padded = b"  " + text + b"  " + b"  "
+    for i in range(len(text) + 4):
+        two = padded[i] << 8 | padded[i + 1]
+        for code in (two + (1 << 24), two << 8 | padded[i + 2]):
+            h = (code * 2654435761 & 0xFFFFFFFF) ^ (code >> 7)
+            h = (h * 2246822519 & 0xFFFFFFFF) >> (32 - dims.bit_length() + 1)
+            counts[h] = counts.get(h, 0) + 1
+    x = np.zeros(dims)
+    for h, n in counts.items():
+        x[h] = math.log1p(n) * idf[h]
+    return x / np.linalg.norm(x), sum(counts.values())
+
+
+def test_query_gives_the_nearest_centroid(spark, documents):
+    """Every prediction, score and rejection of the query recomputed from the centroids."""
+    m = L.fit_on_documents(documents)
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    checked = 0
+    for r in L.op1_nearest_centroid(spark, SMALL).collect():
+        text = texts[r["doc_id"]]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        raw = text.encode()
+        x, grams = slow_vector(raw, m.idf.astype(np.float64))
+        near = m.centroids.astype(np.float64) @ x
+        best = int(near.argmax())
+        assert abs(near[best] - r["score"]) < 1e-4
+        assert r["lang_pred"] in {m.langs[i] for i in np.flatnonzero(near > near[best] - 1e-5)}
+        size = max(grams / 2 - 2, 0) / L.PIECES[0]
+        at = min(max(math.log2(max(size, 1)), 0), len(L.PIECES) - 1)
+        low = min(int(at), len(L.PIECES) - 2)
+        least = (m.reach[best, low] * (low + 1 - at) + m.reach[best, low + 1] * (at - low)) * min(size, 1)
+        assert abs(near[best] - least) < 1e-4 or r["rejected"] == (near[best] < least)
+        checked += 1
+    assert checked > 150
+
+
+def test_rare_labels_keep_rows_in_the_sample(spark):
+    rows = [(i, f"{prose(i, 30)}", "common", "s") for i in range(400)] + [(1000 + i, prose(9000 + i, 30), f"rare{i % 3}", "s") for i in range(30)]
+    m = L.fit(framed(spark, rows), fit_rows=8, per_lang=2)
+    assert set(m.langs) == {"common", "rare0", "rare1", "rare2"}
+    many = spark.range(50_000).selectExpr("id as doc_id", "concat('text ', id) as text", "concat('l', id) as lang")
+    with pytest.raises(ValueError, match="labels"):
+        L.fit(many)
+
+
 def test_held_out_labels_are_not_learned(spark, documents):
     spoiled = documents.withColumn("lang", F.when(L.held_out(F.col("doc_id")), "xx").otherwise(F.col("lang")))
     a, b = L.fit_on_documents(documents), L.fit_on_documents(spoiled)
