@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stayledger.llm.components import components
-from stayledger.llm.frames import cut, doc_key, table
+from stayledger.llm.frames import cut, doc_key, spill, table
 from stayledger.llm.textbytes import FOLD_SPACE, texts
 
 BITS = 64
@@ -171,16 +171,26 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, run_limit: int = 8192)
         long_runs = found.where("mask <> -1").select("mask", F.col("a").alias("fp"))
         if depth == 3 or long_runs.isEmpty():
             return links
-        # finer masks for the masks met: the covering masks of the bits each leaves open
-        met = [r[0] for r in long_runs.select("mask").distinct().collect()]  # at most 31^level masks of one level
-        finer = {m: covering_masks(radius, [i for i in range(BITS) if not (m >> i) & 1]) for m in met}
-        lists = F.create_map(*[x for m, ms in finer.items() for x in (F.lit(m), F.array(*[F.lit(_signed(m | f)) for f in ms]))])
-        rows = long_runs.select(F.explode(lists[F.col("mask")]).alias("mask"), "fp").select(
+        rows = long_runs.select(F.explode(_finer(F.col("mask"), radius)).alias("mask"), "fp").select(
             "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"
         ).distinct()
     return links
 
 
+def _finer(mask: Column, radius: int) -> Column:
+    """The mask joined with each covering mask of the bits it leaves open."""
+
+    @F.arrow_udf("array<long>")
+    def finer(column: pa.Array) -> pa.Array:
+        known: dict[int, list[int]] = {}
+        for m in column.to_pylist():
+            if m not in known:
+                known[m] = [_signed(m | f) for f in covering_masks(radius, [i for i in range(BITS) if not (m >> i) & 1])]
+        return pa.array([known[m] for m in column.to_pylist()], pa.list_(pa.int64()))
+
+    return finer(mask)
+
+
 def _signed(x: int) -> int:
     x &= (1 << 64) - 1
     return x - (1 << 64) if x >> 63 else x
@@ -200,7 +210,9 @@ def _named(marked: DataFrame, radius: int, name: Column) -> DataFrame:
     classes = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
-    named = classes.groupBy("root").agg(F.min("least").alias("name"))
+    # both written: plain scans, so that a hot root is split, or the few names are broadcast
+    classes = spill(classes, "simhash-classes")
+    named = spill(classes.groupBy("root").agg(F.min("least").alias("name")), "simhash-names")
     return classes.join(named, "root").select("fingerprint", "name")
 
 
