@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..errors import DataExtractionError
 
 CORRUPT = "_corrupt_record"
+ROWS_PER_FILE = 250_000  # about 100 MB of lines
 NOT_AS_DECLARED = "record does not have the declared form"
 
 
@@ -49,8 +50,13 @@ def read_bookings(spark: SparkSession, path: str, schema: T.StructType | str | N
 
 
 def write_bookings(df: DataFrame, path: str) -> None:
-    """Write nested bookings as JSON lines (used to build scan fixtures)."""
-    df.write.mode("errorifexists").json(path)
+    """Write nested bookings as JSON lines (used to build scan fixtures): gzipped, as most
+    of a line is names, in files small enough that a scan has many to share out, since
+    a gzipped file is not split."""
+    (df.write.mode("errorifexists")
+       .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+       .option("maxRecordsPerFile", ROWS_PER_FILE)
+       .json(path))
 
 
 # Declared form of the raw contract, for scans that skip inference (streams,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayledger.errors import DataExtractionError
 from stayledger.operators import transform as X
+from stayledger.sources import bookings as B
 from stayledger.sources import fixtures as FX
 from stayledger.sources import lookups as LK
 
@@ -108,3 +109,15 @@ def test_a_large_lookup_joins(spark):
     raw = spark.createDataFrame([raw_row(1, status="s19999"), raw_row(2, status="x")], RAW)
     got = X.map_status(raw, big).select("status", "_mapped_status").collect()
     assert sorted(map(tuple, got)) == [("s19999", "m19999"), ("x", "x")]
+
+
+def test_fixture_lines_are_gzipped_in_files_of_bounded_length(spark, scratch, monkeypatch):
+    monkeypatch.setattr(B, "ROWS_PER_FILE", 100)
+    raw, path = FX.raw_bookings(spark, "/root/testdata/sf0.001"), scratch("json")
+    B.write_bookings(raw.coalesce(1), path)
+    files = [r.f for r in spark.read.format("binaryFile").load(f"{path}/part-*").selectExpr("path AS f").collect()]
+    assert len(files) == -(-raw.count() // 100) and all(f.endswith(".json.gz") for f in files)
+    size = spark.read.format("binaryFile").load(f"{path}/part-*").agg(F.sum("length")).first()[0]
+    assert 3 * size < raw.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    assert B.read_bookings(spark, path, B.BOOKING_SCHEMA).select(*raw.columns).exceptAll(raw).isEmpty()
+    assert B.read_bookings(spark, path).count() == raw.count()
