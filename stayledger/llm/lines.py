@@ -49,13 +49,17 @@ from stayledger.llm.textbytes import FOLD_LINES, batches_by_bytes, texts
 SHINGLE, SIMILARITY, MIN_CHARS = 8, 0.8, 8
 BANDS, ROWS = 12, 5
 RUN_LIMIT = 512
+_FEW = 24  # lines of a group that are compared one by one
 _STRETCH = 4 << 20
 _CHUNK = 1 << 18  # characters whose arrays stay in the processor's cache
 _FULL = np.uint32(0xFFFFFFFF)
 
 
 def fold_lines(text: bytes | None) -> list[bytes]:
-    return [b" ".join(x.split()) for x in (text or b"").translate(FOLD_LINES).split(b"\n")]
+    folded = (text or b"").translate(FOLD_LINES)
+    if b"  " in folded:
+        return [b" ".join(x.split()) for x in folded.split(b"\n")]
+    return [x.strip(b" ") for x in folded.split(b"\n")]  # no run of spaces
 
 
 def line_hash(line: bytes) -> int:
@@ -70,9 +74,12 @@ def _judged(line: bytes, min_chars: int) -> bool:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
+    x = x ^ (x >> np.uint64(31))
+    x *= np.uint64(0x7FB5D329728EA185)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x81DADEF4BC2DD44D)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def _windows(points: np.ndarray, width: int) -> np.ndarray:
@@ -80,7 +87,8 @@ def _windows(points: np.ndarray, width: int) -> np.ndarray:
     base, top = 0x9E3779B97F4A7C15, (1 << 64) - 1
     h, have, scale = points.astype(np.uint64), 1, base
     while have * 2 <= width:
-        h = h[:-have] * np.uint64(scale) + h[have:]
+        h, after = h[:-have] * np.uint64(scale), h[have:]
+        h += after
         have, scale = have * 2, scale * scale & top
     while have < width:
         h = h[:-1] * np.uint64(base) + points[have : have + len(h) - 1]
@@ -96,9 +104,13 @@ def buckets(lines: list[bytes], shingle: int, bands: int, rows: int) -> np.ndarr
     ends = np.append(np.flatnonzero(points == 10), len(points))
     size = np.diff(np.concatenate(([-1], ends)))  # with the newline
     h = _windows(points, shingle)
-    slot = ((h >> np.uint64(32)) * np.uint64(n_bins) >> np.uint64(32)).astype(np.int64)
+    slot = h >> np.uint64(32)
+    slot *= np.uint64(n_bins)
+    slot >>= np.uint64(32)
+    slot = slot.view(np.int64)
     slot += np.repeat(np.arange(0, len(lines) * n_bins, n_bins), size)[: len(h)]
-    value = h.astype(np.uint32) & np.uint32(0xFFFFFFFE)
+    value = h.astype(np.uint32)
+    value &= np.uint32(0xFFFFFFFE)
     over = (ends[:-1, None] - np.arange(shingle)).ravel()  # windows that reach into the next line
     value[over] = _FULL
     least = np.full(len(lines) * n_bins, _FULL, np.uint32)
@@ -114,12 +126,11 @@ def buckets(lines: list[bytes], shingle: int, bands: int, rows: int) -> np.ndarr
         full[r, c] = got
         open_ = got == _FULL
         r, c = r[open_], c[open_]
-    out = np.empty((len(lines), bands), np.uint64)
-    for b in range(bands):
-        x = np.full(len(lines), b + 1, np.uint64)
-        for j in range(rows):
-            x = _mix(x * np.uint64(0x9E3779B97F4A7C15) + full[:, b * rows + j])
-        out[:, b] = x
+    out = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(lines), 1))
+    for j in range(rows):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += full[:, j::rows]
+        out = _mix(out)
     return out
 
 
@@ -235,6 +246,8 @@ def like_links(lines: list[str], shingle: int, similarity: float) -> list[tuple[
     """A spanning forest (index pairs) of the pairs whose exact Jaccard similarity
     reaches ``similarity``: breadth first over what is left."""
     sets = _sets(lines, shingle)
+    if len(lines) > _FEW:
+        return _many_links(sets, similarity)
     left, links = list(range(len(lines))), []
 
     def like(a: np.ndarray, b: np.ndarray) -> bool:
@@ -259,6 +272,35 @@ def like_links(lines: list[str], shingle: int, similarity: float) -> list[tuple[
     return links
 
 
+def _many_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """The links of `like_links`, one line being counted against all that are left at once."""
+    size = np.array([len(x) for x in sets])
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    start = np.cumsum(size) - size
+    held = np.zeros(int(number.max()) + 1, bool)
+    left, links = np.arange(len(sets)), []
+    while len(left):
+        root, left = int(left[0]), left[1:]
+        frontier = [root]
+        while frontier and len(left):
+            at = frontier.pop()
+            own, n = number[start[at] : start[at] + size[at]], size[at]
+            near = left[np.minimum(size[left], n) >= similarity * np.maximum(size[left], n)]
+            if not len(near):
+                continue
+            held[own] = True
+            first = np.cumsum(size[near]) - size[near]
+            of = np.repeat(start[near] - first, size[near]) + np.arange(int(size[near].sum()))
+            both = np.add.reduceat(held[number[of]], first, dtype=np.int64)
+            held[own] = False
+            near = near[both >= similarity * (n + size[near] - both)]
+            if len(near):
+                links += [(at, i) for i in near.tolist()]
+                left = np.setdiff1d(left, near, assume_unique=True)
+                frontier += near.tolist()
+    return links
+
+
 def _solved(batches: Iterator[pa.RecordBatch], o: dict) -> Iterator[pa.RecordBatch]:
     """Rows (g, i, j, key, line) sorted by group (g, i, j): the links of each group."""
     group, keys, lines = None, [], []

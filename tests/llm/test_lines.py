@@ -176,3 +176,21 @@ def test_edges(edge, empty):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows) == [
         (False, x) for x in (-9, 1, 2, 3, 5, 6, 7)] + [(True, 0), (True, 0)]
     assert L.dedup_lines(empty).count() == 0 and L.repeated_lines(empty).count() == 0
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_a_large_group_is_compared_line_against_all(monkeypatch, similarity):
+    """Not pair by pair, with the links that comparing pairs gives."""
+    lines = sorted(variants(40) + templated(60, 4) + templated(60, 24) + [f"é{x}" for x in templated(20, 9)])
+    monkeypatch.setattr(L, "_FEW", len(lines))
+    want = L.like_links(lines, 8, similarity)
+    monkeypatch.undo()
+    calls = []
+    monkeypatch.setattr(L, "_common", lambda a, b: calls.append(1))
+    assert L.like_links(lines, 8, similarity) == want and (want or similarity == 1.0) and not calls
+
+
+def test_folded_lines_with_and_without_runs_of_spaces():
+    for text in ("", " ", "A b\nC", " a b \n\n c ", "a\t b\x0b\n\r\x0cc  D \n", "é\u00a0 x\n y\r\nz"):
+        assert [x.decode() for x in L.fold_lines(text.encode())] == [folded(x) for x in text.split("\n")]
+    assert L.fold_lines(None) == [b""]
