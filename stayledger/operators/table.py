@@ -9,13 +9,16 @@ Layout of a table at ``path``::
 
 A commit rewrites only the partitions that hold a matched key (copy-on-write
 per partition); a partition that only receives new rows gets one more
-segment with just those rows. Every row a commit writes carries a slot:
-``kept`` (unchanged row of a rewritten partition), ``insert``, ``update``
+segment with just those rows. A commit of one batch by key (``key_where``) rewrites
+only the segments that hold a matched key and names them as replaced: the segments
+of other batches stay as they are. Every row a commit writes carries a slot:
+``kept`` (unchanged row of a rewritten partition or segment), ``insert``, ``update``
 (after image) or ``before`` (before image of an updated row).
 
 Both reads are one scan of ``state``. The state keeps the segments at or after
-the last rewrite of their partition (a semi join with the small segment table, on
-folder columns, so that pruning picks the folders) minus ``before`` rows; the
+the last rewrite of their partition that no later commit replaced (a semi join with
+the small segment table, on folder columns, so that pruning picks the folders) minus
+``before`` rows; the
 changelog of a range is the versions of the range minus ``kept`` rows. No row is
 written twice. ``_p`` is the partition value as text with a letter in front
 (``v``), or ``n`` for null, so that an empty string is a value like any other;
@@ -64,7 +67,8 @@ COMMITS_SCHEMA = T.StructType([
     T.StructField("schema_json", T.StringType()),
     T.StructField("txn", T.StringType()),
 ])
-_SEGMENTS = "part STRING, rewritten BOOLEAN, inserted BIGINT, updated BIGINT, commit_id BIGINT"
+# ``replaced``: the versions whose segments of the partition this one replaces, null for all
+_SEGMENTS = "part STRING, rewritten BOOLEAN, inserted BIGINT, updated BIGINT, replaced ARRAY<BIGINT>, commit_id BIGINT"
 
 _TRANSFORMS = {"identity", "month", "year"}
 
@@ -239,18 +243,19 @@ def segments(spark: SparkSession, spec: TableSpec, commit_id: int | None = None)
     row = _commit_row(spark, spec, commit_id)
     log = spark.read.schema(_SEGMENTS).parquet(spec.segments_path).where(F.col("commit_id") <= row.commit_id)
     per_part = log.groupBy("part").agg(
-        F.max(F.when(F.col("rewritten"), F.col("commit_id"))).alias("since"),
+        F.max(F.when(F.col("rewritten") & F.col("replaced").isNull(), F.col("commit_id"))).alias("since"),
+        F.flatten(F.collect_list("replaced")).alias("gone"),
         F.collect_list("commit_id").alias("ids"))
-    live = F.filter("ids", lambda i: i >= F.coalesce(F.col("since"), F.lit(0)))
+    live = F.filter("ids", lambda i: (i >= F.coalesce(F.col("since"), F.lit(0))) & ~F.array_contains("gone", i))
     return per_part.select("part", F.explode(live).alias("version"))
 
 
 def _state(spark: SparkSession, spec: TableSpec, row: Row, parts: DataFrame | None = None) -> DataFrame:
-    """State at commit ``row`` with its folder column; optionally only the
-    partitions listed in the column ``part`` of ``parts``."""
+    """State at commit ``row`` with its folder columns; optionally only the
+    partitions (column ``part``) or segments (``part``, ``version``) listed in ``parts``."""
     live = segments(spark, spec, row.commit_id)
     if parts is not None:
-        live = live.join(parts, "part", "left_semi")
+        live = live.join(parts, parts.columns, "left_semi")
     rows = _scan(spark, spec, _data_schema(row)).where(F.col(SLOT).isin(*STATE_SLOTS))
     on = (rows[PART] == live["part"]) & (rows[VERSION] == live["version"])
     return rows.join(live, on, "left_semi")
@@ -295,9 +300,10 @@ def inserts(changelog: DataFrame, include_updates: bool = False) -> DataFrame:
 
 # --- writes -----------------------------------------------------------------------
 
-def _write_version(spec: TableSpec, df: DataFrame, n: int) -> tuple[int, int]:
+def _write_version(spec: TableSpec, df: DataFrame, n: int, replaced: DataFrame | None = None) -> tuple[int, int]:
     """Write commit n's rows, clustered by partition, and the table of its segments;
-    returns (inserted, updated), counted from what was written.
+    returns (inserted, updated), counted from what was written. ``replaced`` lists the
+    segments (``part``, ``version``) it rewrites, where these are not whole partitions.
 
     The rebalance hint shuffles by the partition value; adaptive execution
     then splits a hot partition over several tasks and merges small ones, so
@@ -316,6 +322,10 @@ def _write_version(spec: TableSpec, df: DataFrame, n: int) -> tuple[int, int]:
         F.max(F.col(SLOT).isin("kept", "before")).alias("rewritten"),
         F.count_if(F.col(SLOT) == "insert").alias("inserted"),
         F.count_if(F.col(SLOT) == "update").alias("updated"))
+    if replaced is None:
+        per_part = per_part.withColumn("replaced", F.lit(None).cast("array<bigint>"))
+    else:
+        per_part = per_part.join(replaced.groupBy("part").agg(F.collect_set("version").alias("replaced")), "part", "left")
     per_part.write.mode("overwrite").parquet(path)
     total = spark.read.schema(per_part.schema).parquet(path).agg(F.sum("inserted"), F.sum("updated")).first()
     return int(total[0] or 0), int(total[1] or 0)
@@ -448,7 +458,9 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     ``key_where`` is a predicate on the key that every source key satisfies
     (say ``pmod(key, 5) = 2`` for one key-hashed batch): target rows failing
     it cannot match, so they are dropped before the key joins shuffle, and a
-    batch shuffles only its share of the table's keys.
+    batch shuffles only its share of the table's keys. Of the partitions with a matched
+    key only the segments that hold one are then rewritten: where the table was loaded
+    in such batches, that is this batch's share of the rows.
     """
     prev = _prev or _latest(spark, spec)
     if prev is None:
@@ -465,30 +477,34 @@ def upsert(spark: SparkSession, spec: TableSpec, source: DataFrame,
     try:
         if stage_source:
             src = stage(src, "source")
-        # The matched keys with the partitions that hold them. Both sides are
+        # The matched keys with the segments that hold them. Both sides are
         # aggregated before they meet, with map-side partial aggregation: a hot
         # target key is one row per map task and partition, not a third of the table.
         src_keys = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n_src"))
         tgt_keys = _state(spark, spec, prev).where(F.col(key).isNotNull())
         if key_where is not None:
             tgt_keys = tgt_keys.where(key_where)
-        tgt_keys = tgt_keys.groupBy(key, PART).agg(F.count(F.lit(1)).alias("_rows"))
+        tgt_keys = tgt_keys.groupBy(key, PART, VERSION).agg(F.count(F.lit(1)).alias("_rows"))
         matched = stage(tgt_keys.join(src_keys, key), "keys")
         meta = matched.agg(F.max("_n_src"), F.sum("_rows")).first()
         if (meta[0] or 0) > 1:
             raise MergeCardinalityError(
                 f"MERGE into {spec.path}: a target row is matched by more than one source row")
+        replaced = None
         if not meta[1]:
             rows = src.withColumn(SLOT, F.lit("insert"))
         else:
             cols = _data_schema(prev).fieldNames() + [SLOT]
-            tgt = _state(spark, spec, prev, matched.select(F.col(PART).alias("part")).distinct())
+            parts = matched.select(F.col(PART).alias("part"), F.col(VERSION).alias("version")).distinct()
+            if key_where is not None:
+                replaced = parts = stage(parts, "segments")
+            tgt = _state(spark, spec, prev, parts if replaced is not None else parts.select("part").distinct())
             keys = matched.select(key).distinct()
             # the source rows of matched keys (at most one per key), stored so the
             # left join's right side is a plain scan
             updates = stage(src.join(keys, key, "left_semi").select(*src.columns), "updates")
             rows = _merge_rows(tgt, src, key, cols, key_where, stage(keys, "matched"), updates)
-        inserted, updated = _write_version(spec, rows, n)
+        inserted, updated = _write_version(spec, rows, n, replaced)
         source_rows = src.count()
     finally:
         for path in staged:  # committed or failed: not read again

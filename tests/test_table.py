@@ -109,6 +109,53 @@ def test_insert_only_commit_appends_a_segment(spark, spec):
     assert rows(TB.read_table(spark, spec)) == rows(df(spark, [(1, D1, 3.0), (2, D1, 2.0)]))
 
 
+def test_batch_commit_rewrites_only_the_segments_of_its_keys(spark, spec):
+    def even():
+        return F.pmod(F.col("transaction_id"), F.lit(2)) == 0
+
+    TB.write(spark, spec, df(spark, [(2, D1, 2.0), (4, D1, 4.0), (None, D1, 0.0)]))
+    TB.append_new_keys(spark, spec, df(spark, [(1, D1, 1.0), (3, D1, 3.0), (5, D2, 5.0)]))
+    moved = [(2, D2, 2.5), (6, D1, 6.0)]  # an update that changes its partition, a new key
+    assert TB.write(spark, spec, df(spark, moved), key_where=even()).updated == 1
+    # the segment of the odd keys stays; that of the even ones is replaced
+    assert rows(TB.segments(spark, spec)) == [
+        ("v2024-01-01", 2), ("v2024-01-01", 3), ("v2024-02-01", 2), ("v2024-02-01", 3)]
+    third = [(4, D1, 4.0), (None, D1, 0.0), (1, D1, 1.0), (3, D1, 3.0), (5, D2, 5.0), *moved]
+    assert rows(TB.read_table(spark, spec)) == rows(df(spark, third))
+    # a replaced segment stays gone, and a later batch may replace one that replaced another
+    TB.write(spark, spec, df(spark, [(6, D1, 6.5)]), key_where=even())
+    fourth = [r for r in third if r[0] != 6] + [(6, D1, 6.5)]
+    assert rows(TB.segments(spark, spec)) == [
+        ("v2024-01-01", 2), ("v2024-01-01", 4), ("v2024-02-01", 2), ("v2024-02-01", 3)]
+    assert rows(TB.read_table(spark, spec)) == rows(df(spark, fourth))
+    TB.write(spark, spec, df(spark, [(1, D1, 1.5)]))  # no batch: the partition is rewritten whole
+    assert rows(TB.segments(spark, spec)) == [("v2024-01-01", 5), ("v2024-02-01", 2), ("v2024-02-01", 3)]
+    assert rows(TB.read_table(spark, spec)) == rows(df(spark, [r for r in fourth if r[0] != 1] + [(1, D1, 1.5)]))
+    for n, state in ((3, third), (4, fourth)):
+        assert rows(TB.read_table(spark, spec, n)) == rows(df(spark, state))
+    changed = TB.changes(spark, spec, 2, 3).groupBy("_change_type").count()
+    assert rows(changed) == [("INSERT", 1), ("UPDATE_AFTER", 1), ("UPDATE_BEFORE", 1)]
+
+
+def test_rerun_of_batches_writes_each_row_of_the_table_once(spark, spec):
+    """Every batch of a second run meets its own keys only: what it keeps is its own, too."""
+    first = [(i, D1, float(i)) for i in range(40)]
+
+    def batch(i):
+        return F.pmod(F.xxhash64("transaction_id"), F.lit(4)) == i
+
+    TB.write(spark, spec, df(spark, first).where(batch(0)))
+    for i in (1, 2, 3):
+        TB.append_new_keys(spark, spec, df(spark, first).where(batch(i)))
+    again = df(spark, [(i, D1, i + 0.5) for i in range(0, 60, 2)])
+    for i in range(4):
+        TB.write(spark, spec, again.where(batch(i)), key_where=batch(i))
+    written = spark.read.parquet(spec.state_path).where(F.col("_v") > 4).groupBy("_slot").count()
+    assert rows(written) == [("before", 20), ("insert", 10), ("kept", 20), ("update", 20)]
+    want = [r for r in first if r[0] % 2] + [(i, D1, i + 0.5) for i in range(0, 60, 2)]
+    assert rows(TB.read_table(spark, spec)) == rows(df(spark, want))
+
+
 def test_empty_source_is_a_no_op_commit(spark, spec):
     TB.write(spark, spec, df(spark, [(1, D1, 1.0)]))
     res = TB.write(spark, spec, df(spark, []))
